@@ -1,0 +1,306 @@
+"""Checks of behaviour features, assignment, outlier flags and the cluster reports."""
+
+from __future__ import annotations
+
+from pyspark.sql import functions as F
+
+from checks import views
+from checks.registry import MODEL_CENTERS, MODEL_MEAN, MODEL_STD, mean, oracle, query, rounded
+from wakeline.functions import geo
+from wakeline.operators import cluster, stats
+from wakeline.operators.cluster import BehaviourModel
+from wakeline.plans import reports
+from wakeline.plans.behaviour import behaviour_clusters
+from wakeline.sources.tables import fill_geometry
+
+MODEL = BehaviourModel(MODEL_MEAN, MODEL_STD, MODEL_CENTERS)
+_WHEN = "CAST(base_date_time AS VARCHAR) AS base_date_time"
+_RUN = "2024-02-01 00:00:00"
+
+
+def _features(spark, sf_dir):
+    return cluster.behaviour_features(views.positions(spark, sf_dir))
+
+
+def _assigned(spark, sf_dir):
+    return cluster.assign_clusters(_features(spark, sf_dir), MODEL).withColumn(
+        "kpi_date", F.to_date("base_date_time")
+    )
+
+
+def _flagged(spark, sf_dir):
+    return cluster.flag_outliers(_assigned(spark, sf_dir), ("kpi_date", "cluster_id"))
+
+
+def _clusters(spark, sf_dir):
+    rows = behaviour_clusters(_features(spark, sf_dir), MODEL, F.lit(_RUN))
+    return fill_geometry(rows.withColumn("geom_wkt", F.lit(None).cast("string")))
+
+
+@query("p25_ml_features", oracle(
+    f"SELECT mmsi, {_WHEN}, sog_knots, cog_degrees, lat, lon FROM features", "features"))
+def ml_features(spark, sf_dir):
+    return _features(spark, sf_dir).drop("cog_sin", "cog_cos")
+
+
+@query("p26_course_encoding", oracle(
+    f"SELECT mmsi, {_WHEN}, {rounded('cog_sin', 6)} AS cog_sin, {rounded('cog_cos', 6)}"
+    " AS cog_cos FROM features", "features"))
+def course_encoding(spark, sf_dir):
+    return _features(spark, sf_dir).select(
+        "mmsi", "base_date_time", F.round("cog_sin", 6).alias("cog_sin"),
+        F.round("cog_cos", 6).alias("cog_cos"),
+    )
+
+
+@query("m1_assemble_features", oracle(
+    f"SELECT mmsi, {_WHEN}, " + rounded("sog_knots + cog_sin + cog_cos + lat + lon", 6)
+    + " AS feature_sum, 5 AS feature_count FROM features", "features"))
+def assembled(spark, sf_dir):
+    from pyspark.ml.functions import vector_to_array
+
+    values = vector_to_array(F.col("features"))
+    return cluster.assemble(_features(spark, sf_dir)).select(
+        "mmsi", "base_date_time",
+        F.round(F.aggregate(values, F.lit(0.0), lambda a, v: a + v), 6).alias("feature_sum"),
+        F.size(values).alias("feature_count"),
+    )
+
+
+@query("m2_standardize", oracle(
+    f"SELECT mmsi, {_WHEN}, " + ", ".join(
+        rounded(f"({n} - avg({n}) OVER ()) / stddev_samp({n}) OVER ()", 5) + f" AS scaled_{n}"
+        for n in cluster.FEATURES
+    ) + " FROM features", "features"))
+def standardized(spark, sf_dir):
+    """The fitted scaler applied to every position."""
+    from pyspark.ml.functions import vector_to_array
+
+    rows = cluster.assemble(_features(spark, sf_dir))
+    scaled = vector_to_array(F.col("scaled_features"))
+    return cluster.fit_scaler(rows).transform(rows).select(
+        "mmsi", "base_date_time",
+        *(F.round(scaled[i], 5).alias(f"scaled_{n}") for i, n in enumerate(cluster.FEATURES)),
+    )
+
+
+@query("m3_kmeans_fit")
+def kmeans_fit(spark, sf_dir):
+    """Positions per cluster of a model fitted on the whole input (seeded, but not in SQL)."""
+    rows = cluster.assemble(_features(spark, sf_dir))
+    scaled = cluster.fit_scaler(rows).transform(rows)
+    fitted = cluster.fit_kmeans(scaled)
+    return fitted.transform(scaled).groupBy("cluster_id").agg(F.count("*").alias("positions"))
+
+
+_ASSIGNED = (
+    f"SELECT mmsi, {_WHEN}, cluster_id, {rounded('distance_to_centroid', 6)}"
+    " AS distance_to_centroid FROM assigned"
+)
+
+
+@query("m4_assign_clusters", oracle(_ASSIGNED, "assigned"))
+def assign(spark, sf_dir):
+    return _assigned(spark, sf_dir).select(
+        "mmsi", "base_date_time", "cluster_id",
+        F.round("distance_to_centroid", 6).alias("distance_to_centroid"),
+    )
+
+
+@query("f1_centroid_distance", oracle(
+    "SELECT cluster_id, count(*) AS positions, "
+    f"{rounded('min(distance_to_centroid)', 6)} AS min_distance,"
+    f" {rounded('max(distance_to_centroid)', 6)} AS max_distance"
+    " FROM assigned GROUP BY cluster_id", "assigned"))
+def centroid_distance(spark, sf_dir):
+    return _assigned(spark, sf_dir).groupBy("cluster_id").agg(
+        F.count("*").alias("positions"),
+        F.round(F.min("distance_to_centroid"), 6).alias("min_distance"),
+        F.round(F.max("distance_to_centroid"), 6).alias("max_distance"),
+    )
+
+
+@query("a7_cluster_percentile", oracle(
+    "SELECT CAST(kpi_date AS VARCHAR) AS kpi_date, cluster_id,"
+    f" {rounded('threshold_distance', 6)} AS threshold_distance FROM thresholds", "thresholds"))
+def cluster_percentile(spark, sf_dir):
+    return stats.percentile_threshold(
+        _assigned(spark, sf_dir), ("kpi_date", "cluster_id"), "distance_to_centroid", 95.0
+    ).withColumn("threshold_distance", F.round("threshold_distance", 6))
+
+
+@query("j3_threshold_join", oracle(
+    f"SELECT mmsi, {_WHEN}, cluster_id, {rounded('threshold_distance', 6)}"
+    " AS threshold_distance FROM flagged", "flagged"))
+def threshold_join(spark, sf_dir):
+    return _flagged(spark, sf_dir).select(
+        "mmsi", "base_date_time", "cluster_id",
+        F.round("threshold_distance", 6).alias("threshold_distance"),
+    )
+
+
+@query("p27_anomaly_flag", oracle(
+    f"SELECT mmsi, {_WHEN}, cluster_id, is_anomaly FROM flagged", "flagged"))
+def anomaly_flag(spark, sf_dir):
+    return _flagged(spark, sf_dir).select("mmsi", "base_date_time", "cluster_id", "is_anomaly")
+
+
+_ROWS = (
+    "SELECT CAST(kpi_date AS VARCHAR) AS kpi_date, mmsi, cluster_id, lat, lon, sog_knots,"
+    " cog_degrees, distance_to_centroid, is_anomaly"
+)
+
+
+@query("w4_latest_per_vessel_and_day", oracle(
+    "SELECT CAST(kpi_date AS VARCHAR) AS kpi_date, mmsi, cluster_id, is_anomaly, sog_knots"
+    " FROM clusters", "clusters"))
+def latest_per_day(spark, sf_dir):
+    return cluster.latest_per_vessel(_flagged(spark, sf_dir), ("kpi_date", "mmsi")).select(
+        "kpi_date", "mmsi", "cluster_id", "is_anomaly",
+        F.round("sog_knots", 2).alias("sog_knots"),
+    )
+
+
+@query("p28_cluster_rows", oracle(
+    f"{_ROWS}, '2024-02-01 00:00:00' AS model_run_ts FROM clusters", "clusters"))
+def cluster_rows(spark, sf_dir):
+    return _clusters(spark, sf_dir).drop("geom_wkt")
+
+
+@query("s18_fill_geometry", oracle("SELECT mmsi, lon, lat, geom_wkt FROM clusters", "clusters"))
+def filled_geometry(spark, sf_dir):
+    return _clusters(spark, sf_dir).select("mmsi", "lon", "lat", "geom_wkt")
+
+
+@query("p30_point_view", oracle("SELECT mmsi, lon, lat FROM clusters", "clusters"))
+def point_view(spark, sf_dir):
+    """Coordinates taken back out of the point text."""
+    return _clusters(spark, sf_dir).select(
+        "mmsi", geo.wkt_point_lon(F.col("geom_wkt")).alias("lon"),
+        geo.wkt_point_lat(F.col("geom_wkt")).alias("lat"),
+    )
+
+
+@query("m6_behaviour_job")
+def behaviour_job(spark, sf_dir):
+    """Fit on the whole input, assign, flag and reduce; fitting has no SQL counterpart."""
+    features = _features(spark, sf_dir)
+    rows = cluster.assemble(features)
+    scaler = cluster.fit_scaler(rows)
+    fitted = cluster.fit_kmeans(scaler.transform(rows))
+    model = BehaviourModel.from_fitted(scaler, fitted)
+    return behaviour_clusters(features, model, F.lit(_RUN))
+
+
+# --- reports ----------------------------------------------------------------------------------
+
+_ANOMALIES = "count(*) FILTER (is_anomaly)"
+_LABEL = "concat('Cluster ', CAST(cluster_id AS VARCHAR))"
+
+
+def _percent(part: str, whole: str, digits: int = 2) -> str:
+    return rounded(f"{part} * 100.0e0 / {whole}", digits)
+
+
+def _report(key: str, select: str, function):
+    query(key, oracle(select, "clusters"))(
+        lambda spark, sf_dir: function(_clusters(spark, sf_dir))
+    )
+
+
+_report("a8_cluster_summary",
+        f"SELECT cluster_id, count(*) AS total_vessels, {_ANOMALIES} AS anomalies,"
+        f" {mean('sog_knots', 2)} AS avg_sog,"
+        f" {mean('distance_to_centroid', 4)} AS avg_dist FROM clusters"
+        " GROUP BY cluster_id", reports.cluster_summary)
+_report("a11_distinct_vessels",
+        "SELECT count(DISTINCT mmsi) AS active_vessels FROM clusters", reports.active_vessels)
+_report("a12_flagged_anomalies",
+        f"SELECT {_ANOMALIES} AS flagged_anomalies FROM clusters", reports.flagged_anomalies)
+_report("a14_vessels_per_cluster",
+        f"SELECT cluster_id, {_LABEL} AS cluster_label, count(*) AS vessel_count FROM clusters"
+        " GROUP BY cluster_id ORDER BY vessel_count DESC, cluster_id LIMIT 10",
+        reports.vessels_per_cluster)
+_report("a15_cluster_breakdown",
+        f"SELECT cluster_id, count(*) AS vessels, {_ANOMALIES} AS anomalies_flagged,"
+        f" {mean('sog_knots', 2)} AS avg_speed,"
+        f" {mean('distance_to_centroid', 4)} AS avg_centroid_dist FROM clusters"
+        " GROUP BY cluster_id ORDER BY cluster_id LIMIT 10", reports.cluster_breakdown)
+_report("a18_anomaly_split",
+        "SELECT CASE WHEN is_anomaly THEN 'Outlier / Anomaly (Distance > P95)'"
+        " ELSE 'Normal Navigation Profile' END AS fleet_status, count(*) AS vessel_count"
+        " FROM clusters GROUP BY is_anomaly", reports.anomaly_split)
+_report("a19_anomalies_per_cluster",
+        f"SELECT {_LABEL} AS cluster_name, count(*) AS total_fleet,"
+        f" count(*) FILTER (NOT is_anomaly) AS normal_vessels, {_ANOMALIES} AS anomalous_vessels,"
+        f" {_percent(_ANOMALIES, 'count(*)')} AS anomaly_pct FROM clusters GROUP BY cluster_id",
+        reports.anomalies_per_cluster)
+_report("a20_cluster_averages",
+        f"SELECT {_LABEL} AS cluster_name, {mean('sog_knots', 2)} AS avg_sog_knots,"
+        f" {mean('cog_degrees', 1)} AS avg_cog_degrees,"
+        f" {mean('distance_to_centroid', 4)} AS avg_distance_to_centroid"
+        " FROM clusters GROUP BY cluster_id", reports.cluster_averages)
+_report("a21_daily_trend",
+        "SELECT CAST(kpi_date AS VARCHAR) AS partition_date, count(*) AS total_active_vessels,"
+        f" {_ANOMALIES} AS anomalous_vessels, {_percent(_ANOMALIES, 'count(*)')}"
+        " AS anomaly_rate_pct FROM clusters GROUP BY kpi_date", reports.daily_trend)
+_report("a22_model_report",
+        f"SELECT cluster_id, count(*) AS vessel_count, {_ANOMALIES} AS anomaly_count,"
+        f" {mean('sog_knots', 2)} AS avg_sog, min(sog_knots) AS min_sog,"
+        f" max(sog_knots) AS max_sog, {mean('distance_to_centroid', 4)} AS avg_dist,"
+        " max(distance_to_centroid) AS max_dist, "
+        + _percent("count(*)", "sum(count(*)) OVER ()", 1)
+        + f" AS share_pct, {_percent(_ANOMALIES, 'count(*)')} AS anomaly_rate_pct"
+        " FROM clusters GROUP BY cluster_id", reports.model_report)
+_report("a23_global_report",
+        "SELECT count(*) AS total_rows, count(DISTINCT mmsi) AS unique_vessels,"
+        " count(DISTINCT kpi_date) AS date_count, CAST(min(kpi_date) AS VARCHAR) AS first_date,"
+        f" CAST(max(kpi_date) AS VARCHAR) AS last_date, {_ANOMALIES} AS anomaly_count,"
+        f" count(*) - {_ANOMALIES} AS nominal_count, {_percent(_ANOMALIES, 'count(*)')}"
+        " AS anomaly_pct FROM clusters", reports.global_report)
+_MATRIX = (
+    f" count(*) AS fleet_count, {_ANOMALIES} AS anomaly_count,"
+    f" {_percent(_ANOMALIES, 'count(*)')} AS anomaly_rate_pct,"
+    f" {mean('sog_knots', 2)} AS avg_sog_knots,"
+    f" {mean('cog_degrees', 1)} AS avg_cog_degrees,"
+    f" {mean('distance_to_centroid', 4)} AS avg_distance,"
+    " max(distance_to_centroid) AS max_distance,"
+    " count(*) FILTER (geom_wkt IS NOT NULL) AS vessels_with_geom FROM clusters"
+)
+_report("a24_cluster_matrix", f"SELECT cluster_id,{_MATRIX} GROUP BY cluster_id",
+        reports.cluster_matrix)
+_report("a24_cluster_matrix_by_day",
+        f"SELECT CAST(kpi_date AS VARCHAR) AS kpi_date, cluster_id,{_MATRIX}"
+        " GROUP BY kpi_date, cluster_id",
+        lambda df: reports.cluster_matrix(df, ("kpi_date", "cluster_id")))
+_report("a25_speed_distribution",
+        "SELECT cluster_id, count(*) AS value_count, min(sog_knots) AS min_value,"
+        " quantile_cont(sog_knots, 0.25) AS q1, quantile_cont(sog_knots, 0.5) AS median,"
+        " quantile_cont(sog_knots, 0.75) AS q3, max(sog_knots) AS max_value FROM clusters"
+        " GROUP BY cluster_id",
+        lambda df: stats.five_numbers(df, ("cluster_id",), "sog_knots"))
+_HISTOGRAM = (
+    "SELECT cluster_id, CAST(bin AS INTEGER) AS bin, "
+    f"{rounded('lo + bin * width', 6)} AS bin_start, count(*) AS value_count, "
+    + rounded("count(*) / (total * width)", 6)
+    + " AS density FROM (SELECT c.cluster_id, lo, total, (hi - lo) / 30 AS width,"
+    " least(floor((distance_to_centroid - lo) / ((hi - lo) / 30)), 29) AS bin"
+    " FROM clusters AS c JOIN (SELECT cluster_id, min(distance_to_centroid) AS lo,"
+    " max(distance_to_centroid) AS hi, count(*) AS total FROM clusters GROUP BY cluster_id) AS r"
+    " ON c.cluster_id = r.cluster_id) AS b GROUP BY cluster_id, bin, lo, width, total"
+)
+_report("a26_distance_histogram", _HISTOGRAM,
+        lambda df: stats.histogram(df, ("cluster_id",), "distance_to_centroid").withColumns({
+            "bin_start": F.round("bin_start", 6), "density": F.round("density", 6),
+        }))
+_report("l1_top_outliers",
+        "SELECT mmsi, CAST(kpi_date AS VARCHAR) AS observation_date, cluster_id,"
+        f" distance_to_centroid, sog_knots, {rounded('cog_degrees', 1)} AS cog_degrees,"
+        f" {rounded('lat', 4)} AS latitude, {rounded('lon', 4)} AS longitude, is_anomaly"
+        " FROM clusters WHERE is_anomaly"
+        " ORDER BY distance_to_centroid DESC, mmsi, kpi_date LIMIT 20", reports.top_outliers)
+_report("p29_labels",
+        f"SELECT mmsi, {_LABEL} AS cluster_label,"
+        " CASE WHEN is_anomaly THEN 'Outlier / Anomaly (Distance > P95)'"
+        " ELSE 'Normal Navigation Profile' END AS fleet_status FROM clusters",
+        reports.labelled_rows)

@@ -1,0 +1,89 @@
+"""Checks of the general reports on the order tables and documents."""
+
+from __future__ import annotations
+
+from pyspark.sql import functions as F
+
+from checks import views
+from checks.registry import query
+from wakeline.plans import basics
+from wakeline.session import shared_dir
+
+
+@query("t1_delimited_text",
+       "SELECT p_partkey, p_name, p_brand, p_size FROM part")
+def delimited_text(spark, sf_dir):
+    """Semicolon-separated text with quotes and a header, written and read as typed columns."""
+    columns = ["p_partkey", "p_name", "p_brand", "p_size"]
+    parts = views.table(spark, sf_dir, "part").select(*columns)
+    folder = shared_dir(spark, "delimited")
+    parts.write.options(header=True, sep=";", quoteAll=True).csv(folder)
+    return spark.read.schema(parts.schema).options(header=True, sep=";").csv(folder)
+
+
+@query("t2_filtered_counts",
+       "SELECT p_size, count(*) AS v FROM part WHERE p_retailprice < 1000.0 GROUP BY p_size")
+def filtered_counts(spark, sf_dir):
+    parts = views.table(spark, sf_dir, "part")
+    return basics.filtered_counts(parts, F.col("p_retailprice") < 1000.0, "p_size")
+
+
+@query("t3_word_count",
+       "SELECT word, count(*) AS occurrences FROM (SELECT unnest(regexp_split_to_array(text,"
+       " '\\s')) AS word FROM documents) AS w GROUP BY word")
+def word_count(spark, sf_dir):
+    return basics.word_counts(views.table(spark, sf_dir, "documents"), "text")
+
+
+def _shipments(spark, sf_dir):
+    """Shipments with the nation of their supplier, as one table per year."""
+    lines = views.table(spark, sf_dir, "lineitem").select(
+        "l_suppkey", F.year("l_shipdate").alias("year"), "l_shipdate"
+    )
+    suppliers = views.table(spark, sf_dir, "supplier").select("s_suppkey", "s_nationkey")
+    return lines.join(suppliers, F.col("l_suppkey") == F.col("s_suppkey"))
+
+
+_YEARS = (1995, 1996, 1997)
+_SHIPMENTS = (
+    "SELECT s_nationkey, year(l_shipdate) AS year, l_shipdate FROM lineitem JOIN supplier"
+    " ON l_suppkey = s_suppkey"
+)
+
+
+@query("t6_busiest_nation",
+       f"WITH s AS ({_SHIPMENTS}), c AS (SELECT s_nationkey, count(*) AS row_count FROM s"
+       " WHERE year IN (1995, 1996, 1997) GROUP BY s_nationkey)"
+       " SELECT n_name, row_count FROM c JOIN nation ON s_nationkey = n_nationkey"
+       " WHERE row_count = (SELECT max(row_count) FROM c)")
+def busiest_nation(spark, sf_dir):
+    shipments = _shipments(spark, sf_dir)
+    years = basics.union_all([shipments.filter(F.col("year") == y) for y in _YEARS])
+    best = basics.most_frequent(years, "s_nationkey")
+    nations = views.table(spark, sf_dir, "nation")
+    return best.join(nations, F.col("s_nationkey") == F.col("n_nationkey")).select(
+        "n_name", "row_count"
+    )
+
+
+_MONTHS = ", ".join(f"count(*) FILTER (year = {y}) AS n_{y}" for y in _YEARS)
+
+
+@query("t7_months_side_by_side",
+       f"SELECT CAST(month(l_shipdate) AS INTEGER) AS month, {_MONTHS} FROM ({_SHIPMENTS}) AS s"
+       " GROUP BY ALL")
+def months(spark, sf_dir):
+    return basics.month_table(_shipments(spark, sf_dir), "l_shipdate", _YEARS).fillna(0)
+
+
+_PER_DAY = ", ".join(
+    f"CAST(floor(n_{y} / day(last_day(make_date({y}, month, 1)))) AS BIGINT) AS per_day_{y}"
+    for y in _YEARS
+)
+
+
+@query("t7_rows_per_day",
+       f"SELECT month, {_PER_DAY} FROM (SELECT CAST(month(l_shipdate) AS INTEGER) AS month,"
+       f" {_MONTHS} FROM ({_SHIPMENTS}) AS s GROUP BY ALL) AS m")
+def rows_per_day(spark, sf_dir):
+    return basics.per_day(months(spark, sf_dir), _YEARS)

@@ -1,0 +1,119 @@
+"""Checks of the streaming job on a file-replayed topic, drained with availableNow."""
+
+from __future__ import annotations
+
+from pyspark.sql import functions as F
+
+from checks import views
+from checks.registry import oracle, query
+from wakeline.schema import REJECT_SCHEMA
+from wakeline.session import STREAMING_CONF, shared_dir
+from wakeline.sources import archive
+from wakeline.streaming.pipeline import (
+    StreamPaths,
+    default_sinks,
+    fleet_snapshot,
+    message_files,
+    run_pipeline,
+)
+from wakeline.streaming.positions import tumbling_counts
+
+# Files of a replay arrive in any order of event time, so nothing may count as late.
+_REPLAY_WATERMARK = "400 days"
+_FILES = 3
+
+
+def _replayed(spark, sf_dir) -> StreamPaths:
+    """Drain the whole topic through the three queries and their sinks."""
+    for key, value in STREAMING_CONF.items():
+        spark.conf.set(key, value)
+    base = shared_dir(spark, "stream")
+    views.messages(spark, sf_dir).repartition(_FILES, "partition", "offset").write.parquet(
+        f"{base}/topic"
+    )
+    paths = StreamPaths(base)
+    topic = message_files(spark, f"{base}/topic", max_files=2)
+    run_pipeline(topic, paths, default_sinks(spark, paths), watermark=_REPLAY_WATERMARK)
+    return paths
+
+
+@query("x2_stream_dedup_archive", oracle(
+    "SELECT MMSI, CAST(BaseDateTime AS VARCHAR) AS BaseDateTime FROM unique_rows",
+    "unique_rows"))
+def stream_archive(spark, sf_dir):
+    """Unique positions in the archive after de-duplication across micro-batches."""
+    paths = _replayed(spark, sf_dir)
+    return archive.read_archive(spark, paths.archive).select("MMSI", "BaseDateTime")
+
+
+@query("x7_stream_latest_state", oracle(
+    "SELECT mmsi, CAST(event_ts AS VARCHAR) AS event_ts FROM state", "state"))
+def stream_state(spark, sf_dir):
+    paths = _replayed(spark, sf_dir)
+    return fleet_snapshot(spark, paths.fleet_state).read().select("mmsi", "event_ts")
+
+
+@query("x8_stream_alerts", oracle(
+    "SELECT MMSI AS mmsi, CAST(BaseDateTime AS VARCHAR) AS detected_at FROM unique_rows"
+    " WHERE SOG > 20", "unique_rows"))
+def stream_alerts(spark, sf_dir):
+    paths = _replayed(spark, sf_dir)
+    return archive.read_archive(spark, paths.alerts).select("mmsi", "detected_at")
+
+
+@query("x6_stream_side_outputs", oracle(
+    "SELECT outcome, count(*) AS row_count FROM tagged"
+    " WHERE outcome NOT IN ('clean', 'header') GROUP BY outcome", "tagged"))
+def stream_side_outputs(spark, sf_dir):
+    """Rejects by reason and dead letters, duplicates of bad rows included."""
+    paths = _replayed(spark, sf_dir)
+    rejected = spark.read.schema(REJECT_SCHEMA).parquet(paths.rejects)
+    lost = spark.read.parquet(paths.dead_letters)
+    return rejected.select(F.col("reject_reason").alias("outcome")).unionAll(
+        lost.select(F.lit("dead_letter").alias("outcome"))
+    ).groupBy("outcome").agg(F.count("*").alias("row_count"))
+
+
+def _event_stream(spark, sf_dir):
+    events = views.table(spark, sf_dir, "events")
+    folder = shared_dir(spark, "events")
+    events.select(
+        F.col("ts").cast("timestamp").alias("rowtime"), F.col("event_type").alias("url")
+    ).repartition(2, "rowtime").write.parquet(folder)
+    return spark.readStream.schema("rowtime TIMESTAMP, url STRING").option(
+        "maxFilesPerTrigger", 1
+    ).parquet(folder)
+
+
+def _drain(spark, df, mode: str, name: str):
+    stream = (
+        df.writeStream.format("memory").queryName(name).outputMode(mode)
+        .option("checkpointLocation", shared_dir(spark, "checkpoint"))
+        .trigger(availableNow=True).start()
+    )
+    stream.awaitTermination()
+    return spark.table(name)
+
+
+@query("t4_running_totals",
+       "SELECT event_type AS url, count(*) AS pv, CAST(max(ts) AS VARCHAR) AS last_time"
+       " FROM events GROUP BY event_type")
+def running_totals(spark, sf_dir):
+    """Running count and newest time per key of a stream, after its last micro-batch."""
+    totals = _event_stream(spark, sf_dir).groupBy("url").agg(
+        F.count("*").alias("pv"), F.max("rowtime").alias("last_time")
+    )
+    return _drain(spark, totals, "complete", "wakeline_running_totals")
+
+
+@query("t5_tumbling_counts",
+       "SELECT CAST(to_timestamp(CAST(floor(epoch(ts) / 5) AS BIGINT) * 5)"
+       " AT TIME ZONE 'UTC' AS VARCHAR) AS start_time, event_type AS url, count(*) AS pv"
+       " FROM events GROUP BY ALL")
+def tumbling(spark, sf_dir):
+    events = views.table(spark, sf_dir, "events").select(
+        F.col("ts").cast("timestamp").alias("rowtime"), F.col("event_type").alias("url")
+    )
+    return tumbling_counts(events, "rowtime", "url", 5)
+
+

@@ -7,7 +7,6 @@ from itertools import chain
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
-from wakeline.functions.text import blank_to_null
 from wakeline.schema import (
     CATEGORY_FIELDS,
     COG_UNAVAILABLE,
@@ -42,12 +41,13 @@ def known_imo(column: Column) -> Column:
 
 def category_defaults() -> dict[str, Column]:
     """UNKNOWN for missing category texts and for the placeholder IMO number."""
-    filled = {
-        name: F.when(blank_to_null(F.col(name)).isNull(), F.lit(UNKNOWN)).otherwise(F.col(name))
-        for name in CATEGORY_FIELDS
-    }
-    imo = filled["IMO"]
-    filled["IMO"] = F.when(imo == IMO_UNAVAILABLE, F.lit(UNKNOWN)).otherwise(imo)
+    filled = {}
+    for name in CATEGORY_FIELDS:
+        value = F.col(name)
+        known = F.trim(value) != ""
+        if name == "IMO":
+            known = known & (value != IMO_UNAVAILABLE)
+        filled[name] = F.when(known, value).otherwise(F.lit(UNKNOWN))
     return filled
 
 

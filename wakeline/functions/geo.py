@@ -60,8 +60,9 @@ def grid_value(rank: Column, step: float) -> Column:
 
 def point_wkt(lon: Column, lat: Column) -> Column:
     """POINT text, NULL when a coordinate is missing."""
-    text = F.concat(F.lit("POINT("), lon.cast("string"), F.lit(" "), lat.cast("string"), F.lit(")"))
-    return text
+    return F.concat(
+        F.lit("POINT("), lon.cast("string"), F.lit(" "), lat.cast("string"), F.lit(")")
+    )
 
 
 def wkt_point_lon(wkt: Column) -> Column:
@@ -70,16 +71,3 @@ def wkt_point_lon(wkt: Column) -> Column:
 
 def wkt_point_lat(wkt: Column) -> Column:
     return F.regexp_extract(wkt, r"POINT\s*\(\s*(\S+)\s+(\S+?)\s*\)", 2).try_cast("double")
-
-
-def wkt_bounds(wkt: Column) -> Column:
-    """Struct of min_lon, max_lon, min_lat, max_lat over all corners of a polygon text."""
-    corner = r"(-?[0-9.]+)\s+(-?[0-9.]+)"
-    lons = F.transform(F.regexp_extract_all(wkt, F.lit(corner), 1), lambda v: v.cast("double"))
-    lats = F.transform(F.regexp_extract_all(wkt, F.lit(corner), 2), lambda v: v.cast("double"))
-    return F.struct(
-        F.array_min(lons).alias("min_lon"),
-        F.array_max(lons).alias("max_lon"),
-        F.array_min(lats).alias("min_lat"),
-        F.array_max(lats).alias("max_lat"),
-    )

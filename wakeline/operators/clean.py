@@ -17,6 +17,7 @@ from wakeline.schema import (
 )
 
 OUTCOME = "outcome"
+TYPED = "typed_"
 CLEAN = "clean"
 DEAD_LETTER = "dead_letter"
 HEADER = "header"
@@ -52,13 +53,15 @@ def typed_fields() -> dict[str, Column]:
 
 
 def tag_positions(parsed: DataFrame) -> DataFrame:
-    """Add the typed fields as struct `typed` and the row's `outcome`; no row is lost."""
-    typed = typed_fields()
-    staged = parsed.withColumn(
-        "typed", F.struct(*(value.alias(name) for name, value in typed.items()))
-    )
+    """Add the typed fields (prefix typed_) and the row's `outcome`; no row is lost.
+
+    The typed fields are generated columns: filters on the outcome then compare finished values
+    instead of repeating the casts, and the optimizer does not multiply them out.
+    """
+    typed = F.struct(*(value.alias(f"{TYPED}{n}") for n, value in typed_fields().items()))
+    staged = parsed.select("*", F.inline(F.array(typed)))
     mmsi = F.trim(F.col("MMSI"))
-    lat, lon = F.col("typed.LAT"), F.col("typed.LON")
+    lat, lon = F.col(f"{TYPED}LAT"), F.col(f"{TYPED}LON")
     has_corrupt = CORRUPT in parsed.columns
     outcome = F.when(F.col(CORRUPT).isNotNull() if has_corrupt else F.lit(False),
                      F.lit(DEAD_LETTER))
@@ -67,7 +70,7 @@ def tag_positions(parsed: DataFrame) -> DataFrame:
         .when(F.col("MMSI") == "MMSI", F.lit(HEADER))
         .when(mmsi.isNull(), F.lit("mmsi_missing"))
         .when(~ais.is_mmsi(mmsi), F.lit("mmsi_invalid"))
-        .when(F.col("typed.BaseDateTime").isNull(), F.lit("timestamp_invalid"))
+        .when(F.col(f"{TYPED}BaseDateTime").isNull(), F.lit("timestamp_invalid"))
         .when(geo.valid_position(lat, lon), F.lit(CLEAN))
         .when(lat.between(-90.0, 90.0) | lat.isNull(),
               F.when(lon.between(-180.0, 180.0) | lon.isNull(), F.lit("position_missing"))
@@ -96,7 +99,7 @@ def rejects(tagged: DataFrame) -> DataFrame:
     by_identity = F.col(OUTCOME).startswith("mmsi")
     shown = [
         F.when(by_identity, F.trim(F.col(name)) if name == "MMSI" else F.col(name))
-        .otherwise(F.col(f"typed.{name}").cast("string")).alias(name)
+        .otherwise(F.col(f"{TYPED}{name}").cast("string")).alias(name)
         for name in RAW_FIELDS
     ]
     return tagged.filter(F.col(OUTCOME).isin(*REJECTS)).select(
@@ -125,7 +128,9 @@ def add_time_parts(df: DataFrame, round_speed: bool = False) -> DataFrame:
 
 def accepted(tagged: DataFrame) -> DataFrame:
     """Rows that passed every rule: typed, sentinels removed, categories filled."""
-    kept = tagged.filter(F.col(OUTCOME) == CLEAN).select(*_metadata(tagged), "typed.*")
+    kept = tagged.filter(F.col(OUTCOME) == CLEAN).select(
+        *_metadata(tagged), *(F.col(f"{TYPED}{n}").alias(n) for n in RAW_FIELDS)
+    )
     return fill_categories(null_sentinels(kept))
 
 

@@ -8,6 +8,8 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 from dataclasses import dataclass
+from functools import reduce
+from operator import add
 
 from pyspark.ml.clustering import KMeans, KMeansModel
 from pyspark.ml.feature import StandardScaler, StandardScalerModel, VectorAssembler
@@ -88,29 +90,23 @@ def scaled_columns(model: BehaviourModel,
 def assign_clusters(features: DataFrame, model: BehaviourModel) -> DataFrame:
     """Nearest centroid (lowest number on ties) and Euclidean distance to it in scaled space."""
     scaled_names = [f"_s{i}" for i in range(len(FEATURES))]
-    staged = features.withColumns(dict(zip(scaled_names, scaled_columns(model))))
 
     def squared(center: Sequence[float]) -> Column:
-        terms = [(F.col(n) - F.lit(c)) * (F.col(n) - F.lit(c))
-                 for n, c in zip(scaled_names, center)]
-        total = terms[0]
-        for term in terms[1:]:
-            total = total + term
-        return total
-
-    distance_names = [f"_d{i}" for i in range(len(model.centers))]
-    staged = staged.withColumns(
-        {name: squared(center) for name, center in zip(distance_names, model.centers)}
+        return reduce(add, (
+            (F.col(n) - F.lit(c)) * (F.col(n) - F.lit(c)) for n, c in zip(scaled_names, center)
+        ))
+
+    nearest = F.array_min(F.array(*(
+        F.struct(squared(center).alias("_squared"), F.lit(number).alias("cluster_id"))
+        for number, center in enumerate(model.centers)
+    )))
+    # Generated columns keep filters on cluster_id (a join adds one) from repeating the sums.
+    return (
+        features.withColumns(dict(zip(scaled_names, scaled_columns(model))))
+        .select(*features.columns, F.inline(F.array(nearest)))
+        .withColumn("distance_to_centroid", F.sqrt("_squared"))
+        .drop("_squared")
     )
-    nearest = F.least(*distance_names) if len(distance_names) > 1 else F.col(distance_names[0])
-    staged = staged.withColumn("_nearest", nearest)
-    cluster = F.when(F.col(distance_names[0]) == F.col("_nearest"), F.lit(0))
-    for number, name in enumerate(distance_names[1:], start=1):
-        cluster = cluster.when(F.col(name) == F.col("_nearest"), F.lit(number))
-    return staged.withColumns({
-        "cluster_id": cluster,
-        "distance_to_centroid": F.sqrt(F.col("_nearest")),
-    }).drop(*scaled_names, *distance_names, "_nearest")
 
 
 def flag_outliers(assigned: DataFrame, groups: Sequence[str] = ("cluster_id",),

@@ -89,37 +89,6 @@ def ports_in_range(
     )
 
 
-def positions_in_zones(
-    positions: DataFrame,
-    zones: DataFrame,
-    cell_deg: float = CELL_DEG,
-    spread_by: Sequence[str] = ("MMSI", "BaseDateTime"),
-    max_broadcast_rows: int = BROADCAST_ROWS,
-    salts: int = SALTS,
-) -> DataFrame:
-    """Every position paired with each rectangular zone it lies in, borders included."""
-    bounded = zones.withColumn("_box", geo.wkt_bounds(F.col("geom_wkt"))).select(
-        *zones.columns, "_box.*"
-    )
-    listed = (
-        bounded
-        .withColumn("_lat_cell",
-                    F.explode(_span(F.col("min_lat"), F.col("max_lat"), cell_deg)))
-        .withColumn("_lon_cell",
-                    F.explode(_lon_span(F.col("min_lon"), F.col("max_lon"), cell_deg)))
-    )
-    met = dimension_join(
-        _with_position_cells(positions, cell_deg), listed, ("_lat_cell", "_lon_cell"),
-        spread_by, "inner", max_broadcast_rows, salts,
-    )
-    inside = F.col("LAT").between(F.col("min_lat"), F.col("max_lat")) & F.col("LON").between(
-        F.col("min_lon"), F.col("max_lon")
-    )
-    return met.filter(inside).drop(
-        "_lat_cell", "_lon_cell", "min_lat", "max_lat", "min_lon", "max_lon"
-    )
-
-
 def link_zones_to_ports(zones: DataFrame, ports: DataFrame) -> DataFrame:
     """Fill port_ref_id of zones from the port that bears the same name."""
     named = ports.select(F.col("port_name"), F.col("port_id").alias("_port_id"))

@@ -21,10 +21,19 @@ def _percent(part: Column, whole: Column, digits: int = 2) -> Column:
     return F.round(part * 100.0 / whole, digits)
 
 
+def _mean(name: str, digits: int) -> Column:
+    """Mean of stored (already rounded) figures, summed as decimals: exact in any order."""
+    return F.round(F.avg(F.col(name).cast("decimal(18,6)")), digits).cast("double")
+
+
 def _cluster_label() -> Column:
     return F.concat(F.lit("Cluster "), F.col("cluster_id").cast("string"))
 
 
+def _fleet_status() -> Column:
+    return F.when(F.col("is_anomaly"), F.lit(ANOMALY_LABEL)).otherwise(F.lit(NORMAL_LABEL))
+
+
 def _anomalies() -> Column:
     return F.count_if(F.col("is_anomaly"))
 
@@ -79,7 +88,7 @@ def dwell_by_port(visits: DataFrame, limit: int = 20) -> DataFrame:
     return (
         visits.groupBy("port_id")
         .agg(
-            F.round(F.avg("dwell_minutes"), 1).alias("avg_dwell_minutes"),
+            _mean("dwell_minutes", 1).alias("avg_dwell_minutes"),
             F.count("*").alias("dwell_events"),
         )
         .orderBy(F.col("avg_dwell_minutes").desc(), "port_id").limit(limit)
@@ -91,7 +100,7 @@ def dwell_by_port_and_day(visits: DataFrame) -> DataFrame:
         visits.groupBy("kpi_date", "port_id")
         .agg(
             F.count("*").alias("completed_dwell_events"),
-            F.round(F.avg("dwell_minutes"), 1).alias("avg_dwell_mins"),
+            _mean("dwell_minutes", 1).alias("avg_dwell_mins"),
         )
         .orderBy("kpi_date", F.col("completed_dwell_events").desc(), "port_id")
     )
@@ -103,7 +112,7 @@ def speed_by_type(kpis: DataFrame, limit: int = 50) -> DataFrame:
         kpis.groupBy("vessel_type")
         .agg(
             F.sum("ping_count").alias("total_pings"),
-            F.round(F.avg("avg_sog"), 2).alias("avg_speed"),
+            _mean("avg_sog", 2).alias("avg_speed"),
             F.max("max_sog").alias("max_speed"),
         )
         .orderBy(F.col("total_pings").desc(), "vessel_type").limit(limit)
@@ -131,13 +140,19 @@ def cluster_summary(clusters: DataFrame) -> DataFrame:
         .agg(
             F.count("*").alias("total_vessels"),
             _anomalies().alias("anomalies"),
-            F.round(F.avg("sog_knots"), 2).alias("avg_sog"),
-            F.round(F.avg("distance_to_centroid"), 4).alias("avg_dist"),
+            _mean("sog_knots", 2).alias("avg_sog"),
+            _mean("distance_to_centroid", 4).alias("avg_dist"),
         )
         .orderBy("cluster_id")
     )
 
 
+def labelled_rows(clusters: DataFrame) -> DataFrame:
+    return clusters.select(
+        "mmsi", _cluster_label().alias("cluster_label"), _fleet_status().alias("fleet_status")
+    )
+
+
 def flagged_anomalies(clusters: DataFrame) -> DataFrame:
     return clusters.agg(_anomalies().alias("flagged_anomalies"))
 
@@ -156,19 +171,18 @@ def cluster_breakdown(clusters: DataFrame, limit: int = 10) -> DataFrame:
         .agg(
             F.count("*").alias("vessels"),
             _anomalies().alias("anomalies_flagged"),
-            F.round(F.avg("sog_knots"), 2).alias("avg_speed"),
-            F.round(F.avg("distance_to_centroid"), 4).alias("avg_centroid_dist"),
+            _mean("sog_knots", 2).alias("avg_speed"),
+            _mean("distance_to_centroid", 4).alias("avg_centroid_dist"),
         )
         .orderBy("cluster_id").limit(limit)
     )
 
 
 def anomaly_split(clusters: DataFrame) -> DataFrame:
-    status = F.when(F.col("is_anomaly"), F.lit(ANOMALY_LABEL)).otherwise(F.lit(NORMAL_LABEL))
     return (
         clusters.groupBy("is_anomaly").agg(F.count("*").alias("vessel_count"))
         .orderBy(F.col("is_anomaly").desc())
-        .select(status.alias("fleet_status"), "vessel_count")
+        .select(_fleet_status().alias("fleet_status"), "vessel_count")
     )
 
 
@@ -193,9 +207,9 @@ def cluster_averages(clusters: DataFrame) -> DataFrame:
     return (
         clusters.groupBy("cluster_id")
         .agg(
-            F.round(F.avg("sog_knots"), 2).alias("avg_sog_knots"),
-            F.round(F.avg("cog_degrees"), 1).alias("avg_cog_degrees"),
-            F.round(F.avg("distance_to_centroid"), 4).alias("avg_distance_to_centroid"),
+            _mean("sog_knots", 2).alias("avg_sog_knots"),
+            _mean("cog_degrees", 1).alias("avg_cog_degrees"),
+            _mean("distance_to_centroid", 4).alias("avg_distance_to_centroid"),
         )
         .orderBy("cluster_id")
         .select(
@@ -241,10 +255,10 @@ def model_report(clusters: DataFrame) -> DataFrame:
     figures = clusters.groupBy("cluster_id").agg(
         F.count("*").alias("vessel_count"),
         _anomalies().alias("anomaly_count"),
-        F.round(F.avg("sog_knots"), 2).alias("avg_sog"),
+        _mean("sog_knots", 2).alias("avg_sog"),
         F.round(F.min("sog_knots"), 2).alias("min_sog"),
         F.round(F.max("sog_knots"), 2).alias("max_sog"),
-        F.round(F.avg("distance_to_centroid"), 4).alias("avg_dist"),
+        _mean("distance_to_centroid", 4).alias("avg_dist"),
         F.round(F.max("distance_to_centroid"), 4).alias("max_dist"),
     )
     # The window spans the handful of cluster rows left by the aggregation.
@@ -276,9 +290,9 @@ def cluster_matrix(clusters: DataFrame, groups: Sequence[str] = ("cluster_id",))
         .agg(
             F.count("*").alias("fleet_count"),
             _anomalies().alias("anomaly_count"),
-            F.round(F.avg("sog_knots"), 2).alias("avg_sog_knots"),
-            F.round(F.avg("cog_degrees"), 1).alias("avg_cog_degrees"),
-            F.round(F.avg("distance_to_centroid"), 4).alias("avg_distance"),
+            _mean("sog_knots", 2).alias("avg_sog_knots"),
+            _mean("cog_degrees", 1).alias("avg_cog_degrees"),
+            _mean("distance_to_centroid", 4).alias("avg_distance"),
             F.round(F.max("distance_to_centroid"), 4).alias("max_distance"),
             F.count_if(F.col("geom_wkt").isNotNull()).alias("vessels_with_geom"),
         )

@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from wakeline.schema import CORRUPT, MAX_OFFSETS_PER_TRIGGER, PARSE_SCHEMA, RAW_FIELDS
+from wakeline.schema import CORRUPT, MAX_OFFSETS_PER_TRIGGER, PARSE_SCHEMA
 
 
 def topic_options(servers: str, topic: str, streaming: bool,
@@ -54,8 +54,6 @@ def parse_messages(messages: DataFrame, with_metadata: bool = True) -> DataFrame
         F.col("offset").alias("kafka_offset"),
         F.col("timestamp").alias("kafka_timestamp"),
     ]
-    # The parsed struct is a column of its own first, so that the text is decoded once per row.
-    return messages.select(*(metadata if with_metadata else []), body.alias("body")).select(
-        *(c for c in ("kafka_partition", "kafka_offset", "kafka_timestamp") if with_metadata),
-        *(F.col(f"body.{name}").alias(name) for name in (*RAW_FIELDS, CORRUPT)),
-    )
+    # Generated columns, not a projected struct: filters on the fields then stay above the parser
+    # and the text is decoded once per row.
+    return messages.select(*(metadata if with_metadata else []), F.inline(F.array(body)))

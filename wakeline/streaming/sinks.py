@@ -9,14 +9,9 @@ from dataclasses import dataclass
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from wakeline.operators.dedup import drop_duplicates
 from wakeline.operators.latest import latest_by_key
 from wakeline.plans.kpi import alert_messages, speed_alerts
-from wakeline.schema import (
-    ALERT_THRESHOLD_KNOTS,
-    MAX_RECORDS_PER_FILE,
-    TABLE_KEYS,
-)
+from wakeline.schema import ALERT_THRESHOLD_KNOTS, MAX_RECORDS_PER_FILE
 from wakeline.sources import archive
 from wakeline.sources.tables import KeyedSnapshot
 
@@ -63,9 +58,10 @@ class AlertSink:
     publish: Callable[[DataFrame], None] | None = None
 
     def __call__(self, batch: DataFrame, batch_id: int) -> None:
-        alerts = drop_duplicates(
-            speed_alerts(batch, self.threshold), TABLE_KEYS["vessel_speed_alerts"]
-        ).withColumn("alert_date", F.to_date("detected_at"))
+        # The clean branch is unique by vessel and time, which is the key of an alert.
+        alerts = speed_alerts(batch, self.threshold).withColumn(
+            "alert_date", F.to_date("detected_at")
+        )
         archive.write_batch(alerts, self.path, batch_id, "alert_date")
         if self.publish is not None:
             self.publish(alert_messages(batch, self.threshold))
@@ -83,17 +79,6 @@ class ArchiveSink:
         archive.write_marker(batch.sparkSession, self.path, batch_id)
 
 
-@dataclass
-class TopicSink:
-    """Publishes the speed alerts of a batch through any writer of key/value rows."""
-
-    write: Callable[[DataFrame], None]
-    threshold: float = ALERT_THRESHOLD_KNOTS
-
-    def __call__(self, batch: DataFrame, batch_id: int) -> None:
-        self.write(alert_messages(batch, self.threshold))
-
-
 def fan_out(sinks: Sequence[BatchSink]) -> BatchSink:
     """One handler that feeds a batch to all sinks; the batch is computed once.
 
