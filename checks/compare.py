@@ -13,6 +13,8 @@ from collections import Counter
 import duckdb
 from pyspark.sql import SparkSession
 
+from wakeline.session import STATIC_CONF
+
 TABLES = (
     "region nation customer supplier part orders lineitem events documents embeddings pages"
     " benchmark labels conversations"
@@ -20,8 +22,11 @@ TABLES = (
 
 
 def local_session() -> SparkSession:
+    builder = SparkSession.builder
+    for key, value in STATIC_CONF.items():
+        builder = builder.config(key, value)
     return (
-        SparkSession.builder.master(f"local[{os.environ.get('BENCH_CPUS', '8')}]")
+        builder.master(f"local[{os.environ.get('BENCH_CPUS', '8')}]")
         .appName("wakeline-checks")
         .config("spark.sql.shuffle.partitions", "8")
         .config("spark.driver.memory", "12g")

@@ -98,40 +98,53 @@ RAW_SQL = _select_sql(
 )
 
 
-def _typed_sql(name: str) -> str:
-    if name == "MMSI":
-        return "CAST(MMSI AS BIGINT) AS MMSI"
-    if name == "BaseDateTime":
-        return "CAST(replace(BaseDateTime, 'T', ' ') AS TIMESTAMP) AS BaseDateTime"
-    blank = f"nullif(trim({name}), '')"
-    if name in ("LAT", "LON", "SOG", "COG", "Heading", "Length", "Width", "Draft"):
-        return f"CAST({blank} AS DOUBLE) AS {name}"
-    if name in ("VesselType", "Cargo"):
-        return f"CAST(CAST({blank} AS DOUBLE) AS INT) AS {name}"
-    if name == "Status":
-        return "CAST(nullif(Status, 'x') AS INT) AS Status"
-    return f"{blank} AS {name}"
-
-
-POSITIONS_SQL = (
-    f"SELECT {', '.join(_typed_sql(name) for name in RAW_FIELDS)},"
-    " CAST(replace(BaseDateTime, 'T', ' ') AS TIMESTAMP) AS seen_at FROM ("
-    + _select_sql(_fields_sql(), "", False)
-    + ") AS plain"
-)
-POSITIONS_SQL = (
-    f"SELECT {', '.join(RAW_FIELDS)}, CAST(seen_at AS DATE) AS date FROM ({POSITIONS_SQL}) AS v"
-)
+def _typed_sql() -> dict[str, str]:
+    """The same readings as typed values, straight from the event columns."""
+    return {
+        "MMSI": "CAST(366000000 + u AS BIGINT)",
+        "BaseDateTime": "CAST(date_trunc('second', ts) AS TIMESTAMP)",
+        "LAT": "CAST(lat_milli + (e * 37) % 101 - 50 AS DOUBLE) / 1000",
+        "LON": "CAST(lon_milli + (e * 53) % 101 - 50 AS DOUBLE) / 1000",
+        "SOG": "CAST(floor(v * 4) AS DOUBLE) / 4",
+        "COG": "CAST((e * 7) % 400 AS DOUBLE)",
+        "Heading": "CAST(CASE WHEN e % 10 = 0 THEN 511 ELSE (e * 7) % 360 END AS DOUBLE)",
+        "VesselName": "CASE WHEN e % 13 <> 0 THEN concat('VESSEL ', CAST(u AS STRING)) END",
+        "IMO": "CASE WHEN e % 17 = 0 THEN 'IMO0000000' WHEN e % 19 <> 0"
+               " THEN concat('IMO', CAST(9000000 + u AS STRING)) END",
+        "CallSign": "CASE WHEN e % 23 <> 0 THEN concat('WX', CAST(u AS STRING)) END",
+        "VesselType": "CAST(CASE WHEN e % 50 = 0 THEN 99 WHEN t = 'click' THEN 70"
+                      " WHEN t = 'view' THEN 30 WHEN t = 'purchase' THEN 80"
+                      " WHEN t = 'signup' THEN 36 END AS INT)",
+        "Status": "CAST(CASE WHEN e % 29 <> 0 THEN e % 16 END AS INT)",
+        "Length": "CAST(CASE WHEN e % 11 <> 0 THEN 20 + u % 300 END AS DOUBLE)",
+        "Width": "CAST(5 + u % 40 AS DOUBLE)",
+        "Draft": "CAST(CASE WHEN e % 3 = 0 THEN u % 15 END AS DOUBLE)",
+        "Cargo": "CAST(CASE WHEN e % 2 = 0 THEN 70 + u % 10 END AS INT)",
+        "TransceiverClass": "CASE WHEN e % 31 = 0 THEN NULL WHEN u % 2 = 0 THEN 'A' ELSE 'B' END",
+    }
+
+
+POSITIONS_SQL = _select_sql(_typed_sql(), "CAST(ts AS DATE) AS date, ", False)
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return configure(spark).read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+def _events(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The events, spread over all cores when they come as one small file."""
+    events = table(spark, sf_dir, "events")
+    cores = spark.sparkContext.defaultParallelism
+    # On a cluster the table has many files and is read as it is.
+    if len(events.inputFiles()) < cores:
+        return events.repartition(cores, "event_id")
+    return events
+
+
 def raw(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Raw text rows with message metadata and a flag for those to be sent broken."""
     return spark.sql(
-        RAW_SQL.replace("FROM events", "FROM {events}"), events=table(spark, sf_dir, "events")
+        RAW_SQL.replace("FROM events", "FROM {events}"), events=_events(spark, sf_dir)
     )
 
 
@@ -157,8 +170,7 @@ def keyed(spark: SparkSession, sf_dir: str) -> DataFrame:
 def positions(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Typed positions, readings beyond the sentinels included, no faulty rows."""
     return spark.sql(
-        POSITIONS_SQL.replace("FROM events", "FROM {events}"),
-        events=table(spark, sf_dir, "events"),
+        POSITIONS_SQL.replace("FROM events", "FROM {events}"), events=_events(spark, sf_dir)
     )
 
 

@@ -16,6 +16,10 @@ RUNTIME_CONF = {
     "spark.sql.adaptive.optimizeSkewsInRebalancePartitions.enabled": "true",
 }
 
+# Start-time settings. Recording the Python call site of every column expression costs more than
+# building the plans themselves.
+STATIC_CONF = {"spark.python.sql.dataFrameDebugging.enabled": "false"}
+
 # State lives off-heap and is uploaded as change logs, so it may outgrow executor memory.
 STREAMING_CONF = {
     "spark.sql.streaming.stateStore.providerClass":
@@ -33,7 +37,10 @@ def configure(spark: SparkSession, streaming: bool = False) -> SparkSession:
 
 def build_session(app_name: str, streaming: bool = False) -> SparkSession:
     """Start (or reuse) a session; master, memory and parallelism come from spark-submit."""
-    return configure(SparkSession.builder.appName(app_name).getOrCreate(), streaming)
+    builder = SparkSession.builder.appName(app_name)
+    for key, value in STATIC_CONF.items():
+        builder = builder.config(key, value)
+    return configure(builder.getOrCreate(), streaming)
 
 
 def shared_dir(spark: SparkSession, purpose: str) -> str:
