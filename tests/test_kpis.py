@@ -7,6 +7,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from tests.helpers import positions, rows
+from wakeline.functions import geo
 from wakeline.operators import sessions
 from wakeline.operators.spatial import link_zones_to_ports, ports_in_range
 from wakeline.plans import kpi
@@ -184,6 +185,19 @@ def test_grid_cell(spark):
     assert (found["grid_lat"], found["grid_lon"], found["ping_count"]) == (29.8, -95.15, 1)
 
 
+def test_grid_rank_equals_round(spark):
+    edges = [0.5, -0.5, 0.49999999999999994, -0.49999999999999994, 1.5, 2.5, -2.5, 0.0, -0.0,
+             595.4999999999999, 595.5, 1.4999999999999998]
+    rng = random.Random(1)
+    values = edges + [rng.uniform(-180, 180) for _ in range(5000)] + [
+        rng.randrange(-7200, 7200) * 0.025 for _ in range(2000)]
+    df = spark.createDataFrame([(v,) for v in values], "v DOUBLE")
+    for step in (0.05, 1.0, 0.1):
+        wrong = df.filter(
+            geo.grid_rank(F.col("v"), step) != F.round(F.col("v") / step).cast("int"))
+        assert wrong.count() == 0
+
+
 def test_alert_threshold_is_exclusive(spark):
     pings = [(1, "2024-12-25 10:00:00", 0.0, 0.0, sog) for sog in (20.0, 20.01, None)]
     found = kpi.speed_alerts(positions(spark, pings)).collect()

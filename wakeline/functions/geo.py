@@ -49,9 +49,18 @@ def lon_cells(cell_deg: float) -> int:
     return int(-(-360.0 // cell_deg))
 
 
+# The largest double below one half: adding it and rounding down sends every half up and no
+# smaller value, which adding 0.5 itself would not.
+_BELOW_HALF = 0.49999999999999994
+
+
 def grid_rank(degrees: Column, step: float) -> Column:
-    """Index of the nearest multiple of step, halves away from zero."""
-    return F.round(degrees / step).cast("int")
+    """Index of the nearest multiple of step, halves away from zero.
+
+    Equal to round(degrees / step), without a decimal object per value.
+    """
+    ratio = degrees / step
+    return (F.signum(ratio) * F.floor(F.abs(ratio) + _BELOW_HALF)).cast("int")
 
 
 def grid_value(rank: Column, step: float) -> Column:

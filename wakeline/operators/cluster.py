@@ -17,9 +17,11 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from wakeline.functions import ais
+from wakeline.operators.joins import dimension_join
 from wakeline.operators.latest import latest_by_key
 from wakeline.operators.stats import percentile_threshold
 from wakeline.schema import ANOMALY_PERCENTILE, CLUSTER_COUNT, CLUSTER_SEED
+from wakeline.session import materialize
 
 FEATURES = ("sog_knots", "cog_sin", "cog_cos", "lat", "lon")
 
@@ -113,13 +115,15 @@ def flag_outliers(assigned: DataFrame, groups: Sequence[str] = ("cluster_id",),
                   percent: float = ANOMALY_PERCENTILE) -> DataFrame:
     """Mark rows farther from the centroid than their group's percentile.
 
-    The thresholds are one row per group; adaptive execution broadcasts them by measured size.
+    The thresholds, one row per group, are written first: their size is then known, and the
+    positions need no shuffle for the join. Many groups fall back to a salted join.
     """
-    thresholds = percentile_threshold(assigned, groups, "distance_to_centroid", percent)
-    beyond = F.col("distance_to_centroid") > F.col("threshold_distance")
-    return assigned.join(thresholds, list(groups), "left").withColumn(
-        "is_anomaly", F.coalesce(beyond, F.lit(False))
+    thresholds = materialize(
+        percentile_threshold(assigned, groups, "distance_to_centroid", percent), "thresholds"
     )
+    joined = dimension_join(assigned, thresholds, groups, ("distance_to_centroid",), "left")
+    beyond = F.col("distance_to_centroid") > F.col("threshold_distance")
+    return joined.withColumn("is_anomaly", F.coalesce(beyond, F.lit(False)))
 
 
 def latest_per_vessel(flagged: DataFrame, keys: Sequence[str] = ("mmsi",)) -> DataFrame:

@@ -51,11 +51,15 @@ def daily_kpis(spark: SparkSession, archive_path: str, results: str, ports: Data
         return False
     both_days = archive.read_day_with_previous(spark, archive_path, day)
     tables.upsert_result(
-        kpi.port_dwell_times(both_days, ports, day, port_radius_nm), results, "port_dwell_times"
+        kpi.port_dwell_times(both_days, ports, day, port_radius_nm), results, "port_dwell_times",
+        [day],
     )
-    tables.upsert_result(kpi.fleet_daily_kpis(positions, day), results, "fleet_daily_kpis")
     tables.upsert_result(
-        kpi.route_density_grid(positions, day, grid_cell_deg), results, "route_density_grid"
+        kpi.fleet_daily_kpis(positions, day), results, "fleet_daily_kpis", [day]
+    )
+    tables.upsert_result(
+        kpi.route_density_grid(positions, day, grid_cell_deg), results, "route_density_grid",
+        [day],
     )
     alerts = kpi.speed_alerts(positions, alert_threshold).withColumn(
         "alert_date", F.to_date("detected_at")

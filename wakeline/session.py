@@ -5,7 +5,7 @@ from __future__ import annotations
 import tempfile
 import uuid
 
-from pyspark.sql import SparkSession
+from pyspark.sql import DataFrame, SparkSession
 
 # Runtime settings every job relies on. Partition counts and memory stay with the cluster.
 RUNTIME_CONF = {
@@ -56,3 +56,13 @@ def shared_dir(spark: SparkSession, purpose: str) -> str:
         parent = tempfile.mkdtemp(prefix="wakeline-")
         spark.conf.set("spark.checkpoint.dir", parent)
     return f"{parent.rstrip('/')}/wakeline-{purpose}-{uuid.uuid4().hex}"
+
+
+def materialize(df: DataFrame, purpose: str) -> DataFrame:
+    """Write an intermediate to the shared folder and read it back: computed once, plan cut.
+
+    The files outlive any executor. Meant for results much smaller than their input.
+    """
+    path = shared_dir(df.sparkSession, purpose)
+    df.write.parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)

@@ -11,6 +11,7 @@ from pyspark.sql.types import StructType
 from wakeline.functions.geo import point_wkt
 from wakeline.operators import latest
 from wakeline.schema import TABLE_KEYS
+from wakeline.session import materialize
 from wakeline.sources import files
 
 
@@ -28,35 +29,46 @@ def _write_days(df: DataFrame, path: str, date_col: str) -> None:
 
 
 def upsert_table(updates: DataFrame, path: str, keys: Sequence[str],
-                 update_cols: Sequence[str] | None = None, date_col: str = "kpi_date") -> None:
+                 update_cols: Sequence[str] | None = None, date_col: str = "kpi_date",
+                 days: Sequence[str] | None = None) -> None:
     """Upsert into a table kept in one folder per day.
 
-    Only the days that occur in the updates are read and rewritten. The staged write replaces
-    a day's folder when the whole job has succeeded.
+    Only the days of the updates are read and rewritten. A caller that knows them names them;
+    otherwise the updates are written down first, so that finding the days does not compute the
+    updates a second time. The staged write replaces a day's folder when the job has succeeded.
     """
     spark = updates.sparkSession
     if not files.has_files(spark, path, ".parquet"):
         _write_days(latest.upsert(updates.limit(0), updates, keys, update_cols), path, date_col)
         return
     existing = read_table(spark, path, updates.schema)
-    touched = updates.select(date_col).distinct()
-    same_days = existing.join(touched, date_col, "left_semi")
+    if days is None:
+        updates = materialize(updates, "updates")
+        same_days = existing.join(updates.select(date_col).distinct(), date_col, "left_semi")
+    else:
+        wanted = [F.to_date(F.lit(day)) for day in days]
+        updates = updates.filter(F.col(date_col).isin(*wanted))
+        same_days = existing.filter(F.col(date_col).isin(*wanted))
     _write_days(latest.upsert(same_days, updates, keys, update_cols), path, date_col)
 
 
-def upsert_result(updates: DataFrame, base: str, table: str) -> None:
+def upsert_result(updates: DataFrame, base: str, table: str,
+                  days: Sequence[str] | None = None) -> None:
     """Upsert a result table by its business key; all other columns are overwritten."""
-    upsert_table(updates, f"{base.rstrip('/')}/{table}", TABLE_KEYS[table])
+    upsert_table(updates, f"{base.rstrip('/')}/{table}", TABLE_KEYS[table], days=days)
 
 
 def replace_table_day(rows: DataFrame, path: str, day: str, date_col: str = "kpi_date") -> None:
-    """Exchange all rows of one day; without new rows the day's folder is removed."""
+    """Exchange all rows of one day; without new rows the day's folder is removed.
+
+    File names differ from job to job, so an unchanged folder means that there was no row.
+    """
     spark = rows.sparkSession
-    of_day = rows.filter(F.col(date_col) == F.to_date(F.lit(day)))
-    if of_day.isEmpty():
-        files.remove(spark, f"{path.rstrip('/')}/{date_col}={day}")
-        return
-    _write_days(of_day, path, date_col)
+    folder = f"{path.rstrip('/')}/{date_col}={day}"
+    before = files.children(spark, folder)
+    _write_days(rows.filter(F.col(date_col) == F.to_date(F.lit(day))), path, date_col)
+    if before and files.children(spark, folder) == before:
+        files.remove(spark, folder)
 
 
 def fill_geometry(df: DataFrame, day: str | None = None, date_col: str = "kpi_date") -> DataFrame:
