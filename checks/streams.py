@@ -33,7 +33,15 @@ def _replayed(spark, sf_dir) -> StreamPaths:
     )
     paths = StreamPaths(base)
     topic = message_files(spark, f"{base}/topic", max_files=2)
-    run_pipeline(topic, paths, default_sinks(spark, paths), watermark=_REPLAY_WATERMARK)
+    # The number of state partitions is fixed when a stream starts; adaptive execution cannot
+    # lower it afterwards, so a local replay takes one per core.
+    before = spark.conf.get("spark.sql.shuffle.partitions")
+    if spark.sparkContext.master.startswith("local"):
+        spark.conf.set("spark.sql.shuffle.partitions", spark.sparkContext.defaultParallelism)
+    try:
+        run_pipeline(topic, paths, default_sinks(spark, paths), watermark=_REPLAY_WATERMARK)
+    finally:
+        spark.conf.set("spark.sql.shuffle.partitions", before)
     return paths
 
 
