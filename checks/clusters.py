@@ -304,3 +304,11 @@ _report("p29_labels",
         " CASE WHEN is_anomaly THEN 'Outlier / Anomaly (Distance > P95)'"
         " ELSE 'Normal Navigation Profile' END AS fleet_status FROM clusters",
         reports.labelled_rows)
+_report("l4_ordered_groups",
+        "SELECT CAST(kpi_date AS VARCHAR) AS kpi_date, count(*) AS rows_of_day, "
+        "min(mmsi) AS lowest, max(mmsi) AS highest FROM clusters GROUP BY kpi_date"
+        " ORDER BY kpi_date",
+        lambda df: df.groupBy("kpi_date").agg(
+            F.count("*").alias("rows_of_day"), F.min("mmsi").alias("lowest"),
+            F.max("mmsi").alias("highest"),
+        ).orderBy("kpi_date"))

@@ -233,3 +233,65 @@ def test_jdbc_statements():
 
 def test_literal_rows(spark):
     assert raw_frame(spark, [record()]).first()["MMSI"] == "366000001"
+
+
+class RecordedWork:
+    """Stands for the database: keeps statements and appended tables in order."""
+
+    def __init__(self, monkeypatch):
+        self.log = []
+        monkeypatch.setattr(jdbc, "execute", lambda spark, target, statements: self.log.extend(
+            (text.split(" (")[0], tuple(days)) for text, days in statements))
+        monkeypatch.setattr(jdbc, "append_rows", lambda df, target, table, **_: self.log.append(
+            ("append", table, df.count())))
+
+
+def test_jdbc_upsert_order_and_cleanup(spark, monkeypatch):
+    work = RecordedWork(monkeypatch)
+    target = jdbc.JdbcTarget("jdbc:none", {})
+    df = spark.createDataFrame([(1, 1), (2, 2)], KV)
+    jdbc.upsert_via_staging(df, target, "t", ["k"], ["v"], "2024-12-25")
+    assert [entry[0].split(" ")[0] for entry in work.log] == [
+        "CREATE", "TRUNCATE", "append", "INSERT", "DROP"]
+    assert ("append", "stg_t_20241225", 2) in work.log
+
+    def fail(*args, **kwargs):
+        raise ValueError("no connection")
+
+    work.log.clear()
+    monkeypatch.setattr(jdbc, "append_rows", fail)
+    with pytest.raises(ValueError):
+        jdbc.upsert_via_staging(df, target, "t", ["k"], ["v"])
+    assert work.log[-1][0].startswith("DROP")
+
+
+def test_jdbc_replace_day_deletes_first(spark, monkeypatch):
+    work = RecordedWork(monkeypatch)
+    jdbc.replace_day(spark.createDataFrame([(1, 1)], KV), jdbc.JdbcTarget("jdbc:none", {}), "t",
+                     "kpi_date", "2024-12-25")
+    assert work.log == [("DELETE FROM t WHERE kpi_date = ?", ("2024-12-25",)), ("append", "t", 1)]
+
+
+def test_jdbc_stream_sinks(spark, monkeypatch):
+    from wakeline.streaming.sinks import JdbcAlertSink, JdbcFleetStateSink
+
+    work = RecordedWork(monkeypatch)
+    target = jdbc.JdbcTarget("jdbc:none", {})
+    batch = positions(spark, [(1, "2024-12-25 10:00:00", 1.0, 1.0, 30.0, 70),
+                              (1, "2024-12-25 11:00:00", 1.0, 1.0, 5.0, 70)])
+    JdbcFleetStateSink(target)(batch, 7)
+    JdbcAlertSink(target)(batch, 7)
+    assert ("append", "stg_active_fleet_state_batch7", 1) in work.log
+    assert ("append", "stg_vessel_speed_alerts_batch7", 1) in work.log
+
+
+def test_view_of_latest_state(spark):
+    from wakeline.plans.reports import fleet_view
+
+    row = (1, "n", "POINT(-95.1 29.8)", 1.0, 2.0, 3.0, "0", datetime(2024, 12, 25))
+    table = spark.createDataFrame([row], "mmsi BIGINT, vessel_name STRING, geom_wkt STRING,"
+                                  " sog_knots DOUBLE, cog_degrees DOUBLE, heading_degrees DOUBLE,"
+                                  " nav_status STRING, last_updated TIMESTAMP")
+    fleet_view(table).createOrReplaceTempView("v_active_fleet_state")
+    found = spark.sql("SELECT lat, lon FROM v_active_fleet_state").first()
+    assert (found["lat"], found["lon"]) == (29.8, -95.1)

@@ -15,6 +15,10 @@ from pyspark.sql import functions as F
 
 from wakeline.schema import SESSION_GAP_SECONDS
 
+# Bin length where rows are joined back to their bin: short, so that the rows of a hot key are
+# many small groups; a key still has at most 1440 bin rows per day to order.
+ROW_BIN_SECONDS = 60
+
 
 def _seconds(ts: Column) -> Column:
     return F.unix_timestamp(ts)
@@ -74,16 +78,18 @@ def gap_sessions(df: DataFrame, keys: Sequence[str], ts: str,
 
 
 def tag_sessions(df: DataFrame, keys: Sequence[str], ts: str,
-                 gap_seconds: int = SESSION_GAP_SECONDS) -> DataFrame:
-    """Every row with its session_id. Rows of a hot key spread over its bins in the join."""
-    numbered = number_sessions(bin_rows(df, keys, ts, gap_seconds), keys, gap_seconds)
+                 gap_seconds: int = SESSION_GAP_SECONDS,
+                 bin_seconds: int = ROW_BIN_SECONDS) -> DataFrame:
+    """Every row with its session_id. Rows of a hot key spread over its short bins in the join."""
+    width = min(gap_seconds, bin_seconds)
+    numbered = number_sessions(bin_rows(df, keys, ts, width), keys, gap_seconds)
     lookup = numbered.select(*keys, F.col("bin").alias("_bin"), "session_id")
-    binned = df.withColumn("_bin", time_bin(F.col(ts), gap_seconds))
+    binned = df.withColumn("_bin", time_bin(F.col(ts), width))
     return binned.join(lookup, [*keys, "_bin"], "left").drop("_bin")
 
 
-def previous_row_time(df: DataFrame, keys: Sequence[str], ts: str, bin_seconds: int = 600,
-                      name: str = "prev_ts") -> DataFrame:
+def previous_row_time(df: DataFrame, keys: Sequence[str], ts: str,
+                      bin_seconds: int = ROW_BIN_SECONDS, name: str = "prev_ts") -> DataFrame:
     """Every row with the time of the row before it in its key, as lag over time order gives.
 
     The lag runs inside short bins; the first row of a bin takes the last time of the bin before.

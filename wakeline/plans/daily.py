@@ -21,8 +21,10 @@ from wakeline.schema import (
     GRID_STEP_DEG,
     PORT_SCHEMA,
     PORTS,
+    TABLE_KEYS,
 )
-from wakeline.sources import archive, models, tables
+from wakeline.sources import archive, jdbc, models, tables
+from wakeline.sources.jdbc import JdbcTarget
 
 log = logging.getLogger("wakeline.daily")
 
@@ -87,6 +89,27 @@ def daily_clusters(spark: SparkSession, archive_path: str, results: str, model_b
     return True
 
 
+def publish_day(spark: SparkSession, results: str, target: JdbcTarget, day: str) -> None:
+    """Copy a day's result tables to a database: upserts, and replaced days for the logs."""
+    for table in ("port_dwell_times", "fleet_daily_kpis", "route_density_grid"):
+        rows = tables.read_table(spark, f"{results}/{table}").filter(
+            F.col("kpi_date") == F.to_date(F.lit(day))
+        )
+        keys = TABLE_KEYS[table]
+        changed = [c for c in rows.columns if c not in keys]
+        jdbc.upsert_via_staging(rows, target, table, keys, changed, day)
+    for table, date_col, day_col in (
+        ("vessel_speed_alerts", "detected_at", "alert_date"),
+        ("vessel_behavior_clusters", "kpi_date", "kpi_date"),
+    ):
+        rows = tables.read_table(spark, f"{results}/{table}").filter(
+            F.col(day_col) == F.to_date(F.lit(day))
+        )
+        columns = [c for c in rows.columns if c != "alert_date"]
+        jdbc.replace_day(rows.select(columns), target, table, date_col, day,
+                         is_timestamp=date_col != day_col)
+
+
 def run_day(spark: SparkSession, archive_path: str, results: str, model_base: str,
             ports: DataFrame, day: str, **options) -> dict[str, int]:
     """The whole chain for one day; raises when the input or a required result is missing."""

@@ -57,7 +57,3 @@ def clean_history(messages: DataFrame) -> DataFrame:
     return complete.withColumns(
         {name: F.coalesce(F.col(name), F.lit(UNKNOWN)) for name in CATEGORY_FIELDS}
     )
-
-
-def accounting(raw_rows: int, kept_rows: int) -> dict[str, int]:
-    return {"raw": raw_rows, "kept": kept_rows, "removed": raw_rows - kept_rows}

@@ -52,9 +52,9 @@ def append_rows(df: DataFrame, target: JdbcTarget, table: str, max_connections:
     ).mode("append").save()
 
 
-def staging_name(table: str, day: str = "") -> str:
-    """Staging table of one target and run day, so that runs of two days do not meet."""
-    return f"stg_{table}_{day.replace('-', '')}" if day else f"stg_{table}"
+def staging_name(table: str, run: str = "") -> str:
+    """Staging table of one target and run (a day or a batch), so that two runs do not meet."""
+    return f"stg_{table}_{run.replace('-', '')}" if run else f"stg_{table}"
 
 
 def create_staging_sql(staging: str, target: str, columns: Sequence[str]) -> str:
@@ -111,17 +111,17 @@ def execute(spark: SparkSession, target: JdbcTarget,
 
 
 def upsert_via_staging(df: DataFrame, target: JdbcTarget, table: str, keys: Sequence[str],
-                       update_cols: Sequence[str], day: str = "",
+                       update_cols: Sequence[str], run: str = "",
                        newer_by: str | None = None) -> None:
     """Write to a staging table, then move its rows in one transaction, then drop it."""
     spark, columns = df.sparkSession, df.columns
-    staging = staging_name(table, day)
+    staging = staging_name(table, run)
     execute(spark, target, [
         (create_staging_sql(staging, table, columns), ()),
         (f"TRUNCATE TABLE {staging}", ()),
     ])
     try:
-        append_rows(df, target, staging)
+        append_rows(df, target, staging, sort_by=keys)
         execute(spark, target, [
             (upsert_sql(table, staging, columns, keys, update_cols, newer_by), ()),
         ])

@@ -11,8 +11,9 @@ from pyspark.sql import functions as F
 
 from wakeline.operators.latest import latest_by_key
 from wakeline.plans.kpi import alert_messages, speed_alerts
-from wakeline.schema import ALERT_THRESHOLD_KNOTS, MAX_RECORDS_PER_FILE
-from wakeline.sources import archive
+from wakeline.schema import ALERT_THRESHOLD_KNOTS, MAX_RECORDS_PER_FILE, TABLE_KEYS
+from wakeline.sources import archive, jdbc
+from wakeline.sources.jdbc import JdbcTarget
 from wakeline.sources.tables import KeyedSnapshot
 
 log = logging.getLogger("wakeline.streaming")
@@ -79,6 +80,39 @@ class ArchiveSink:
         archive.write_marker(batch.sparkSession, self.path, batch_id)
 
 
+@dataclass
+class JdbcFleetStateSink:
+    """Upserts the newest positions into a database table keyed by mmsi."""
+
+    target: JdbcTarget
+    table: str = "active_fleet_state"
+
+    def __call__(self, batch: DataFrame, batch_id: int) -> None:
+        updates = fleet_updates(batch)
+        changed = [c for c in updates.columns if c != "mmsi"]
+        jdbc.upsert_via_staging(
+            updates, self.target, self.table, ["mmsi"], changed, f"batch{batch_id}",
+            newer_by="event_ts",
+        )
+
+
+@dataclass
+class JdbcAlertSink:
+    """Upserts alert rows into a database table; a repeated batch finds its own rows."""
+
+    target: JdbcTarget
+    table: str = "vessel_speed_alerts"
+    threshold: float = ALERT_THRESHOLD_KNOTS
+
+    def __call__(self, batch: DataFrame, batch_id: int) -> None:
+        alerts = speed_alerts(batch, self.threshold)
+        keys = TABLE_KEYS["vessel_speed_alerts"]
+        changed = [c for c in alerts.columns if c not in keys]
+        jdbc.upsert_via_staging(
+            alerts, self.target, self.table, keys, changed, f"batch{batch_id}"
+        )
+
+
 def fan_out(sinks: Sequence[BatchSink]) -> BatchSink:
     """One handler that feeds a batch to all sinks; the batch is computed once.
 
