@@ -11,6 +11,8 @@ from wakeline.operators import cluster, stats
 from wakeline.operators.cluster import BehaviourModel
 from wakeline.plans import reports
 from wakeline.plans.behaviour import behaviour_clusters
+from wakeline.session import shared_dir
+from wakeline.sources import models
 from wakeline.sources.tables import fill_geometry
 
 MODEL = BehaviourModel(MODEL_MEAN, MODEL_STD, MODEL_CENTERS)
@@ -93,6 +95,18 @@ def kmeans_fit(spark, sf_dir):
     return fitted.transform(scaled).groupBy("cluster_id").agg(F.count("*").alias("positions"))
 
 
+@query("m5_reference_model")
+def reference_model(spark, sf_dir):
+    """Fitted and saved by the first call, loaded by the second; positions per cluster."""
+    base = shared_dir(spark, "models")
+    features = _features(spark, sf_dir)
+    models.load_or_fit(features, base)
+    model = BehaviourModel.from_fitted(*models.load_or_fit(features, base))
+    return cluster.assign_clusters(features, model).groupBy("cluster_id").agg(
+        F.count("*").alias("positions")
+    )
+
+
 _ASSIGNED = (
     f"SELECT mmsi, {_WHEN}, cluster_id, {rounded('distance_to_centroid', 6)}"
     " AS distance_to_centroid FROM assigned"

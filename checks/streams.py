@@ -115,8 +115,8 @@ def running_totals(spark, sf_dir):
 
 
 @query("t5_tumbling_counts",
-       "SELECT CAST(to_timestamp(CAST(floor(epoch(ts) / 5) AS BIGINT) * 5)"
-       " AT TIME ZONE 'UTC' AS VARCHAR) AS start_time, event_type AS url, count(*) AS pv"
+       "SELECT CAST(make_timestamp(CAST(floor(epoch(ts) / 5) AS BIGINT) * 5000000) AS VARCHAR)"
+       " AS start_time, event_type AS url, count(*) AS pv"
        " FROM events GROUP BY ALL")
 def tumbling(spark, sf_dir):
     events = views.table(spark, sf_dir, "events").select(
