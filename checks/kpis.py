@@ -42,8 +42,8 @@ def valid_speed(spark, sf_dir):
     " radius_nm / (60 * greatest(cos(radians(abs(port_lat))), 0.01e0)) * 1.2e0"
     " GROUP BY port_id, port_lat, radius_nm", "pos", "ports"))
 def bounding_box(spark, sf_dir):
-    """Positions per port box; every position lies near one port, found by its nearest cell."""
-    # A radius 1.2 times as wide reaches into every corner that the box test can accept.
+    """Positions per port box."""
+    # The corners of a box lie within 1.2 * sqrt(2) radii, so twice the radius reaches them all.
     wide = views.ports(spark).withColumns({
         "box_radius": F.col("radius_nm"), "radius_nm": F.col("radius_nm") * 2.0,
     })

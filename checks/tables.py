@@ -201,8 +201,8 @@ def merged_state(spark, sf_dir):
     snapshot = tables.KeyedSnapshot(
         spark, shared_dir(spark, "state"), FLEET_STATE_SCHEMA, ["mmsi"], newer_by="event_ts"
     )
-    for version, part in enumerate((F.col("hour") >= 12, F.col("hour") < 12)):
-        snapshot.merge(fleet_updates(rows.filter(part)), version)
+    for part in (F.col("hour") >= 12, F.col("hour") < 12):
+        snapshot.merge(fleet_updates(rows.filter(part)))
     return snapshot.read().select(*_STATE_COLUMNS)
 
 

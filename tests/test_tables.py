@@ -97,15 +97,24 @@ def test_snapshot_versions(spark):
     snapshot = tables.KeyedSnapshot(spark, shared_dir(spark, "s"), FLEET_STATE_SCHEMA, ["mmsi"],
                                     newer_by="event_ts")
     assert snapshot.read().count() == 0
-    snapshot.merge(state(spark, (1, 5, 1.0), (2, 5, 1.0)), 0)
-    snapshot.merge(state(spark, (1, 3, 9.0), (2, 6, 9.0), (3, 1, 9.0)), 1)
+    snapshot.merge(state(spark, (1, 5, 1.0), (2, 5, 1.0)))
+    update = state(spark, (1, 3, 9.0), (2, 6, 9.0), (3, 1, 9.0))
     expected = [(1, 1.0), (2, 9.0), (3, 9.0)]
-    assert rows(snapshot.read().select("mmsi", "sog_knots")) == expected
-    snapshot.merge(state(spark, (1, 3, 9.0), (2, 6, 9.0), (3, 1, 9.0)), 1)
-    assert rows(snapshot.read().select("mmsi", "sog_knots")) == expected
-    for version in (2, 3):
-        snapshot.merge(state(spark), version)
-    assert snapshot.versions() == [2, 3]
+    for _ in range(2):
+        snapshot.merge(update)
+        assert rows(snapshot.read().select("mmsi", "sog_knots")) == expected
+    assert snapshot.versions() == [1, 2]
+
+
+def test_unfinished_version_is_written_over(spark):
+    snapshot = tables.KeyedSnapshot(spark, shared_dir(spark, "s"), FLEET_STATE_SCHEMA, ["mmsi"],
+                                    newer_by="event_ts")
+    snapshot.merge(state(spark, (1, 5, 1.0)))
+    state(spark, (9, 9, 9.0)).write.parquet(snapshot._folder(1))
+    files.remove(spark, f"{snapshot._folder(1)}/_SUCCESS")
+    assert rows(snapshot.read().select("mmsi")) == [(1,)]
+    snapshot.merge(state(spark, (2, 5, 1.0)))
+    assert rows(snapshot.read().select("mmsi")) == [(1,), (2,)]
 
 
 def test_archive_days_and_batches(spark):
@@ -223,7 +232,7 @@ def test_geometry_fill_touches_only_missing_rows_of_the_day(spark):
 def test_jdbc_statements():
     assert jdbc.staging_name("t", "2024-12-25") == "stg_t_20241225"
     assert jdbc.upsert_sql("t", "s", ["a", "b"], ["a"], ["b"]) == (
-        "INSERT INTO t (a, b) SELECT a, b FROM s ON CONFLICT (a) DO UPDATE SET b = EXCLUDED.b"
+        "INSERT INTO t (a, b) SELECT DISTINCT a, b FROM s ON CONFLICT (a) DO UPDATE SET b = EXCLUDED.b"
     )
     assert jdbc.upsert_sql("t", "s", ["a", "b"], ["a"], ["b"], "b").endswith(
         "WHERE t.b <= EXCLUDED.b")
@@ -265,11 +274,13 @@ def test_jdbc_upsert_order_and_cleanup(spark, monkeypatch):
     assert work.log[-1][0].startswith("DROP")
 
 
-def test_jdbc_replace_day_deletes_first(spark, monkeypatch):
+def test_jdbc_replace_day_deletes_and_inserts_together(spark, monkeypatch):
     work = RecordedWork(monkeypatch)
     jdbc.replace_day(spark.createDataFrame([(1, 1)], KV), jdbc.JdbcTarget("jdbc:none", {}), "t",
                      "kpi_date", "2024-12-25")
-    assert work.log == [("DELETE FROM t WHERE kpi_date = ?", ("2024-12-25",)), ("append", "t", 1)]
+    assert [entry[0].split(" ")[0] for entry in work.log] == [
+        "CREATE", "TRUNCATE", "append", "DELETE", "INSERT", "DROP"]
+    assert ("DELETE FROM t WHERE kpi_date = ?", ("2024-12-25",)) in work.log
 
 
 def test_jdbc_stream_sinks(spark, monkeypatch):

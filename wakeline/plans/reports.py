@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 
 from wakeline.functions import geo
 
+# Labels shown in the anomaly split.
 ANOMALY_LABEL = "Outlier / Anomaly (Distance > P95)"
 NORMAL_LABEL = "Normal Navigation Profile"
 

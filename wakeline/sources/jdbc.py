@@ -42,9 +42,10 @@ def append_rows(df: DataFrame, target: JdbcTarget, table: str, max_connections:
                 sort_by: Sequence[str] = ()) -> None:
     """Append rows over at most max_connections connections.
 
+    Only the result rows are moved to that many tasks; what computes them keeps its parallelism.
     Sorting inside each write task gives every transaction the same lock order.
     """
-    limited = df.coalesce(max_connections)
+    limited = df.repartition(max_connections)
     if sort_by:
         limited = limited.sortWithinPartitions(*sort_by)
     limited.write.format("jdbc").option("url", target.url).option("dbtable", table).options(
@@ -66,12 +67,15 @@ def create_staging_sql(staging: str, target: str, columns: Sequence[str]) -> str
 
 def upsert_sql(target: str, staging: str, columns: Sequence[str], keys: Sequence[str],
                update_cols: Sequence[str], newer_by: str | None = None) -> str:
-    """Move staged rows into the target; matching keys are overwritten (when not older)."""
+    """Move staged rows into the target; matching keys are overwritten (when not older).
+
+    A write task repeated after its commit leaves copies in the staging table; they count once.
+    """
     listed = ", ".join(columns)
     changes = ", ".join(f"{c} = EXCLUDED.{c}" for c in update_cols)
     guard = f" WHERE {target}.{newer_by} <= EXCLUDED.{newer_by}" if newer_by else ""
     return (
-        f"INSERT INTO {target} ({listed}) SELECT {listed} FROM {staging} "
+        f"INSERT INTO {target} ({listed}) SELECT DISTINCT {listed} FROM {staging} "
         f"ON CONFLICT ({', '.join(keys)}) DO UPDATE SET {changes}{guard}"
     )
 
@@ -110,27 +114,38 @@ def execute(spark: SparkSession, target: JdbcTarget,
         connection.close()
 
 
-def upsert_via_staging(df: DataFrame, target: JdbcTarget, table: str, keys: Sequence[str],
-                       update_cols: Sequence[str], run: str = "",
-                       newer_by: str | None = None) -> None:
-    """Write to a staging table, then move its rows in one transaction, then drop it."""
-    spark, columns = df.sparkSession, df.columns
+def _via_staging(df: DataFrame, target: JdbcTarget, table: str, run: str, keys: Sequence[str],
+                 move: Sequence[tuple[str, Sequence[str]]]) -> None:
+    """Fill a staging table, run the moving statements in one transaction, drop the table."""
+    spark = df.sparkSession
     staging = staging_name(table, run)
     execute(spark, target, [
-        (create_staging_sql(staging, table, columns), ()),
+        (create_staging_sql(staging, table, df.columns), ()),
         (f"TRUNCATE TABLE {staging}", ()),
     ])
     try:
         append_rows(df, target, staging, sort_by=keys)
-        execute(spark, target, [
-            (upsert_sql(table, staging, columns, keys, update_cols, newer_by), ()),
-        ])
+        execute(spark, target, move)
     finally:
         execute(spark, target, [(f"DROP TABLE IF EXISTS {staging}", ())])
 
 
+def upsert_via_staging(df: DataFrame, target: JdbcTarget, table: str, keys: Sequence[str],
+                       update_cols: Sequence[str], run: str = "",
+                       newer_by: str | None = None) -> None:
+    """Insert new keys and overwrite known ones; readers see all of it or nothing."""
+    statement = upsert_sql(
+        table, staging_name(table, run), df.columns, keys, update_cols, newer_by
+    )
+    _via_staging(df, target, table, run, keys, [(statement, ())])
+
+
 def replace_day(df: DataFrame, target: JdbcTarget, table: str, date_col: str, day: str,
                 is_timestamp: bool = False) -> None:
-    """Delete one day, then append the day's new rows."""
-    execute(df.sparkSession, target, [(delete_day_sql(table, date_col, is_timestamp), (day,))])
-    append_rows(df, target, table)
+    """Exchange one day's rows; deletion and insertion are one transaction."""
+    listed = ", ".join(df.columns)
+    _via_staging(df, target, table, day, (), [
+        (delete_day_sql(table, date_col, is_timestamp), (day,)),
+        (f"INSERT INTO {table} ({listed}) SELECT DISTINCT {listed}"
+         f" FROM {staging_name(table, day)}", ()),
+    ])

@@ -83,10 +83,10 @@ def fill_geometry(df: DataFrame, day: str | None = None, date_col: str = "kpi_da
 
 
 class KeyedSnapshot:
-    """A table with one row per key, written as numbered versions.
+    """A table with one row per key, written as numbered versions by a single writer.
 
-    A version is visible once its _SUCCESS file exists. Merging the same batch again starts from
-    the version before it, so a repeated batch gives the same table.
+    A version is visible once its _SUCCESS file exists; a version cut short is written over. A
+    batch merged again changes nothing, because its rows only meet themselves.
     """
 
     def __init__(self, spark: SparkSession, path: str, schema: StructType, keys: Sequence[str],
@@ -108,19 +108,19 @@ class KeyedSnapshot:
             v for v in numbers if files.exists(self.spark, f"{self._folder(v)}/_SUCCESS")
         )
 
-    def read(self, before: int | None = None) -> DataFrame:
-        done = [v for v in self.versions() if before is None or v < before]
+    def read(self) -> DataFrame:
+        done = self.versions()
         if not done:
             return self.spark.createDataFrame([], self.schema)
         return self.spark.read.schema(self.schema).parquet(self._folder(done[-1]))
 
-    def merge(self, updates: DataFrame, version: int) -> None:
+    def merge(self, updates: DataFrame) -> None:
+        """Write the next version: the current rows with the updates merged in."""
+        done = self.versions()
         merged = latest.upsert(
-            self.read(before=version),
-            updates.select(*self.schema.fieldNames()),
-            self.keys,
+            self.read(), updates.select(*self.schema.fieldNames()), self.keys,
             newer_by=self.newer_by,
         )
-        merged.write.mode("overwrite").parquet(self._folder(version))
+        merged.write.mode("overwrite").parquet(self._folder(done[-1] + 1 if done else 0))
         for old in self.versions()[: -self.keep_versions]:
             files.remove(self.spark, self._folder(old))

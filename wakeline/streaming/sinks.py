@@ -47,7 +47,7 @@ class FleetStateSink:
     snapshot: KeyedSnapshot
 
     def __call__(self, batch: DataFrame, batch_id: int) -> None:
-        self.snapshot.merge(fleet_updates(batch), batch_id)
+        self.snapshot.merge(fleet_updates(batch))
 
 
 @dataclass
