@@ -12,7 +12,7 @@ import statistics
 import sys
 import time
 
-from checks.compare import local_session
+from wakeline_checks.compare import local_session
 
 LONG_SECONDS = 8.0
 
@@ -51,7 +51,7 @@ def main(keys: list[str]) -> None:
     runs = int(os.environ.get("BENCH_RUNS", "3"))
     spark = local_session()
     spark.sparkContext.setLogLevel("ERROR")
-    from checks import QUERIES
+    from wakeline_checks import QUERIES
 
     timings = {}
     for key in keys or HEADLINE:

@@ -4,8 +4,8 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from checks import views
-from checks.registry import oracle, query, rounded
+from wakeline_checks import views
+from wakeline_checks.registry import oracle, query, rounded
 from wakeline.functions import ais, geo, text
 from wakeline.operators import clean
 from wakeline.operators.attributes import recover_attributes, vessel_reference

@@ -1,6 +1,6 @@
 """Run registered queries in Spark and DuckDB and compare the rows.
 
-    python -m checks.compare /root/testdata/sf0.01 [key-prefix ...]
+    python -m wakeline_checks.compare /root/testdata/sf0.01 [key-prefix ...]
 """
 
 from __future__ import annotations
@@ -70,7 +70,7 @@ def difference(df, connection, statement: str) -> str | None:
 
 
 def main(argv: list[str]) -> int:
-    from checks import ORACLES, QUERIES
+    from wakeline_checks import ORACLES, QUERIES
 
     sf_dir, prefixes = argv[0], tuple(argv[1:])
     spark, connection = local_session(), connect(sf_dir)

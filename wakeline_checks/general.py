@@ -4,8 +4,8 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from checks import views
-from checks.registry import query
+from wakeline_checks import views
+from wakeline_checks.registry import query
 from wakeline.plans import basics
 from wakeline.session import shared_dir
 

@@ -4,8 +4,8 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from checks import views
-from checks.registry import DISTANCE, mean, oracle, query, rounded
+from wakeline_checks import views
+from wakeline_checks.registry import DISTANCE, mean, oracle, query, rounded
 from wakeline.functions import ais, geo
 from wakeline.operators import sessions
 from wakeline.operators.spatial import ports_in_range

@@ -8,7 +8,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import DateType, TimestampNTZType, TimestampType
 
-from checks import views
+from wakeline_checks import views
 from wakeline.schema import RAW_FIELDS
 from wakeline.session import configure
 

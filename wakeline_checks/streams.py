@@ -4,8 +4,8 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from checks import views
-from checks.registry import oracle, query
+from wakeline_checks import views
+from wakeline_checks.registry import oracle, query
 from wakeline.schema import REJECT_SCHEMA
 from wakeline.session import STREAMING_CONF, shared_dir
 from wakeline.sources import archive

@@ -4,9 +4,9 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from checks import views
-from checks.kpis import _inside, _positions
-from checks.registry import oracle, query
+from wakeline_checks import views
+from wakeline_checks.kpis import _inside, _positions
+from wakeline_checks.registry import oracle, query
 from wakeline.operators.latest import replace_day, upsert
 from wakeline.operators.quality import day_counts
 from wakeline.plans import kpi
@@ -114,7 +114,7 @@ _IN_PORT_KPIS = (
 
 
 def _in_port_oracle(select: str) -> str:
-    from checks.registry import rounded
+    from wakeline_checks.registry import rounded
 
     step = _IN_PORT_KPIS.format(
         avg=rounded("avg(SOG)", 2), low=rounded("min(SOG)", 2), high=rounded("max(SOG)", 2),
