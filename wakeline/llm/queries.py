@@ -4,15 +4,17 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
+import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from wakeline.llm import sharding, simhash
+from wakeline.llm import bpe, decontaminate, packed_ids, sharding, simhash
 from wakeline.llm.shared import table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLES: dict[str, str] = {}
 
 SHARDS = 8
+TOKENIZER = public_tokenizers.path("word_bpe_49k.json")
 
 
 def query(key: str):
@@ -33,3 +35,52 @@ def op1_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
 def op5_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     """SimHash fingerprint and component of every document."""
     return simhash.near_duplicates(table(spark, sf_dir, "documents"))
+
+
+@query("op6_bpe")
+def op6_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Token ids of every document and their decoded text, as digests."""
+    return bpe.token_digests(table(spark, sf_dir, "documents"), TOKENIZER)
+
+
+@query("op8_decontaminate")
+def op8_decontaminate(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Benchmark windows in every document."""
+    return decontaminate.contamination(table(spark, sf_dir, "documents"),
+                                       table(spark, sf_dir, "benchmark"))
+
+
+@query("op10_packed_ids")
+def op10_packed_ids(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Token ids of all documents, packed into files and read back."""
+    return packed_ids.packed_documents(table(spark, sf_dir, "documents"), TOKENIZER)
+
+
+_LOWER = ("translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ',"
+          " 'abcdefghijklmnopqrstuvwxyz')")
+_WORDS = rf"regexp_extract_all({_LOWER}, '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+')"
+
+ORACLES["op8_decontaminate"] = rf"""
+WITH texts AS (SELECT doc_id, {_WORDS} AS w FROM documents),
+item_words AS (SELECT item_id, {_WORDS} AS w FROM benchmark),
+windows AS (
+  SELECT DISTINCT item_id, least(10, len(w)) AS k,
+         array_to_string(w[i:i + least(10, len(w)) - 1], ' ') AS s
+  FROM (SELECT item_id, w, unnest(range(1, len(w) - least(10, len(w)) + 2)) AS i
+        FROM item_words WHERE len(w) > 0)),
+words AS (SELECT doc_id, unnest(w) AS word, unnest(range(1, len(w) + 1)) AS i FROM texts),
+runs AS (
+  SELECT doc_id, i, list(word) OVER (PARTITION BY doc_id ORDER BY i
+                                     ROWS BETWEEN CURRENT ROW AND 9 FOLLOWING) AS l FROM words),
+hits AS (
+  SELECT r.doc_id, r.i, n.k, windows.item_id
+  FROM runs r JOIN (SELECT DISTINCT k FROM windows) n ON len(r.l) >= n.k
+  JOIN windows ON windows.k = n.k AND windows.s = array_to_string(r.l[1:n.k], ' ')),
+places AS (SELECT doc_id, count(DISTINCT p) AS n_hit
+           FROM (SELECT doc_id, unnest(range(i, i + k)) AS p FROM hits) GROUP BY doc_id),
+named AS (SELECT doc_id, count(*) AS n_items, string_agg(name, ',' ORDER BY name) AS names
+          FROM (SELECT DISTINCT doc_id, item_id::VARCHAR AS name FROM hits) GROUP BY doc_id)
+SELECT doc_id, len(w)::BIGINT AS n_words, coalesce(n_hit, 0)::BIGINT AS n_hit,
+       coalesce(n_items, 0)::BIGINT AS n_items, sha256(coalesce(names, '')) AS items_sha256,
+       coalesce(n_hit, 0) > 0 AS contaminated
+FROM texts LEFT JOIN places USING (doc_id) LEFT JOIN named USING (doc_id)"""

@@ -8,7 +8,7 @@ from collections.abc import Iterator
 
 import pyarrow as pa
 import pyarrow.fs as pafs
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 
@@ -67,6 +67,11 @@ def bytes_or_empty(text: str | None) -> bytes:
     return b"" if text is None else text.encode("utf-8", "surrogatepass")
 
 
+def columns_in_one(df: DataFrame, keep: list[str] | None = None) -> Column:
+    """All columns (or those to keep) as one struct, so that no name can clash with a new one."""
+    return F.struct(*(F.col(f"`{name}`") for name in (keep or df.columns)))
+
+
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
