@@ -206,8 +206,8 @@ def write_packed(docs: DataFrame, tokenizer_path: str, folder: str, key: str = "
             for doc_id, value in zip(batch.column(0), batch.column(1)):
                 if writer is None:
                     name = f"{base}/part-{part:06d}-{number:05d}.ids"
-                    writer = Writer(fs.open_output_stream(f"{name}.{attempt}.tmp"), bits,
-                                    block_ids)
+                    sink = fs.open_output_stream(f"{name}.{attempt}.tmp", compression=None)
+                    writer = Writer(sink, bits, block_ids)
                 writer.add(doc_id.as_py(), encoder.encode(value.as_py(), end_id))
                 if writer.starts[-1] >= file_ids:
                     finish()
@@ -255,7 +255,9 @@ def read_packed(files: DataFrame, key: str = "doc_id") -> DataFrame:
                      pa.array(starts[:-1] + base), pa.array(np.diff(starts)), pa.array(crcs)],
                     names=[key, "start", "n_tokens", "ids_crc32"])
 
-    return placed.select("path", "base").repartition("path").mapInArrow(
+    # One file a task; the list is tiny, so its size must not decide the number of tasks.
+    tasks = max(1, min(files.count(), 10_000))
+    return placed.select("path", "base").repartition(tasks).mapInArrow(
         run, f"`{key}` bigint, start bigint, n_tokens bigint, ids_crc32 bigint")
 
 

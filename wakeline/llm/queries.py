@@ -7,8 +7,8 @@ from collections.abc import Callable
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from wakeline.llm import bpe, decontaminate, packed_ids, sharding, simhash
-from wakeline.llm.shared import table
+from wakeline.llm import bpe, decontaminate, digest, packed_ids, sharding, simhash, warc
+from wakeline.llm.shared import ship_package, table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLES: dict[str, str] = {}
@@ -19,8 +19,12 @@ TOKENIZER = public_tokenizers.path("word_bpe_49k.json")
 
 def query(key: str):
     def register(function: Callable[[SparkSession, str], DataFrame]):
-        QUERIES[key] = function
-        return function
+        def run(spark: SparkSession, sf_dir: str) -> DataFrame:
+            ship_package(spark)
+            return function(spark, sf_dir)
+
+        QUERIES[key] = run
+        return run
 
     return register
 
@@ -31,6 +35,12 @@ def op1_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
     return sharding.shard_documents(table(spark, sf_dir, "documents"), [1.0] * SHARDS)
 
 
+@query("op3_fingerprints")
+def op3_fingerprints(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Fingerprints of every document, of its edited text, and their likeness."""
+    return digest.fingerprint_documents(table(spark, sf_dir, "documents"))
+
+
 @query("op5_simhash")
 def op5_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     """SimHash fingerprint and component of every document."""
@@ -43,6 +53,12 @@ def op6_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     return bpe.token_digests(table(spark, sf_dir, "documents"), TOKENIZER)
 
 
+@query("op7_warc")
+def op7_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every page written to archives and read back."""
+    return warc.archived_pages(table(spark, sf_dir, "pages"))
+
+
 @query("op8_decontaminate")
 def op8_decontaminate(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Benchmark windows in every document."""

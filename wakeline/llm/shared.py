@@ -2,15 +2,20 @@
 
 from __future__ import annotations
 
+import io
 import posixpath
 import uuid
+import zipfile
 from collections.abc import Iterator
+from pathlib import Path
 
 import pyarrow as pa
 import pyarrow.fs as pafs
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+_SHIPPED: set[str] = set()
+
 
 def shared_folder(spark: SparkSession) -> str:
     """The folder of spark.checkpoint.dir; set below the warehouse only where it is unset."""
@@ -42,6 +47,25 @@ def stored(df: DataFrame, purpose: str) -> DataFrame:
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
+def ship_package(spark: SparkSession) -> None:
+    """Give the executors this package, once per application, as --py-files would."""
+    app = spark.sparkContext.applicationId
+    if app in _SHIPPED:
+        return
+    root = Path(__file__).resolve().parents[2]
+    packed = io.BytesIO()
+    with zipfile.ZipFile(packed, "w") as archive:
+        for path in sorted((root / "wakeline").rglob("*.py")):
+            archive.write(path, path.relative_to(root))
+    folder = new_folder(spark, "package")
+    fs, base = open_folder(folder)
+    fs.create_dir(base, recursive=True)
+    with fs.open_output_stream(f"{base}/wakeline.zip") as sink:
+        sink.write(packed.getvalue())
+    spark.sparkContext.addPyFile(f"{folder}/wakeline.zip")
+    _SHIPPED.add(app)
+
+
 def open_folder(uri: str) -> tuple[pafs.FileSystem, str]:
     """File system and path of a shared folder, as tasks open it (a bare path is local)."""
     if "://" not in uri and not uri.startswith("file:"):
