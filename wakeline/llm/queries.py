@@ -7,7 +7,7 @@ from collections.abc import Callable
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from wakeline.llm import bpe, decontaminate, digest, packed_ids, sharding, simhash, warc
+from wakeline.llm import bpe, decontaminate, digest, packed_ids, pii, sharding, simhash, warc
 from wakeline.llm.shared import ship_package, table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -41,6 +41,12 @@ def op3_fingerprints(spark: SparkSession, sf_dir: str) -> DataFrame:
     return digest.fingerprint_documents(table(spark, sf_dir, "documents"))
 
 
+@query("op4_pii")
+def op4_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Personal data in every document, by patterns and by the field trained on them."""
+    return pii.span_digests(table(spark, sf_dir, "documents"))
+
+
 @query("op5_simhash")
 def op5_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     """SimHash fingerprint and component of every document."""
