@@ -7,7 +7,8 @@ from collections.abc import Callable
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from wakeline.llm import bpe, decontaminate, digest, packed_ids, pii, sharding, simhash, warc
+from wakeline.llm import (bpe, decontaminate, digest, packed_ids, pii, sharding, simhash, toxicity,
+                          warc)
 from wakeline.llm.shared import ship_package, table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -35,6 +36,12 @@ def op1_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
     return sharding.shard_documents(table(spark, sf_dir, "documents"), [1.0] * SHARDS)
 
 
+@query("op2_toxicity")
+def op2_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Toxicity score of every document."""
+    return toxicity.toxicity(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
+
+
 @query("op3_fingerprints")
 def op3_fingerprints(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Fingerprints of every document, of its edited text, and their likeness."""
