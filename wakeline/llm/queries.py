@@ -7,8 +7,8 @@ from collections.abc import Callable
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from wakeline.llm import (bpe, decontaminate, digest, packed_ids, pii, sharding, simhash, toxicity,
-                          warc)
+from wakeline.llm import (bpe, decontaminate, digest, html_template, packed_ids, pii, sharding,
+                          simhash, toxicity, warc)
 from wakeline.llm.shared import ship_package, table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -79,6 +79,12 @@ def op8_decontaminate(spark: SparkSession, sf_dir: str) -> DataFrame:
                                        table(spark, sf_dir, "benchmark"))
 
 
+@query("op9_html_template")
+def op9_html_template(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Main text of every page."""
+    return html_template.extract_text(table(spark, sf_dir, "pages"))
+
+
 @query("op10_packed_ids")
 def op10_packed_ids(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Token ids of all documents, packed into files and read back."""
