@@ -1,5 +1,6 @@
 import hashlib
 import io
+import json
 import random
 import zlib
 
@@ -9,8 +10,8 @@ import pytest
 from pyspark.sql import functions as F
 from tokenizers import Tokenizer
 
-from wakeline.llm.bpe import WordBpe, encode_and_decode, read_tokenizer, token_digests
-from wakeline.llm.packed_ids import (Reader, Writer, bits_for, pack, packed_documents, read_packed,
+from wakeline.llm.bpe import TextEncoder, WordBpe, encode_and_decode, read_tokenizer, token_digests
+from wakeline.llm.packed_ids import (LibraryEncoder, Reader, Writer, bits_for, pack, packed_documents, read_packed,
                                      unpack, write_packed)
 
 PATH = public_tokenizers.path("word_bpe_49k.json")
@@ -43,10 +44,22 @@ def test_encodes_and_decodes_like_the_library(bpe, library, text):
 
 def test_random_texts(bpe, library):
     rng = random.Random(5)
-    alphabet = "abcdeé ÀÑ.,'st\n12\t𝒳ßğ-́<|>endoftext"
-    for _ in range(400):
+    alphabet = "abcdeé ÀÑ.,'st\n12\t𝒳ßğ-́<|>endoftextJ̌_"
+    cached = LibraryEncoder(read_tokenizer(PATH))
+    for _ in range(800):
         text = "".join(rng.choice(alphabet) for _ in range(rng.randint(0, 60)))
-        assert bpe.encode(text).tolist() == library.encode(text, add_special_tokens=False).ids
+        want = library.encode(text, add_special_tokens=False).ids
+        assert bpe.encode(text).tolist() == want
+        assert cached.encode(text, 2).tolist() == [*want, 2]
+
+
+def test_small_cache_changes_nothing(bpe, library):
+    small = TextEncoder(json.loads(read_tokenizer(PATH)), bpe.encode_piece)
+    small.chunks.entries = 3
+    for text in TEXTS[:-4]:
+        want = library.encode(text or "", add_special_tokens=False).ids
+        assert np.frombuffer(small.encode(text), "<i4").tolist() == want
+        assert len(small.chunks) <= 3 and len(small.chunks.older) <= 3
 
 
 def test_digests_by_row(documents, library):

@@ -24,11 +24,14 @@ from pyspark.sql import types as T
 
 from wakeline.llm.shared import columns_in_one
 
-#: Cached strings by worker process.
-CACHE_ENTRIES = 300_000
+#: Strings in a generation of a cache; a worker process has one of two generations.
+CACHE_ENTRIES = 400_000
 CACHED_CHARS = 48
 SLICE_ROWS = 500
 
+# A stop or comma right after another mark (neither letter, digit nor white space).
+_MARKS = re.compile(r"[.,](?:(?<=[^\w\s].)|(?<=_.))")
+
 # White space as the tokenizer's own patterns mean it.
 _SPACE = r"\t-\r\x20\x85\xa0\u1680\u2000-\u200a\u2028\u2029\u202f\u205f\u3000"
 
@@ -41,25 +44,37 @@ def byte_characters() -> list[str]:
 
 
 class Bounded(dict):
-    """A cache of a function of a string that starts anew when full."""
+    """A cache of a function of a string, in two generations.
+
+    When the younger is full it becomes the older and the older is forgotten; what is asked for
+    again moves back into the younger, so frequent strings stay.
+    """
 
     def __init__(self, function: Callable[[str], bytes], entries: int = CACHE_ENTRIES):
         super().__init__()
-        self.function, self.entries = function, entries
+        self.function, self.entries, self.older = function, entries, {}
 
     def __missing__(self, key: str) -> bytes:
-        value = self.function(key)
+        value = self.older.get(key)
+        if value is None:
+            value = self.function(key)
         if len(key) <= CACHED_CHARS:
             if len(self) >= self.entries:
+                self.older = dict(self)
                 self.clear()
             self[key] = value
         return value
 
 
-class Pieces:
-    """How a text falls into the pieces that are encoded one by one."""
+class TextEncoder:
+    """How a text falls into pieces, and the ids of all of them.
+
+    `piece` encodes one piece. `whole`, if given, encodes a text as it stands; it is used where the
+    lower-cased pieces would be normalized differently from the text they come from.
+    """
 
-    def __init__(self, spec: dict):
+    def __init__(self, spec: dict, piece: Callable[[str], bytes],
+                 whole: Callable[[str], bytes] | None = None):
         kinds = [n["type"] for n in spec["normalizer"]["normalizers"]]
         splits = [p["type"] for p in spec["pre_tokenizer"]["pretokenizers"]]
         if kinds != ["NFC", "Replace", "Lowercase"] or splits != ["Split", "ByteLevel"]:
@@ -68,33 +83,52 @@ class Pieces:
         self.pattern = regex.compile(pattern.replace(r"\s", _SPACE))
         self.special = {t["content"]: t["id"] for t in spec["added_tokens"]}
         names = sorted(self.special, key=len, reverse=True)
-        self.special_pattern = re.compile("|".join(map(re.escape, names))) if names else None
-
-    def of(self, text: str) -> list[str]:
-        """Pieces of a text without special tokens."""
+        self.special_pattern = re.compile("|".join(map(re.escape, names)) or r"(?!)")
+        self.piece, self.whole = piece, whole
+        self.chunks = Bounded(self._chunk)
+
+    def _chunk(self, chunk: str) -> bytes:
+        """Ids of lower-cased text without plain white space."""
+        if chunk.isalpha():
+            return self.piece(chunk)
+        pieces = self.pattern.findall(chunk)
+        if len(pieces) == 1:
+            return self.piece(pieces[0])
+        return b"".join(map(self.chunks.__getitem__, pieces))
+
+    def _plain(self, text: str) -> bytes:
+        """Ids of a text without special tokens.
+
+        The text is cut at plain white space, and stops and commas are cut off words where they
+        follow no other mark. No piece and no Unicode composition spans such a cut.
+        """
+        raw = text
         if not text.isascii():
             # One character at a time: a final sigma is lower-cased like any other.
             text = unicodedata.normalize("NFC", text).replace("Σ", "σ")
-        return self.pattern.findall(text.lower())
-
-    def encode(self, text: str, piece: Callable[[str], bytes]) -> bytes:
-        """Little-endian 32-bit ids of a text; special tokens are found before anything else."""
-        if self.special_pattern is None or "<" not in text:
-            return b"".join(map(piece, self.of(text)))
+        text = text.lower()
+        if self.whole and not text.isascii() and not unicodedata.is_normalized("NFC", text):
+            return self.whole(raw)
+        text = text.replace("\n", " ").replace("\t", " ").replace("\r", " ") + " "
+        if not _MARKS.search(text):
+            text = text.replace(". ", " . ").replace(", ", " , ")
+        return b"".join(map(self.chunks.__getitem__, text.split(" ")))
+
+    def encode(self, text: str | None) -> bytes:
+        """Little-endian 32-bit ids; special tokens are found before anything else."""
+        if not text:
+            return b""
+        if "<" not in text:
+            return self._plain(text)
         out, at = [], 0
         for match in self.special_pattern.finditer(text):
-            out.extend(map(piece, self.of(text[at:match.start()])))
+            out.append(self._plain(text[at:match.start()]))
             out.append(self.special[match[0]].to_bytes(4, "little"))
             at = match.end()
-        out.extend(map(piece, self.of(text[at:])))
+        out.append(self._plain(text[at:]))
         return b"".join(out)
 
 
-def chunks_of(text: str) -> list[str]:
-    """The text cut at plain white space. No piece, special token or Unicode composition spans it."""
-    return text.replace("\n", " ").replace("\t", " ").replace("\r", " ").split(" ")
-
-
 class WordBpe:
     """Encoder and decoder of one tokenizer file (its JSON text)."""
 
@@ -103,10 +137,10 @@ class WordBpe:
         model = spec["model"]
         if model["type"] != "BPE" or spec["decoder"] is not None or model["byte_fallback"]:
             raise ValueError("unknown kind of tokenizer file")
-        self.pieces = Pieces(spec)
+        self.texts = TextEncoder(spec, self.encode_piece)
         vocabulary: dict[str, int] = model["vocab"]
-        self.strings = [""] * (max([*vocabulary.values(), *self.pieces.special.values()]) + 1)
-        for string, number in {**vocabulary, **self.pieces.special}.items():
+        self.strings = [""] * (max([*vocabulary.values(), *self.texts.special.values()]) + 1)
+        for string, number in {**vocabulary, **self.texts.special}.items():
             self.strings[number] = string
         end = model["end_of_word_suffix"]
         characters = byte_characters()
@@ -116,8 +150,6 @@ class WordBpe:
         for rank, pair in enumerate(model["merges"]):
             left, right = pair if isinstance(pair, list) else pair.split(" ")
             self.merges[vocabulary[left], vocabulary[right]] = rank, vocabulary[left + right]
-        self.by_piece = Bounded(self.encode_piece)
-        self.by_chunk = Bounded(lambda chunk: self.pieces.encode(chunk, self.by_piece.__getitem__))
 
     def encode_piece(self, piece: str) -> bytes:
         """Ids of one piece, as little-endian 32-bit numbers."""
@@ -151,8 +183,7 @@ class WordBpe:
 
     def encode(self, text: str | None) -> np.ndarray:
         """Ids of a whole text; null is empty."""
-        return np.frombuffer(b"".join(map(self.by_chunk.__getitem__, chunks_of(text or ""))),
-                             "<i4")
+        return np.frombuffer(self.texts.encode(text), "<i4")
 
     def decode(self, ids) -> str:
         """Vocabulary strings joined by a space, special tokens included."""

@@ -25,7 +25,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 from tokenizers import Tokenizer
 
-from wakeline.llm.bpe import Bounded, Pieces, chunks_of, read_tokenizer
+from wakeline.llm.bpe import TextEncoder, byte_characters, read_tokenizer
 from wakeline.llm.shared import cut, new_folder, open_folder, publish
 
 MAGIC = b"PKIDS01\n"
@@ -149,24 +149,31 @@ class Reader:
 
 
 class LibraryEncoder:
-    """Ids from the tokenizers library; each distinct piece of text is encoded once."""
+    """Ids from the tokenizers library; each distinct piece of text is encoded once.
+
+    The library's model encodes a piece, shown as the byte characters its vocabulary is made of.
+    """
 
     def __init__(self, text: str):
         self.tokenizer = Tokenizer.from_str(text)
         self.tokenizer.no_truncation()
         self.tokenizer.no_padding()
-        pieces = Pieces(json.loads(text))
-        by_piece = Bounded(self._ids)
-        self.by_chunk = Bounded(lambda chunk: pieces.encode(chunk, by_piece.__getitem__))
-
-    def _ids(self, piece: str) -> bytes:
-        ids = self.tokenizer.encode(piece, add_special_tokens=False).ids
+        self.model = self.tokenizer.model
+        self.texts = TextEncoder(json.loads(text), self._piece, self._whole)
+        self.shown = dict(enumerate(byte_characters()))
+
+    def _piece(self, piece: str) -> bytes:
+        if not piece.isascii():
+            piece = piece.encode().decode("latin-1")
+        shown = piece.translate(self.shown)
+        return np.array([token.id for token in self.model.tokenize(shown)], "<u4").tobytes()
+
+    def _whole(self, text: str) -> bytes:
+        ids = self.tokenizer.encode(text, add_special_tokens=False).ids
         return np.array(ids, "<u4").tobytes()
 
     def encode(self, text: str | None, end_id: int) -> np.ndarray:
-        parts = list(map(self.by_chunk.__getitem__, chunks_of(text or "")))
-        parts.append(end_id.to_bytes(4, "little"))
-        return np.frombuffer(b"".join(parts), "<u4")
+        return np.frombuffer(self.texts.encode(text) + end_id.to_bytes(4, "little"), "<u4")
 
 
 @functools.lru_cache(maxsize=1)
