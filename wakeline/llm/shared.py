@@ -18,12 +18,10 @@ _SHIPPED: set[str] = set()
 
 
 def shared_folder(spark: SparkSession) -> str:
-    """The folder of spark.checkpoint.dir; set below the warehouse only where it is unset."""
+    """The folder of spark.checkpoint.dir; below the warehouse only where that is unset."""
     folder = spark.conf.get("spark.checkpoint.dir", None)
     if not folder:
-        warehouse = spark.conf.get("spark.sql.warehouse.dir").rstrip("/")
-        folder = f"{warehouse}/_intermediate"
-        spark.conf.set("spark.checkpoint.dir", folder)
+        folder = f"{spark.conf.get('spark.sql.warehouse.dir').rstrip('/')}/_intermediate"
     if not spark.sparkContext._jsc.sc().getCheckpointDir().isDefined():
         spark.sparkContext.setCheckpointDir(folder)
     return folder.rstrip("/")
