@@ -8,7 +8,7 @@ from wakeline.operators import cluster, stats
 from wakeline.operators.cluster import BehaviourModel
 from wakeline.plans import daily, reports
 from wakeline.session import shared_dir
-from wakeline.sources import archive, models, tables
+from wakeline.sources import archive, files, models, tables
 
 
 def fleet(spark, n=400, day="2024-12-25"):
@@ -64,7 +64,29 @@ def test_reference_model_is_reused_until_refit(spark):
     assert len(again.clusterCenters()) == len(first.clusterCenters()) == 3
     _, refit = models.load_or_fit(features, base, refit=True, k=4)
     assert len(refit.clusterCenters()) == 4
-    assert models.load_reference(shared_dir(spark, "none")) is None
+    assert models.load_reference(spark, shared_dir(spark, "none")) is None
+
+
+def test_unreadable_reference_is_not_replaced(spark):
+    base = shared_dir(spark, "models")
+    features = cluster.behaviour_features(fleet(spark))
+    models.load_or_fit(features, base, k=3)
+    scaler = f"{base}/{models.REFERENCE}/{models.SCALER}"
+    files.rename(spark, scaler, f"{base}/aside")
+    with pytest.raises(Exception):
+        models.load_or_fit(features, base, k=3)
+    files.rename(spark, f"{base}/aside", scaler)
+    assert models.load_reference(spark, base) is not None
+
+
+def test_breakdown_keeps_all_clusters(spark):
+    found = spark.range(24).selectExpr(
+        "id % 12 as cluster_id", "id = 3 as is_anomaly", "1.5D as sog_knots",
+        "0.5D as distance_to_centroid")
+    assert reports.cluster_breakdown(found).count() == 12
+    assert reports.vessels_per_cluster(found).count() == 12
+    label = reports.anomaly_split(found, 90.0).first()["fleet_status"]
+    assert label == "Outlier / Anomaly (Distance > P90)"
 
 
 def test_daily_chain(spark):

@@ -4,13 +4,14 @@ import re
 
 import pytest
 
-from tests.helpers import positions
-from wakeline.operators import cluster, sessions
+from tests.helpers import messages, positions, record
+from wakeline.operators import cluster, sessions, stats
 from wakeline.operators.cluster import BehaviourModel
 from wakeline.operators.latest import latest_by_key
 from wakeline.operators.spatial import ports_in_range
 from wakeline.plans import kpi
 from wakeline.plans.daily import seed_ports
+from wakeline.plans.history import clean_history
 from wakeline.session import shared_dir
 from wakeline.sources import archive
 
@@ -85,3 +86,37 @@ def test_clustering_uses_no_python_workers(spark, stored):
     text = plan(cluster.flag_outliers(cluster.assign_clusters(features, model)))
     assert "Python" not in text
     assert "BroadcastHashJoin" in text
+
+
+def test_histogram_broadcasts_its_ranges(spark, stored):
+    found = stats.histogram(archive.read_archive(spark, stored), ("VesselType",), "SOG")
+    text = plan(found)
+    assert "SortMergeJoin" not in text and "BroadcastHashJoin" in text
+
+
+def test_outlier_plan_starts_no_job(spark, stored):
+    model = BehaviourModel((0.0,) * 5, (1.0,) * 5, ((0.0,) * 5, (1.0,) * 5))
+    features = cluster.behaviour_features(archive.read_archive(spark, stored))
+    assigned = cluster.assign_clusters(features, model)
+    tracker = spark.sparkContext.statusTracker()
+    spark.sparkContext.setJobGroup("plans", "no job expected")
+    try:
+        cluster.flag_outliers(assigned)
+        assert not tracker.getJobIdsForGroup("plans")
+    finally:
+        spark.sparkContext._jsc.clearJobGroup()
+
+
+def test_history_parses_each_message_once(spark):
+    folder = shared_dir(spark, "topic")
+    messages(spark, [record(), record(SOG="3")]).write.parquet(folder)
+    found = clean_history(spark.read.parquet(folder))
+    assert "from_json" not in plan(found)
+    assert found.count() == 1
+
+
+def test_fine_grid_names_each_cell_once(spark):
+    pings = positions(spark, [(1, "2024-12-25 10:00:00", 10.0 + i / 1e5, 20.0)
+                              for i in range(3)])
+    found = kpi.route_density_grid(pings, grid_cell_deg=0.00001).collect()
+    assert [(r["grid_lat"], r["grid_lon"], r["ping_count"]) for r in found] == [(10.0, 20.0, 3)]

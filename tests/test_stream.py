@@ -8,7 +8,8 @@ from tests.helpers import messages, record, rows
 from wakeline.__main__ import build_parser, run
 from wakeline.schema import RAW_FIELDS
 from wakeline.session import shared_dir
-from wakeline.sources import archive
+from wakeline.plans.daily import seed_ports
+from wakeline.sources import archive, files
 from wakeline.streaming import pipeline
 from wakeline.streaming.positions import clean_batch, clean_stream, late_rows
 from wakeline.streaming.sinks import fan_out
@@ -54,7 +55,7 @@ def test_stream_equals_batch(spark):
     assert sorted(a["mmsi"] for a in sent) == [366000001, 366000002]
     assert set(sent[0]) == {"mmsi", "vessel_name", "sog_knots", "lat", "lon", "base_date_time",
                             "nav_status", "alert_type", "threshold_knots", "detected_at"}
-    state = pipeline.fleet_snapshot(spark, paths.fleet_state).read()
+    state = pipeline.fleet_state(spark, paths.fleet_state)
     assert rows(state.select("mmsi", "event_ts")) == [
         (366000001, datetime(2024, 12, 25, 10, 5)), (366000002, datetime(2024, 12, 25, 10)),
         (366000003, datetime(2024, 12, 26)),
@@ -65,12 +66,54 @@ def test_repeated_batch_changes_nothing(spark):
     paths = pipeline.StreamPaths(shared_dir(spark, "stream"))
     handle = fan_out(pipeline.default_sinks(spark, paths))
     batch = clean_batch(messages(spark, VALUES)).clean
-    for _ in range(2):
-        handle(batch, 0)
+    handle(batch, 0)
+    # Only after a restart can a batch come again.
+    fan_out(pipeline.default_sinks(spark, paths))(batch, 0)
     assert archive.read_archive(spark, paths.archive).count() == batch.count()
     assert archive.read_archive(spark, paths.alerts).count() == 2
 
 
+def test_second_run_with_a_fresh_checkpoint_loses_nothing(spark):
+    first, second = VALUES[:5], VALUES[5:]
+    base = shared_dir(spark, "stream")
+    for number, values in enumerate((first, second)):
+        paths = pipeline.StreamPaths(base)
+        source = pipeline.message_files(spark, topic(spark, [values]), max_files=1)
+        folder = f"{base}/checkpoints-{number}"
+        checkpoints = type("Paths", (pipeline.StreamPaths,), {
+            "checkpoint": lambda self, query, folder=folder: f"{folder}/{query}"})(base)
+        query = pipeline.start_pipeline(
+            source, checkpoints, pipeline.default_sinks(spark, paths), watermark="30 days")[0]
+        query.awaitTermination()
+    expected = clean_batch(messages(spark, VALUES)).clean
+    found = archive.read_archive(spark, paths.archive)
+    assert rows(found.select(*RAW_FIELDS)) == rows(expected.select(*RAW_FIELDS))
+    pipeline.compact(spark, paths, "2024-12-25")
+    assert archive.read_archive(spark, paths.archive).count() == expected.count()
+
+
+def test_backfill_takes_days_in_any_order(spark):
+    base = shared_dir(spark, "backfill")
+    late_first = [record(BaseDateTime=f"2024-12-{d:02d}T10:00:00") for d in (31, 25, 28, 1)]
+    folder = topic(spark, [[value] for value in late_first])
+    for _ in range(2):
+        run(spark, build_parser().parse_args(
+            ["stream", "--base", base, "--topic-files", folder]))
+    assert archive.read_archive(spark, f"{base}/archive").count() == 4
+    assert pipeline.fleet_state(spark, f"{base}/active_fleet_state").first()["event_ts"] == (
+        datetime(2024, 12, 31, 10))
+
+
+def test_dropped_rows_are_written_down(spark):
+    times = ["2024-12-31T10:00:00", "2024-12-31T10:00:05", "2024-12-25T10:00:00"]
+    paths = pipeline.StreamPaths(shared_dir(spark, "late"))
+    source = pipeline.message_files(
+        spark, topic(spark, [[record(BaseDateTime=t)] for t in times]), max_files=1)
+    pipeline.run_pipeline(source, paths, pipeline.default_sinks(spark, paths))
+    found = spark.read.parquet(paths.late_rows).collect()
+    assert [(r["query"], r["late_rows"]) for r in found] == [("positions", 1)]
+
+
 def test_failing_sink_fails_the_query(spark):
     def broken(batch, batch_id):
         raise ValueError("sink is down")
@@ -98,7 +141,7 @@ def test_late_rows_are_counted(spark):
 
 
 def test_triggers():
-    assert pipeline.trigger("backfill") == {"availableNow": True}
+    assert pipeline.trigger("drain") == {"availableNow": True}
     assert pipeline.trigger("live", 2) == {"processingTime": "2 seconds"}
     with pytest.raises(ValueError):
         pipeline.trigger("sometimes")
@@ -106,15 +149,25 @@ def test_triggers():
 
 def test_jobs_from_the_command_line(spark):
     base = shared_dir(spark, "jobs")
+    before = set(files.children(spark, base.rsplit("/", 1)[0]))
     folder = topic(spark, [VALUES])
     parse = build_parser().parse_args
     run(spark, parse(["stream", "--base", base, "--topic-files", folder]))
     run(spark, parse(["history", "--results", f"{base}/history", "--topic-files", folder]))
     day = ["--archive", f"{base}/archive", "--results", f"{base}/results", "--exec-date",
            "2024-12-25"]
-    run(spark, parse(["kpis", *day]))
+    run(spark, parse(["compact", "--base", base, "--exec-date", "2024-12-25"]))
+    seed_ports(spark).write.parquet(f"{base}/ports")
+    run(spark, parse(["kpis", *day, "--ports", f"{base}/ports"]))
+    run(spark, parse(["visits", *day[:4], "--ports", f"{base}/ports"]))
+    assert spark.read.parquet(f"{base}/results/port_visits").count() > 0
     run(spark, parse(["clusters", *day, "--models", f"{base}/models", "--k", "2"]))
     run(spark, parse(["day", *day, "--models", f"{base}/models"]))
     kpis = spark.read.parquet(f"{base}/results/fleet_daily_kpis")
     assert kpis.agg(F.sum("ping_count")).first()[0] == 3
     assert spark.read.parquet(f"{base}/history").count() == 4
+    parent = shared_dir(spark, "x").rsplit("/", 1)[0]
+    left = [n for n in files.children(spark, parent)
+            if n.startswith(("wakeline-updates", "wakeline-unique", "wakeline-vessel",
+                             "wakeline-backfill", "wakeline-compact"))]
+    assert not [n for n in left if n not in before]

@@ -5,7 +5,7 @@ from pyspark.sql import functions as F
 
 from tests.helpers import positions, raw_frame, record, rows
 from wakeline.operators.latest import latest_by_key, replace_day, upsert
-from wakeline.operators.quality import GateError, duplicate_keys, require_rows
+from wakeline.operators.quality import GateError, require_rows
 from wakeline.plans.daily import seed_ports
 from wakeline.schema import FLEET_STATE_SCHEMA, PORT_SCHEMA
 from wakeline.session import shared_dir
@@ -87,53 +87,82 @@ def test_stored_upsert_rewrites_only_touched_days(spark):
     assert files.children(spark, f"{path}/kpi_date=2024-12-24") == untouched
 
 
+def test_stray_days_fail_the_upsert(spark):
+    path = shared_dir(spark, "t")
+    mixed = day_rows(spark, (25, 1), (26, 2))
+    for _ in range(2):  # before and after the first write
+        with pytest.raises(Exception, match="row outside of 2024-12-25: 2024-12-26"):
+            tables.upsert_table(mixed, path, ["kpi_date", "v"], days=["2024-12-25"])
+        tables.upsert_table(day_rows(spark, (25, 1)), path, ["kpi_date", "v"],
+                            days=["2024-12-25"])
+    assert tables.read_table(spark, path).count() == 1
+    with pytest.raises(Exception, match="no day"):
+        tables.upsert_table(
+            spark.createDataFrame([(None, 1)], "kpi_date DATE, v INT"), path, ["v"],
+            days=["2024-12-25"])
+
+
+def test_rows_without_a_day_are_upserted_once(spark):
+    path = shared_dir(spark, "t")
+    update = spark.createDataFrame([(None, 1), (None, 2)], "kpi_date DATE, v INT")
+    for _ in range(2):
+        tables.upsert_table(update, path, ["kpi_date", "v"])
+    assert tables.read_table(spark, path).count() == 2
+
+
 def state(spark, *items):
     return spark.createDataFrame(
-        [(k, "n", 0.0, 0.0, s, None, None, None, datetime(2024, 12, 25, h), None)
-         for k, h, s in items], FLEET_STATE_SCHEMA)
+        [(k, "n", 0.0, 0.0, "POINT(0.0 0.0)", s, None, None, None, datetime(2024, 12, d, h), None)
+         for k, d, h, s in items], FLEET_STATE_SCHEMA).withColumn(
+        "event_date", F.to_date("event_ts"))
 
 
-def test_snapshot_versions(spark):
-    snapshot = tables.KeyedSnapshot(spark, shared_dir(spark, "s"), FLEET_STATE_SCHEMA, ["mmsi"],
-                                    newer_by="event_ts")
-    assert snapshot.read().count() == 0
-    snapshot.merge(state(spark, (1, 5, 1.0), (2, 5, 1.0)))
-    update = state(spark, (1, 3, 9.0), (2, 6, 9.0), (3, 1, 9.0))
-    expected = [(1, 1.0), (2, 9.0), (3, 9.0)]
-    for _ in range(2):
-        snapshot.merge(update)
-        assert rows(snapshot.read().select("mmsi", "sog_knots")) == expected
-    assert snapshot.versions() == [1, 2]
+def test_state_of_appended_changes(spark):
+    path = shared_dir(spark, "s")
 
+    def current():
+        found = tables.latest_state(spark, path, FLEET_STATE_SCHEMA, ["mmsi"], "event_ts")
+        return rows(found.select("mmsi", "sog_knots"))
 
-def test_unfinished_version_is_written_over(spark):
-    snapshot = tables.KeyedSnapshot(spark, shared_dir(spark, "s"), FLEET_STATE_SCHEMA, ["mmsi"],
-                                    newer_by="event_ts")
-    snapshot.merge(state(spark, (1, 5, 1.0)))
-    state(spark, (9, 9, 9.0)).write.parquet(snapshot._folder(1))
-    files.remove(spark, f"{snapshot._folder(1)}/_SUCCESS")
-    assert rows(snapshot.read().select("mmsi")) == [(1,)]
-    snapshot.merge(state(spark, (2, 5, 1.0)))
-    assert rows(snapshot.read().select("mmsi")) == [(1,), (2,)]
+    assert current() == []
+    archive.append_by_date(state(spark, (1, 25, 5, 1.0), (2, 25, 5, 1.0)), path, "event_date")
+    update = state(spark, (1, 25, 3, 9.0), (2, 25, 6, 9.0), (3, 24, 1, 9.0))
+    expected = [(1, 1.0), (2, 9.0), (3, 9.0)]
+    for _ in range(2):
+        archive.append_by_date(update, path, "event_date")
+        assert current() == expected
+    tables.compact_changes(spark, path, "2024-12-25", FLEET_STATE_SCHEMA, ["mmsi"], "event_ts",
+                           "event_date")
+    assert current() == expected
+    assert spark.read.parquet(f"{path}/event_date=2024-12-25").count() == 2
+    tables.compact_changes(spark, path, "2024-12-01", FLEET_STATE_SCHEMA, ["mmsi"], "event_ts",
+                           "event_date")
 
 
 def test_archive_days_and_batches(spark):
     path = shared_dir(spark, "a")
     pings = positions(spark, [(k, f"2024-12-{d} 10:00:00", 0.0, 0.0)
                               for d in (24, 25, 26) for k in range(10)])
+    key = ["MMSI", "BaseDateTime"]
     for batch in (0, 0, 1):
-        archive.write_batch(pings.filter(F.col("MMSI") % 2 == batch), path, batch)
-    archive.write_marker(spark, path, 1)
+        archive.append_new(pings.filter(F.col("MMSI") % 2 == batch), path, key)
+    archive.write_marker(spark, path, 1, "run")
     assert archive.read_archive(spark, path).count() == 30
-    assert "batch_id" not in archive.read_archive(spark, path).columns
+    folders = [n for n in files.children(spark, path) if n.startswith("date=")]
+    assert len(folders) == 3 and not [n for n in files.children(spark, f"{path}/{folders[0]}")
+                                      if "=" in n]
     day = archive.read_days(spark, path, "2024-12-25")
     assert day.count() == 10
     assert "PartitionFilters: [isnotnull(date" in day._jdf.queryExecution().executedPlan().toString()
     assert archive.read_day_with_previous(spark, path, "2024-12-25").count() == 20
     assert archive.read_day_with_previous(spark, path, "2024-12-24").count() == 10
+    assert archive.read_archive(spark, path, [date(2024, 12, 1)]) is None
     archive.require_day(spark, path, "2024-12-25")
     with pytest.raises(GateError):
         archive.require_day(spark, path, "2024-12-31")
+    archive.append_by_date(day, path)
+    archive.compact_day(spark, path, "2024-12-25", key)
+    assert archive.read_archive(spark, path).count() == 30
 
 
 def test_one_large_day_is_split_over_files(spark):
@@ -180,24 +209,6 @@ def test_csv_archive_rules(spark):
         csv_archive.require_archive_rows(spark, [empty, f"{folder}/missing.csv"])
 
 
-def test_first_rows_of_each_file(spark):
-    folder = shared_dir(spark, "csv")
-    paths = []
-    for number in range(3):
-        lines = [f"{number}{i:08d},{'x' * 50}" for i in range(400)]
-        paths.append(write_text(spark, folder, f"{number}.csv",
-                                "MMSI,VesselName\n" + "\n".join(lines) + "\n"))
-    before = spark.conf.get("spark.sql.files.maxPartitionBytes")
-    spark.conf.set("spark.sql.files.maxPartitionBytes", "5000")
-    try:
-        found = csv_archive.read_archive(spark, paths, max_rows_per_file=150)
-        assert rows(found.select("MMSI")) == [
-            (f"{number}{i:08d}",) for number in range(3) for i in range(150)
-        ]
-    finally:
-        spark.conf.set("spark.sql.files.maxPartitionBytes", before)
-
-
 def test_row_gate(spark):
     full, none = day_rows(spark, (25, 1), (25, 2)), day_rows(spark, (24, 1))
     assert require_rows({"a": full, "b": none}, "2024-12-25", ["a"]) == {"a": 2, "b": 0}
@@ -205,12 +216,6 @@ def test_row_gate(spark):
         require_rows({"a": full, "b": none}, "2024-12-25", ["a", "b"])
 
 
-def test_duplicate_keys(spark):
-    assert rows(duplicate_keys(spark.createDataFrame([(1, 1), (1, 2), (2, 1)], KV), ["k"])) == [
-        (1, 2)
-    ]
-
-
 def test_seeding_ports_twice_keeps_changes_out(spark):
     path = shared_dir(spark, "ports")
     old = spark.createDataFrame([("US_HOU", "Old name", 0.0, 0.0, 1.0), ("X", "x", 1.0, 1.0, 2.0)],
@@ -299,10 +304,7 @@ def test_jdbc_stream_sinks(spark, monkeypatch):
 def test_view_of_latest_state(spark):
     from wakeline.plans.reports import fleet_view
 
-    row = (1, "n", "POINT(-95.1 29.8)", 1.0, 2.0, 3.0, "0", datetime(2024, 12, 25))
-    table = spark.createDataFrame([row], "mmsi BIGINT, vessel_name STRING, geom_wkt STRING,"
-                                  " sog_knots DOUBLE, cog_degrees DOUBLE, heading_degrees DOUBLE,"
-                                  " nav_status STRING, last_updated TIMESTAMP")
+    table = state(spark, (1, 25, 5, 1.0)).withColumn("geom_wkt", F.lit("POINT(-95.1 29.8)"))
     fleet_view(table).createOrReplaceTempView("v_active_fleet_state")
     found = spark.sql("SELECT lat, lon FROM v_active_fleet_state").first()
     assert (found["lat"], found["lon"]) == (29.8, -95.1)

@@ -1,10 +1,16 @@
 """Command line of the jobs, for spark-submit:
 
     python -m wakeline stream   --base PATH (--topic-files PATH | --servers HOSTS --topic NAME)
-    python -m wakeline kpis     --archive PATH --results PATH --exec-date DAY
+    python -m wakeline compact  --base PATH --exec-date DAY
+    python -m wakeline kpis     --archive PATH --results PATH --exec-date DAY [--ports PATH]
     python -m wakeline clusters --archive PATH --results PATH --models PATH --exec-date DAY
     python -m wakeline day      --archive PATH --results PATH --models PATH --exec-date DAY
+    python -m wakeline visits   --archive PATH --results PATH [--ports PATH]
     python -m wakeline history  --topic-files PATH --results PATH
+    python -m wakeline publish  --results PATH --exec-date DAY --jdbc-url URL
+
+`stream --mode backfill` cleans everything that is there in one batch, in any order of time. `drain`
+and `live` are streams: rows behind the watermark are dropped, and counted in BASE/late_rows.
 """
 
 from __future__ import annotations
@@ -20,8 +26,8 @@ from pyspark.sql import DataFrame, SparkSession
 from wakeline import schema
 from wakeline.plans import daily
 from wakeline.plans.history import clean_history
-from wakeline.session import build_session
-from wakeline.sources import archive, messages
+from wakeline.session import build_session, remove_intermediates
+from wakeline.sources import archive, jdbc, messages
 from wakeline.streaming import pipeline
 
 
@@ -38,7 +44,8 @@ def build_parser() -> argparse.ArgumentParser:
     stream = jobs.add_parser("stream", help="clean positions and feed the sinks")
     add_topic(stream)
     stream.add_argument("--base", required=True)
-    stream.add_argument("--mode", choices=("backfill", "live"), default="backfill")
+    stream.add_argument("--mode", choices=("backfill", "drain", "live"),
+                        default="backfill")
     stream.add_argument("--alert-threshold", type=float, default=schema.ALERT_THRESHOLD_KNOTS)
     stream.add_argument("--alert-topic", help="publish alerts to this topic as well")
     stream.add_argument("--watermark", default=schema.WATERMARK)
@@ -51,7 +58,16 @@ def build_parser() -> argparse.ArgumentParser:
         job.add_argument("--results", required=True)
         job.add_argument("--exec-date", default=yesterday)
 
+    def add_ports(job: argparse.ArgumentParser) -> None:
+        job.add_argument("--ports", help="Parquet table of ports; the ten built-in ones otherwise")
+        job.add_argument("--ports-jdbc-url", help="database that holds the port table")
+        add_properties(job)
+
+    def add_properties(job: argparse.ArgumentParser) -> None:
+        job.add_argument("--jdbc-property", action="append", default=[], metavar="KEY=VALUE")
+
     def add_kpis(job: argparse.ArgumentParser) -> None:
+        add_ports(job)
         job.add_argument("--port-radius-nm", type=float, default=schema.DEFAULT_PORT_RADIUS_NM)
         job.add_argument("--grid-cell-deg", type=float, default=schema.GRID_STEP_DEG)
         job.add_argument("--alert-threshold", type=float, default=schema.ALERT_THRESHOLD_KNOTS)
@@ -69,6 +85,22 @@ def build_parser() -> argparse.ArgumentParser:
         for part in parts:
             part(job)
 
+    compact = jobs.add_parser("compact", help="rewrite a closed day of the stream's folders")
+    compact.add_argument("--base", required=True)
+    compact.add_argument("--exec-date", default=yesterday)
+
+    visits = jobs.add_parser("visits", help="complete port visits of the whole archive")
+    visits.add_argument("--archive", required=True)
+    visits.add_argument("--results", required=True)
+    visits.add_argument("--port-radius-nm", type=float, default=schema.DEFAULT_PORT_RADIUS_NM)
+    add_ports(visits)
+
+    publish = jobs.add_parser("publish", help="copy a day's result tables to a database")
+    publish.add_argument("--results", required=True)
+    publish.add_argument("--exec-date", default=yesterday)
+    publish.add_argument("--jdbc-url", required=True)
+    add_properties(publish)
+
     history = jobs.add_parser("history", help="clean all messages in one batch")
     add_topic(history)
     history.add_argument("--results", required=True)
@@ -86,8 +118,22 @@ def _topic(spark: SparkSession, args: argparse.Namespace, streaming: bool) -> Da
     return messages.read_topic(spark, args.servers, args.topic, streaming, limit)
 
 
+def _target(url: str, args: argparse.Namespace) -> jdbc.JdbcTarget:
+    return jdbc.JdbcTarget(url, dict(p.split("=", 1) for p in args.jdbc_property))
+
+
+def _ports(spark: SparkSession, args: argparse.Namespace) -> DataFrame:
+    if args.ports_jdbc_url:
+        return jdbc.read_query(spark, _target(args.ports_jdbc_url, args), jdbc.PORT_QUERY)
+    return daily.port_table(spark, args.ports)
+
+
 def _stream(spark: SparkSession, args: argparse.Namespace) -> None:
     paths = pipeline.StreamPaths(args.base.rstrip("/"))
+    if args.mode == "backfill":
+        pipeline.backfill(_topic(spark, args, False), paths, args.alert_threshold,
+                          args.max_records_per_file)
+        return
     publish = None
     if args.alert_topic:
         publish = partial(messages.write_topic, servers=args.servers, topic=args.alert_topic)
@@ -109,18 +155,32 @@ def _cluster_options(args: argparse.Namespace) -> dict:
 
 
 def run(spark: SparkSession, args: argparse.Namespace) -> None:
+    try:
+        _run(spark, args)
+    finally:
+        remove_intermediates(spark)
+
+
+def _run(spark: SparkSession, args: argparse.Namespace) -> None:
     if args.job == "stream":
         _stream(spark, args)
     elif args.job == "history":
         archive.write_by_date(clean_history(_topic(spark, args, False)), args.results)
     elif args.job == "kpis":
-        daily.daily_kpis(spark, args.archive, args.results, daily.seed_ports(spark),
+        daily.daily_kpis(spark, args.archive, args.results, _ports(spark, args),
                          args.exec_date, **_kpi_options(args))
     elif args.job == "clusters":
         daily.daily_clusters(spark, args.archive, args.results, args.models, args.exec_date,
                              **_cluster_options(args))
+    elif args.job == "compact":
+        pipeline.compact(spark, pipeline.StreamPaths(args.base.rstrip("/")), args.exec_date)
+    elif args.job == "visits":
+        daily.all_visits(spark, args.archive, args.results, _ports(spark, args),
+                         args.port_radius_nm)
+    elif args.job == "publish":
+        daily.publish_day(spark, args.results, _target(args.jdbc_url, args), args.exec_date)
     else:
-        daily.run_day(spark, args.archive, args.results, args.models, daily.seed_ports(spark),
+        daily.run_day(spark, args.archive, args.results, args.models, _ports(spark, args),
                       args.exec_date, **_kpi_options(args), **_cluster_options(args))
 
 

@@ -7,7 +7,7 @@ from collections.abc import Sequence
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from wakeline.operators.joins import SALTS, dimension_join
+from wakeline.operators.joins import dimension_join
 from wakeline.schema import VESSEL_ATTRIBUTES
 from wakeline.session import materialize
 
@@ -23,7 +23,7 @@ def vessel_reference(positions: DataFrame, key: str = "MMSI", ts: str = "BaseDat
 
 def recover_attributes(positions: DataFrame, key: str = "MMSI", ts: str = "BaseDateTime",
                        columns: Sequence[str] = VESSEL_ATTRIBUTES,
-                       max_broadcast_vessels: int = 100_000, salts: int = SALTS) -> DataFrame:
+                       max_broadcast_vessels: int = 100_000, salts: int | None = None) -> DataFrame:
     """Fill missing attributes of a position from its vessel's reference row.
 
     The reference is written first, so its size is known: a fleet of usual size is broadcast and

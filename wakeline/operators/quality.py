@@ -35,10 +35,3 @@ def require_rows(tables: Mapping[str, DataFrame], day: str, required: Sequence[s
     if empty:
         raise GateError(f"no rows for {day} in {', '.join(empty)}")
     return counts
-
-
-def duplicate_keys(df: DataFrame, keys: Sequence[str]) -> DataFrame:
-    """Keys that occur more than once, with their number of rows."""
-    return (
-        df.groupBy(*keys).agg(F.count("*").alias("row_count")).filter(F.col("row_count") > 1)
-    )

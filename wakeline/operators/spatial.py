@@ -8,7 +8,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from wakeline.functions import geo
-from wakeline.operators.joins import BROADCAST_ROWS, SALTS, dimension_join
+from wakeline.operators.joins import BROADCAST_ROWS, dimension_join
 from wakeline.schema import DEFAULT_PORT_RADIUS_NM
 
 CELL_DEG = 0.25
@@ -47,7 +47,7 @@ def ports_in_range(
     cell_deg: float = CELL_DEG,
     spread_by: Sequence[str] = ("MMSI", "BaseDateTime"),
     max_broadcast_rows: int = BROADCAST_ROWS,
-    salts: int = SALTS,
+    salts: int | None = None,
 ) -> DataFrame:
     """Every position paired with each port whose radius it lies in, with `dist_nm`.
 
@@ -89,6 +89,36 @@ def ports_in_range(
     )
 
 
+def positions_in_zones(positions: DataFrame, zones: DataFrame, cell_deg: float = CELL_DEG,
+                       spread_by: Sequence[str] = ("MMSI", "BaseDateTime"),
+                       max_broadcast_rows: int = BROADCAST_ROWS) -> DataFrame:
+    """Every position paired with each rectangular zone (its border included) it lies in.
+
+    `geom_wkt` of a zone is a rectangle along the axes. Zones are met by grid cell, as ports are.
+    """
+    def bounds(number: int) -> tuple[Column, Column]:
+        texts = F.regexp_extract_all(
+            F.col("geom_wkt"), F.lit(r"(-?[0-9.]+)\s+(-?[0-9.]+)"), F.lit(number))
+        values = texts.cast("array<double>")
+        return F.array_min(values), F.array_max(values)
+
+    (west, east), (south, north) = bounds(1), bounds(2)
+    boxed = zones.withColumns({"_west": west, "_east": east, "_south": south, "_north": north})
+    listed = (
+        boxed
+        .withColumn("_lat_cell", F.explode(_span(F.col("_south"), F.col("_north"), cell_deg)))
+        .withColumn("_lon_cell", F.explode(_lon_span(F.col("_west"), F.col("_east"), cell_deg)))
+    )
+    met = dimension_join(
+        _with_position_cells(positions, cell_deg), listed, ("_lat_cell", "_lon_cell"),
+        spread_by, "inner", max_broadcast_rows,
+    )
+    inside = F.col("LAT").between(F.col("_south"), F.col("_north")) & F.col("LON").between(
+        F.col("_west"), F.col("_east"))
+    return met.filter(inside).drop(
+        "_lat_cell", "_lon_cell", "_west", "_east", "_south", "_north")
+
+
 def link_zones_to_ports(zones: DataFrame, ports: DataFrame) -> DataFrame:
     """Fill port_ref_id of zones from the port that bears the same name."""
     named = ports.select(F.col("port_name"), F.col("port_id").alias("_port_id"))

@@ -40,15 +40,21 @@ def five_numbers(df: DataFrame, groups: Sequence[str], value: str) -> DataFrame:
     )
 
 
-def histogram(df: DataFrame, groups: Sequence[str], value: str, bins: int = 30) -> DataFrame:
+def histogram(df: DataFrame, groups: Sequence[str], value: str, bins: int = 30,
+              few_groups: bool = True) -> DataFrame:
     """Equal-width histogram per group over the group's own range, with density.
 
+    The ranges, one row per group, are broadcast: clusters and days are at most some ten thousand.
+    Set few_groups to False for keys that grow with the data.
+
     Bins are closed on the left; the last one also holds the maximum. A group with a single
     distinct value gets a range of one unit around it.
     """
     known = df.filter(F.col(value).isNotNull()).select(*groups, F.col(value).alias("_v"))
-    ranges = known.groupBy(*groups).agg(
-        F.min("_v").alias("_lo"), F.max("_v").alias("_hi"), F.count("*").alias("_total")
+    # Counting equal values first keeps everything after it small when values are rounded.
+    counted = known.groupBy(*groups, "_v").agg(F.count("*").alias("_n"))
+    ranges = counted.groupBy(*groups).agg(
+        F.min("_v").alias("_lo"), F.max("_v").alias("_hi"), F.sum("_n").alias("_total")
     )
     flat = F.col("_lo") == F.col("_hi")
     ranges = ranges.select(
@@ -56,8 +62,8 @@ def histogram(df: DataFrame, groups: Sequence[str], value: str, bins: int = 30)
         F.when(flat, F.col("_lo") - 0.5).otherwise(F.col("_lo")).alias("_lo"),
         F.when(flat, F.col("_hi") + 0.5).otherwise(F.col("_hi")).alias("_hi"),
     )
-    # Counting equal values first keeps the join small when values are rounded.
-    counted = known.groupBy(*groups, "_v").agg(F.count("*").alias("_n"))
+    if few_groups:
+        ranges = F.broadcast(ranges)
     width = (F.col("_hi") - F.col("_lo")) / bins
     index = F.least(F.floor((F.col("_v") - F.col("_lo")) / width).cast("int"), F.lit(bins - 1))
     binned = (

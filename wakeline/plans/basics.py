@@ -5,8 +5,9 @@ from __future__ import annotations
 from collections.abc import Sequence
 from functools import reduce
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.types import StructType
 
 
 def filtered_counts(df: DataFrame, condition: Column, group: str) -> DataFrame:
@@ -26,23 +27,31 @@ def union_all(parts: Sequence[DataFrame]) -> DataFrame:
     return reduce(DataFrame.unionByName, parts)
 
 
-def most_frequent(df: DataFrame, group: str) -> DataFrame:
-    """The group (or groups, when equal) with the most rows.
+def most_frequent(df: DataFrame, group: str, weight: str | None = None) -> DataFrame:
+    """The group (or groups, when equal) with the most rows, or the greatest sum of `weight`.
 
     The greatest count is one row, which is joined back to the counts of the groups.
     """
-    counts = df.groupBy(group).agg(F.count("*").alias("row_count"))
+    rows = F.count("*") if weight is None else F.sum(weight)
+    counts = df.groupBy(group).agg(rows.alias("row_count"))
     greatest = counts.agg(F.max("row_count").alias("row_count"))
     return counts.join(greatest, "row_count").select(group, "row_count")
 
 
 def month_table(df: DataFrame, ts: str, years: Sequence[int]) -> DataFrame:
-    """Rows per month, one column per year."""
-    return (
-        df.groupBy(F.month(ts).alias("month")).pivot("year", list(years))
-        .agg(F.count(F.lit(1)))
-        .select("month", *(F.col(f"{y}").alias(f"n_{y}") for y in years))
-    )
+    """Rows per month, one column per year; one scan, combined before the shuffle."""
+    return df.groupBy(F.month(ts).alias("month")).agg(
+        *(F.count_if(F.year(ts) == year).alias(f"n_{year}") for year in years))
+
+
+def write_delimited(df: DataFrame, path: str, sep: str = ";") -> None:
+    """Delimited text with a header line and every value quoted."""
+    df.write.options(header=True, sep=sep, quoteAll=True).csv(path)
+
+
+def read_delimited(spark: SparkSession, path: str, schema: StructType,
+                   sep: str = ";") -> DataFrame:
+    return spark.read.schema(schema).options(header=True, sep=sep).csv(path)
 
 
 def per_day(table: DataFrame, years: Sequence[int]) -> DataFrame:

@@ -38,6 +38,23 @@ def seed_ports(spark: SparkSession, path: str | None = None) -> DataFrame:
     return upsert(known, seed, ["port_id"], ["port_name", "port_lon", "port_lat", "radius_nm"])
 
 
+def port_table(spark: SparkSession, path: str | None = None) -> DataFrame:
+    """The ports of a stored table, or the seeded ones without a path."""
+    if path is None:
+        return seed_ports(spark)
+    return spark.read.parquet(path).select(*PORT_SCHEMA.fieldNames())
+
+
+def all_visits(spark: SparkSession, archive_path: str, results: str, ports: DataFrame,
+               port_radius_nm: float = DEFAULT_PORT_RADIUS_NM) -> None:
+    """Write the complete port visits of the whole archive beside the daily tables.
+
+    port_dwell_times follows the daily rule, which loses visits; this table has all of them.
+    """
+    visits = kpi.port_visits(archive.read_archive(spark, archive_path), ports, port_radius_nm)
+    archive.write_by_date(visits, f"{results}/port_visits", "kpi_date")
+
+
 def daily_kpis(spark: SparkSession, archive_path: str, results: str, ports: DataFrame, day: str,
                port_radius_nm: float = DEFAULT_PORT_RADIUS_NM,
                grid_cell_deg: float = GRID_STEP_DEG,

@@ -10,6 +10,7 @@ from wakeline.operators.attributes import recover_attributes
 from wakeline.operators.clean import add_time_parts, null_sentinels
 from wakeline.operators.dedup import drop_duplicates
 from wakeline.schema import CATEGORY_FIELDS, DOUBLE_FIELDS, INT_FIELDS, RAW_FIELDS, UNKNOWN
+from wakeline.session import materialize
 from wakeline.sources.messages import parse_messages
 
 DUPLICATE_KEY = ("MMSI", "BaseDateTime", "LAT", "LON")
@@ -52,7 +53,9 @@ def valid_history(typed: DataFrame) -> DataFrame:
 def clean_history(messages: DataFrame) -> DataFrame:
     """Cleaned, de-duplicated and completed positions of all messages."""
     parsed = parse_messages(messages, with_metadata=False)
-    unique = drop_duplicates(valid_history(typed_history(parsed)), DUPLICATE_KEY)
+    # Written once: the vessel reference and the rows it completes read columns, not messages.
+    unique = materialize(
+        drop_duplicates(valid_history(typed_history(parsed)), DUPLICATE_KEY), "unique-history")
     complete = add_time_parts(recover_attributes(unique), round_speed=True)
     return complete.withColumns(
         {name: F.coalesce(F.col(name), F.lit(UNKNOWN)) for name in CATEGORY_FIELDS}

@@ -35,6 +35,13 @@ def _only(df: DataFrame, first: str, last: str) -> DataFrame:
     )
 
 
+def pings_in_ports(positions: DataFrame, ports: DataFrame,
+                   default_radius_nm: float = DEFAULT_PORT_RADIUS_NM) -> DataFrame:
+    return ports_in_range(
+        positions.select("MMSI", "BaseDateTime", "LAT", "LON"), ports, default_radius_nm
+    )
+
+
 def port_visits(positions: DataFrame, ports: DataFrame,
                 default_radius_nm: float = DEFAULT_PORT_RADIUS_NM,
                 gap_seconds: int = SESSION_GAP_SECONDS) -> DataFrame:
@@ -42,9 +49,7 @@ def port_visits(positions: DataFrame, ports: DataFrame,
 
     Visits may span any number of days; none is deferred or cut at a day boundary.
     """
-    inside = ports_in_range(
-        positions.select("MMSI", "BaseDateTime", "LAT", "LON"), ports, default_radius_nm
-    )
+    inside = pings_in_ports(positions, ports, default_radius_nm)
     visits = gap_sessions(inside, ["MMSI", "port_id"], "BaseDateTime", gap_seconds)
     return visits.select(
         F.to_date("exit_ts").alias("kpi_date"), F.col("MMSI").cast("bigint").alias("mmsi"),
@@ -52,6 +57,18 @@ def port_visits(positions: DataFrame, ports: DataFrame,
     )
 
 
+def last_pings(positions: DataFrame) -> DataFrame:
+    """Time of the last position of each vessel and day."""
+    day = F.to_date("BaseDateTime")
+    return positions.groupBy("MMSI", day.alias("kpi_date")).agg(
+        F.max("BaseDateTime").alias("day_last_ping"))
+
+
+def with_last_ping(visits: DataFrame, positions: DataFrame) -> DataFrame:
+    """Visits (MMSI, kpi_date, ...) with the vessel's last position of the day, if there is one."""
+    return visits.join(last_pings(positions), ["MMSI", "kpi_date"], "left")
+
+
 def port_dwell_times(positions: DataFrame, ports: DataFrame, exec_date: str | None = None,
                      default_radius_nm: float = DEFAULT_PORT_RADIUS_NM,
                      gap_seconds: int = SESSION_GAP_SECONDS) -> DataFrame:
@@ -81,14 +98,15 @@ def port_dwell_times(positions: DataFrame, ports: DataFrame, exec_date: str | No
     )
     if exec_date is not None:
         visits = visits.filter(F.col("kpi_date") == F.to_date(F.lit(exec_date)))
-    last_seen = pings.groupBy("MMSI", F.to_date("BaseDateTime").alias("kpi_date")).agg(
-        F.max("BaseDateTime").alias("day_last_ping")
-    )
     end_of_day = F.unix_timestamp(F.date_add("kpi_date", 1).cast("timestamp")) - 1
+    # Only visits that end within the gap before midnight are looked up, and a later ping of the
+    # vessel falls into that time as well.
+    evening = pings.withColumn("kpi_date", F.to_date("BaseDateTime")).filter(
+        end_of_day - F.unix_timestamp("BaseDateTime") < gap_seconds)
     still_open = (end_of_day - F.unix_timestamp("exit_ts") < gap_seconds) & (
         F.col("day_last_ping").isNull() | (F.col("day_last_ping") <= F.col("exit_ts"))
     )
-    return visits.join(last_seen, ["MMSI", "kpi_date"], "left").filter(~still_open).select(
+    return with_last_ping(visits, evening).filter(~still_open).select(
         "kpi_date", F.col("MMSI").alias("mmsi"), F.col("port_id").cast("string").alias("port_id"),
         "entry_ts", "exit_ts", "dwell_minutes",
     )
@@ -118,7 +136,10 @@ def fleet_daily_kpis(positions: DataFrame, exec_date: str | None = None) -> Data
 
 def route_density_grid(positions: DataFrame, exec_date: str | None = None,
                        grid_cell_deg: float = GRID_STEP_DEG) -> DataFrame:
-    """Pings per day and grid cell; cells are counted by index and named afterwards."""
+    """Pings per day and grid cell; cells are counted by index and named afterwards.
+
+    Names have four digits, so cells of a finer step share names and are summed once more.
+    """
     if exec_date is not None:
         positions = _only(positions, exec_date, exec_date)
     step = float(grid_cell_deg)
@@ -131,10 +152,14 @@ def route_density_grid(positions: DataFrame, exec_date: str | None = None,
         )
         .agg(F.count("*").alias("ping_count"))
     )
-    return cells.select(
+    named = cells.select(
         "kpi_date", geo.grid_value(F.col("_lat"), step).alias("grid_lat"),
         geo.grid_value(F.col("_lon"), step).alias("grid_lon"), "ping_count",
     )
+    if round(step, 4) == step:
+        return named
+    return named.groupBy("kpi_date", "grid_lat", "grid_lon").agg(
+        F.sum("ping_count").alias("ping_count"))
 
 
 def speed_violations(positions: DataFrame,

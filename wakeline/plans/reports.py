@@ -8,9 +8,10 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from wakeline.functions import geo
+from wakeline.schema import ANOMALY_PERCENTILE
 
 # Labels shown in the anomaly split.
-ANOMALY_LABEL = "Outlier / Anomaly (Distance > P95)"
+ANOMALY_LABEL = "Outlier / Anomaly (Distance > P{percent:g})"
 NORMAL_LABEL = "Normal Navigation Profile"
 
 
@@ -31,8 +32,9 @@ def _cluster_label() -> Column:
     return F.concat(F.lit("Cluster "), F.col("cluster_id").cast("string"))
 
 
-def _fleet_status() -> Column:
-    return F.when(F.col("is_anomaly"), F.lit(ANOMALY_LABEL)).otherwise(F.lit(NORMAL_LABEL))
+def _fleet_status(percent: float) -> Column:
+    anomaly = F.lit(ANOMALY_LABEL.format(percent=percent))
+    return F.when(F.col("is_anomaly"), anomaly).otherwise(F.lit(NORMAL_LABEL))
 
 
 def _anomalies() -> Column:
@@ -55,11 +57,11 @@ def active_vessels(state: DataFrame) -> DataFrame:
     return state.agg(F.count_distinct("mmsi").alias("active_vessels"))
 
 
-def map_feed(state: DataFrame, limit: int = 10_000) -> DataFrame:
-    """Positions for a map, at most `limit` of them, newest first."""
+def map_feed(state: DataFrame) -> DataFrame:
+    """Positions for a map, newest first."""
     return state.select("mmsi", "lat", "lon", "last_updated").dropna(subset=["lat", "lon"]).orderBy(
         F.col("last_updated").desc(), "mmsi"
-    ).limit(limit)
+    )
 
 
 def recent_roster(state: DataFrame, limit: int = 100) -> DataFrame:
@@ -84,7 +86,12 @@ def alert_log(alerts: DataFrame, limit: int = 100) -> DataFrame:
 
 # --- port visits and fleet figures ------------------------------------------------------------
 
-def dwell_by_port(visits: DataFrame, limit: int = 20) -> DataFrame:
+def busiest_ports(visits: DataFrame, limit: int = 5) -> DataFrame:
+    """The `limit` ports with the longest average stay."""
+    return dwell_by_port(visits).limit(limit)
+
+
+def dwell_by_port(visits: DataFrame) -> DataFrame:
     """Ports with the longest average stay first."""
     return (
         visits.groupBy("port_id")
@@ -92,7 +99,7 @@ def dwell_by_port(visits: DataFrame, limit: int = 20) -> DataFrame:
             _mean("dwell_minutes", 1).alias("avg_dwell_minutes"),
             F.count("*").alias("dwell_events"),
         )
-        .orderBy(F.col("avg_dwell_minutes").desc(), "port_id").limit(limit)
+        .orderBy(F.col("avg_dwell_minutes").desc(), "port_id")
     )
 
 
@@ -107,7 +114,7 @@ def dwell_by_port_and_day(visits: DataFrame) -> DataFrame:
     )
 
 
-def speed_by_type(kpis: DataFrame, limit: int = 50) -> DataFrame:
+def speed_by_type(kpis: DataFrame) -> DataFrame:
     """Per vessel type over all days: pings, mean of the daily means, top speed."""
     return (
         kpis.groupBy("vessel_type")
@@ -116,7 +123,7 @@ def speed_by_type(kpis: DataFrame, limit: int = 50) -> DataFrame:
             _mean("avg_sog", 2).alias("avg_speed"),
             F.max("max_sog").alias("max_speed"),
         )
-        .orderBy(F.col("total_pings").desc(), "vessel_type").limit(limit)
+        .orderBy(F.col("total_pings").desc(), "vessel_type")
     )
 
 
@@ -148,9 +155,18 @@ def cluster_summary(clusters: DataFrame) -> DataFrame:
     )
 
 
-def labelled_rows(clusters: DataFrame) -> DataFrame:
+def rows_of_days(clusters: DataFrame) -> DataFrame:
+    """Rows and the range of vessels per day, in order of days."""
+    return clusters.groupBy("kpi_date").agg(
+        F.count("*").alias("rows_of_day"), F.min("mmsi").alias("lowest"),
+        F.max("mmsi").alias("highest"),
+    ).orderBy("kpi_date")
+
+
+def labelled_rows(clusters: DataFrame, percent: float = ANOMALY_PERCENTILE) -> DataFrame:
     return clusters.select(
-        "mmsi", _cluster_label().alias("cluster_label"), _fleet_status().alias("fleet_status")
+        "mmsi", _cluster_label().alias("cluster_label"),
+        _fleet_status(percent).alias("fleet_status"),
     )
 
 
@@ -158,15 +174,15 @@ def flagged_anomalies(clusters: DataFrame) -> DataFrame:
     return clusters.agg(_anomalies().alias("flagged_anomalies"))
 
 
-def vessels_per_cluster(clusters: DataFrame, limit: int = 10) -> DataFrame:
+def vessels_per_cluster(clusters: DataFrame) -> DataFrame:
     return (
         clusters.groupBy("cluster_id").agg(F.count("*").alias("vessel_count"))
-        .orderBy(F.col("vessel_count").desc(), "cluster_id").limit(limit)
+        .orderBy(F.col("vessel_count").desc(), "cluster_id")
         .select("cluster_id", _cluster_label().alias("cluster_label"), "vessel_count")
     )
 
 
-def cluster_breakdown(clusters: DataFrame, limit: int = 10) -> DataFrame:
+def cluster_breakdown(clusters: DataFrame) -> DataFrame:
     return (
         clusters.groupBy("cluster_id")
         .agg(
@@ -175,15 +191,15 @@ def cluster_breakdown(clusters: DataFrame, limit: int = 10) -> DataFrame:
             _mean("sog_knots", 2).alias("avg_speed"),
             _mean("distance_to_centroid", 4).alias("avg_centroid_dist"),
         )
-        .orderBy("cluster_id").limit(limit)
+        .orderBy("cluster_id")
     )
 
 
-def anomaly_split(clusters: DataFrame) -> DataFrame:
+def anomaly_split(clusters: DataFrame, percent: float = ANOMALY_PERCENTILE) -> DataFrame:
     return (
         clusters.groupBy("is_anomaly").agg(F.count("*").alias("vessel_count"))
         .orderBy(F.col("is_anomaly").desc())
-        .select(_fleet_status().alias("fleet_status"), "vessel_count")
+        .select(_fleet_status(percent).alias("fleet_status"), "vessel_count")
     )
 
 

@@ -16,6 +16,7 @@ from pyspark.sql.types import (
 
 CORRUPT = "_corrupt_record"
 
+# Names and groups of the source fields.
 RAW_FIELDS = (
     "MMSI", "BaseDateTime", "LAT", "LON", "SOG", "COG", "Heading", "VesselName", "IMO",
     "CallSign", "VesselType", "Status", "Length", "Width", "Draft", "Cargo", "TransceiverClass",
@@ -90,6 +91,7 @@ FLEET_STATE_SCHEMA = _struct(
     ("vessel_name", StringType()),
     ("lon", DoubleType()),
     ("lat", DoubleType()),
+    ("geom_wkt", StringType()),
     ("sog_knots", DoubleType()),
     ("cog_degrees", DoubleType()),
     ("heading_degrees", DoubleType()),

@@ -2,11 +2,12 @@
 
 from __future__ import annotations
 
-import tempfile
 import uuid
 
 from pyspark.sql import DataFrame, SparkSession
 
+from wakeline.sources import files
+
 # Runtime settings every job relies on. Partition counts and memory stay with the cluster.
 RUNTIME_CONF = {
     "spark.sql.session.timeZone": "UTC",
@@ -43,26 +44,33 @@ def build_session(app_name: str, streaming: bool = False) -> SparkSession:
     return configure(builder.getOrCreate(), streaming)
 
 
+_INTERMEDIATES: list[str] = []
+
+
 def shared_dir(spark: SparkSession, purpose: str) -> str:
     """A fresh folder for a written intermediate that every executor can reach.
 
-    The cluster names the parent in spark.checkpoint.dir. Only a local session without that
-    setting falls back to the machine's temporary folder.
+    The cluster names the parent in spark.checkpoint.dir; where it is unset, a folder below the
+    session's warehouse takes its place.
     """
     parent = spark.conf.get("spark.checkpoint.dir", None)
     if not parent:
-        if not spark.sparkContext.master.startswith("local"):
-            raise ValueError("set spark.checkpoint.dir to a folder all executors share")
-        parent = tempfile.mkdtemp(prefix="wakeline-")
-        spark.conf.set("spark.checkpoint.dir", parent)
+        parent = f"{spark.conf.get('spark.sql.warehouse.dir').rstrip('/')}/_intermediate"
     return f"{parent.rstrip('/')}/wakeline-{purpose}-{uuid.uuid4().hex}"
 
 
 def materialize(df: DataFrame, purpose: str) -> DataFrame:
     """Write an intermediate to the shared folder and read it back: computed once, plan cut.
 
-    The files outlive any executor. Meant for results much smaller than their input.
+    The files outlive any executor. remove_intermediates() deletes them when the job is done.
     """
     path = shared_dir(df.sparkSession, purpose)
     df.write.parquet(path)
+    _INTERMEDIATES.append(path)
     return df.sparkSession.read.schema(df.schema).parquet(path)
+
+
+def remove_intermediates(spark: SparkSession) -> None:
+    """Delete what materialize() has written; results that still read it must be stored by now."""
+    while _INTERMEDIATES:
+        files.remove(spark, _INTERMEDIATES.pop())

@@ -2,18 +2,18 @@
 
 from __future__ import annotations
 
+from collections.abc import Sequence
 from datetime import date, timedelta
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from wakeline.operators.dedup import drop_duplicates
 from wakeline.operators.quality import GateError
 from wakeline.schema import MAX_RECORDS_PER_FILE
+from wakeline.session import materialize
 from wakeline.sources import files
 
-BATCH = "batch_id"
-
-
 def write_by_date(df: DataFrame, path: str, date_col: str = "date", mode: str = "overwrite",
                   max_records: int = MAX_RECORDS_PER_FILE) -> None:
     """Write one folder per date.
@@ -27,28 +27,64 @@ def write_by_date(df: DataFrame, path: str, date_col: str = "date", mode: str =
      .partitionBy(date_col).parquet(path))
 
 
-def write_batch(df: DataFrame, path: str, batch_id: int, date_col: str = "date",
+def append_by_date(df: DataFrame, path: str, date_col: str = "date",
+                   max_records: int = MAX_RECORDS_PER_FILE) -> None:
+    """Add rows to the folders of their dates; readers see all of them or none."""
+    write_by_date(df, path, date_col, "append", max_records)
+
+
+def append_new(df: DataFrame, path: str, keys: Sequence[str], date_col: str = "date",
+               max_records: int = MAX_RECORDS_PER_FILE) -> None:
+    """Append the rows whose key is not stored yet; stored rows are never replaced.
+
+    Only the key columns of the dates at hand are read. Dates are few; keys stay distributed.
+    """
+    spark = df.sparkSession
+    if files.has_files(spark, path, ".parquet"):
+        days = [row[0] for row in df.select(date_col).distinct().collect()]
+        stored = read_archive(spark, path, days, date_col)
+        if stored is not None:
+            df = df.join(stored.select(*keys), list(keys), "left_anti").select(*df.columns)
+    append_by_date(df, path, date_col, max_records)
+
+
+def compact_day(spark: SparkSession, path: str, day: str, keys: Sequence[str],
+                prefer: Sequence[str] = (), date_col: str = "date",
                 max_records: int = MAX_RECORDS_PER_FILE) -> None:
-    """Archive a micro-batch under its own batch folder, so that a repeated batch replaces
-    itself instead of adding its rows twice."""
-    write = df.withColumn(BATCH, F.lit(int(batch_id)).cast("bigint"))
-    (write.hint("rebalance", F.col(date_col)).write.mode("overwrite")
-     .option("partitionOverwriteMode", "dynamic")
-     .option("maxRecordsPerFile", max_records)
-     .partitionBy(date_col, BATCH).parquet(path))
+    """Rewrite a closed date as few files with one row per key.
+
+    The rows are written to the shared folder first and stay there until the new files stand.
+    """
+    rows = read_archive(spark, path, [date.fromisoformat(day)], date_col)
+    if rows is None:
+        return
+    staged = materialize(drop_duplicates(rows, keys, prefer), "compact")
+    write_by_date(staged, path, date_col, max_records=max_records)
 
 
-def write_marker(spark: SparkSession, path: str, batch_id: int) -> None:
-    """Audit file of a finished micro-batch, kept beside the data, not read back."""
+def write_marker(spark: SparkSession, path: str, batch_id: int, run: str = "") -> None:
+    """Audit file of a finished micro-batch, kept beside the data, not read back.
+
+    `run` tells the batches of one start of the stream from those of another.
+    """
     spark.createDataFrame([(int(batch_id),)], "batch_id bigint").coalesce(1).write.mode(
         "overwrite"
-    ).json(f"{path.rstrip('/')}/_batch_markers/{int(batch_id)}")
+    ).json(f"{path.rstrip('/')}/_batch_markers/{run}{'-' if run else ''}{int(batch_id)}")
 
 
-def read_archive(spark: SparkSession, path: str) -> DataFrame:
-    """All archived positions; the folder of the batch is not part of the data."""
-    df = spark.read.parquet(path)
-    return df.drop(BATCH) if BATCH in df.columns else df
+def read_archive(spark: SparkSession, path: str, days: Sequence[date] | None = None,
+                 date_col: str = "date") -> DataFrame | None:
+    """All stored rows, or those of some dates, whose folders alone are listed.
+
+    None if there is no folder of those dates.
+    """
+    base = path.rstrip("/")
+    if days is None:
+        return spark.read.parquet(base)
+    names = sorted({"__HIVE_DEFAULT_PARTITION__" if day is None else str(day) for day in days})
+    folders = [f"{base}/{date_col}={name}" for name in names]
+    found = [folder for folder in folders if files.has_files(spark, folder, ".parquet")]
+    return spark.read.option("basePath", base).parquet(*found) if found else None
 
 
 def read_days(spark: SparkSession, path: str, first_day: str, last_day: str | None = None,

@@ -6,8 +6,10 @@ import csv
 from collections import defaultdict
 from collections.abc import Sequence
 from dataclasses import dataclass
+from multiprocessing.pool import ThreadPool
 
-from pyspark.sql import DataFrame, SparkSession, Window
+from pyspark import inheritable_thread_target
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import StringType, StructField, StructType
 
@@ -17,6 +19,7 @@ from wakeline.schema import RAW_FIELDS
 from wakeline.sources import files
 
 FILE = "source_file"
+HEADER_READERS = 32
 
 
 @dataclass(frozen=True)
@@ -33,15 +36,21 @@ def list_archive(spark: SparkSession, paths: Sequence[str]) -> ArchiveListing:
     """Group files by their header line, so that each layout is read by column name."""
     readable: dict[tuple[str, ...], list[str]] = defaultdict(list)
     missing, empty, without_mmsi = [], [], []
-    for path in paths:
-        if not files.exists(spark, path):
+
+    def header_line(path: str) -> str | None:
+        return (files.first_line(spark, path) or "") if files.exists(spark, path) else None
+
+    # One small read per file, many at a time: the wait is for the store, not for this process.
+    with ThreadPool(HEADER_READERS) as readers:
+        lines = readers.map(inheritable_thread_target(spark)(header_line), paths)
+    for path, line in zip(paths, lines):
+        if line is None:
             missing.append(path)
             continue
-        line = files.first_line(spark, path)
         if not line:
             empty.append(path)
             continue
-        header = tuple(next(csv.reader([line.lstrip("﻿")])))
+        header = tuple(next(csv.reader([line.lstrip("\ufeff")])))
         if "MMSI" in header:
             readable[header].append(path)
         else:
@@ -67,36 +76,10 @@ def _read_layout(spark: SparkSession, header: Sequence[str], paths: Sequence[str
         *(values[name].alias(name) if name in header else F.lit("").alias(name)
           for name in RAW_FIELDS),
         F.col("_metadata.file_path").alias(FILE),
-        F.col("_metadata.file_block_start").alias("_block"),
     ).filter((F.col("MMSI") != "") & (F.col("MMSI") != "MMSI"))
 
 
-def _first_rows_per_file(rows: DataFrame, max_rows: int) -> DataFrame:
-    """The first max_rows rows of each file without ordering a file in one task.
-
-    Row ids grow inside a file block; the blocks of a file are put in order by their offset, of
-    which there is one per block, and give each row its position in the file.
-    """
-    numbered = rows.withColumn("_id", F.monotonically_increasing_id())
-    blocks = numbered.groupBy(FILE, "_block").agg(
-        F.min("_id").alias("_first_id"), F.count("*").alias("_rows")
-    )
-    before = Window.partitionBy(FILE).orderBy("_block").rowsBetween(
-        Window.unboundedPreceding, -1
-    )
-    starts = blocks.select(
-        FILE, "_block", "_first_id",
-        F.coalesce(F.sum("_rows").over(before), F.lit(0)).alias("_start"),
-    ).filter(F.col("_start") < max_rows)
-    position = F.col("_start") + F.col("_id") - F.col("_first_id")
-    return (
-        numbered.join(starts, [FILE, "_block"], "inner")
-        .filter(position < max_rows)
-        .drop("_id", "_first_id", "_start")
-    )
-
-
-def read_archive(spark: SparkSession, paths: Sequence[str], max_rows_per_file: int = 0,
+def read_archive(spark: SparkSession, paths: Sequence[str],
                  multi_line: bool = False) -> DataFrame:
     """Raw text positions of all readable files, with the file each row came from.
 
@@ -109,9 +92,7 @@ def read_archive(spark: SparkSession, paths: Sequence[str], max_rows_per_file: i
     rows = spark.createDataFrame([], empty_schema)
     for header, group in listing.readable.items():
         part = _read_layout(spark, header, group, multi_line)
-        if max_rows_per_file > 0:
-            part = _first_rows_per_file(part, max_rows_per_file)
-        rows = rows.unionByName(part.drop("_block"))
+        rows = rows.unionByName(part)
     return rows
 
 

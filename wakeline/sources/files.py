@@ -15,11 +15,6 @@ def exists(spark: SparkSession, path: str) -> bool:
     return fs.exists(hadoop_path)
 
 
-def file_size(spark: SparkSession, path: str) -> int:
-    fs, hadoop_path = _fs(spark, path)
-    return fs.getFileStatus(hadoop_path).getLen()
-
-
 def children(spark: SparkSession, path: str) -> list[str]:
     """Names directly below a folder; empty when the folder is missing."""
     fs, hadoop_path = _fs(spark, path)
@@ -45,6 +40,12 @@ def remove(spark: SparkSession, path: str) -> bool:
     return fs.delete(hadoop_path, True)
 
 
+def rename(spark: SparkSession, path: str, target: str) -> None:
+    fs, hadoop_path = _fs(spark, path)
+    if not fs.rename(hadoop_path, spark._jvm.org.apache.hadoop.fs.Path(target)):
+        raise OSError(f"{path} cannot become {target}")
+
+
 def first_line(spark: SparkSession, path: str) -> str | None:
     """First line of a text file; reads one buffer of it."""
     fs, hadoop_path = _fs(spark, path)

@@ -1,8 +1,9 @@
-"""Result tables as Parquet: upsert by key, replace one day, and a versioned keyed snapshot."""
+"""Result tables as Parquet: upsert by key, replace one day, and state as appended changes."""
 
 from __future__ import annotations
 
 from collections.abc import Sequence
+from datetime import date
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -13,6 +14,7 @@ from wakeline.operators import latest
 from wakeline.schema import TABLE_KEYS
 from wakeline.session import materialize
 from wakeline.sources import files
+from wakeline.sources.archive import read_archive
 
 
 def read_table(spark: SparkSession, path: str, schema: StructType | None = None) -> DataFrame:
@@ -28,28 +30,38 @@ def _write_days(df: DataFrame, path: str, date_col: str) -> None:
      .option("partitionOverwriteMode", "dynamic").partitionBy(date_col).parquet(path))
 
 
+def _on_days(df: DataFrame, date_col: str, days: Sequence[str]) -> DataFrame:
+    """The rows, which fail the job that writes them if one belongs to another day."""
+    wanted = F.col(date_col).isin(*(F.to_date(F.lit(day)) for day in days))
+    stray = F.raise_error(F.concat(
+        F.lit(f"row outside of {', '.join(days)}: "),
+        F.coalesce(F.col(date_col).cast("string"), F.lit("no day"))))
+    return df.withColumn(date_col, F.when(wanted, F.col(date_col)).otherwise(
+        stray.cast(df.schema[date_col].dataType)))
+
+
 def upsert_table(updates: DataFrame, path: str, keys: Sequence[str],
                  update_cols: Sequence[str] | None = None, date_col: str = "kpi_date",
                  days: Sequence[str] | None = None) -> None:
     """Upsert into a table kept in one folder per day.
 
-    Only the days of the updates are read and rewritten. A caller that knows them names them;
-    otherwise the updates are written down first, so that finding the days does not compute the
-    updates a second time. The staged write replaces a day's folder when the job has succeeded.
+    Only the days of the updates are read and rewritten. A caller that knows them names them, and
+    a row of any other day makes the write fail; otherwise the updates are written down first and
+    their days read from there. The staged write replaces a day's folder when the job has
+    succeeded.
     """
     spark = updates.sparkSession
-    if not files.has_files(spark, path, ".parquet"):
-        _write_days(latest.upsert(updates.limit(0), updates, keys, update_cols), path, date_col)
-        return
-    existing = read_table(spark, path, updates.schema)
-    if days is None:
-        updates = materialize(updates, "updates")
-        same_days = existing.join(updates.select(date_col).distinct(), date_col, "left_semi")
+    if days is not None:
+        updates = _on_days(updates, date_col, days)
+        wanted = [date.fromisoformat(day) for day in days]
     else:
-        wanted = [F.to_date(F.lit(day)) for day in days]
-        updates = updates.filter(F.col(date_col).isin(*wanted))
-        same_days = existing.filter(F.col(date_col).isin(*wanted))
-    _write_days(latest.upsert(same_days, updates, keys, update_cols), path, date_col)
+        updates = materialize(updates, "updates")
+        wanted = [row[0] for row in updates.select(date_col).distinct().collect()]
+    existing = read_archive(spark, path, wanted, date_col)
+    if existing is None:
+        existing = spark.createDataFrame([], updates.schema)
+    _write_days(latest.upsert(existing.select(*updates.columns), updates, keys, update_cols),
+                path, date_col)
 
 
 def upsert_result(updates: DataFrame, base: str, table: str,
@@ -82,45 +94,19 @@ def fill_geometry(df: DataFrame, day: str | None = None, date_col: str = "kpi_da
     )
 
 
-class KeyedSnapshot:
-    """A table with one row per key, written as numbered versions by a single writer.
+def latest_state(spark: SparkSession, path: str, schema: StructType, keys: Sequence[str],
+                 newer_by: str) -> DataFrame:
+    """The newest row per key of a table to which only changes were appended."""
+    changes = read_table(spark, path, schema)
+    return latest.latest_by_key(changes.select(*schema.fieldNames()), keys, newer_by)
 
-    A version is visible once its _SUCCESS file exists; a version cut short is written over. A
-    batch merged again changes nothing, because its rows only meet themselves.
-    """
 
-    def __init__(self, spark: SparkSession, path: str, schema: StructType, keys: Sequence[str],
-                 newer_by: str | None = None, keep_versions: int = 2):
-        self.spark = spark
-        self.path = path.rstrip("/")
-        self.schema = schema
-        self.keys = list(keys)
-        self.newer_by = newer_by
-        self.keep_versions = max(2, keep_versions)
-
-    def _folder(self, version: int) -> str:
-        return f"{self.path}/version={version:018d}"
-
-    def versions(self) -> list[int]:
-        names = [n for n in files.children(self.spark, self.path) if n.startswith("version=")]
-        numbers = [int(n.split("=", 1)[1]) for n in names]
-        return sorted(
-            v for v in numbers if files.exists(self.spark, f"{self._folder(v)}/_SUCCESS")
-        )
-
-    def read(self) -> DataFrame:
-        done = self.versions()
-        if not done:
-            return self.spark.createDataFrame([], self.schema)
-        return self.spark.read.schema(self.schema).parquet(self._folder(done[-1]))
-
-    def merge(self, updates: DataFrame) -> None:
-        """Write the next version: the current rows with the updates merged in."""
-        done = self.versions()
-        merged = latest.upsert(
-            self.read(), updates.select(*self.schema.fieldNames()), self.keys,
-            newer_by=self.newer_by,
-        )
-        merged.write.mode("overwrite").parquet(self._folder(done[-1] + 1 if done else 0))
-        for old in self.versions()[: -self.keep_versions]:
-            files.remove(self.spark, self._folder(old))
+def compact_changes(spark: SparkSession, path: str, day: str, schema: StructType,
+                    keys: Sequence[str], newer_by: str, date_col: str) -> None:
+    """Keep the newest change per key of a closed day; the state read stays the same."""
+    rows = read_archive(spark, path, [date.fromisoformat(day)], date_col)
+    if rows is None:
+        return
+    newest = latest.latest_by_key(
+        rows.select(*schema.fieldNames(), date_col), [*keys, date_col], newer_by)
+    _write_days(materialize(newest, "compact"), path, date_col)

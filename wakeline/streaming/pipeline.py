@@ -14,10 +14,17 @@ from wakeline.schema import (
     LIVE_TRIGGER_SECONDS,
     MAX_RECORDS_PER_FILE,
     MESSAGE_SCHEMA,
+    TABLE_KEYS,
     WATERMARK,
 )
-from wakeline.sources.tables import KeyedSnapshot
-from wakeline.streaming.positions import clean_stream
+from wakeline.sources import archive, tables
+from wakeline.streaming.positions import (
+    DUPLICATE_KEY,
+    FIRST_MESSAGE,
+    LateRowLog,
+    clean_batch,
+    clean_stream,
+)
 from wakeline.streaming.sinks import AlertSink, ArchiveSink, BatchSink, FleetStateSink, fan_out
 
 
@@ -47,13 +54,17 @@ class StreamPaths:
     def dead_letters(self) -> str:
         return f"{self.base}/rejected_json"
 
+    @property
+    def late_rows(self) -> str:
+        return f"{self.base}/late_rows"
+
     def checkpoint(self, query: str) -> str:
         return f"{self.base}/checkpoints/{query}"
 
 
 def trigger(mode: str, live_seconds: int = LIVE_TRIGGER_SECONDS) -> dict:
-    """'backfill' drains what is there and stops; 'live' runs at a fixed interval."""
-    if mode == "backfill":
+    """'drain' takes what is there, in order of time, and stops; 'live' runs at an interval."""
+    if mode == "drain":
         return {"availableNow": True}
     if mode == "live":
         return {"processingTime": f"{int(live_seconds)} seconds"}
@@ -67,8 +78,9 @@ def message_files(spark: SparkSession, path: str, max_files: int = 1) -> DataFra
     )
 
 
-def fleet_snapshot(spark: SparkSession, path: str) -> KeyedSnapshot:
-    return KeyedSnapshot(spark, path, FLEET_STATE_SCHEMA, ["mmsi"], newer_by="event_ts")
+def fleet_state(spark: SparkSession, path: str) -> DataFrame:
+    """The newest position of every vessel."""
+    return tables.latest_state(spark, path, FLEET_STATE_SCHEMA, ["mmsi"], "event_ts")
 
 
 def default_sinks(spark: SparkSession, paths: StreamPaths,
@@ -76,14 +88,14 @@ def default_sinks(spark: SparkSession, paths: StreamPaths,
                   max_records: int = MAX_RECORDS_PER_FILE, publish=None) -> list[BatchSink]:
     """Latest state, speed alerts, archive: in this order, as one unit per micro-batch."""
     return [
-        FleetStateSink(fleet_snapshot(spark, paths.fleet_state)),
-        AlertSink(paths.alerts, threshold, publish),
+        FleetStateSink(paths.fleet_state),
+        AlertSink(paths.alerts, threshold=threshold, publish=publish),
         ArchiveSink(paths.archive, max_records),
     ]
 
 
 def start_pipeline(messages: DataFrame, paths: StreamPaths, sinks: Sequence[BatchSink],
-                   mode: str = "backfill", watermark: str = WATERMARK,
+                   mode: str = "drain", watermark: str = WATERMARK,
                    live_seconds: int = LIVE_TRIGGER_SECONDS) -> list[StreamingQuery]:
     """Start the main, reject and dead-letter queries, each with its own checkpoint.
 
@@ -108,9 +120,15 @@ def start_pipeline(messages: DataFrame, paths: StreamPaths, sinks: Sequence[Batc
 
 
 def run_pipeline(messages: DataFrame, paths: StreamPaths, sinks: Sequence[BatchSink],
-                 mode: str = "backfill", watermark: str = WATERMARK,
+                 mode: str = "drain", watermark: str = WATERMARK,
                  live_seconds: int = LIVE_TRIGGER_SECONDS) -> None:
-    """Start the queries and wait for all of them; the first failure stops the others."""
+    """Start the queries and wait for all of them; the first failure stops the others.
+
+    Rows that arrive behind the watermark are dropped and their number is written beside the data.
+    """
+    spark = messages.sparkSession
+    late = LateRowLog(spark, paths.late_rows)
+    spark.streams.addListener(late)
     queries = start_pipeline(messages, paths, sinks, mode, watermark, live_seconds)
     try:
         for query in queries:
@@ -119,3 +137,34 @@ def run_pipeline(messages: DataFrame, paths: StreamPaths, sinks: Sequence[BatchS
         for query in queries:
             if query.isActive:
                 query.stop()
+        # Progress events of the last batches are still on their way.
+        spark.sparkContext._jsc.sc().listenerBus().waitUntilEmpty()
+        spark.streams.removeListener(late)
+
+
+def backfill(messages: DataFrame, paths: StreamPaths,
+             threshold: float = ALERT_THRESHOLD_KNOTS,
+             max_records: int = MAX_RECORDS_PER_FILE) -> None:
+    """Clean a bounded set of messages in one batch, in any order of time, and lose none.
+
+    Positions and alerts that are already stored are not added again; rejects and dead letters
+    carry no key and are added with every run.
+    """
+    spark = messages.sparkSession
+    result = clean_batch(messages)
+    # The stored dates must not be read while the same job appends to them.
+    clean = tables.materialize(result.clean, "backfill")
+    AlertSink(paths.alerts, max_records, threshold=threshold)(clean, 0)
+    archive.append_new(clean, paths.archive, DUPLICATE_KEY, max_records=max_records)
+    FleetStateSink(paths.fleet_state)(clean, 0)
+    result.rejects.write.mode("append").parquet(paths.rejects)
+    result.dead_letters.write.mode("append").parquet(paths.dead_letters)
+
+
+def compact(spark: SparkSession, paths: StreamPaths, day: str) -> None:
+    """Rewrite a closed day of archive, alerts and state: few files, each key once."""
+    archive.compact_day(spark, paths.archive, day, DUPLICATE_KEY, FIRST_MESSAGE)
+    archive.compact_day(spark, paths.alerts, day, TABLE_KEYS["vessel_speed_alerts"],
+                        date_col="alert_date")
+    tables.compact_changes(spark, paths.fleet_state, day, FLEET_STATE_SCHEMA, ["mmsi"],
+                           "event_ts", "event_date")

@@ -2,8 +2,12 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+import json
+import logging
+
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.streaming import StreamingQueryListener
 
 from wakeline.operators import clean
 from wakeline.operators.clean import CleanResult
@@ -11,7 +15,11 @@ from wakeline.operators.dedup import drop_duplicates
 from wakeline.schema import MESSAGE_METADATA, RAW_FIELDS, WATERMARK
 from wakeline.sources.messages import parse_messages
 
+log = logging.getLogger("wakeline.streaming")
+
 DUPLICATE_KEY = ("MMSI", "BaseDateTime")
+FIRST_MESSAGE = ("kafka_timestamp", "kafka_partition", "kafka_offset")
+LATE_ROWS_SCHEMA = "query string, run string, batch_id bigint, late_rows bigint"
 
 
 def _archived_columns(df: DataFrame) -> DataFrame:
@@ -43,7 +51,7 @@ def clean_batch(messages: DataFrame) -> CleanResult:
     """
     result = clean.clean_positions(parse_messages(messages))
     unique = drop_duplicates(
-        result.clean, DUPLICATE_KEY, ("kafka_timestamp", "kafka_partition", "kafka_offset")
+        result.clean, DUPLICATE_KEY, FIRST_MESSAGE
     )
     return CleanResult(
         result.tagged, _archived_columns(clean.add_time_parts(unique)), result.rejects,
@@ -56,8 +64,38 @@ def late_rows(progress: dict) -> int:
     return sum(op.get("numRowsDroppedByWatermark", 0) for op in progress.get("stateOperators", []))
 
 
+class LateRowLog(StreamingQueryListener):
+    """Writes how many rows each micro-batch dropped behind the watermark, where any were."""
+
+    def __init__(self, spark: SparkSession, path: str):
+        self.spark, self.path = spark, path
+
+    def onQueryStarted(self, event) -> None:
+        pass
+
+    def onQueryProgress(self, event) -> None:
+        progress = event.progress
+        dropped = late_rows(json.loads(progress.json))
+        if dropped:
+            log.warning("%s: %d late rows in batch %d", progress.name, dropped, progress.batchId)
+            self.spark.createDataFrame(
+                [(progress.name, str(progress.runId), progress.batchId, dropped)], LATE_ROWS_SCHEMA
+            ).coalesce(1).write.mode("append").parquet(self.path)
+
+    def onQueryIdle(self, event) -> None:
+        pass
+
+    def onQueryTerminated(self, event) -> None:
+        pass
+
+
+def running_totals(events: DataFrame, ts: str, key: str) -> DataFrame:
+    """Count and newest time per key so far; as a stream, in update mode, the changed keys."""
+    return events.groupBy(key).agg(F.count("*").alias("pv"), F.max(ts).alias("last_time"))
+
+
 def tumbling_counts(events: DataFrame, ts: str, key: str, seconds: int = 5,
-                             watermark: str | None = None) -> DataFrame:
+                    watermark: str | None = None) -> DataFrame:
     """Tumbling-window count per key, for streams (with a watermark) and for batches."""
     timed = events if watermark is None else events.withWatermark(ts, watermark)
     return (

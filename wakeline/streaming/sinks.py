@@ -3,18 +3,20 @@
 from __future__ import annotations
 
 import logging
+import uuid
 from collections.abc import Callable, Sequence
-from dataclasses import dataclass
+from dataclasses import dataclass, field
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from wakeline.functions import geo
 from wakeline.operators.latest import latest_by_key
 from wakeline.plans.kpi import alert_messages, speed_alerts
 from wakeline.schema import ALERT_THRESHOLD_KNOTS, MAX_RECORDS_PER_FILE, TABLE_KEYS
 from wakeline.sources import archive, jdbc
 from wakeline.sources.jdbc import JdbcTarget
-from wakeline.sources.tables import KeyedSnapshot
+from wakeline.streaming.positions import DUPLICATE_KEY
 
 log = logging.getLogger("wakeline.streaming")
 
@@ -29,6 +31,7 @@ def fleet_updates(batch: DataFrame) -> DataFrame:
         F.col("VesselName").alias("vessel_name"),
         F.col("LON").alias("lon"),
         F.col("LAT").alias("lat"),
+        geo.point_wkt(F.col("LON"), F.col("LAT")).alias("geom_wkt"),
         F.col("SOG").alias("sog_knots"),
         F.col("COG").alias("cog_degrees"),
         F.col("Heading").alias("heading_degrees"),
@@ -42,19 +45,43 @@ def fleet_updates(batch: DataFrame) -> DataFrame:
 
 @dataclass
 class FleetStateSink:
-    """Keeps one row per vessel; a late batch never overwrites a newer position."""
+    """Appends the newest position of each vessel in a batch; reading takes the newest of all.
 
-    snapshot: KeyedSnapshot
+    A late batch or a repeated one changes nothing, and no trigger rewrites the fleet.
+    """
+
+    path: str
 
     def __call__(self, batch: DataFrame, batch_id: int) -> None:
-        self.snapshot.merge(fleet_updates(batch))
+        changes = fleet_updates(batch).withColumn("event_date", F.to_date("event_ts"))
+        archive.append_by_date(changes, self.path, "event_date")
 
 
 @dataclass
-class AlertSink:
-    """Writes alert rows under the batch's folder and optionally publishes messages."""
+class _Appended:
+    """Rows added to date folders, once each.
+
+    Only the first batch after a start can be a repeated one, so it alone is compared with the
+    stored keys. Rows that a new checkpoint reads again disappear when their date is compacted.
+    """
 
     path: str
+    max_records: int = MAX_RECORDS_PER_FILE
+    run: str = field(default_factory=lambda: uuid.uuid4().hex[:12])
+    started: bool = False
+
+    def store(self, rows: DataFrame, keys: Sequence[str], date_col: str) -> None:
+        if self.started:
+            archive.append_by_date(rows, self.path, date_col, self.max_records)
+        else:
+            archive.append_new(rows, self.path, keys, date_col, self.max_records)
+            self.started = True
+
+
+@dataclass
+class AlertSink(_Appended):
+    """Writes alert rows and optionally publishes messages (at least once)."""
+
     threshold: float = ALERT_THRESHOLD_KNOTS
     publish: Callable[[DataFrame], None] | None = None
 
@@ -63,21 +90,18 @@ class AlertSink:
         alerts = speed_alerts(batch, self.threshold).withColumn(
             "alert_date", F.to_date("detected_at")
         )
-        archive.write_batch(alerts, self.path, batch_id, "alert_date")
+        self.store(alerts, TABLE_KEYS["vessel_speed_alerts"], "alert_date")
         if self.publish is not None:
             self.publish(alert_messages(batch, self.threshold))
 
 
 @dataclass
-class ArchiveSink:
+class ArchiveSink(_Appended):
     """Adds the batch to the date-partitioned archive and leaves an audit marker."""
 
-    path: str
-    max_records: int = MAX_RECORDS_PER_FILE
-
     def __call__(self, batch: DataFrame, batch_id: int) -> None:
-        archive.write_batch(batch, self.path, batch_id, "date", self.max_records)
-        archive.write_marker(batch.sparkSession, self.path, batch_id)
+        self.store(batch, DUPLICATE_KEY, "date")
+        archive.write_marker(batch.sparkSession, self.path, batch_id, self.run)
 
 
 @dataclass

@@ -17,8 +17,8 @@ def delimited_text(spark, sf_dir):
     columns = ["p_partkey", "p_name", "p_brand", "p_size"]
     parts = views.table(spark, sf_dir, "part").select(*columns)
     folder = shared_dir(spark, "delimited")
-    parts.write.options(header=True, sep=";", quoteAll=True).csv(folder)
-    return spark.read.schema(parts.schema).options(header=True, sep=";").csv(folder)
+    basics.write_delimited(parts, folder)
+    return basics.read_delimited(spark, folder, parts.schema)
 
 
 @query("t2_filtered_counts",
@@ -35,45 +35,37 @@ def word_count(spark, sf_dir):
     return basics.word_counts(views.table(spark, sf_dir, "documents"), "text")
 
 
-def _shipments(spark, sf_dir):
-    """Shipments with the nation of their supplier, as one table per year."""
-    lines = views.table(spark, sf_dir, "lineitem").select(
-        "l_suppkey", F.year("l_shipdate").alias("year"), "l_shipdate"
-    )
-    suppliers = views.table(spark, sf_dir, "supplier").select("s_suppkey", "s_nationkey")
-    return lines.join(suppliers, F.col("l_suppkey") == F.col("s_suppkey"))
-
-
-_YEARS = (1995, 1996, 1997)
-_SHIPMENTS = (
-    "SELECT s_nationkey, year(l_shipdate) AS year, l_shipdate FROM lineitem JOIN supplier"
-    " ON l_suppkey = s_suppkey"
-)
+_YEARS = tuple(range(1992, 1999))
 
 
 @query("t6_busiest_nation",
-       f"WITH s AS ({_SHIPMENTS}), c AS (SELECT s_nationkey, count(*) AS row_count FROM s"
-       " WHERE year IN (1995, 1996, 1997) GROUP BY s_nationkey)"
+       "WITH c AS (SELECT s_nationkey, count(*) AS row_count FROM lineitem JOIN supplier"
+       " ON l_suppkey = s_suppkey GROUP BY s_nationkey)"
        " SELECT n_name, row_count FROM c JOIN nation ON s_nationkey = n_nationkey"
        " WHERE row_count = (SELECT max(row_count) FROM c)")
 def busiest_nation(spark, sf_dir):
-    shipments = _shipments(spark, sf_dir)
-    years = basics.union_all([shipments.filter(F.col("year") == y) for y in _YEARS])
-    best = basics.most_frequent(years, "s_nationkey")
+    """Shipments are counted by supplier first, so only counts meet the other tables."""
+    lines = views.table(spark, sf_dir, "lineitem").groupBy("l_suppkey").agg(
+        F.count("*").alias("n"))
+    suppliers = views.table(spark, sf_dir, "supplier").select("s_suppkey", "s_nationkey")
+    counts = lines.join(suppliers, F.col("l_suppkey") == F.col("s_suppkey"))
+    best = basics.most_frequent(counts, "s_nationkey", "n")
     nations = views.table(spark, sf_dir, "nation")
     return best.join(nations, F.col("s_nationkey") == F.col("n_nationkey")).select(
         "n_name", "row_count"
     )
 
 
-_MONTHS = ", ".join(f"count(*) FILTER (year = {y}) AS n_{y}" for y in _YEARS)
+_MONTHS = ", ".join(f"count(*) FILTER (year(l_shipdate) = {y}) AS n_{y}" for y in _YEARS)
+_MONTH_TABLE = (
+    f"SELECT CAST(month(l_shipdate) AS INTEGER) AS month, {_MONTHS} FROM lineitem GROUP BY 1"
+)
 
 
-@query("t7_months_side_by_side",
-       f"SELECT CAST(month(l_shipdate) AS INTEGER) AS month, {_MONTHS} FROM ({_SHIPMENTS}) AS s"
-       " GROUP BY ALL")
+@query("t7_months_side_by_side", _MONTH_TABLE)
 def months(spark, sf_dir):
-    return basics.month_table(_shipments(spark, sf_dir), "l_shipdate", _YEARS).fillna(0)
+    """All years of the table, in one scan of one column."""
+    return basics.month_table(views.table(spark, sf_dir, "lineitem"), "l_shipdate", _YEARS)
 
 
 _PER_DAY = ", ".join(
@@ -82,8 +74,6 @@ _PER_DAY = ", ".join(
 )
 
 
-@query("t7_rows_per_day",
-       f"SELECT month, {_PER_DAY} FROM (SELECT CAST(month(l_shipdate) AS INTEGER) AS month,"
-       f" {_MONTHS} FROM ({_SHIPMENTS}) AS s GROUP BY ALL) AS m")
+@query("t7_rows_per_day", f"SELECT month, {_PER_DAY} FROM ({_MONTH_TABLE}) AS m")
 def rows_per_day(spark, sf_dir):
     return basics.per_day(months(spark, sf_dir), _YEARS)

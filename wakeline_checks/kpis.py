@@ -5,11 +5,14 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from wakeline_checks import views
-from wakeline_checks.registry import DISTANCE, mean, oracle, query, rounded
+from wakeline_checks.registry import DISTANCE, mean, oracle, query, rounded, run_job
 from wakeline.functions import ais, geo
 from wakeline.operators import sessions
-from wakeline.operators.spatial import ports_in_range
+from wakeline.operators.spatial import link_zones_to_ports, ports_in_range, positions_in_zones
 from wakeline.plans import kpi, reports
+from wakeline.schema import ZONE_SCHEMA, ZONES
+from wakeline.session import shared_dir
+from wakeline.sources import archive
 
 _WHEN = "CAST(BaseDateTime AS VARCHAR) AS BaseDateTime"
 _KEYS = ["MMSI", "port_id"]
@@ -141,9 +144,7 @@ def dwell_minutes(spark, sf_dir):
     "SELECT MMSI, CAST(kpi_date AS VARCHAR) AS kpi_date,"
     " CAST(day_last_ping AS VARCHAR) AS day_last_ping FROM last_seen", "last_seen"))
 def last_ping(spark, sf_dir):
-    return _positions(spark, sf_dir).groupBy("MMSI", F.col("date").alias("kpi_date")).agg(
-        F.max("BaseDateTime").alias("day_last_ping")
-    )
+    return kpi.last_pings(_positions(spark, sf_dir))
 
 
 @query("j2_visits_with_last_ping", oracle(
@@ -153,9 +154,9 @@ def last_ping(spark, sf_dir):
     " ON v.MMSI = l.MMSI AND CAST(exit_ts AS DATE) = l.kpi_date", "all_visits", "last_seen"))
 def visits_with_last_ping(spark, sf_dir):
     visits = sessions.gap_sessions(_inside(spark, sf_dir), _KEYS, "BaseDateTime")
-    return visits.withColumn("kpi_date", F.to_date("exit_ts")).join(
-        last_ping(spark, sf_dir), ["MMSI", "kpi_date"], "left"
-    ).select("MMSI", "port_id", "entry_ts", "exit_ts", "day_last_ping")
+    dated = visits.withColumn("kpi_date", F.to_date("exit_ts"))
+    return kpi.with_last_ping(dated, _positions(spark, sf_dir)).select(
+        "MMSI", "port_id", "entry_ts", "exit_ts", "day_last_ping")
 
 
 _DWELL = (
@@ -253,7 +254,7 @@ def violations(spark, sf_dir):
 @query("a16_dwell_by_port", oracle(
     f"SELECT port_id, {mean('dwell_minutes', 1)} AS avg_dwell_minutes,"
     " count(*) AS dwell_events FROM dwell GROUP BY port_id"
-    " ORDER BY avg_dwell_minutes DESC, port_id LIMIT 20", "dwell"))
+    " ORDER BY avg_dwell_minutes DESC, port_id", "dwell"))
 def dwell_by_port(spark, sf_dir):
     return reports.dwell_by_port(dwell_times(spark, sf_dir))
 
@@ -269,7 +270,7 @@ def dwell_by_port_and_day(spark, sf_dir):
 @query("a17_speed_by_type", oracle(
     "SELECT vessel_type, CAST(sum(ping_count) AS BIGINT) AS total_pings,"
     f" {mean('avg_sog', 2)} AS avg_speed, max(max_sog) AS max_speed FROM kpis"
-    " GROUP BY vessel_type ORDER BY total_pings DESC, vessel_type LIMIT 50", "kpis"))
+    " GROUP BY vessel_type ORDER BY total_pings DESC, vessel_type", "kpis"))
 def speed_by_type(spark, sf_dir):
     return reports.speed_by_type(fleet_kpis(spark, sf_dir))
 
@@ -303,7 +304,7 @@ def alert_log(spark, sf_dir):
     f"{mean('dwell_minutes', 1)} AS avg_dwell_minutes FROM dwell GROUP BY port_id"
     " ORDER BY avg_dwell_minutes DESC, port_id LIMIT 5", "dwell"))
 def busiest_ports(spark, sf_dir):
-    return reports.dwell_by_port(dwell_times(spark, sf_dir), limit=5)
+    return reports.busiest_ports(dwell_times(spark, sf_dir))
 
 
 @query("p31_day_predicate", oracle(
@@ -327,3 +328,30 @@ def union_two_days(spark, sf_dir):
 def distinct_rows(spark, sf_dir):
     return _inside(spark, sf_dir).select("MMSI", "port_id", "date").distinct()
 
+
+@query("j5_zones_of_ports", oracle(
+    "SELECT z.port_name, port_id AS port_ref_id, count(MMSI) AS positions FROM"
+    " (SELECT * FROM (VALUES ('Port Said', 32.25, 32.35, 31.20, 31.30),"
+    " ('Suez Port', 32.52, 32.60, 29.95, 30.05), ('Alexandria Port', 29.85, 29.95, 31.17, 31.23))"
+    " AS z(port_name, west, east, south, north)) AS z JOIN ports ON z.port_name = ports.port_name"
+    " JOIN pos ON LAT BETWEEN south AND north AND LON BETWEEN west AND east GROUP BY ALL",
+    "pos", "ports"))
+def zones_of_ports(spark, sf_dir):
+    """Positions per seeded zone, zones linked to the ports of their name (also G1)."""
+    zones = link_zones_to_ports(spark.createDataFrame(ZONES, ZONE_SCHEMA), views.ports(spark))
+    inside = positions_in_zones(_positions(spark, sf_dir), zones)
+    return inside.groupBy("port_name", "port_ref_id").agg(F.count("*").alias("positions"))
+
+
+@query("a4_port_visits_stored", oracle(
+    "SELECT MMSI AS mmsi, port_id, CAST(entry_ts AS VARCHAR) AS entry_ts,"
+    " CAST(exit_ts AS VARCHAR) AS exit_ts, ping_count, dwell_minutes FROM all_visits",
+    "all_visits"))
+def stored_visits(spark, sf_dir):
+    """The visits job over a stored archive and a stored port table."""
+    base = shared_dir(spark, "visits")
+    archive.write_by_date(_positions(spark, sf_dir), f"{base}/archive")
+    views.ports(spark).write.parquet(f"{base}/ports")
+    run_job(spark, "visits", "--archive", f"{base}/archive", "--results", base,
+            "--ports", f"{base}/ports")
+    return spark.read.parquet(f"{base}/port_visits").drop("kpi_date")

@@ -26,6 +26,13 @@ def portable(df: DataFrame) -> DataFrame:
     return df.withColumns(texts) if texts else df
 
 
+def run_job(spark: SparkSession, *arguments: str) -> None:
+    """A job of the command line, in this session."""
+    from wakeline.__main__ import build_parser, run
+
+    run(spark, build_parser().parse_args(list(arguments)))
+
+
 def query(key: str, oracle: str | None = None):
     """Register a query; without an oracle only its rows are checked."""
 

@@ -6,15 +6,17 @@ from pyspark.sql import functions as F
 
 from wakeline_checks import views
 from wakeline_checks.kpis import _inside, _positions
-from wakeline_checks.registry import oracle, query
+from wakeline_checks.registry import mean, oracle, query, rounded, run_job
 from wakeline.operators.latest import replace_day, upsert
 from wakeline.operators.quality import day_counts
 from wakeline.plans import kpi
+from wakeline.plans.basics import union_all
 from wakeline.schema import FLEET_STATE_SCHEMA, PORT_SCHEMA, RAW_FIELDS, TABLE_KEYS
 from wakeline.session import shared_dir
 from wakeline.sources import archive, csv_archive, files, tables
-from wakeline.streaming.positions import clean_batch
-from wakeline.streaming.sinks import fleet_updates
+from wakeline.streaming.pipeline import fleet_state
+from wakeline.streaming.positions import DUPLICATE_KEY, FIRST_MESSAGE, clean_batch
+from wakeline.streaming.sinks import ArchiveSink, FleetStateSink, fleet_updates
 
 _WHEN = "CAST(BaseDateTime AS VARCHAR) AS BaseDateTime"
 
@@ -58,17 +60,41 @@ def csv_round_trip(spark, sf_dir):
 _BATCHES = 4
 
 
-@query("s7_archive_batches", oracle(
-    f"SELECT MMSI, {_WHEN}, SOG, CAST(CAST(BaseDateTime AS DATE) AS VARCHAR) AS date"
-    " FROM unique_rows", "unique_rows"))
-def archived_batches(spark, sf_dir):
-    """Four batches archived, the last one twice: the repeat must not add rows."""
+_POSITION = [name for name in RAW_FIELDS if name != "BaseDateTime"]
+_ARCHIVED = (
+    f"SELECT kafka_offset, {_WHEN}, {', '.join(_POSITION)},"
+    " CAST(CAST(BaseDateTime AS DATE) AS VARCHAR) AS date FROM unique_rows"
+)
+
+
+def _archived_batches(spark, sf_dir) -> str:
+    """Four batches, the last one again after a restart, which a new sink stands for."""
     folder = shared_dir(spark, "archive")
     rows = clean_batch(views.messages(spark, sf_dir)).clean
     part = F.pmod(F.xxhash64("MMSI", "BaseDateTime"), F.lit(_BATCHES))
-    for number in (*range(_BATCHES), _BATCHES - 1):
-        archive.write_batch(rows.filter(part == number), folder, number)
-    return archive.read_archive(spark, folder).select("MMSI", "BaseDateTime", "SOG", "date")
+    sink = ArchiveSink(folder)
+    for number in range(_BATCHES):
+        sink(rows.filter(part == number), number)
+    ArchiveSink(folder)(rows.filter(part == _BATCHES - 1), 0)
+    return folder
+
+
+@query("s7_archive_batches", oracle(_ARCHIVED, "unique_rows"))
+def archived_batches(spark, sf_dir):
+    """The repeated batch must not add rows."""
+    return archive.read_archive(spark, _archived_batches(spark, sf_dir)).select(
+        "kafka_offset", "BaseDateTime", *_POSITION, "date")
+
+
+@query("s7_archive_compacted", oracle(_ARCHIVED, "unique_rows"))
+def compacted_archive(spark, sf_dir):
+    """One day stored twice over and compacted: each key once, the other days untouched."""
+    folder = _archived_batches(spark, sf_dir)
+    day = archive.read_days(spark, folder, "2024-01-15")
+    archive.append_by_date(day, folder)
+    archive.compact_day(spark, folder, "2024-01-15", DUPLICATE_KEY, FIRST_MESSAGE)
+    return archive.read_archive(spark, folder).select(
+        "kafka_offset", "BaseDateTime", *_POSITION, "date")
 
 
 def _archived(spark, sf_dir) -> str:
@@ -194,16 +220,31 @@ def latest_state(spark, sf_dir):
     return fleet_updates(clean_batch(views.messages(spark, sf_dir)).clean).select(*_STATE_COLUMNS)
 
 
-@query("s16_latest_state_merge", oracle(_STATE, "state"))
-def merged_state(spark, sf_dir):
+def _stored_state(spark, sf_dir):
     """Afternoon positions first, then the older morning ones: newer rows must stay."""
+    folder = shared_dir(spark, "state")
     rows = clean_batch(views.messages(spark, sf_dir)).clean
-    snapshot = tables.KeyedSnapshot(
-        spark, shared_dir(spark, "state"), FLEET_STATE_SCHEMA, ["mmsi"], newer_by="event_ts"
-    )
-    for part in (F.col("hour") >= 12, F.col("hour") < 12):
-        snapshot.merge(fleet_updates(rows.filter(part)))
-    return snapshot.read().select(*_STATE_COLUMNS)
+    sink = FleetStateSink(folder)
+    for number, part in enumerate((F.col("hour") >= 12, F.col("hour") < 12)):
+        sink(rows.filter(part), number)
+    tables.compact_changes(spark, folder, "2024-01-15", FLEET_STATE_SCHEMA, ["mmsi"], "event_ts",
+                           "event_date")
+    return fleet_state(spark, folder)
+
+
+@query("s16_latest_state_merge", oracle(_STATE, "state"))
+def merged_state(spark, sf_dir):
+    return _stored_state(spark, sf_dir).select(*_STATE_COLUMNS)
+
+
+@query("p30_point_view", oracle(
+    "SELECT mmsi, vessel_name, lat, lon, sog_knots, cog_degrees, heading_degrees, nav_status"
+    " FROM state", "state"))
+def point_view(spark, sf_dir):
+    """The view over the stored state, coordinates taken back out of the point text."""
+    from wakeline.plans import reports
+
+    return reports.fleet_view(_stored_state(spark, sf_dir)).drop("last_updated")
 
 
 @query("l3_recent_roster", oracle(
@@ -219,7 +260,7 @@ def roster(spark, sf_dir):
 
 @query("p32_map_feed", oracle(
     "SELECT mmsi, lat, lon, CAST(event_ts AS VARCHAR) AS last_updated FROM state"
-    " ORDER BY event_ts DESC, mmsi LIMIT 10000", "state"))
+    " ORDER BY event_ts DESC, mmsi", "state"))
 def map_feed(spark, sf_dir):
     from wakeline.plans import reports
 
@@ -253,3 +294,62 @@ def rows_per_table(spark, sf_dir):
         "fleet_daily_kpis": kpi.fleet_daily_kpis(positions),
         "port_dwell_times": kpi.port_dwell_times(positions, views.ports(spark)),
     })
+
+
+# --- jobs -------------------------------------------------------------------------------------
+
+_DAY = "2024-01-15"
+
+
+def _daily_results(spark, sf_dir, *jobs: str) -> str:
+    """Jobs of the command line for one day over a stored archive."""
+    base = shared_dir(spark, "daily")
+    archive.write_by_date(_positions(spark, sf_dir), f"{base}/archive")
+    for job in jobs:
+        models = ["--models", f"{base}/models"] if job != "kpis" else []
+        run_job(spark, job, "--archive", f"{base}/archive", "--results", base,
+                "--exec-date", _DAY, *models)
+    return base
+
+
+@query("e2_daily_kpis", oracle(
+    f"SELECT 'visits' AS table_name, CAST(count(*) AS BIGINT) AS row_count, {mean('dwell_minutes', 4)}"
+    f" AS figure FROM dwell WHERE kpi_date = DATE '{_DAY}' UNION ALL"
+    f" SELECT 'fleet', count(*), {mean('avg_sog', 4)} FROM kpis WHERE kpi_date = DATE '{_DAY}'"
+    f" UNION ALL SELECT 'alerts', count(*), {mean('sog_knots', 4)} FROM alerts"
+    f" WHERE CAST(detected_at AS DATE) = DATE '{_DAY}'", "dwell", "kpis", "alerts"))
+def daily_kpis_job(spark, sf_dir):
+    """The kpis job run twice for a day, its tables read back."""
+    base = _daily_results(spark, sf_dir, "kpis", "kpis")
+    parts = (("visits", "port_dwell_times", "dwell_minutes"),
+             ("fleet", "fleet_daily_kpis", "avg_sog"),
+             ("alerts", "vessel_speed_alerts", "sog_knots"))
+    return union_all([
+        tables.read_table(spark, f"{base}/{table}").agg(
+            F.lit(name).alias("table_name"), F.count("*").alias("row_count"),
+            F.round(F.avg(F.col(figure).cast("decimal(18,6)")), 4).cast("double").alias("figure"))
+        for name, table, figure in parts])
+
+
+@query("e3_daily_clusters", oracle(
+    f"SELECT mmsi, {rounded('lat', 6)} AS lat, {rounded('lon', 6)} AS lon, true AS has_geometry"
+    " FROM (SELECT *, row_number() OVER (PARTITION BY mmsi ORDER BY base_date_time DESC) AS rn"
+    f" FROM features WHERE CAST(base_date_time AS DATE) = DATE '{_DAY}') AS f WHERE rn = 1",
+    "features"))
+def daily_clusters_job(spark, sf_dir):
+    base = _daily_results(spark, sf_dir, "clusters", "clusters")
+    return tables.read_table(spark, f"{base}/vessel_behavior_clusters").select(
+        "mmsi", "lat", "lon", F.col("geom_wkt").isNotNull().alias("has_geometry"))
+
+
+@query("e4_daily_chain", oracle(
+    "SELECT 'port_dwell_times' AS table_name, count(*) AS row_count FROM dwell"
+    f" WHERE kpi_date = DATE '{_DAY}' UNION ALL SELECT 'fleet_daily_kpis', count(*) FROM kpis"
+    f" WHERE kpi_date = DATE '{_DAY}' UNION ALL SELECT 'vessel_behavior_clusters',"
+    " count(DISTINCT mmsi) FROM features"
+    f" WHERE CAST(base_date_time AS DATE) = DATE '{_DAY}'", "dwell", "kpis", "features"))
+def daily_chain(spark, sf_dir):
+    base = _daily_results(spark, sf_dir, "day")
+    names = ("port_dwell_times", "fleet_daily_kpis", "vessel_behavior_clusters")
+    return day_counts({name: tables.read_table(spark, f"{base}/{name}") for name in names}).select(
+        "table_name", "row_count")

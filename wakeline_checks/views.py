@@ -132,13 +132,7 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
 
 
 def _events(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """The events, spread over all cores when they come as one small file."""
-    events = table(spark, sf_dir, "events")
-    cores = spark.sparkContext.defaultParallelism
-    # On a cluster the table has many files and is read as it is.
-    if len(events.inputFiles()) < cores:
-        return events.repartition(cores, "event_id")
-    return events
+    return table(spark, sf_dir, "events")
 
 
 def raw(spark: SparkSession, sf_dir: str) -> DataFrame:
