@@ -110,6 +110,17 @@ def test_repeated_tokens_take_the_clear_label(field):
     assert field.spans(alone)[1] == []
 
 
+def test_numbers_side_by_side_are_told_apart(field):
+    phone, card = "+1 (605) 555-9305", "4539148803436467"
+    for text, want in (
+            (f"x {phone} {card} y", [(2, 20, 36), (3, 2, 19)]),
+            (f"x {card} {card} y", [(2, 2, 18), (2, 19, 35)]),
+            (f"x {card} {phone}", [(2, 2, 18), (3, 19, 36)])):
+        base, spans = field.spans(text)
+        assert spans == want
+        assert set(base) <= set(spans)
+
+
 def test_plain_documents_gain_nothing(field):
     for _, text in corpus(200, seed=9):
         base, spans = field.spans(text)

@@ -43,8 +43,11 @@ _MARK = re.compile(r"[0-9@]")
 
 # Candidates: what may be personal data though no pattern fits.
 _PHRASE = re.compile(r"(?<![^\W_])[+(]?[0-9](?:[0-9().\x20-]*[0-9])?(?![^\W_])")
+_SPACED = re.compile(r"[^\x20]+")
 _HOST = re.compile(r"[A-Za-z0-9.-]*")
 LEAST_DIGITS = 7
+#: A word with so many digits stands for itself, also where a space joins it to other digits.
+LONG_DIGITS = 13
 
 #: Documents the model is trained on, about, and the candidates taken from one of them at most.
 TRAIN_DOCS = 4_000
@@ -130,11 +133,25 @@ def candidates(text: str) -> list[tuple[int, int]]:
             if taken[0] == len(text):
                 break
             taken = next(around)
-        if match.end() <= taken[0] and len(_only_digits(match[0])) >= LEAST_DIGITS:
-            both.append(match.span())
+        if match.end() <= taken[0]:
+            both += [(a, b) for a, b in _numbers(text, *match.span())
+                     if len(_only_digits(text[a:b])) >= LEAST_DIGITS]
     return sorted(both)
 
 
+def _numbers(text: str, start: int, end: int) -> Iterator[tuple[int, int]]:
+    """A phrase of digits, cut around words long enough to be a number of their own."""
+    first = start
+    for word in _SPACED.finditer(text, start, end):
+        if len(_only_digits(word[0])) >= LONG_DIGITS:
+            if first < word.start():
+                yield first, word.start() - 1
+            yield word.span()
+            first = word.end() + 1
+    if first < end:
+        yield first, end
+
+
 def _cue(text: str, start: int) -> int:
     """Bucket of the word before a token; 0 without one."""
     before = text[max(0, start - 40):start].split()
