@@ -30,6 +30,12 @@ from wakeline.llm.html_template import Template, extract_text, host_of, main_tex
     ("<ARTICLE>U&nbsp;V</ARTICLE >W", "U V"),
     ("<article><div hidden>h</div><span style='display: none'>n</span>v</article>", "v"),
     ("<p><a href=x>link only</a></p><p>words and <a>link</a></p>", "words and link"),
+    ("<article><div class='page-sidebar'>s</div><div class='text-ad'>d</div>a"
+     "<div class='postComments'>c</div><div class='story-text no-comments'>b</div></article>",
+     "a b"),
+    ("<div id='AD'>x</div><div class='cookie-notice-box'>y</div><div class='main-content'>z</div>",
+     "z"),
+    ("<article>a<aside class=related-posts>r</aside><section id=respond>f</section><p>b", "a b"),
     ("<title>T</title><textarea><p>x</textarea><article>y", "y"),
 ])
 def test_single_pages(page, text):

@@ -54,7 +54,7 @@ _TAG = re.compile(
     r"|<(/?)([a-zA-Z][^\s/>]*+)([^>]*+)>")
 _ATTRIBUTE = re.compile(
     r"([^\s=/\"'>]+)(?:\s*+=\s*+(?:\"([^\"]*+)\"|'([^']*+)'|([^\s\"'>]++)))?")
-_WORD = re.compile(r"[a-z]+")
+_WORD = re.compile(r"[A-Z]+(?![a-z])|[A-Z]?[a-z]+")
 
 # Elements by what they do to text; fixed by the HTML standard.
 _VOID = frozenset("area base br col embed hr img input link meta param source track wbr".split())
@@ -88,8 +88,10 @@ _WORDS = frozenset(
     " social related recommended recommendations comment comments commentlist disqus reply replies"
     " respond widget widgets toolbar pagination pager copyright disclaimer skip search".split())
 _OUTER_WORDS = frozenset("header masthead topbar".split())
-_MAIN_WORDS = frozenset("article content main post entry story body page text".split())
+_MAIN_NAMES = frozenset("article content main post entry story".split())
 _REMARKS = frozenset("comment comments commentlist reply replies".split())
+# A class name that starts so speaks of the page's layout, not of its element.
+_LAYOUT = frozenset("has with without no is".split())
 
 
 @dataclass
@@ -124,27 +126,35 @@ def _attributes(text: str) -> dict[str, str]:
     return found
 
 
+def _named(names: str, words: frozenset[str]) -> bool:
+    """Whether a class name or id begins or ends with one of the words."""
+    for name in names.split():
+        parts = [part.lower() for part in _WORD.findall(name)]
+        if parts and parts[0] not in _LAYOUT and (parts[0] in words or parts[-1] in words):
+            return True
+    return False
+
+
 def _purpose(name: str, attributes: dict[str, str], inside: _Open) -> tuple[bool, bool]:
     """(left out, main) of an element inside another."""
     role = attributes.get("role", "").lower()
-    words = set(_WORD.findall(f"{attributes.get('class', '')} {attributes.get('id', '')}".lower()))
+    names = f"{attributes.get('class', '')} {attributes.get('id', '')}"
     main = name in ("article", "main") or role == "main" or (
         attributes.get("itemprop", "").lower() == "articlebody")
     if inside.left_out:
         return True, False
     if name in ("html", "body"):
         return False, False
-    if words & _REMARKS and not words & _MAIN_WORDS - {"post", "text", "body"}:
-        return True, False
-    if main:
+    if main and not _named(names, _REMARKS):
         return False, True
     hidden = ("hidden" in attributes or attributes.get("aria-hidden", "").lower() == "true"
               or "display:none" in attributes.get("style", "").replace(" ", "").lower())
     if name in _LEFT_OUT or role in _ROLES or hidden:
         return True, False
-    if not inside.main and (name == "header" or words & _OUTER_WORDS - _MAIN_WORDS):
+    if not inside.main and (name == "header" or _named(names, _OUTER_WORDS)):
         return True, False
-    if words & _WORDS and not words & _MAIN_WORDS:
+    content = any(part.lower() in _MAIN_NAMES for part in names.split())
+    if _named(names, _REMARKS) or not content and _named(names, _WORDS):
         return True, False
     return False, inside.main
 
