@@ -63,13 +63,12 @@ def compact_day(spark: SparkSession, path: str, day: str, keys: Sequence[str],
 
 
 def write_marker(spark: SparkSession, path: str, batch_id: int, run: str = "") -> None:
-    """Audit file of a finished micro-batch, kept beside the data, not read back.
+    """Audit row of a finished micro-batch, in one folder beside the data, not read back.
 
     `run` tells the batches of one start of the stream from those of another.
     """
-    spark.createDataFrame([(int(batch_id),)], "batch_id bigint").coalesce(1).write.mode(
-        "overwrite"
-    ).json(f"{path.rstrip('/')}/_batch_markers/{run}{'-' if run else ''}{int(batch_id)}")
+    spark.createDataFrame([(run, int(batch_id))], "run string, batch_id bigint").coalesce(
+        1).write.mode("append").json(f"{path.rstrip('/')}/_batch_markers")
 
 
 def read_archive(spark: SparkSession, path: str, days: Sequence[date] | None = None,

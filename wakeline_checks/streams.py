@@ -163,8 +163,7 @@ def stream_alerts(spark, sf_dir):
 def audit_markers(spark, sf_dir):
     """One marker per micro-batch of the replay; three files at two a batch make two."""
     paths = _replayed(spark, sf_dir)
-    markers = spark.read.option("recursiveFileLookup", True).json(
-        f"{paths.archive}/_batch_markers/")
+    markers = spark.read.json(f"{paths.archive}/_batch_markers").distinct()
     days = archive.read_archive(spark, paths.archive).select("date").distinct()
     return markers.agg(F.count("*").cast("int").alias("markers")).crossJoin(
         days.agg((F.count("*") > 0).alias("has_days")))
