@@ -119,3 +119,12 @@ SELECT doc_id, len(w)::BIGINT AS n_words, coalesce(n_hit, 0)::BIGINT AS n_hit,
        coalesce(n_items, 0)::BIGINT AS n_items, sha256(coalesce(names, '')) AS items_sha256,
        coalesce(n_hit, 0) > 0 AS contaminated
 FROM texts LEFT JOIN places USING (doc_id) LEFT JOIN named USING (doc_id)"""
+
+ORACLES["op7_warc"] = """
+WITH p AS (SELECT page_id, coalesce(html, '') AS payload FROM pages),
+originals AS (SELECT payload, max(page_id) AS original FROM p WHERE strlen(payload) >= 1000
+              GROUP BY payload)
+SELECT page_id, strlen(payload)::BIGINT AS payload_bytes, sha1(payload) AS payload_digest,
+       CASE WHEN original <> page_id THEN 'revisit' ELSE 'response' END AS record_type,
+       CASE WHEN original <> page_id THEN original END AS refers_to
+FROM p LEFT JOIN originals USING (payload)"""
