@@ -103,14 +103,12 @@ windows AS (
          array_to_string(w[i:i + least(10, len(w)) - 1], ' ') AS s
   FROM (SELECT item_id, w, unnest(range(1, len(w) - least(10, len(w)) + 2)) AS i
         FROM item_words WHERE len(w) > 0)),
-words AS (SELECT doc_id, unnest(w) AS word, unnest(range(1, len(w) + 1)) AS i FROM texts),
-runs AS (
-  SELECT doc_id, i, list(word) OVER (PARTITION BY doc_id ORDER BY i
-                                     ROWS BETWEEN CURRENT ROW AND 9 FOLLOWING) AS l FROM words),
-hits AS (
-  SELECT r.doc_id, r.i, n.k, windows.item_id
-  FROM runs r JOIN (SELECT DISTINCT k FROM windows) n ON len(r.l) >= n.k
-  JOIN windows ON windows.k = n.k AND windows.s = array_to_string(r.l[1:n.k], ' ')),
+grams AS (
+  SELECT doc_id, k, unnest(list_transform(
+    range(1, len(w) - k + 2), lambda i: {{'i': i, 's': array_to_string(w[i:i + k - 1], ' ')}})) AS g
+  FROM texts, (SELECT DISTINCT k FROM windows) AS sizes WHERE len(w) >= k),
+hits AS (SELECT doc_id, g.i AS i, grams.k, item_id
+         FROM grams JOIN windows ON windows.k = grams.k AND windows.s = g.s),
 places AS (SELECT doc_id, count(DISTINCT p) AS n_hit
            FROM (SELECT doc_id, unnest(range(i, i + k)) AS p FROM hits) GROUP BY doc_id),
 named AS (SELECT doc_id, count(*) AS n_items, string_agg(name, ',' ORDER BY name) AS names
