@@ -29,6 +29,7 @@ from wakeline.plans.history import clean_history
 from wakeline.session import build_session, remove_intermediates
 from wakeline.sources import archive, jdbc, messages
 from wakeline.streaming import pipeline
+from wakeline.streaming.sinks import JdbcAlertSink, JdbcFleetStateSink
 
 
 def build_parser() -> argparse.ArgumentParser:
@@ -41,13 +42,18 @@ def build_parser() -> argparse.ArgumentParser:
         job.add_argument("--servers", help="message brokers")
         job.add_argument("--topic", default="raw_ais_positions")
 
+    def add_properties(job: argparse.ArgumentParser) -> None:
+        job.add_argument("--jdbc-property", action="append", default=[], metavar="KEY=VALUE")
+
     stream = jobs.add_parser("stream", help="clean positions and feed the sinks")
     add_topic(stream)
+    add_properties(stream)
     stream.add_argument("--base", required=True)
     stream.add_argument("--mode", choices=("backfill", "drain", "live"),
                         default="backfill")
     stream.add_argument("--alert-threshold", type=float, default=schema.ALERT_THRESHOLD_KNOTS)
     stream.add_argument("--alert-topic", help="publish alerts to this topic as well")
+    stream.add_argument("--jdbc-url", help="keep latest state and alerts in this database as well")
     stream.add_argument("--watermark", default=schema.WATERMARK)
     stream.add_argument("--live-seconds", type=int, default=schema.LIVE_TRIGGER_SECONDS)
     stream.add_argument("--max-offsets", type=int, default=schema.MAX_OFFSETS_PER_TRIGGER)
@@ -63,9 +69,6 @@ def build_parser() -> argparse.ArgumentParser:
         job.add_argument("--ports-jdbc-url", help="database that holds the port table")
         add_properties(job)
 
-    def add_properties(job: argparse.ArgumentParser) -> None:
-        job.add_argument("--jdbc-property", action="append", default=[], metavar="KEY=VALUE")
-
     def add_kpis(job: argparse.ArgumentParser) -> None:
         add_ports(job)
         job.add_argument("--port-radius-nm", type=float, default=schema.DEFAULT_PORT_RADIUS_NM)
@@ -140,6 +143,10 @@ def _stream(spark: SparkSession, args: argparse.Namespace) -> None:
     sinks = pipeline.default_sinks(
         spark, paths, args.alert_threshold, args.max_records_per_file, publish
     )
+    if args.jdbc_url:
+        target = _target(args.jdbc_url, args)
+        sinks += [JdbcFleetStateSink(target),
+                  JdbcAlertSink(target, threshold=args.alert_threshold)]
     pipeline.run_pipeline(
         _topic(spark, args, True), paths, sinks, args.mode, args.watermark, args.live_seconds
     )

@@ -16,14 +16,15 @@ def percentile_threshold(df: DataFrame, groups: Sequence[str], value: str, perce
     )
 
 
-def five_numbers(df: DataFrame, groups: Sequence[str], value: str) -> DataFrame:
-    """Minimum, quartiles (interpolated) and maximum of a rounded value per group.
+def five_numbers(df: DataFrame, groups: Sequence[str], value: str,
+                 digits: int = 2) -> DataFrame:
+    """Minimum, quartiles (interpolated) and maximum of a value rounded to some digits, per group.
 
     Equal values are counted before the percentile, so a group's memory follows the number of
-    distinct readings (speeds have two decimals up to about 100), not the number of rows.
+    distinct rounded readings (speeds reach about 100), not the number of rows.
     """
     counted = (
-        df.filter(F.col(value).isNotNull()).groupBy(*groups, value)
+        df.filter(F.col(value).isNotNull()).groupBy(*groups, F.round(value, digits).alias(value))
         .agg(F.count("*").alias("_n"))
     )
     quartiles = F.percentile(value, F.array(*(F.lit(q) for q in (0.25, 0.5, 0.75))), F.col("_n"))

@@ -188,16 +188,17 @@ def bounded_batches(spark, sf_dir):
 
 
 @query("x6_stream_side_outputs", oracle(
-    "SELECT outcome, count(*) AS row_count FROM tagged"
-    " WHERE outcome NOT IN ('clean', 'header') GROUP BY outcome", "tagged"))
+    "SELECT outcome, CASE WHEN outcome <> 'dead_letter' THEN trim(raw_MMSI) END AS MMSI,"
+    " count(*) AS row_count FROM tagged"
+    " WHERE outcome NOT IN ('clean', 'header') GROUP BY ALL", "tagged"))
 def stream_side_outputs(spark, sf_dir):
     """Rejects by reason and dead letters, duplicates of bad rows included."""
     paths = _replayed(spark, sf_dir)
     rejected = spark.read.schema(REJECT_SCHEMA).parquet(paths.rejects)
     lost = spark.read.parquet(paths.dead_letters)
-    return rejected.select(F.col("reject_reason").alias("outcome")).unionAll(
-        lost.select(F.lit("dead_letter").alias("outcome"))
-    ).groupBy("outcome").agg(F.count("*").alias("row_count"))
+    return rejected.select(F.col("reject_reason").alias("outcome"), "MMSI").unionAll(
+        lost.select(F.lit("dead_letter").alias("outcome"), "MMSI")
+    ).groupBy("outcome", "MMSI").agg(F.count("*").alias("row_count"))
 
 
 def _event_stream(spark, sf_dir):
