@@ -189,8 +189,8 @@ def _count_shingles(docs: DataFrame, text: str, shingles) -> dict[int, int]:
             [pa.array(known.distinct[used]), pa.array(total[used])], names=["code", "n"])
 
     counted = docs.select(text).mapInArrow(run, "code bigint, n bigint")
-    return {r["code"]: r["n"]
-            for r in counted.groupBy("code").agg(F.sum("n").alias("n")).toLocalIterator()}
+    found = counted.groupBy("code").agg(F.sum("n").alias("n")).toArrow()
+    return dict(zip(found["code"].to_pylist(), found["n"].to_pylist()))
 
 
 def _mark(rows: DataFrame, index) -> DataFrame:

@@ -6,10 +6,8 @@ import io
 import posixpath
 import uuid
 import zipfile
-from collections.abc import Iterator
 from pathlib import Path
 
-import pyarrow as pa
 import pyarrow.fs as pafs
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -79,12 +77,6 @@ def publish(fs: pafs.FileSystem, temporary: str, final: str) -> None:
     fs.move(temporary, final)
 
 
-def rows_of(batches: Iterator[pa.RecordBatch], *names: str) -> Iterator[tuple]:
-    """Plain Python tuples of the named columns, one Arrow batch at a time."""
-    for batch in batches:
-        yield from zip(*(batch.column(name).to_pylist() for name in names))
-
-
 def bytes_or_empty(text: str | None) -> bytes:
     return b"" if text is None else text.encode("utf-8", "surrogatepass")
 
@@ -96,8 +88,3 @@ def columns_in_one(df: DataFrame, keep: list[str] | None = None) -> Column:
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
-
-
-def whole_text(column: str = "text"):
-    """The text with null read as empty."""
-    return F.coalesce(F.col(column).cast("string"), F.lit(""))
