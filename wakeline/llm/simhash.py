@@ -318,8 +318,9 @@ def _grouped(docs: DataFrame, key: str, text: str, words: int, max_bits: int,
     component_key = named.groupBy("component").agg(F.min("least").alias("linked_least"))
     of_linked = named.join(component_key, "component").select(
         F.col("node").alias("fp"), "linked_least")
-    names = classes.join(of_linked, "fp", "left").select(
-        "fp", F.coalesce("linked_least", "least").alias("component_id"))
+    # Written down, so that the last join stands alone and a common fingerprint can be split.
+    names = cut(classes.join(of_linked, "fp", "left").select(
+        "fp", F.coalesce("linked_least", "least").alias("component_id")))
     return marked.join(names, "fp")
 
 
