@@ -244,7 +244,8 @@ def find_passages(docs: DataFrame, benchmark: DataFrame, text: str = "text",
     total = items.agg(F.sum(F.octet_length("text"))).first()[0] or 0
     chunks = max(1, -(-total // chunk_bytes))
     rows = docs.select(
-        columns_in_one(docs, keep).alias("row"), F.col(text).cast("string").alias("text"), F.lit(0).cast("bigint").alias("n_words"),
+        columns_in_one(docs, keep).alias("row"), F.col(text).cast("string").alias("text"),
+        F.lit(0).cast("bigint").alias("n_words"),
         F.lit(0).cast("bigint").alias("n_hit"), F.lit(bytearray()).alias("spans"),
         F.array().cast("array<string>").alias("items"))
     for chunk in range(chunks):
