@@ -205,7 +205,8 @@ def in_order_with_next(docs: DataFrame, key: str, text: str,
         F.struct(F.col("guest_of").alias("range"), F.lit(True).alias("guest")))).alias("spot")
     spread = placed.select("key", "k", "text", spots).where("spot.range >= 0").select(
         "key", "k", "text", "spot.range", "spot.guest")
-    return spread.repartition(max(1, len(used)), "range").sortWithinPartitions(
+    # Ranges are numbered from 0, so each becomes a partition of its own.
+    return spread.repartitionById(max(used, default=0) + 1, F.col("range")).sortWithinPartitions(
         "range", "guest", F.col("k").desc(), F.col("text").asc_nulls_first()
     ).select("key", "text", "range", "guest")
 
