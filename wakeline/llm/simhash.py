@@ -20,7 +20,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from wakeline.llm.graph import components
-from wakeline.llm.shared import bytes_or_empty, cut
+from wakeline.llm.shared import bytes_or_empty, columns_in_one, cut
 
 WORDS_PER_SHINGLE = 3
 MAX_BITS = 2
@@ -346,16 +346,16 @@ def one_of_each(docs: DataFrame, key: str = "doc_id", text: str = "text",
     Rows with a null key go when their component has a key, else they stay. Of rows with equal key
     and text one stays, the least by its other columns.
     """
-    groups = cut(_grouped(docs, key, text, words, max_bits, route_rows))
-    gone = groups.where(F.col("component_id").isNotNull()
-                        & ~F.col(key).eqNullSafe(F.col("component_id")))
-    repeated = groups.groupBy(key, "text_hash").count().where("count > 1")
-    pairs = [gone.select(key, "text_hash").distinct(), repeated.select(key, "text_hash")]
-    gone, repeated = (p.toDF("_key", "_hash") for p in pairs)
-    rows = docs.withColumn("_text_hash", text_hash(text))
-    on = F.col(key).eqNullSafe(F.col("_key")) & (F.col("_text_hash") == F.col("_hash"))
-    kept = rows.join(gone, on, "left_anti")
-    single = kept.join(repeated, on, "left_anti").select(*docs.columns)
-    least = kept.join(repeated, on, "left_semi").groupBy("_text_hash", key).agg(
-        F.min(F.struct(*docs.columns)).alias("_row"))
-    return single.union(least.select("_row.*"))
+    groups = _grouped(docs, key, text, words, max_bits, route_rows)
+    other = F.col("component_id").isNotNull() & ~F.col(key).eqNullSafe(F.col("component_id"))
+    marks = cut(groups.groupBy(F.col(key).alias("key"), F.col("text_hash").alias("hash")).agg(
+        F.bool_or(other).alias("gone"), F.count(F.lit(1)).alias("n")).where("gone or n > 1"))
+    rows = docs.select(columns_in_one(docs).alias("row"), F.col(key).alias("row_key"),
+                       text_hash(text))
+    kept = rows.join(
+        marks, F.col("row_key").eqNullSafe(F.col("key")) & (F.col("text_hash") == F.col("hash")),
+        "left").where("not coalesce(gone, false)")
+    if marks.where("not gone").isEmpty():
+        return kept.select("row.*")
+    least = kept.where("n > 1").groupBy("row_key", "text_hash").agg(F.min("row").alias("row"))
+    return kept.where("n is null").select("row.*").union(least.select("row.*"))
