@@ -307,21 +307,26 @@ def near_links(distinct: DataFrame, max_bits: int = MAX_BITS,
         pending = routed.join(crowded, "route", "left_semi").select("fp", "held").distinct()
 
 
-def _grouped(docs: DataFrame, key: str, text: str, words: int, max_bits: int,
-             route_rows: int) -> DataFrame:
-    """(key, text_hash, fp, component_id) of every row."""
-    marked = cut(fingerprints(docs, key, text, words))
+def component_names(marked: DataFrame, links: DataFrame, key: str) -> DataFrame:
+    """(fp, component_id) of every class: the smallest key that the links between classes reach."""
     classes = cut(marked.groupBy("fp").agg(F.min(key).alias("least")))
-    linked = cut(components(near_links(classes.select("fp"), max_bits, route_rows)))
+    linked = cut(components(links))
     named = linked.join(classes, linked["node"] == classes["fp"]).select(
         "node", "component", "least")
     component_key = named.groupBy("component").agg(F.min("least").alias("linked_least"))
     of_linked = named.join(component_key, "component").select(
         F.col("node").alias("fp"), "linked_least")
     # Written down, so that the last join stands alone and a common fingerprint can be split.
-    names = cut(classes.join(of_linked, "fp", "left").select(
+    return cut(classes.join(of_linked, "fp", "left").select(
         "fp", F.coalesce("linked_least", "least").alias("component_id")))
-    return marked.join(names, "fp")
+
+
+def _grouped(docs: DataFrame, key: str, text: str, words: int, max_bits: int,
+             route_rows: int) -> DataFrame:
+    """(key, text_hash, fp, component_id) of every row."""
+    marked = cut(fingerprints(docs, key, text, words))
+    links = near_links(marked.select("fp").distinct(), max_bits, route_rows)
+    return marked.join(component_names(marked, links, key), "fp")
 
 
 def near_duplicates(docs: DataFrame, key: str = "doc_id", text: str = "text",
@@ -346,7 +351,11 @@ def one_of_each(docs: DataFrame, key: str = "doc_id", text: str = "text",
     Rows with a null key go when their component has a key, else they stay. Of rows with equal key
     and text one stays, the least by its other columns.
     """
-    groups = _grouped(docs, key, text, words, max_bits, route_rows)
+    return least_of_each(docs, _grouped(docs, key, text, words, max_bits, route_rows), key, text)
+
+
+def least_of_each(docs: DataFrame, groups: DataFrame, key: str, text: str) -> DataFrame:
+    """What one_of_each gives, for groups of rows (key, text_hash, component_id)."""
     other = F.col("component_id").isNotNull() & ~F.col(key).eqNullSafe(F.col("component_id"))
     marks = cut(groups.groupBy(F.col(key).alias("key"), F.col("text_hash").alias("hash")).agg(
         F.bool_or(other).alias("gone"), F.count(F.lit(1)).alias("n")).where("gone or n > 1"))
