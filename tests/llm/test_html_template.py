@@ -53,6 +53,27 @@ def test_broken_pages_end(page):
     assert time.process_time() - started < 20
 
 
+@pytest.mark.parametrize("page, text", [
+    (f"<article>a<img src='data:image/png;base64,{'Qk0>' * 5_000}'>b</article>c", "ab"),
+    (f"<article data-x=\"{'x>y' * 20_000}\"><p>a</article>b", "a"),
+    (f"<!doctype {'x' * 20_000}><article>a</article>b", "a"),
+    (f"<article>{'<div>' * 600}a<nav>n</nav><footer>f</footer><div class=comments>c</div>b"
+     f"{'</div>' * 600}d</article>e", "a b d"),
+    (f"<article>{'<b>' * 2_000}a{'</b>' * 2_000}<p>b</article>c", "a b"),
+])
+def test_long_tags_and_deep_elements(page, text):
+    assert main_text(page, None) == text
+
+
+@pytest.mark.parametrize("page", [
+    "<" * 300_000 + ">", ("<a b='" + "x" * 20_000 + ">") * 200, "<a '\">" * 40_000 + "'",
+    "<i><div>" + "<b>" * 100_000 + "</i>" * 100_000])
+def test_long_tags_and_deep_elements_end(page):
+    started = time.process_time()
+    parse(page)
+    assert time.process_time() - started < 20
+
+
 def site(n, seed, host="http://plain.example"):
     """Pages without any element or class that says what is what."""
     rng = random.Random(seed)

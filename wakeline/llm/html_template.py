@@ -42,16 +42,15 @@ SLOT_SHARE = 0.2
 LINK_SHARE = 0.5
 #: Templates of up to this many tokens in all are sent to every task; others are joined by host.
 BROADCAST_TOKENS = 1_000_000
-#: Longer tags are read as text.
+#: Tags that end within so many characters are read by one expression, longer ones quote by quote.
 TAG_CHARS = 16_384
-#: Open elements remembered at a time, as browsers limit them.
-DEPTH = 512
 SLICE_ROWS = 500
 
 _TAG = re.compile(
     r"<[!?][^>]*+>"
-    r"|<(/?)([a-zA-Z][^\s/>]*+)((?:[^>\"']++|\"[^\"]*+\"|'[^']*+')*+)>"
-    r"|<(/?)([a-zA-Z][^\s/>]*+)([^>]*+)>")
+    r"|<(/?)([a-zA-Z][^\s/>]*+)((?:[^>\"']++|\"[^\"]*+\"|'[^']*+')*+)>")
+_START = re.compile(r"<(/?)([a-zA-Z][^\s/>]*+)")
+_QUOTE_OR_END = re.compile(r"[>\"']")
 _ATTRIBUTE = re.compile(
     r"([^\s=/\"'>]+)(?:\s*+=\s*+(?:\"([^\"]*+)\"|'([^']*+)'|([^\s\"'>]++)))?")
 _WORD = re.compile(r"[A-Z]+(?![a-z])|[A-Z]?[a-z]+")
@@ -159,11 +158,35 @@ def _purpose(name: str, attributes: dict[str, str], inside: _Open) -> tuple[bool
     return False, inside.main
 
 
+def _end_of_tag(html: str, at: int, unclosed: set[int]) -> int:
+    """Place of the first '>' outside quotes; -1 if a quote or the tag never ends.
+
+    Quotes from which no end was found are remembered, so that no part of a page is searched anew
+    for each tag.
+    """
+    tried = []
+    while (found := _QUOTE_OR_END.search(html, at)) is not None:
+        at = found.start()
+        if html[at] == ">":
+            return at
+        if at in unclosed:
+            break
+        tried.append(at)
+        at = html.find(html[at], at + 1) + 1
+        if not at:
+            break
+    unclosed.update(tried)
+    return -1
+
+
 def parse(html: str | None) -> tuple[list[int], list[Block]]:
     """Tokens of a page in order (tags and text blocks) and its text blocks."""
     tokens: list[int] = []
     blocks: list[Block] = []
     stack = [_Open("", 0, False, False)]
+    # Places in the stack: by element name, and of all elements that bound a scope.
+    opened: dict[str, list[int]] = {}
+    scopes = [0]
     # Pieces of the block at hand: those that may be kept, and those left out.
     pieces: tuple[list[str], list[str]] = [], []
     linked, links, main = 0, 0, False
@@ -174,8 +197,7 @@ def parse(html: str | None) -> tuple[list[int], list[Block]]:
         for left_out, parts in enumerate(pieces):
             text = " ".join("".join(parts).split()) if parts else ""
             if text:
-                scope = next(e for e in reversed(stack) if e.name in _SCOPE or not e.name)
-                token = _hash("text", scope.path, text)
+                token = _hash("text", stack[scopes[-1]].path, text)
                 tokens.append(token)
                 blocks.append(Block(text, token, bool(left_out), main, linked))
             parts.clear()
@@ -192,15 +214,18 @@ def parse(html: str | None) -> tuple[list[int], list[Block]]:
 
     def close(names: frozenset[str], anywhere: bool) -> None:
         nonlocal links
-        for at in range(len(stack) - 1, 0, -1):
-            if stack[at].name in names:
-                links -= sum(e.name == "a" for e in stack[at:])
-                del stack[at:]
-                return
-            if not anywhere and stack[at].name in _SCOPE:
-                return
-
-    at, size = 0, len(html)
+        at = max((opened[name][-1] for name in names if opened.get(name)), default=0)
+        if not at or not anywhere and at < scopes[-1]:
+            return
+        for element in stack[at:]:
+            opened[element.name].pop()
+            links -= element.name == "a"
+        del stack[at:]
+        while scopes[-1] >= at:
+            scopes.pop()
+
+    at, size, ahead = 0, len(html), -1
+    unclosed: set[int] = set()
     while at < size:
         start = html.find("<", at)
         if start < 0:
@@ -211,22 +236,34 @@ def parse(html: str | None) -> tuple[list[int], list[Block]]:
             found = html.find("-->", start + 2)
             at = found + 3 if found >= 0 else size
             continue
-        if html.find(">", start) < 0:
+        if ahead < start:
+            ahead = html.find(">", start)
+        if ahead < 0:
             put(html[start:])
             break
         match = _TAG.match(html, start, start + TAG_CHARS)
-        if match is None:
-            put("<")
-            at = start + 1
+        if match is not None:
+            at = match.end()
+            if match[2] is None:
+                continue  # a declaration
+            text = match[3]
+        elif html[start + 1] in "!?":
+            at = ahead + 1
             continue
-        at = match.end()
-        name = match[2] or match[5]
-        if name is None:
-            continue  # a declaration
-        name = name.lower()
+        else:
+            match = _START.match(html, start)
+            if match is None:
+                put("<")
+                at = start + 1
+                continue
+            # A quote that never ends is none.
+            end = _end_of_tag(html, match.end(), unclosed)
+            at = (end if end >= 0 else html.find(">", match.end())) + 1
+            text = html[match.end():at - 1]
+        name = match[2].lower()
         if name in _BLOCK:
             end_block()
-        if match[1] or match[4]:
+        if match[1]:
             if name == "p" and not any(e.name == "p" for e in stack[-8:]):
                 continue
             close(frozenset([name]), name in _SCOPE)
@@ -235,7 +272,6 @@ def parse(html: str | None) -> tuple[list[int], list[Block]]:
             close(frozenset(["p"]), False)
         if name in _SIBLINGS:
             close(_SIBLINGS[name], False)
-        text = match[3] if match[3] is not None else match[6] or ""
         attributes = _attributes(text) if "=" in text or "hidden" in text.lower() else {}
         above = stack[-1]
         if name in _BLOCK and name != "br":
@@ -249,9 +285,11 @@ def parse(html: str | None) -> tuple[list[int], list[Block]]:
             continue
         if name in _VOID or text.endswith("/") and name in ("path", "rect", "circle", "use"):
             continue
-        if len(stack) < DEPTH:
-            stack.append(_Open(name, path, *_purpose(name, attributes, above)))
-            links += name == "a"
+        opened.setdefault(name, []).append(len(stack))
+        if name in _SCOPE:
+            scopes.append(len(stack))
+        stack.append(_Open(name, path, *_purpose(name, attributes, above)))
+        links += name == "a"
     end_block()
     return tokens, blocks
 
