@@ -14,6 +14,7 @@ from wakeline.plans.daily import seed_ports
 from wakeline.plans.history import clean_history
 from wakeline.session import shared_dir
 from wakeline.sources import archive
+from wakeline_checks import QUERIES
 
 
 @pytest.fixture(scope="module")
@@ -120,3 +121,12 @@ def test_fine_grid_names_each_cell_once(spark):
                               for i in range(3)])
     found = kpi.route_density_grid(pings, grid_cell_deg=0.00001).collect()
     assert [(r["grid_lat"], r["grid_lon"], r["ping_count"]) for r in found] == [(10.0, 20.0, 3)]
+
+
+def test_months_of_all_years_add_up_to_all_rows(spark):
+    lines = spark.read.parquet("/root/testdata/sf0.001/lineitem.parquet")
+    dated = lines.where("l_shipdate is not null").count()
+    found = QUERIES["t7_months_of_all_years"](spark, "/root/testdata/sf0.001").collect()
+    assert sum(r.n for r in found) == dated
+    assert {r.year for r in found} == {
+        r[0] for r in lines.selectExpr("year(l_shipdate)").distinct().collect()} - {None}

@@ -44,6 +44,13 @@ def month_table(df: DataFrame, ts: str, years: Sequence[int]) -> DataFrame:
         *(F.count_if(F.year(ts) == year).alias(f"n_{year}") for year in years))
 
 
+def month_counts(df: DataFrame, ts: str) -> DataFrame:
+    """Rows of each year and month that occurs, whatever the years; rows without a date are left
+    out."""
+    return df.where(F.col(ts).isNotNull()).groupBy(
+        F.year(ts).alias("year"), F.month(ts).alias("month")).agg(F.count("*").alias("n"))
+
+
 def write_delimited(df: DataFrame, path: str, sep: str = ";") -> None:
     """Delimited text with a header line and every value quoted."""
     df.write.options(header=True, sep=sep, quoteAll=True).csv(path)
