@@ -130,6 +130,33 @@ def test_repeated_text_of_marked_articles_stays(spark):
     assert extract_text(pages.where("false")).count() == 0
 
 
+def test_unmarked_copies_keep_their_text(spark, monkeypatch):
+    same = "<html><body><div class=x><h2>Same title</h2><p>same text here</p></div></body></html>"
+    rows = [(i, f"http://copies.example/{i}", same) for i in range(20)]
+    others, texts = site(30, 3)
+    # A group of copies with over a third of the host, equal rows among them.
+    rows += others + [(i, "http://plain.example/0", others[0][2]) for i in range(100, 120)]
+    rows += [others[0]] * 3
+    got = extract_text(spark.createDataFrame(rows, PAGES)).collect()
+    assert len(got) == len(rows)
+    assert {r.text for r in got if "copies" in r.url} == {"Same title same text here"}
+    assert all(r.text == texts[r.page_id if r.page_id < 100 else 0]
+               for r in got if "plain" in r.url)
+    monkeypatch.setattr(html_template, "BROADCAST_CONTENTS", 0)
+    again = extract_text(spark.createDataFrame(rows, PAGES)).collect()
+    assert sorted(map(tuple, again)) == sorted(map(tuple, got))
+
+
+def test_short_section_behind_a_repeated_heading_stays(spark):
+    rng, rows = random.Random(6), []
+    for i in range(12):
+        long = " ".join(f"w{rng.randrange(9_999)}" for _ in range(80))
+        rows.append((i, f"http://h.example/{i}", "<body><div class=t><p>Daily</div><div class=s>"
+                     f"<p>{long}</p><h3>Result</h3><p>short {i}</p></div></body>"))
+    got = {r.page_id: r.text for r in extract_text(spark.createDataFrame(rows, PAGES)).collect()}
+    assert all(got[i].startswith("w") and got[i].endswith(f"short {i}") for i in range(12))
+
+
 def test_classes_nest_or_are_dropped():
     # Root 1..4; class 20 lies in one gap, class 30 straddles two.
     made = Template.nested([1, 2, 3, 21, 22, 31, 32], [10, 10, 10, 20, 20, 30, 30],

@@ -32,14 +32,17 @@ from wakeline.llm.shared import cut
 from wakeline.operators.joins import salted_join
 
 #: A valid class occurs in this many pages and in this share of the host's pages, with so many
-#: tokens. The share bounds a host's template by the length of its pages.
+#: tokens; pages of equal content count once. The share bounds a host's template by the length of its pages.
 LEAST_PAGES = 3
 LEAST_SHARE = 0.3
 LEAST_TOKENS = 2
-#: Without a marked article, slots with this share of the longest slot's text count as well.
+#: Without a marked article, slots with this share of the longest slot's text count as well, and
+#: shorter ones in the same element as the longest.
 SLOT_SHARE = 0.2
 #: Blocks with more than this share of their text in links are navigation.
 LINK_SHARE = 0.5
+#: Up to this many repeated contents are named to every task; more are joined by their hash.
+BROADCAST_CONTENTS = 500_000
 #: Templates of up to this many tokens in all are sent to every task; others are joined by host.
 BROADCAST_TOKENS = 1_000_000
 #: Tags that end within so many characters are read by one expression, longer ones quote by quote.
@@ -102,6 +105,7 @@ class Block:
     left_out: bool
     main: bool
     linked: int
+    scope: int
 
 
 @dataclass
@@ -197,9 +201,10 @@ def parse(html: str | None) -> tuple[list[int], list[Block]]:
         for left_out, parts in enumerate(pieces):
             text = " ".join("".join(parts).split()) if parts else ""
             if text:
-                token = _hash("text", stack[scopes[-1]].path, text)
+                scope = stack[scopes[-1]].path
+                token = _hash("text", scope, text)
                 tokens.append(token)
-                blocks.append(Block(text, token, bool(left_out), main, linked))
+                blocks.append(Block(text, token, bool(left_out), main, linked, scope))
             parts.clear()
         linked, main = 0, False
 
@@ -356,10 +361,12 @@ def main_text(html: str | None, template: Template | None) -> str:
     own = []
     for block, slot in zip(blocks, slots):
         if slot >= 0 and not block.left_out and block.linked <= LINK_SHARE * len(block.text):
-            own.append((slot, block.text))
+            own.append((slot, block))
             sizes[slot] += len(block.text)
     most = max(sizes.values(), default=0)
-    return " ".join(text for slot, text in own if sizes[slot] >= SLOT_SHARE * most)
+    around = {block.scope for slot, block in own if sizes[slot] == most}
+    return " ".join(block.text for slot, block in own
+                    if sizes[slot] >= SLOT_SHARE * most or block.scope in around)
 
 
 def host_of(url: str):
@@ -368,20 +375,37 @@ def host_of(url: str):
         F.lower(F.col(url)), r"^[a-z][a-z0-9+.\-]*://(?:[^/?#@]*@)?([^/?#:]*)", 1), F.lit(""))
 
 
+def _distinct_contents(pages: DataFrame) -> DataFrame:
+    """(html, host) of each distinct page of a host; only repeated ones are shuffled."""
+    content = F.xxhash64(F.col("html").isNull(), "html").alias("content")
+    rows = pages.select("html", "host", content)
+    repeated = cut(rows.groupBy("host", "content").count().where("count > 1").select(
+        "host", "content"))
+    number = repeated.count()
+    if not number:
+        return rows.select("html", "host")
+    named = F.broadcast(repeated) if number <= BROADCAST_CONTENTS else repeated
+    copies = rows.join(named, ["host", "content"], "left_semi").groupBy("host", "content").agg(
+        F.min("html").alias("html"))
+    return rows.join(named, ["host", "content"], "left_anti").select("html", "host").union(
+        copies.select("html", "host"))
+
+
 def templates(pages: DataFrame) -> DataFrame:
     """(host, tokens, classes, places, pages): the valid classes of each host with a template.
 
-    pages has the columns page_id, url, html, host. Tokens of too few pages are dropped before any
+    pages has the columns page_id, url, html, host. Pages of a host with equal html count as one, so
+    that copies of a page do not make its own text a template. Tokens of too few pages are dropped before any
     grouping by host, so that a host gathers a number of tokens bounded by its pages' length.
     """
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             found: dict[tuple[str, int], list[int]] = {}
-            for page_id, url, html, host in zip(*(batch.column(i) for i in range(4))):
-                host = host.as_py()
-                tokens, _ = parse(html.as_py())
-                page = _hash(page_id.as_py(), url.as_py())
+            for html, host in zip(batch.column(0), batch.column(1)):
+                host, html = host.as_py(), html.as_py()
+                tokens, _ = parse(html)
+                page = _hash(html)
                 first: dict[int, int] = {}
                 for place, token in enumerate(tokens):
                     first.setdefault(token, place)
@@ -398,7 +422,7 @@ def templates(pages: DataFrame) -> DataFrame:
                  *(pa.array([v[i] for v in found.values()], pa.int64()) for i in range(3))],
                 names=["host", "token", "pages", "vector", "places"])
 
-    parts = pages.select("page_id", "url", "html", "host").mapInArrow(
+    parts = _distinct_contents(pages).mapInArrow(
         run, "host string, token bigint, pages bigint, vector bigint, places bigint")
     found = cut(parts.groupBy("host", "token").agg(
         F.sum("pages").alias("pages"), F.bit_xor("vector").alias("vector"),
