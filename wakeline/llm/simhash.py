@@ -307,9 +307,8 @@ def near_links(distinct: DataFrame, max_bits: int = MAX_BITS,
         pending = routed.join(crowded, "route", "left_semi").select("fp", "held").distinct()
 
 
-def component_names(marked: DataFrame, links: DataFrame, key: str) -> DataFrame:
-    """(fp, component_id) of every class: the smallest key that the links between classes reach."""
-    classes = cut(marked.groupBy("fp").agg(F.min(key).alias("least")))
+def component_names(classes: DataFrame, links: DataFrame) -> DataFrame:
+    """(fp, component_id) of every class (fp, least): the least that links between classes reach."""
     linked = cut(components(links))
     named = linked.join(classes, linked["node"] == classes["fp"]).select(
         "node", "component", "least")
@@ -325,8 +324,9 @@ def _grouped(docs: DataFrame, key: str, text: str, words: int, max_bits: int,
              route_rows: int) -> DataFrame:
     """(key, text_hash, fp, component_id) of every row."""
     marked = cut(fingerprints(docs, key, text, words))
-    links = near_links(marked.select("fp").distinct(), max_bits, route_rows)
-    return marked.join(component_names(marked, links, key), "fp")
+    classes = cut(marked.groupBy("fp").agg(F.min(key).alias("least")))
+    links = near_links(classes.select("fp"), max_bits, route_rows)
+    return marked.join(component_names(classes, links), "fp")
 
 
 def near_duplicates(docs: DataFrame, key: str = "doc_id", text: str = "text",
