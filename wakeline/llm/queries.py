@@ -7,8 +7,8 @@ from collections.abc import Callable
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from wakeline.llm import (bpe, decontaminate, digest, html_template, packed_ids, pii, sharding,
-                          simhash, toxicity, warc)
+from wakeline.llm import (bpe, byte_bpe, decontaminate, digest, html_template, importance,
+                          packed_ids, pii, sharding, simhash, toxicity, warc)
 from wakeline.llm.shared import ship_package, table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -16,6 +16,7 @@ ORACLES: dict[str, str] = {}
 
 SHARDS = 8
 TOKENIZER = public_tokenizers.path("word_bpe_49k.json")
+RANKS = public_tokenizers.path("byte_bpe_multi_50k.tiktoken")
 
 
 def query(key: str):
@@ -91,6 +92,20 @@ def op10_packed_ids(spark: SparkSession, sf_dir: str) -> DataFrame:
     return packed_ids.packed_documents(table(spark, sf_dir, "documents"), TOKENIZER)
 
 
+@query("op11_importance")
+def op11_importance(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A tenth of the documents, drawn towards the benchmark's words."""
+    return importance.resample(table(spark, sf_dir, "documents"),
+                               table(spark, sf_dir, "benchmark"))
+
+
+@query("op13_byte_bpe")
+def op13_byte_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Byte-level token ids of every document and their decoded bytes, as digests."""
+    return byte_bpe.token_digests(table(spark, sf_dir, "documents"), RANKS,
+                                  public_tokenizers.PATTERN)
+
+
 _LOWER = ("translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ',"
           " 'abcdefghijklmnopqrstuvwxyz')")
 _WORDS = rf"regexp_extract_all({_LOWER}, '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+')"
@@ -126,3 +141,39 @@ SELECT page_id, strlen(payload)::BIGINT AS payload_bytes, sha1(payload) AS paylo
        CASE WHEN original <> page_id THEN 'revisit' ELSE 'response' END AS record_type,
        CASE WHEN original <> page_id THEN original END AS refers_to
 FROM p LEFT JOIN originals USING (payload)"""
+
+# CRC-32 of each distinct word, byte by byte over a table that is computed bit by bit.
+ORACLES["op11_importance"] = rf"""
+WITH RECURSIVE bits AS (
+  SELECT i AS v, i AS c, 0 AS step FROM range(256) AS r(i) UNION ALL
+  SELECT v, CASE WHEN c % 2 = 1 THEN xor(c // 2, 3988292384) ELSE c // 2 END, step + 1
+  FROM bits WHERE step < 8),
+crc_table AS (SELECT list(c ORDER BY v) AS t FROM bits WHERE step = 8),
+doc_words AS (SELECT doc_id, {_WORDS} AS w FROM documents),
+d AS (SELECT row_number() OVER () AS r, doc_id, w FROM doc_words),
+dw AS (SELECT r, word, count(*) AS n FROM (SELECT r, unnest(w) AS word FROM d) GROUP BY ALL),
+bw AS (SELECT word, count(*) AS n FROM (SELECT unnest({_WORDS}) AS word FROM benchmark) GROUP BY 1),
+distinct_words AS (SELECT word, hex(encode(word)) AS h FROM
+                   (SELECT word FROM dw UNION SELECT word FROM bw)),
+crcs AS (SELECT word, xor(list_reduce(
+    list_prepend(4294967295::BIGINT, list_transform(range(1, len(h), 2),
+      lambda i: ('0x' || h[i:i + 1])::BIGINT)),
+    lambda c, b: xor(c // 256, t[xor(c % 256, b) + 1])), 4294967295) % 10000 AS bucket
+  FROM distinct_words, crc_table),
+s AS (SELECT bucket, sum(n)::BIGINT AS s FROM dw JOIN crcs USING (word) GROUP BY 1),
+t AS (SELECT bucket, sum(n)::BIGINT AS t FROM bw JOIN crcs USING (word) GROUP BY 1),
+sums AS (SELECT (SELECT coalesce(sum(s), 0) FROM s)::DOUBLE AS ss,
+                (SELECT coalesce(sum(t), 0) FROM t)::DOUBLE AS tt),
+gains AS (SELECT bucket, floor(1000 * ln(((coalesce(t, 0) + 1)::DOUBLE * (ss + 10000))
+            / ((coalesce(s, 0) + 1)::DOUBLE * (tt + 10000))))::BIGINT AS gain
+          FROM s FULL JOIN t USING (bucket), sums),
+weights AS (SELECT r, sum(n * gain)::BIGINT AS weight
+            FROM dw JOIN crcs USING (word) JOIN gains USING (bucket) GROUP BY r),
+scored AS (SELECT r, doc_id, len(w)::BIGINT AS n_features, coalesce(weight, 0) AS weight,
+    (coalesce(weight, 0) + floor(-1000 * ln(-ln((('0x' || sha256('2024:' || doc_id)[1:8])::BIGINT
+      + 0.5::DOUBLE) / 4294967296::DOUBLE))))::BIGINT AS score
+  FROM d LEFT JOIN weights USING (r)),
+placed AS (SELECT r, row_number() OVER (ORDER BY score DESC, doc_id) AS place,
+                  10 * count(*) OVER () // 100 AS wanted FROM scored WHERE n_features >= 20)
+SELECT doc_id, n_features, weight, score, CASE WHEN place <= wanted THEN place END AS rank
+FROM scored LEFT JOIN placed USING (r)"""
