@@ -7,8 +7,8 @@ from collections.abc import Callable
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from wakeline.llm import (bpe, byte_bpe, decontaminate, digest, html_template, importance,
-                          packed_ids, pii, sharding, simhash, toxicity, warc)
+from wakeline.llm import (bpe, byte_bpe, collocations, decontaminate, digest, html_template,
+                          importance, packed_ids, pii, sharding, simhash, toxicity, warc)
 from wakeline.llm.shared import ship_package, table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -99,6 +99,12 @@ def op11_importance(spark: SparkSession, sf_dir: str) -> DataFrame:
                                table(spark, sf_dir, "benchmark"))
 
 
+@query("op12_collocations")
+def op12_collocations(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The strongest phrases of two to five words of each language."""
+    return collocations.collocations(table(spark, sf_dir, "documents"))
+
+
 @query("op13_byte_bpe")
 def op13_byte_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Byte-level token ids of every document and their decoded bytes, as digests."""
@@ -177,3 +183,35 @@ placed AS (SELECT r, row_number() OVER (ORDER BY score DESC, doc_id) AS place,
                   10 * count(*) OVER () // 100 AS wanted FROM scored WHERE n_features >= 20)
 SELECT doc_id, n_features, weight, score, CASE WHEN place <= wanted THEN place END AS rank
 FROM scored LEFT JOIN placed USING (r)"""
+
+ORACLES["op12_collocations"] = rf"""
+WITH pieces AS (
+  SELECT lang, unnest(regexp_split_to_array(t, '[.,;:!?\x0A-\x0D]')) AS piece
+  FROM (SELECT coalesce(lang, 'und') AS lang, {_LOWER} AS t FROM documents)),
+parts AS (SELECT lang, regexp_extract_all(piece, '[^\x20\x09]+') AS w FROM pieces),
+totals AS (SELECT lang, sum(len(w))::HUGEINT AS n FROM parts GROUP BY 1),
+grams AS (
+  SELECT lang, unnest(list_transform(range(1, len(w) - k + 2),
+                                     lambda i: array_to_string(w[i:i + k - 1], ' '))) AS g, k
+  FROM parts, (SELECT unnest(range(1, 6)) AS k) AS sizes WHERE len(w) >= k),
+f AS (SELECT lang, g, k, count(*)::HUGEINT AS a FROM grams GROUP BY ALL HAVING count(*) >= 100),
+split AS (SELECT *, string_split(g, ' ') AS s FROM f WHERE k > 1),
+inside AS (
+  SELECT lang, array_to_string(s[p:p + size - 1], ' ') AS g, max(a) AS longer
+  FROM (SELECT *, unnest(range(1, k - size + 2)) AS p
+        FROM (SELECT *, unnest(range(2, k)) AS size FROM split)) GROUP BY 1, 2),
+kept AS (SELECT split.* FROM split LEFT JOIN inside USING (lang, g)
+         WHERE longer IS NULL OR 100 * longer < 100 * a),
+cuts AS (SELECT lang, g, k, a, cut, array_to_string(s[1:cut], ' ') AS head,
+                array_to_string(s[cut + 1:], ' ') AS tail
+         FROM (SELECT *, unnest(range(1, k)) AS cut FROM kept)),
+scores AS (
+  SELECT c.lang, c.g, c.a, h.a AS l, t.a AS r, n, (1000 * c.a * n) // (h.a * t.a) AS score,
+         row_number() OVER (PARTITION BY c.lang, c.g
+                            ORDER BY (1000 * c.a * n) // (h.a * t.a), cut) AS place
+  FROM cuts AS c JOIN f AS h ON h.lang = c.lang AND h.g = head
+  JOIN f AS t ON t.lang = c.lang AND t.g = tail JOIN totals ON totals.lang = c.lang),
+ranked AS (SELECT *, row_number() OVER (PARTITION BY lang ORDER BY score DESC, a DESC, g) AS rank
+           FROM scores WHERE place = 1)
+SELECT lang, rank::BIGINT AS rank, g AS phrase, a::BIGINT AS a, l::BIGINT AS l, r::BIGINT AS r,
+       n::BIGINT AS n, score::BIGINT AS score FROM ranked WHERE rank <= 2000"""
