@@ -10,7 +10,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from wakeline.llm import bpe, decontaminate, near_copies, pii, toxicity
+from wakeline.llm import bpe, decontaminate, pii, simhash, toxicity
 from wakeline.llm.shared import new_folder, ship_package, table
 from wakeline.sources import files
 
@@ -24,9 +24,9 @@ def drop_toxic(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def keep_one_of_each(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """The document with the smallest id of each group of near copies (five-word Jaccard 0.8)."""
+    """The document with the smallest id of each group of linked fingerprints (at most two bits)."""
     ship_package(spark)
-    return near_copies.one_of_each(docs)
+    return simhash.one_of_each(docs)
 
 
 def drop_contaminated(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
