@@ -171,3 +171,46 @@ def test_jobs_from_the_command_line(spark):
             if n.startswith(("wakeline-updates", "wakeline-unique", "wakeline-vessel",
                              "wakeline-backfill", "wakeline-compact"))]
     assert not [n for n in left if n not in before]
+
+
+def test_stream_after_backfill_adds_only_what_is_new(spark):
+    """Several batches, a day of the backfill and a later one, also with another checkpoint."""
+    base = shared_dir(spark, "stream")
+    folder = topic(spark, [VALUES[:4], VALUES[4:]])
+    run(spark, build_parser().parse_args(
+        ["stream", "--base", base, "--topic-files", folder]))
+    before = rows(archive.read_archive(spark, f"{base}/archive").select(*RAW_FIELDS))
+    new = [record(MMSI="366000009"), record(BaseDateTime="2024-12-27T00:00:00", SOG="30")]
+    for values in ([new[0]], [VALUES[0], new[1]], [new[1], VALUES[3]]):
+        messages(spark, values).coalesce(1).write.mode("append").parquet(folder)
+    paths = pipeline.StreamPaths(base)
+    for number in range(2):
+        source = pipeline.message_files(spark, folder, max_files=1)
+        again = pipeline.StreamPaths(base)
+        sinks = pipeline.default_sinks(spark, paths)
+        object.__setattr__(again, "checkpoint", lambda query: f"{base}/checkpoints{number}/{query}")
+        pipeline.run_pipeline(source, again, sinks, watermark="30 days")
+    found = archive.read_archive(spark, paths.archive).select(*RAW_FIELDS)
+    expected = clean_batch(messages(spark, new)).clean.select(*RAW_FIELDS)
+    assert rows(found) == sorted(before + rows(expected))
+    alerts = archive.read_archive(spark, paths.alerts)
+    assert rows(alerts.select("mmsi", "sog_knots")) == [
+        (366000001, 21.0), (366000001, 30.0), (366000002, 25.5)]
+
+
+def test_backfill_uses_its_alert_and_database_options(spark, monkeypatch):
+    from wakeline.sources import jdbc, messages as topics
+
+    sent, upserts = [], []
+    monkeypatch.setattr(topics, "write_topic", lambda df, servers, topic: sent.extend(
+        (servers, topic, json.loads(r["value"])["mmsi"]) for r in df.collect()))
+    monkeypatch.setattr(jdbc, "upsert_via_staging", lambda df, target, table, *_, **__: upserts.append(
+        (target.url, table, df.count())))
+    run(spark, build_parser().parse_args([
+        "stream", "--base", shared_dir(spark, "stream"), "--topic-files", topic(spark, [VALUES]),
+        "--servers", "host:1", "--alert-topic", "alerts", "--jdbc-url", "jdbc:x"]))
+    assert sorted(sent) == [("host:1", "alerts", 366000001), ("host:1", "alerts", 366000002)]
+    assert upserts == [("jdbc:x", "active_fleet_state", 3), ("jdbc:x", "vessel_speed_alerts", 2)]
+    with pytest.raises(SystemExit):
+        run(spark, build_parser().parse_args([
+            "stream", "--base", "x", "--topic-files", "y", "--alert-topic", "alerts"]))

@@ -133,22 +133,25 @@ def _ports(spark: SparkSession, args: argparse.Namespace) -> DataFrame:
 
 def _stream(spark: SparkSession, args: argparse.Namespace) -> None:
     paths = pipeline.StreamPaths(args.base.rstrip("/"))
+    publish, database = None, []
+    if args.alert_topic:
+        if not args.servers:
+            raise SystemExit("--alert-topic needs --servers")
+        publish = partial(messages.write_topic, servers=args.servers, topic=args.alert_topic)
+    if args.jdbc_url:
+        target = _target(args.jdbc_url, args)
+        database = [JdbcFleetStateSink(target),
+                    JdbcAlertSink(target, threshold=args.alert_threshold)]
     if args.mode == "backfill":
         pipeline.backfill(_topic(spark, args, False), paths, args.alert_threshold,
-                          args.max_records_per_file)
+                          args.max_records_per_file, publish, database)
         return
-    publish = None
-    if args.alert_topic:
-        publish = partial(messages.write_topic, servers=args.servers, topic=args.alert_topic)
     sinks = pipeline.default_sinks(
         spark, paths, args.alert_threshold, args.max_records_per_file, publish
     )
-    if args.jdbc_url:
-        target = _target(args.jdbc_url, args)
-        sinks += [JdbcFleetStateSink(target),
-                  JdbcAlertSink(target, threshold=args.alert_threshold)]
     pipeline.run_pipeline(
-        _topic(spark, args, True), paths, sinks, args.mode, args.watermark, args.live_seconds
+        _topic(spark, args, True), paths, [*sinks, *database], args.mode, args.watermark,
+        args.live_seconds
     )
 
 

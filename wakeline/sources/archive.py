@@ -29,25 +29,44 @@ def write_by_date(df: DataFrame, path: str, date_col: str = "date", mode: str =
 
 def append_by_date(df: DataFrame, path: str, date_col: str = "date",
                    max_records: int = MAX_RECORDS_PER_FILE) -> None:
-    """Add rows to the folders of their dates; readers see all of them or none."""
+    """Add rows to the folders of their dates.
+
+    The files appear when the job commits, one after the other: a reader that lists the folders at
+    that moment can see some of them. Jobs over a day run when the stream has left it.
+    """
     write_by_date(df, path, date_col, "append", max_records)
 
 
+def stored_days(spark: SparkSession, path: str, date_col: str = "date") -> set[str]:
+    """The days, as folder names spell them, that have a folder."""
+    head = f"{date_col}="
+    return {name.removeprefix(head) for name in files.children(spark, path)
+            if name.startswith(head)}
+
+
 def append_new(df: DataFrame, path: str, keys: Sequence[str], date_col: str = "date",
-               max_records: int = MAX_RECORDS_PER_FILE) -> None:
+               max_records: int = MAX_RECORDS_PER_FILE,
+               compare: set[str] | None = None) -> None:
     """Append the rows whose key is not stored yet; stored rows are never replaced.
 
-    Only the key columns of the dates at hand are read. Dates are few; keys stay distributed.
+    Only the key columns of the dates at hand are read, of these only the days in `compare` where
+    it is given. Dates are few; keys stay distributed.
     """
     spark = df.sparkSession
     if files.has_files(spark, path, ".parquet"):
         days = [row[0] for row in df.select(date_col).distinct().collect()]
-        stored = read_archive(spark, path, days, date_col)
+        if compare is not None:
+            days = [day for day in days if _folder_day(day) in compare]
+        stored = read_archive(spark, path, days, date_col) if days else None
         if stored is not None:
             df = df.join(stored.select(*keys), list(keys), "left_anti").select(*df.columns)
     append_by_date(df, path, date_col, max_records)
 
 
+def _folder_day(day: date | None) -> str:
+    return "__HIVE_DEFAULT_PARTITION__" if day is None else str(day)
+
+
 def compact_day(spark: SparkSession, path: str, day: str, keys: Sequence[str],
                 prefer: Sequence[str] = (), date_col: str = "date",
                 max_records: int = MAX_RECORDS_PER_FILE) -> None:
@@ -80,7 +99,7 @@ def read_archive(spark: SparkSession, path: str, days: Sequence[date] | None = N
     base = path.rstrip("/")
     if days is None:
         return spark.read.parquet(base)
-    names = sorted({"__HIVE_DEFAULT_PARTITION__" if day is None else str(day) for day in days})
+    names = sorted({_folder_day(day) for day in days})
     folders = [f"{base}/{date_col}={name}" for name in names]
     found = [folder for folder in folders if files.has_files(spark, folder, ".parquet")]
     return spark.read.option("basePath", base).parquet(*found) if found else None

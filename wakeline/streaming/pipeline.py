@@ -144,19 +144,22 @@ def run_pipeline(messages: DataFrame, paths: StreamPaths, sinks: Sequence[BatchS
 
 def backfill(messages: DataFrame, paths: StreamPaths,
              threshold: float = ALERT_THRESHOLD_KNOTS,
-             max_records: int = MAX_RECORDS_PER_FILE) -> None:
+             max_records: int = MAX_RECORDS_PER_FILE, publish=None,
+             more_sinks: Sequence[BatchSink] = ()) -> None:
     """Clean a bounded set of messages in one batch, in any order of time, and lose none.
 
     Positions and alerts that are already stored are not added again; rejects and dead letters
-    carry no key and are added with every run.
+    carry no key and are added with every run. Alerts are published, and further sinks fed, with
+    all positions of the run.
     """
-    spark = messages.sparkSession
     result = clean_batch(messages)
     # The stored dates must not be read while the same job appends to them.
     clean = tables.materialize(result.clean, "backfill")
-    AlertSink(paths.alerts, max_records, threshold=threshold)(clean, 0)
+    AlertSink(paths.alerts, max_records, threshold=threshold, publish=publish)(clean, 0)
     archive.append_new(clean, paths.archive, DUPLICATE_KEY, max_records=max_records)
     FleetStateSink(paths.fleet_state)(clean, 0)
+    for sink in more_sinks:
+        sink(clean, 0)
     result.rejects.write.mode("append").parquet(paths.rejects)
     result.dead_letters.write.mode("append").parquet(paths.dead_letters)
 

@@ -61,21 +61,25 @@ class FleetStateSink:
 class _Appended:
     """Rows added to date folders, once each.
 
-    Only the first batch after a start can be a repeated one, so it alone is compared with the
-    stored keys. Rows that a new checkpoint reads again disappear when their date is compacted.
+    A run of the stream gives every key once. Stored rows that may hold a key of a batch are
+    therefore those of an earlier run: a backfill, a stream with another checkpoint, or an attempt
+    at the same batch. They lie in days that had a folder when the run started; rows of these days
+    are compared with the stored keys, rows of later days are appended without a look.
     """
 
     path: str
     max_records: int = MAX_RECORDS_PER_FILE
     run: str = field(default_factory=lambda: uuid.uuid4().hex[:12])
-    started: bool = False
+    earlier: set[str] | None = None
 
     def store(self, rows: DataFrame, keys: Sequence[str], date_col: str) -> None:
-        if self.started:
-            archive.append_by_date(rows, self.path, date_col, self.max_records)
+        spark = rows.sparkSession
+        if self.earlier is None:
+            self.earlier = archive.stored_days(spark, self.path, date_col)
+        if self.earlier:
+            archive.append_new(rows, self.path, keys, date_col, self.max_records, self.earlier)
         else:
-            archive.append_new(rows, self.path, keys, date_col, self.max_records)
-            self.started = True
+            archive.append_by_date(rows, self.path, date_col, self.max_records)
 
 
 @dataclass

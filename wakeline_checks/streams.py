@@ -76,6 +76,34 @@ def backfill_out_of_order(spark, sf_dir):
         "kafka_offset", "BaseDateTime", *_PAYLOAD, "date")
 
 
+def _backfilled_then_drained(spark, sf_dir) -> StreamPaths:
+    """A backfill of a topic, and a stream that then reads the same topic from its start."""
+    own = _own_session(spark)
+    base = shared_dir(spark, "resumed")
+    views.messages(own, sf_dir).repartition(4, "partition", "offset").write.parquet(
+        f"{base}/topic")
+    run_job(own, "stream", "--base", base, "--topic-files", f"{base}/topic")
+    paths = StreamPaths(base)
+    topic = message_files(own, f"{base}/topic", max_files=1)
+    run_pipeline(topic, paths, default_sinks(own, paths), watermark=_REPLAY_WATERMARK)
+    return paths
+
+
+@query("e1_backfill_then_stream", oracle(_UNIQUE, "unique_rows"))
+def backfill_then_stream(spark, sf_dir):
+    """Each position once, though a backfill and a stream of several batches read all of them."""
+    paths = _backfilled_then_drained(spark, sf_dir)
+    return archive.read_archive(spark, paths.archive).select("BaseDateTime", *_PAYLOAD, "date")
+
+
+@query("e1_alerts_after_backfill", oracle(
+    "SELECT MMSI AS mmsi, CAST(BaseDateTime AS VARCHAR) AS detected_at, SOG AS sog_knots"
+    " FROM unique_rows WHERE SOG > 20", "unique_rows"))
+def alerts_after_backfill(spark, sf_dir):
+    paths = _backfilled_then_drained(spark, sf_dir)
+    return archive.read_archive(spark, paths.alerts).select("mmsi", "detected_at", "sog_knots")
+
+
 _LATE = "10 minutes"
 
 
