@@ -80,3 +80,42 @@ def wkt_point_lon(wkt: Column) -> Column:
 
 def wkt_point_lat(wkt: Column) -> Column:
     return F.regexp_extract(wkt, r"POINT\s*\(\s*(\S+)\s+(\S+?)\s*\)", 2).try_cast("double")
+
+
+def polygon_edges(wkt: Column) -> Column:
+    """The edges (ax, ay, bx, by) of all rings of a POLYGON or MULTIPOLYGON text."""
+    def corner(text: Column) -> Column:
+        xy = F.split(F.trim(text), r"\s+")
+        return F.struct(F.get(xy, F.lit(0)).try_cast("double").alias("x"),
+                        F.get(xy, F.lit(1)).try_cast("double").alias("y"))
+
+    def edges(ring: Column) -> Column:
+        corners = F.transform(F.split(ring, ","), corner)
+        sides = F.size(corners) - 1
+        return F.zip_with(
+            F.slice(corners, F.lit(1), sides), F.slice(corners, F.lit(2), sides),
+            lambda a, b: F.struct(a["x"].alias("ax"), a["y"].alias("ay"), b["x"].alias("bx"),
+                                  b["y"].alias("by")))
+
+    rings = F.regexp_extract_all(wkt, F.lit(r"\(([^()]+)\)"), F.lit(1))
+    return F.flatten(F.transform(rings, edges))
+
+
+def inside_edges(lon: Column, lat: Column, edges: Column) -> Column:
+    """Whether a point lies in a polygon, its border included; holes are left out.
+
+    A ray to the east crosses the border of a polygon that holds its start an odd number of times.
+    Longitudes are taken as they stand: a polygon over the antimeridian has to be cut there.
+    """
+    def crosses(e: Column) -> Column:
+        return ((e["ay"] > lat) != (e["by"] > lat)) & (
+            lon < (e["bx"] - e["ax"]) * (lat - e["ay"]) / F.nullif(e["by"] - e["ay"], F.lit(0.0))
+            + e["ax"])
+
+    def touches(e: Column) -> Column:
+        return (((e["bx"] - e["ax"]) * (lat - e["ay"]) == (lon - e["ax"]) * (e["by"] - e["ay"]))
+                & lon.between(F.least(e["ax"], e["bx"]), F.greatest(e["ax"], e["bx"]))
+                & lat.between(F.least(e["ay"], e["by"]), F.greatest(e["ay"], e["by"])))
+
+    crossed = F.size(F.filter(edges, lambda e: F.coalesce(crosses(e), F.lit(False))))
+    return F.exists(edges, touches) | (crossed % 2 == 1)

@@ -8,7 +8,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from wakeline.functions import geo
-from wakeline.operators.joins import BROADCAST_ROWS, dimension_join
+from wakeline.operators.joins import BROADCAST_ROWS, dimension_join, fits_broadcast
 from wakeline.schema import DEFAULT_PORT_RADIUS_NM
 
 CELL_DEG = 0.25
@@ -89,34 +89,66 @@ def ports_in_range(
     )
 
 
-def positions_in_zones(positions: DataFrame, zones: DataFrame, cell_deg: float = CELL_DEG,
-                       spread_by: Sequence[str] = ("MMSI", "BaseDateTime"),
-                       max_broadcast_rows: int = BROADCAST_ROWS) -> DataFrame:
-    """Every position paired with each rectangular zone (its border included) it lies in.
+def _listed_zones(zones: DataFrame, cell_deg: float) -> DataFrame:
+    """Each zone under the grid cells that its bounding box touches, with its edges.
 
-    `geom_wkt` of a zone is a rectangle along the axes. Zones are met by grid cell, as ports are.
+    A zone without a readable ring is listed nowhere.
     """
-    def bounds(number: int) -> tuple[Column, Column]:
-        texts = F.regexp_extract_all(
-            F.col("geom_wkt"), F.lit(r"(-?[0-9.]+)\s+(-?[0-9.]+)"), F.lit(number))
-        values = texts.cast("array<double>")
-        return F.array_min(values), F.array_max(values)
-
-    (west, east), (south, north) = bounds(1), bounds(2)
-    boxed = zones.withColumns({"_west": west, "_east": east, "_south": south, "_north": north})
-    listed = (
+    def bound(pick, *names: str) -> Column:
+        return pick(F.concat(*(F.col("_edges").getField(name) for name in names)))
+
+    boxed = zones.withColumn("_edges", geo.polygon_edges(F.col("geom_wkt"))).withColumns({
+        "_west": bound(F.array_min, "ax", "bx"), "_east": bound(F.array_max, "ax", "bx"),
+        "_south": bound(F.array_min, "ay", "by"), "_north": bound(F.array_max, "ay", "by")})
+    return (
         boxed
         .withColumn("_lat_cell", F.explode(_span(F.col("_south"), F.col("_north"), cell_deg)))
         .withColumn("_lon_cell", F.explode(_lon_span(F.col("_west"), F.col("_east"), cell_deg)))
     )
+
+
+def _inside_zone() -> Column:
+    """The box test first, then the real ring."""
+    in_box = F.col("LAT").between(F.col("_south"), F.col("_north")) & F.col("LON").between(
+        F.col("_west"), F.col("_east"))
+    return in_box & geo.inside_edges(F.col("LON"), F.col("LAT"), F.col("_edges"))
+
+
+_ZONE_HELPERS = ("_lat_cell", "_lon_cell", "_west", "_east", "_south", "_north", "_edges")
+
+
+def positions_in_zones(positions: DataFrame, zones: DataFrame, cell_deg: float = CELL_DEG,
+                       spread_by: Sequence[str] = ("MMSI", "BaseDateTime"),
+                       max_broadcast_rows: int = BROADCAST_ROWS) -> DataFrame:
+    """Every position paired with each zone (its border included) it lies in.
+
+    `geom_wkt` of a zone is any polygon, with holes or several parts. Zones are met by grid cell,
+    as ports are.
+    """
     met = dimension_join(
-        _with_position_cells(positions, cell_deg), listed, ("_lat_cell", "_lon_cell"),
-        spread_by, "inner", max_broadcast_rows,
+        _with_position_cells(positions, cell_deg), _listed_zones(zones, cell_deg),
+        ("_lat_cell", "_lon_cell"), spread_by, "inner", max_broadcast_rows,
     )
-    inside = F.col("LAT").between(F.col("_south"), F.col("_north")) & F.col("LON").between(
-        F.col("_west"), F.col("_east"))
-    return met.filter(inside).drop(
-        "_lat_cell", "_lon_cell", "_west", "_east", "_south", "_north")
+    return met.filter(_inside_zone()).drop(*_ZONE_HELPERS)
+
+
+def zone_of_each(positions: DataFrame, zones: DataFrame, zone: str = "port_name",
+                 cell_deg: float = CELL_DEG,
+                 max_broadcast_rows: int = BROADCAST_ROWS) -> DataFrame:
+    """Every position once for each zone it lies in, or once with a null zone; batch or stream.
+
+    The zones have to fit a broadcast, else this fails: a position outside of all zones must be
+    told apart in one step for a stream.
+    """
+    listed = _listed_zones(zones.select(zone, "geom_wkt"), cell_deg).withColumnsRenamed(
+        {"_lat_cell": "_zone_lat", "_lon_cell": "_zone_lon"})
+    if not fits_broadcast(listed, max_broadcast_rows):
+        raise ValueError("the zones are too many for a broadcast")
+    placed = _with_position_cells(positions, cell_deg)
+    same_cell = ((F.col("_lat_cell") == F.col("_zone_lat"))
+                 & (F.col("_lon_cell") == F.col("_zone_lon")))
+    return placed.join(F.broadcast(listed), same_cell & _inside_zone(), "left").drop(
+        "geom_wkt", "_zone_lat", "_zone_lon", *_ZONE_HELPERS)
 
 
 def link_zones_to_ports(zones: DataFrame, ports: DataFrame) -> DataFrame:

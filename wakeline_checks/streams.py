@@ -24,7 +24,7 @@ _REPLAY_WATERMARK = "400 days"
 _FILES = 3
 
 
-def _own_session(spark):
+def own_session(spark):
     """A session of its own for stream settings, so that later queries keep theirs."""
     own = spark.newSession()
     for key in ("spark.sql.shuffle.partitions", "spark.sql.session.timeZone"):
@@ -36,7 +36,7 @@ def _own_session(spark):
 
 def _replayed(spark, sf_dir) -> StreamPaths:
     """Drain the whole topic through the three queries and their sinks."""
-    own = _own_session(spark)
+    own = own_session(spark)
     base = shared_dir(spark, "stream")
     views.messages(own, sf_dir).repartition(_FILES, "partition", "offset").write.parquet(
         f"{base}/topic"
@@ -78,7 +78,7 @@ def backfill_out_of_order(spark, sf_dir):
 
 def _backfilled_then_drained(spark, sf_dir) -> StreamPaths:
     """A backfill of a topic, and a stream that then reads the same topic from its start."""
-    own = _own_session(spark)
+    own = own_session(spark)
     base = shared_dir(spark, "resumed")
     views.messages(own, sf_dir).repartition(4, "partition", "offset").write.parquet(
         f"{base}/topic")
@@ -125,7 +125,7 @@ def _by_hour(spark, sf_dir, own) -> str:
 
 
 def _drained_late(spark, sf_dir) -> StreamPaths:
-    own = _own_session(spark)
+    own = own_session(spark)
     paths = StreamPaths(_by_hour(spark, sf_dir, own))
     topic = message_files(own, f"{paths.base}/topic", max_files=1)
     run_pipeline(topic, paths, default_sinks(own, paths), watermark=_LATE)
@@ -200,7 +200,7 @@ def audit_markers(spark, sf_dir):
 @query("x9_bounded_batches", "SELECT 2 AS batches, count(*) > 0 AS bounded FROM events")
 def bounded_batches(spark, sf_dir):
     """No micro-batch takes more files than allowed."""
-    own = _own_session(spark)
+    own = own_session(spark)
     base = shared_dir(spark, "bounded")
     views.messages(own, sf_dir).repartition(_FILES, "partition", "offset").write.parquet(
         f"{base}/topic")
@@ -240,7 +240,7 @@ def _event_stream(spark, sf_dir):
     ).parquet(folder)
 
 
-def _drain(spark, df, mode: str, folder: str) -> None:
+def drain(spark, df, mode: str, folder: str) -> None:
     """Run a stream to the end of its input; each micro-batch adds its rows to a table."""
     def add(batch, batch_id: int) -> None:
         batch.withColumn("batch_id", F.lit(batch_id)).write.mode("append").parquet(
@@ -256,8 +256,8 @@ def _drain(spark, df, mode: str, folder: str) -> None:
        " FROM events GROUP BY event_type")
 def totals(spark, sf_dir):
     """Running count and newest time per key of a stream: the last change of every key."""
-    own, folder = _own_session(spark), shared_dir(spark, "totals")
-    _drain(own, running_totals(_event_stream(own, sf_dir), "rowtime", "url"), "update", folder)
+    own, folder = own_session(spark), shared_dir(spark, "totals")
+    drain(own, running_totals(_event_stream(own, sf_dir), "rowtime", "url"), "update", folder)
     changes = spark.read.parquet(f"{folder}/table")
     return latest_by_key(changes, ["url"], "batch_id").drop("batch_id")
 
@@ -279,8 +279,8 @@ def tumbling(spark, sf_dir):
 @query("t5_tumbling_counts_streamed", _TUMBLING)
 def tumbling_streamed(spark, sf_dir):
     """The same windows of a stream with a watermark, by their last change."""
-    own, folder = _own_session(spark), shared_dir(spark, "tumbling")
+    own, folder = own_session(spark), shared_dir(spark, "tumbling")
     counts = tumbling_counts(_event_stream(own, sf_dir), "rowtime", "url", 5, _REPLAY_WATERMARK)
-    _drain(own, counts, "update", folder)
+    drain(own, counts, "update", folder)
     changes = spark.read.parquet(f"{folder}/table")
     return latest_by_key(changes, ["start_time", "url"], "batch_id").drop("batch_id")
