@@ -139,6 +139,51 @@ def test_state_of_appended_changes(spark):
                            "event_date")
 
 
+def test_state_reads_the_snapshot_and_later_days_only(spark):
+    path = shared_dir(spark, "s")
+
+    def write(day, *items):
+        changes = state(spark, *items).drop("event_date").withColumn(
+            "written_on", F.lit(date(2024, 12, day)))
+        archive.append_by_date(changes, path, "written_on")
+
+    def snapshot(day):
+        tables.snapshot_state(spark, path, f"2024-12-{day}", FLEET_STATE_SCHEMA, ["mmsi"],
+                              "event_ts")
+
+    def current():
+        found = tables.latest_state(spark, path, FLEET_STATE_SCHEMA, ["mmsi"], "event_ts")
+        folders = {name.split("/")[-2] for name in found.inputFiles()}
+        return folders, rows(found.select("mmsi", "sog_knots"))
+
+    write(10, (1, 10, 5, 1.0), (2, 10, 5, 1.0))
+    write(11, (1, 11, 5, 2.0))
+    write(12, (3, 12, 5, 3.0))
+    snapshot(11)
+    assert current() == ({"as_of=2024-12-11", "written_on=2024-12-12"},
+                         [(1, 2.0), (2, 1.0), (3, 3.0)])
+    # Late positions are written on a later day, whatever day they are of.
+    write(13, (2, 10, 9, 7.0), (1, 10, 1, 8.0))
+    for day in (12, 13, 13):
+        snapshot(day)
+    assert current() == ({"as_of=2024-12-13"}, [(1, 2.0), (2, 7.0), (3, 3.0)])
+    assert files.children(spark, f"{path}/_snapshot") == ["as_of=2024-12-12", "as_of=2024-12-13"]
+    with pytest.raises(ValueError):
+        tables.snapshot_state(spark, path, date.today().isoformat(), FLEET_STATE_SCHEMA, ["mmsi"],
+                              "event_ts")
+
+
+def test_rows_added_while_a_day_is_compacted_stay(spark):
+    path = shared_dir(spark, "a")
+    first = positions(spark, [(1, "2024-12-25 10:00:00", 0.0, 0.0)] * 2)
+    added = positions(spark, [(2, "2024-12-25 11:00:00", 0.0, 0.0)])
+    archive.append_by_date(first, path)
+    old = files.children(spark, f"{path}/date=2024-12-25")
+    archive.append_by_date(added, path)
+    archive.replace_files(first.limit(1), path, "2024-12-25", old)
+    assert rows(archive.read_archive(spark, path).select("MMSI")) == [(1,), (2,)]
+
+
 def test_archive_days_and_batches(spark):
     path = shared_dir(spark, "a")
     pings = positions(spark, [(k, f"2024-12-{d} 10:00:00", 0.0, 0.0)

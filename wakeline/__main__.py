@@ -55,6 +55,9 @@ def build_parser() -> argparse.ArgumentParser:
     stream.add_argument("--alert-topic", help="publish alerts to this topic as well")
     stream.add_argument("--jdbc-url", help="keep latest state and alerts in this database as well")
     stream.add_argument("--watermark", default=schema.WATERMARK)
+    stream.add_argument("--keep-late-seconds", type=int, help="store rows that are this much older"
+                        " than their vessel's newest in a table of their own, instead of dropping"
+                        " what lies behind the watermark (drain and live)")
     stream.add_argument("--live-seconds", type=int, default=schema.LIVE_TRIGGER_SECONDS)
     stream.add_argument("--max-offsets", type=int, default=schema.MAX_OFFSETS_PER_TRIGGER)
     stream.add_argument("--max-records-per-file", type=int, default=schema.MAX_RECORDS_PER_FILE)
@@ -146,12 +149,15 @@ def _stream(spark: SparkSession, args: argparse.Namespace) -> None:
         pipeline.backfill(_topic(spark, args, False), paths, args.alert_threshold,
                           args.max_records_per_file, publish, database)
         return
+    keep_late = None
+    if args.keep_late_seconds is not None:
+        keep_late = timedelta(seconds=args.keep_late_seconds)
     sinks = pipeline.default_sinks(
         spark, paths, args.alert_threshold, args.max_records_per_file, publish
     )
     pipeline.run_pipeline(
         _topic(spark, args, True), paths, [*sinks, *database], args.mode, args.watermark,
-        args.live_seconds
+        args.live_seconds, keep_late
     )
 
 

@@ -67,18 +67,34 @@ def _folder_day(day: date | None) -> str:
     return "__HIVE_DEFAULT_PARTITION__" if day is None else str(day)
 
 
+def replace_files(staged: DataFrame, path: str, day: str, old: Sequence[str],
+                  date_col: str = "date", max_records: int = MAX_RECORDS_PER_FILE) -> None:
+    """Exchange the files of a day that were listed before `staged` was read from them.
+
+    The new files are added before the old ones go, and only these go: what a stream adds to the day
+    meanwhile stays. A failure in between leaves rows twice, which the next compaction mends; a
+    reader in between sees them twice, so readers run before or after.
+    """
+    append_by_date(staged, path, date_col, max_records)
+    folder = f"{path.rstrip('/')}/{date_col}={day}"
+    for name in old:
+        files.remove(staged.sparkSession, f"{folder}/{name}")
+
+
 def compact_day(spark: SparkSession, path: str, day: str, keys: Sequence[str],
                 prefer: Sequence[str] = (), date_col: str = "date",
                 max_records: int = MAX_RECORDS_PER_FILE) -> None:
-    """Rewrite a closed date as few files with one row per key.
+    """Rewrite a date as few files with one row per key.
 
-    The rows are written to the shared folder first and stay there until the new files stand.
+    The rows are written to the shared folder first and stay there until the new files stand. Rows
+    added to the date while this runs are neither lost nor compacted.
     """
+    old = files.children(spark, f"{path.rstrip('/')}/{date_col}={day}")
     rows = read_archive(spark, path, [date.fromisoformat(day)], date_col)
     if rows is None:
         return
     staged = materialize(drop_duplicates(rows, keys, prefer), "compact")
-    write_by_date(staged, path, date_col, max_records=max_records)
+    replace_files(staged, path, day, old, date_col, max_records)
 
 
 def write_marker(spark: SparkSession, path: str, batch_id: int, run: str = "") -> None:

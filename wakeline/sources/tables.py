@@ -14,7 +14,7 @@ from wakeline.operators import latest
 from wakeline.schema import TABLE_KEYS
 from wakeline.session import materialize
 from wakeline.sources import files
-from wakeline.sources.archive import read_archive
+from wakeline.sources.archive import read_archive, replace_files, stored_days
 
 
 def read_table(spark: SparkSession, path: str, schema: StructType | None = None) -> DataFrame:
@@ -94,19 +94,69 @@ def fill_geometry(df: DataFrame, day: str | None = None, date_col: str = "kpi_da
     )
 
 
+def _snapshots(spark: SparkSession, path: str) -> list[str]:
+    """The days of the finished snapshots of a change table, ascending."""
+    base = f"{path.rstrip('/')}/_snapshot"
+    days = [name.removeprefix("as_of=") for name in files.children(spark, base)]
+    return [day for day in days if files.exists(spark, f"{base}/as_of={day}/_SUCCESS")]
+
+
+def _state_rows(spark: SparkSession, path: str, schema: StructType, date_col: str,
+                upto: str | None = None) -> DataFrame:
+    """The newest snapshot and the changes of the days after it, up to `upto`."""
+    snapshots = [day for day in _snapshots(spark, path) if upto is None or day <= upto]
+    if not snapshots and upto is None:
+        return read_table(spark, path, schema).select(*schema.fieldNames())
+    as_of = snapshots[-1] if snapshots else ""
+    days = [date.fromisoformat(day) for day in sorted(stored_days(spark, path, date_col))
+            if as_of < day and (upto is None or day <= upto)]
+    changes = read_archive(spark, path, days, date_col) if days else None
+    parts = [spark.read.schema(schema).parquet(f"{path.rstrip('/')}/_snapshot/as_of={as_of}")
+             ] if as_of else []
+    if changes is not None:
+        parts.append(changes.select(*schema.fieldNames()))
+    if not parts:
+        return spark.createDataFrame([], schema)
+    return parts[0] if len(parts) == 1 else parts[0].unionByName(parts[1])
+
+
 def latest_state(spark: SparkSession, path: str, schema: StructType, keys: Sequence[str],
-                 newer_by: str) -> DataFrame:
-    """The newest row per key of a table to which only changes were appended."""
-    changes = read_table(spark, path, schema)
-    return latest.latest_by_key(changes.select(*schema.fieldNames()), keys, newer_by)
+                 newer_by: str, date_col: str = "written_on") -> DataFrame:
+    """The newest row per key of a table to which only changes were appended.
+
+    Reads the newest snapshot and the folders of the days after it, not the changes ever made.
+    """
+    rows = _state_rows(spark, path, schema, date_col)
+    return latest.latest_by_key(rows, keys, newer_by)
+
+
+def snapshot_state(spark: SparkSession, path: str, upto: str, schema: StructType,
+                   keys: Sequence[str], newer_by: str, date_col: str = "written_on") -> None:
+    """Store the state after all changes written up to a day, from the snapshot before it.
+
+    Changes lie in the folder of the day they were written on, so a day that is over by more than
+    a day gets no further ones, however late the positions are; a later day is refused.
+    """
+    last = spark.range(1).select(F.date_sub(F.current_date(), 2).alias("d")).first()["d"]
+    if date.fromisoformat(upto) > last:
+        raise ValueError(f"changes may still be written on {upto}; {last} is the last closed day")
+    if upto in _snapshots(spark, path):
+        return
+    rows = latest.latest_by_key(_state_rows(spark, path, schema, date_col, upto), keys, newer_by)
+    base = f"{path.rstrip('/')}/_snapshot"
+    rows.write.mode("overwrite").parquet(f"{base}/as_of={upto}")
+    # The one before stays for readers that have just opened it.
+    for day in _snapshots(spark, path)[:-2]:
+        files.remove(spark, f"{base}/as_of={day}")
 
 
 def compact_changes(spark: SparkSession, path: str, day: str, schema: StructType,
                     keys: Sequence[str], newer_by: str, date_col: str) -> None:
-    """Keep the newest change per key of a closed day; the state read stays the same."""
+    """Keep the newest change per key of a day; the state read stays the same."""
+    old = files.children(spark, f"{path.rstrip('/')}/{date_col}={day}")
     rows = read_archive(spark, path, [date.fromisoformat(day)], date_col)
     if rows is None:
         return
     newest = latest.latest_by_key(
         rows.select(*schema.fieldNames(), date_col), [*keys, date_col], newer_by)
-    _write_days(materialize(newest, "compact"), path, date_col)
+    replace_files(materialize(newest, "compact"), path, day, old, date_col)

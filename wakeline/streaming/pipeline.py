@@ -4,8 +4,10 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 from dataclasses import dataclass
+from datetime import timedelta
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 from pyspark.sql.streaming.query import StreamingQuery
 
 from wakeline.schema import (
@@ -25,7 +27,14 @@ from wakeline.streaming.positions import (
     clean_batch,
     clean_stream,
 )
-from wakeline.streaming.sinks import AlertSink, ArchiveSink, BatchSink, FleetStateSink, fan_out
+from wakeline.streaming.sinks import (
+    AlertSink,
+    ArchiveSink,
+    BatchSink,
+    FleetStateSink,
+    LateSink,
+    fan_out,
+)
 
 
 @dataclass(frozen=True)
@@ -58,6 +67,10 @@ class StreamPaths:
     def late_rows(self) -> str:
         return f"{self.base}/late_rows"
 
+    @property
+    def late_positions(self) -> str:
+        return f"{self.base}/late_positions"
+
     def checkpoint(self, query: str) -> str:
         return f"{self.base}/checkpoints/{query}"
 
@@ -96,13 +109,18 @@ def default_sinks(spark: SparkSession, paths: StreamPaths,
 
 def start_pipeline(messages: DataFrame, paths: StreamPaths, sinks: Sequence[BatchSink],
                    mode: str = "drain", watermark: str = WATERMARK,
-                   live_seconds: int = LIVE_TRIGGER_SECONDS) -> list[StreamingQuery]:
+                   live_seconds: int = LIVE_TRIGGER_SECONDS,
+                   keep_late: timedelta | None = None) -> list[StreamingQuery]:
     """Start the main, reject and dead-letter queries, each with its own checkpoint.
 
+    With `keep_late`, rows that are this late are stored in their own table (see clean_stream).
+
     Rejects and dead letters go through Spark's Parquet stream sink, which commits each file
     once, also when a batch is repeated.
     """
-    branches = clean_stream(messages, watermark)
+    branches = clean_stream(messages, watermark, keep_late)
+    if keep_late is not None:
+        sinks = [LateSink(list(sinks), paths.late_positions, paths.archive, DUPLICATE_KEY)]
     run = trigger(mode, live_seconds)
     main = (
         branches.clean.writeStream.queryName("positions").foreachBatch(fan_out(sinks))
@@ -121,15 +139,17 @@ def start_pipeline(messages: DataFrame, paths: StreamPaths, sinks: Sequence[Batc
 
 def run_pipeline(messages: DataFrame, paths: StreamPaths, sinks: Sequence[BatchSink],
                  mode: str = "drain", watermark: str = WATERMARK,
-                 live_seconds: int = LIVE_TRIGGER_SECONDS) -> None:
+                 live_seconds: int = LIVE_TRIGGER_SECONDS,
+                 keep_late: timedelta | None = None) -> None:
     """Start the queries and wait for all of them; the first failure stops the others.
 
-    Rows that arrive behind the watermark are dropped and their number is written beside the data.
+    Rows that arrive behind the watermark are dropped and their number is written beside the data;
+    with `keep_late` none is dropped.
     """
     spark = messages.sparkSession
     late = LateRowLog(spark, paths.late_rows)
     spark.streams.addListener(late)
-    queries = start_pipeline(messages, paths, sinks, mode, watermark, live_seconds)
+    queries = start_pipeline(messages, paths, sinks, mode, watermark, live_seconds, keep_late)
     try:
         for query in queries:
             query.awaitTermination()
@@ -165,9 +185,13 @@ def backfill(messages: DataFrame, paths: StreamPaths,
 
 
 def compact(spark: SparkSession, paths: StreamPaths, day: str) -> None:
-    """Rewrite a closed day of archive, alerts and state: few files, each key once."""
+    """Rewrite a day of archive and alerts as few files, each key once, and snapshot the state.
+
+    The snapshot covers all changes that were written up to the day before yesterday.
+    """
     archive.compact_day(spark, paths.archive, day, DUPLICATE_KEY, FIRST_MESSAGE)
     archive.compact_day(spark, paths.alerts, day, TABLE_KEYS["vessel_speed_alerts"],
                         date_col="alert_date")
-    tables.compact_changes(spark, paths.fleet_state, day, FLEET_STATE_SCHEMA, ["mmsi"],
-                           "event_ts", "event_date")
+    closed = spark.range(1).select(F.date_sub(F.current_date(), 2).cast("string").alias("d"))
+    tables.snapshot_state(spark, paths.fleet_state, closed.first()["d"], FLEET_STATE_SCHEMA,
+                          ["mmsi"], "event_ts")

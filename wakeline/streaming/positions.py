@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import json
 import logging
+from datetime import timedelta
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -14,6 +15,7 @@ from wakeline.operators.clean import CleanResult
 from wakeline.operators.dedup import drop_duplicates
 from wakeline.schema import MESSAGE_METADATA, RAW_FIELDS, WATERMARK
 from wakeline.sources.messages import parse_messages
+from wakeline.streaming.late import LATE, mark_late
 
 log = logging.getLogger("wakeline.streaming")
 
@@ -24,19 +26,26 @@ LATE_ROWS_SCHEMA = "query string, run string, batch_id bigint, late_rows bigint"
 
 def _archived_columns(df: DataFrame) -> DataFrame:
     parts = ("speed_kmh", "year", "month", "day", "hour", "day_of_week", "quarter", "date")
-    return df.select(*MESSAGE_METADATA, *RAW_FIELDS, *parts)
+    marks = [LATE] if LATE in df.columns else []
+    return df.select(*MESSAGE_METADATA, *RAW_FIELDS, *parts, *marks)
 
 
-def clean_stream(messages: DataFrame, watermark: str = WATERMARK) -> CleanResult:
+def clean_stream(messages: DataFrame, watermark: str = WATERMARK,
+                 keep_late: timedelta | None = None) -> CleanResult:
     """Branches of a message stream; only the clean branch keeps state.
 
     The event time is part of the duplicate key, so the watermark can drop old keys from the
-    state. Rejects and dead letters leave before that, with their duplicates.
+    state. Rejects and dead letters leave before that, with their duplicates. With `keep_late` the
+    clean branch holds late rows as well, marked: those that are this much older than the newest
+    position of their vessel.
     """
     result = clean.clean_positions(parse_messages(messages))
-    unique = result.clean.withWatermark("BaseDateTime", watermark).dropDuplicates(
-        list(DUPLICATE_KEY)
-    )
+    if keep_late is None:
+        unique = result.clean.withWatermark("BaseDateTime", watermark).dropDuplicates(
+            list(DUPLICATE_KEY)
+        )
+    else:
+        unique = mark_late(result.clean, keep_late, order=FIRST_MESSAGE)
     return CleanResult(
         result.tagged, _archived_columns(clean.add_time_parts(unique)), result.rejects,
         result.dead_letters,

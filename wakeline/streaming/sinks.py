@@ -16,6 +16,7 @@ from wakeline.plans.kpi import alert_messages, speed_alerts
 from wakeline.schema import ALERT_THRESHOLD_KNOTS, MAX_RECORDS_PER_FILE, TABLE_KEYS
 from wakeline.sources import archive, jdbc
 from wakeline.sources.jdbc import JdbcTarget
+from wakeline.streaming.late import LATE
 from wakeline.streaming.positions import DUPLICATE_KEY
 
 log = logging.getLogger("wakeline.streaming")
@@ -23,8 +24,8 @@ log = logging.getLogger("wakeline.streaming")
 BatchSink = Callable[[DataFrame, int], None]
 
 
-def fleet_updates(batch: DataFrame) -> DataFrame:
-    """Newest position per vessel in a batch, as rows of the latest-state table."""
+def fleet_updates(batch: DataFrame, *by: str) -> DataFrame:
+    """Newest position per vessel (and per value of `by`) in a batch, as rows of the state table."""
     placed = batch.filter(F.col("LAT").isNotNull() & F.col("LON").isNotNull())
     state = placed.select(
         F.col("MMSI").cast("bigint").alias("mmsi"),
@@ -37,8 +38,9 @@ def fleet_updates(batch: DataFrame) -> DataFrame:
         F.col("Heading").alias("heading_degrees"),
         F.col("Status").cast("string").alias("nav_status"),
         F.col("BaseDateTime").alias("event_ts"),
+        *by,
     )
-    return latest_by_key(state, ["mmsi"], "event_ts").withColumn(
+    return latest_by_key(state, ["mmsi", *by], "event_ts").withColumn(
         "last_updated", F.current_timestamp()
     )
 
@@ -47,14 +49,15 @@ def fleet_updates(batch: DataFrame) -> DataFrame:
 class FleetStateSink:
     """Appends the newest position of each vessel in a batch; reading takes the newest of all.
 
+    Changes go to the folder of the day they are written on, so that snapshots can leave it behind.
     A late batch or a repeated one changes nothing, and no trigger rewrites the fleet.
     """
 
     path: str
 
     def __call__(self, batch: DataFrame, batch_id: int) -> None:
-        changes = fleet_updates(batch).withColumn("event_date", F.to_date("event_ts"))
-        archive.append_by_date(changes, self.path, "event_date")
+        changes = fleet_updates(batch).withColumn("written_on", F.current_date())
+        archive.append_by_date(changes, self.path, "written_on")
 
 
 @dataclass
@@ -141,6 +144,34 @@ class JdbcAlertSink:
         )
 
 
+@dataclass
+class LateSink:
+    """Splits a marked batch: late rows go to a table of their own, the others to the sinks.
+
+    A late row whose key is stored on time or late already is a copy and is left out.
+    """
+
+    sinks: list[BatchSink]
+    path: str
+    archive_path: str
+    keys: tuple[str, ...]
+    date_col: str = "date"
+
+    def __call__(self, batch: DataFrame, batch_id: int) -> None:
+        on_time = batch.filter(~F.col(LATE)).drop(LATE)
+        for sink in self.sinks:
+            sink(on_time, batch_id)
+        late = batch.filter(LATE).drop(LATE).dropDuplicates(list(self.keys))
+        if late.isEmpty():
+            return
+        days = [row[0] for row in late.select(self.date_col).distinct().collect()]
+        stored = archive.read_archive(batch.sparkSession, self.archive_path, days, self.date_col)
+        if stored is not None:
+            late = late.join(stored.select(*self.keys), list(self.keys), "left_anti").select(
+                *late.columns)
+        archive.append_new(late, self.path, self.keys, self.date_col)
+
+
 def fan_out(sinks: Sequence[BatchSink]) -> BatchSink:
     """One handler that feeds a batch to all sinks; the batch is computed once.
 

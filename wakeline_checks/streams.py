@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from datetime import timedelta
+
 from pyspark.sql import functions as F
 
 from wakeline_checks import views
@@ -164,6 +166,31 @@ def late_rows(spark, sf_dir):
         F.sum("late_rows").alias("late_rows"))
 
 
+# Per vessel: late is what lies 10 minutes behind its newest position of earlier files.
+_KEPT_LATE = (
+    "files AS (SELECT *, CASE WHEN NOT newer THEN 3 WHEN floor(kafka_offset / 2) % 2 = 0 THEN 1"
+    " ELSE 2 END AS file FROM halves),"
+    " known AS (SELECT *, max(BaseDateTime) OVER (PARTITION BY MMSI ORDER BY file RANGE BETWEEN"
+    " UNBOUNDED PRECEDING AND 1 PRECEDING) AS newest FROM files)"
+    " SELECT MMSI, CAST(BaseDateTime AS VARCHAR) AS BaseDateTime, bool_and(coalesce("
+    "BaseDateTime <= newest - INTERVAL 10 MINUTE, false)) AS late FROM known GROUP BY ALL"
+)
+
+
+@query("x3_late_rows_kept", _late_oracle("").rstrip() + ", " + _KEPT_LATE)
+def late_rows_kept(spark, sf_dir):
+    """Archive and late table together: every position once, none dropped."""
+    own = own_session(spark)
+    paths = StreamPaths(_by_hour(spark, sf_dir, own))
+    topic = message_files(own, f"{paths.base}/topic", max_files=1)
+    run_pipeline(topic, paths, default_sinks(own, paths), keep_late=timedelta(minutes=10))
+    stored = [(archive.read_archive(spark, folder), late) for folder, late in (
+        (paths.archive, False), (paths.late_positions, True))]
+    on_time, late = (rows.select("MMSI", "BaseDateTime", F.lit(mark).alias("late"))
+                     for rows, mark in stored)
+    return on_time.unionAll(late)
+
+
 _STATE_TEXTS = ("mmsi", "vessel_name", "lat", "lon", "sog_knots", "cog_degrees",
                 "heading_degrees", "nav_status")
 

@@ -227,8 +227,9 @@ def _stored_state(spark, sf_dir):
     sink = FleetStateSink(folder)
     for number, part in enumerate((F.col("hour") >= 12, F.col("hour") < 12)):
         sink(rows.filter(part), number)
-    tables.compact_changes(spark, folder, "2024-01-15", FLEET_STATE_SCHEMA, ["mmsi"], "event_ts",
-                           "event_date")
+    for day in archive.stored_days(spark, folder, "written_on"):
+        tables.compact_changes(spark, folder, day, FLEET_STATE_SCHEMA, ["mmsi"], "event_ts",
+                               "written_on")
     return fleet_state(spark, folder)
 
 
@@ -237,6 +238,18 @@ def merged_state(spark, sf_dir):
     return _stored_state(spark, sf_dir).select(*_STATE_COLUMNS)
 
 
+@query("s16_state_from_snapshot", oracle(_STATE, "state"))
+def state_from_snapshot(spark, sf_dir):
+    """Changes of many days, a snapshot over the older half: the state of snapshot and later days."""
+    folder = shared_dir(spark, "snapshot")
+    rows = clean_batch(views.messages(spark, sf_dir)).clean.withColumn("written_on", F.col("date"))
+    archive.append_by_date(fleet_updates(rows, "written_on"), folder, "written_on")
+    days = sorted(archive.stored_days(spark, folder, "written_on"))
+    for day in days[:len(days) // 2][-2:]:
+        tables.snapshot_state(spark, folder, day, FLEET_STATE_SCHEMA, ["mmsi"], "event_ts")
+    return fleet_state(spark, folder).select(*_STATE_COLUMNS)
+
+
 @query("p30_point_view", oracle(
     "SELECT mmsi, vessel_name, lat, lon, sog_knots, cog_degrees, heading_degrees, nav_status"
     " FROM state", "state"))
