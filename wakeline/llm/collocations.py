@@ -30,6 +30,10 @@ from wakeline.llm.shared import stored
 
 #: Bytes of text in a shard, a single longer text aside.
 SHARD_BYTES = 24_000_000
+#: The same where occurrences are only counted, for which any run of texts will do.
+COUNTED_BYTES = 12_000_000
+#: Rows that a task hands over at a time.
+BATCH_ROWS = 20_000
 #: Bits of a filter: 8 MB, whatever the corpus.
 FILTER_BITS = 1 << 26
 #: Languages whose totals may be broadcast.
@@ -57,7 +61,7 @@ class Shard:
         names = self.names
         found = raw.translate(_PLAIN).replace(_BREAK, b" \n ").split(b" ")
         self.parts.append(np.array(
-            [names.setdefault(word, len(names)) for word in found if word] + [0], np.int64))
+            [names.setdefault(word, len(names)) for word in found if word] + [0], np.int32))
 
     def close(self) -> None:
         self.ids = np.concatenate(self.parts)
@@ -149,28 +153,35 @@ def levels(shard: Shard, frequent: np.ndarray, longest: int,
            keep: Callable) -> Iterator[tuple[int, np.ndarray, np.ndarray, np.ndarray]]:
     """(words, place, count, hash) of the phrases of a shard that are kept, level by level.
 
-    `place` is where a phrase occurs first. keep(counts, hashes) decides on the phrases of a level;
+    `place` is where a phrase occurs. keep(counts, hashes) decides on the phrases of a level;
     only phrases whose two longest parts were kept are looked at.
     """
     hashes = word_hashes(shard.lang, shard.words)
     known = marked(frequent, hashes)
     known[0] = False
-    ids = np.where(known[shard.ids], shard.ids, -1)
+    ids = np.where(known[shard.ids], shard.ids, np.int32(-1))
     names, of_names = ids, hashes
     for k in range(2, longest + 1):
         at = np.flatnonzero((names[:-1] >= 0) & (names[1:] >= 0))
         at = at[at + k - 1 < len(ids)]
         if not len(at):
             return
-        last = ids[at + k - 1]
-        _, first, inverse, counts = np.unique(
-            names[at] * len(hashes) + last, return_index=True, return_inverse=True,
-            return_counts=True)
-        of_names = joined_hash(of_names[names[at[first]]], hashes[last[first]])
+        key = names[at].astype(np.int64) * len(hashes) + ids[at + k - 1]
+        names = np.full(len(ids), -1, np.int32)
+        order = np.argsort(key)
+        key = key[order]
+        new = np.append(True, key[1:] != key[:-1])
+        starts = np.flatnonzero(new)
+        counts = np.diff(starts, append=len(key))
+        first = at[order[starts]]
+        parts = key[starts]
+        del key
+        of_names = joined_hash(of_names[parts // len(hashes)], hashes[parts % len(hashes)])
         kept = keep(counts, of_names)
-        yield k, at[first[kept]], counts[kept], of_names[kept]
-        names = np.full(len(ids), -1, np.int64)
-        names[at] = np.where(kept[inverse], inverse, -1)
+        numbers = np.cumsum(new, dtype=np.int32) - np.int32(1)
+        names[at[order]] = np.where(kept[numbers], numbers, np.int32(-1))
+        del at, order, new, numbers
+        yield k, first[kept], counts[kept], of_names[kept]
 
 
 def _local_support(support: int, part: int, whole: int) -> int:
@@ -184,10 +195,14 @@ def _word_counts(texts: DataFrame, shard_bytes: int) -> DataFrame:
         for shard in shards(batches, shard_bytes):
             counts = np.bincount(shard.ids, minlength=len(shard.words))
             counts[0] = shard.size
-            words = [None, *(w.decode("utf-8", "replace") for w in shard.words[1:])]
-            yield pa.RecordBatch.from_arrays(
-                [pa.array([shard.lang] * len(words)), pa.array(words, pa.string()),
-                 pa.array(counts)], ["lang", "word", "n"])
+            for start in range(0, len(counts), BATCH_ROWS):
+                part = slice(start, start + BATCH_ROWS)
+                words = [w.decode("utf-8", "replace") for w in shard.words[part]]
+                if not start:
+                    words[0] = None
+                yield pa.RecordBatch.from_arrays(
+                    [pa.array([shard.lang] * len(words)), pa.array(words, pa.string()),
+                     pa.array(counts[part])], ["lang", "word", "n"])
 
     return texts.mapInArrow(run, "lang string, word string, n bigint").groupBy(
         "lang", "word").agg(F.sum("n").alias("n"))
@@ -226,12 +241,14 @@ def _counts(texts: DataFrame, totals: Broadcast, frequent: Broadcast, candidates
             for k, places, counts, _ in levels(shard, frequent.value, longest,
                                                lambda _, hashes: marked(candidates.value, hashes)):
                 words, ids = shard.words, shard.ids
-                rows = [b" ".join([words[i] for i in ids[at:at + k].tolist()])
-                        for at in places.tolist()]
-                yield pa.RecordBatch.from_arrays(
-                    [pa.array([shard.lang] * len(rows), pa.string()),
-                     pa.array(rows, pa.binary()).cast(pa.string()), pa.array(counts)],
-                    ["lang", "phrase", "a"])
+                for start in range(0, len(places), BATCH_ROWS):
+                    part = slice(start, start + BATCH_ROWS)
+                    rows = [b" ".join([words[i] for i in ids[at:at + k].tolist()])
+                            for at in places[part].tolist()]
+                    yield pa.RecordBatch.from_arrays(
+                        [pa.array([shard.lang] * len(rows), pa.string()),
+                         pa.array(rows, pa.binary()).cast(pa.string()), pa.array(counts[part])],
+                        ["lang", "phrase", "a"])
 
     return texts.mapInArrow(run, "lang string, phrase string, a bigint").groupBy(
         "lang", "phrase").agg(F.sum("a").alias("a"))
@@ -247,7 +264,8 @@ def frequent_phrases(docs: DataFrame, support: int, longest: int, lang: str, tex
     texts = docs.select(F.coalesce(F.col(f"`{lang}`").cast("string"), F.lit("und")).alias("lang"),
                         F.coalesce(F.col(f"`{text}`").cast("string"), F.lit("")).alias("text"))
     enough = F.col("n") >= support
-    words = stored(_word_counts(texts, shard_bytes).where(enough), "words")
+    counted_bytes = min(shard_bytes, COUNTED_BYTES)
+    words = stored(_word_counts(texts, counted_bytes).where(enough), "words")
     sizes = words.where("word is null").limit(MAX_LANGUAGES + 1).collect()
     if len(sizes) > MAX_LANGUAGES:
         raise ValueError(f"more than {MAX_LANGUAGES} languages")
@@ -255,7 +273,7 @@ def frequent_phrases(docs: DataFrame, support: int, longest: int, lang: str, tex
     frequent = spark.sparkContext.broadcast(_word_filter(words.where("word is not null")))
     candidates = spark.sparkContext.broadcast(
         _candidates(texts, totals, frequent, support, longest, shard_bytes))
-    phrases = _counts(texts, totals, frequent, candidates, longest, shard_bytes).where(
+    phrases = _counts(texts, totals, frequent, candidates, longest, counted_bytes).where(
         F.col("a") >= support)
     return words, stored(phrases, "phrases")
 

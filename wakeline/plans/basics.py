@@ -38,9 +38,20 @@ def most_frequent(df: DataFrame, group: str, weight: str | None = None) -> DataF
     return counts.join(greatest, "row_count").select(group, "row_count")
 
 
-def month_table(df: DataFrame, ts: str, years: Sequence[int]) -> DataFrame:
-    """Rows per month, one column per year; one scan, combined before the shuffle."""
-    return df.groupBy(F.month(ts).alias("month")).agg(
+def years_of(df: DataFrame, ts: str) -> list[int]:
+    """The years that occur in a date column, ascending: a handful of numbers."""
+    found = df.select(F.year(ts).alias("year")).where("year is not null").distinct()
+    return sorted(row["year"] for row in found.collect())
+
+
+def month_table(df: DataFrame, ts: str, years: Sequence[int] | None = None) -> DataFrame:
+    """Rows per month, one column per year; the years of the table where none are named.
+
+    Combined before the shuffle. Rows without a date are left out.
+    """
+    years = years_of(df, ts) if years is None else years
+    return df.where(F.col(ts).isNotNull()).groupBy(F.month(ts).alias("month")).agg(
+        F.count("*").alias("n_all"),
         *(F.count_if(F.year(ts) == year).alias(f"n_{year}") for year in years))
 
 
@@ -61,8 +72,11 @@ def read_delimited(spark: SparkSession, path: str, schema: StructType,
     return spark.read.schema(schema).options(header=True, sep=sep).csv(path)
 
 
-def per_day(table: DataFrame, years: Sequence[int]) -> DataFrame:
+def per_day(table: DataFrame, years: Sequence[int] | None = None) -> DataFrame:
     """A month table divided by the days of each month, whole rows per day."""
+    if years is None:
+        years = [int(c[2:]) for c in table.columns if c.startswith("n_") and c[2:].isdigit()]
+
     def days(year: int) -> Column:
         first = F.make_date(F.lit(year), F.col("month"), F.lit(1))
         return F.dayofmonth(F.last_day(first))
