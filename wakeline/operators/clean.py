@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+from collections.abc import Callable
 from dataclasses import dataclass
 
 from pyspark.sql import Column, DataFrame
@@ -134,14 +135,18 @@ def accepted(tagged: DataFrame) -> DataFrame:
     return fill_categories(null_sentinels(kept))
 
 
-def clean_positions(parsed: DataFrame) -> CleanResult:
+def clean_positions(parsed: DataFrame,
+                    stage: Callable[[DataFrame], DataFrame] | None = None) -> CleanResult:
     """All branches of the cleaning rules for parsed text rows (batch or stream).
 
-    `clean` is not yet de-duplicated and has no calendar parts: batch and stream differ there.
+    `clean` is not yet de-duplicated and has no calendar parts: batch and stream differ there. A
+    batch that uses several branches may have the tagged rows written down first, by `stage`.
     """
     tagged = tag_positions(parsed)
     if CORRUPT not in tagged.columns:
         tagged = tagged.withColumn(CORRUPT, F.lit(None).cast("string"))
+    if stage is not None:
+        tagged = stage(tagged)
     return CleanResult(tagged, accepted(tagged), rejects(tagged), dead_letters(tagged))
 
 
@@ -150,6 +155,12 @@ def outcome_counts(tagged: DataFrame) -> DataFrame:
     return tagged.groupBy(OUTCOME).agg(F.count("*").alias("row_count"))
 
 
+def outcome_metrics() -> list[Column]:
+    """The same counts as metrics to observe while the tagged rows are written, by outcome."""
+    return [F.count_if(F.col(OUTCOME) == name).alias(name)
+            for name in (CLEAN, HEADER, DEAD_LETTER, *REJECTS)]
+
+
 def union_as_text(*branches: DataFrame) -> DataFrame:
     """Union differently typed branches by name, every column as text, gaps as NULL."""
     as_text = [df.select(*(F.col(c).cast("string").alias(c) for c in df.columns))

@@ -17,10 +17,11 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from wakeline.functions import ais
-from wakeline.operators.joins import salted_join
+from wakeline.operators.joins import dimension_join
 from wakeline.operators.latest import latest_by_key
 from wakeline.operators.stats import percentile_threshold
 from wakeline.schema import ANOMALY_PERCENTILE, CLUSTER_COUNT, CLUSTER_SEED
+from wakeline.session import materialize
 
 FEATURES = ("sog_knots", "cog_sin", "cog_cos", "lat", "lon")
 
@@ -111,17 +112,15 @@ def assign_clusters(features: DataFrame, model: BehaviourModel) -> DataFrame:
 
 
 def flag_outliers(assigned: DataFrame, groups: Sequence[str] = ("cluster_id",),
-                  percent: float = ANOMALY_PERCENTILE, few_groups: bool = True) -> DataFrame:
+                  percent: float = ANOMALY_PERCENTILE) -> DataFrame:
     """Mark rows farther from the centroid than their group's percentile.
 
-    Groups are clusters, or clusters by day: at most some ten thousand, whose thresholds are
-    broadcast, so that positions are not shuffled. With few_groups False the join is salted.
+    The thresholds, one row a group, are written down and broadcast where their size allows it, so
+    that positions are not shuffled; otherwise the join is salted.
     """
-    thresholds = percentile_threshold(assigned, groups, "distance_to_centroid", percent)
-    if few_groups:
-        joined = assigned.join(F.broadcast(thresholds), list(groups), "left")
-    else:
-        joined = salted_join(assigned, thresholds, groups, ("distance_to_centroid",))
+    thresholds = materialize(
+        percentile_threshold(assigned, groups, "distance_to_centroid", percent), "thresholds")
+    joined = dimension_join(assigned, thresholds, groups, ("distance_to_centroid",))
     beyond = F.col("distance_to_centroid") > F.col("threshold_distance")
     return joined.withColumn("is_anomaly", F.coalesce(beyond, F.lit(False)))
 

@@ -7,6 +7,9 @@ from collections.abc import Sequence
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from wakeline.operators.joins import dimension_join
+from wakeline.session import materialize
+
 
 def percentile_threshold(df: DataFrame, groups: Sequence[str], value: str, percent: float,
                          name: str = "threshold_distance") -> DataFrame:
@@ -41,19 +44,19 @@ def five_numbers(df: DataFrame, groups: Sequence[str], value: str,
     )
 
 
-def histogram(df: DataFrame, groups: Sequence[str], value: str, bins: int = 30,
-              few_groups: bool = True) -> DataFrame:
+def histogram(df: DataFrame, groups: Sequence[str], value: str, bins: int = 30
+              ) -> DataFrame:
     """Equal-width histogram per group over the group's own range, with density.
 
-    The ranges, one row per group, are broadcast: clusters and days are at most some ten thousand.
-    Set few_groups to False for keys that grow with the data.
+    The counted values and the ranges, one row per group, are written down; the ranges are
+    broadcast where their size allows it, otherwise the join is salted.
 
     Bins are closed on the left; the last one also holds the maximum. A group with a single
     distinct value gets a range of one unit around it.
     """
     known = df.filter(F.col(value).isNotNull()).select(*groups, F.col(value).alias("_v"))
     # Counting equal values first keeps everything after it small when values are rounded.
-    counted = known.groupBy(*groups, "_v").agg(F.count("*").alias("_n"))
+    counted = materialize(known.groupBy(*groups, "_v").agg(F.count("*").alias("_n")), "values")
     ranges = counted.groupBy(*groups).agg(
         F.min("_v").alias("_lo"), F.max("_v").alias("_hi"), F.sum("_n").alias("_total")
     )
@@ -63,12 +66,10 @@ def histogram(df: DataFrame, groups: Sequence[str], value: str, bins: int = 30,
         F.when(flat, F.col("_lo") - 0.5).otherwise(F.col("_lo")).alias("_lo"),
         F.when(flat, F.col("_hi") + 0.5).otherwise(F.col("_hi")).alias("_hi"),
     )
-    if few_groups:
-        ranges = F.broadcast(ranges)
     width = (F.col("_hi") - F.col("_lo")) / bins
     index = F.least(F.floor((F.col("_v") - F.col("_lo")) / width).cast("int"), F.lit(bins - 1))
     binned = (
-        counted.join(ranges, list(groups), "inner")
+        dimension_join(counted, ranges, groups, ("_v",), "inner")
         .groupBy(*groups, index.alias("bin"), "_lo", width.alias("_width"), "_total")
         .agg(F.sum("_n").alias("value_count"))
     )

@@ -6,10 +6,11 @@ from collections.abc import Sequence
 from dataclasses import dataclass
 from datetime import timedelta
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming.query import StreamingQuery
 
+from wakeline.operators.clean import outcome_metrics
 from wakeline.schema import (
     ALERT_THRESHOLD_KNOTS,
     FLEET_STATE_SCHEMA,
@@ -165,14 +166,17 @@ def run_pipeline(messages: DataFrame, paths: StreamPaths, sinks: Sequence[BatchS
 def backfill(messages: DataFrame, paths: StreamPaths,
              threshold: float = ALERT_THRESHOLD_KNOTS,
              max_records: int = MAX_RECORDS_PER_FILE, publish=None,
-             more_sinks: Sequence[BatchSink] = ()) -> None:
+             more_sinks: Sequence[BatchSink] = ()) -> dict[str, int]:
     """Clean a bounded set of messages in one batch, in any order of time, and lose none.
 
     Positions and alerts that are already stored are not added again; rejects and dead letters
     carry no key and are added with every run. Alerts are published, and further sinks fed, with
-    all positions of the run.
+    all positions of the run. The messages are parsed once, as their tagged rows are written down;
+    the count of each outcome is observed in that write and returned.
     """
-    result = clean_batch(messages)
+    outcomes = Observation("outcomes")
+    result = clean_batch(messages, lambda tagged: tables.materialize(
+        tagged.observe(outcomes, *outcome_metrics()), "tagged"))
     # The stored dates must not be read while the same job appends to them.
     clean = tables.materialize(result.clean, "backfill")
     AlertSink(paths.alerts, max_records, threshold=threshold, publish=publish)(clean, 0)
@@ -182,6 +186,7 @@ def backfill(messages: DataFrame, paths: StreamPaths,
         sink(clean, 0)
     result.rejects.write.mode("append").parquet(paths.rejects)
     result.dead_letters.write.mode("append").parquet(paths.dead_letters)
+    return outcomes.get
 
 
 def compact(spark: SparkSession, paths: StreamPaths, day: str) -> None:

@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import json
 import logging
+from collections.abc import Callable
 from datetime import timedelta
 
 from pyspark.sql import DataFrame, SparkSession
@@ -52,13 +53,14 @@ def clean_stream(messages: DataFrame, watermark: str = WATERMARK,
     )
 
 
-def clean_batch(messages: DataFrame) -> CleanResult:
+def clean_batch(messages: DataFrame,
+                stage: Callable[[DataFrame], DataFrame] | None = None) -> CleanResult:
     """The same branches for a bounded set of messages, in any order of time.
 
     No watermark, hence no late rows: the right choice for replaying days out of order. Of
     several rows with the same vessel and time the earliest message stays.
     """
-    result = clean.clean_positions(parse_messages(messages))
+    result = clean.clean_positions(parse_messages(messages), stage)
     unique = drop_duplicates(
         result.clean, DUPLICATE_KEY, FIRST_MESSAGE
     )

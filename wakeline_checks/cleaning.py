@@ -18,7 +18,9 @@ from wakeline.schema import (
     RAW_FIELDS,
     VESSEL_ATTRIBUTES,
 )
+from wakeline.session import shared_dir
 from wakeline.sources.messages import parse_messages
+from wakeline.streaming.pipeline import StreamPaths, backfill
 from wakeline.streaming.positions import clean_batch
 
 _TEXTS = ", ".join(f"raw_{name} AS {name}" for name in RAW_FIELDS)
@@ -244,6 +246,15 @@ def row_accounting(spark, sf_dir):
     return clean.outcome_counts(_tagged(spark, sf_dir))
 
 
+@query("a10_counts_of_the_write", oracle(
+    "SELECT outcome, count(*) AS row_count FROM tagged GROUP BY outcome", "tagged"))
+def counts_of_the_write(spark, sf_dir):
+    """The counts that a backfill observes while it writes, without a pass of their own."""
+    counts = backfill(views.messages(spark, sf_dir), StreamPaths(shared_dir(spark, "counted")))
+    return spark.createDataFrame([(k, n) for k, n in counts.items() if n],
+                                 "outcome string, row_count bigint")
+
+
 # --- full-history cleaning --------------------------------------------------------------------
 
 _KNOWN = "IMO IS NOT NULL AND upper(trim(IMO)) <> 'IMO0000000'"
