@@ -1,5 +1,7 @@
 import random
+import re
 import time
+from collections import Counter
 
 import pytest
 from pyspark.sql import functions as F
@@ -75,7 +77,10 @@ def test_long_tags_and_deep_elements_end(page):
 
 
 def site(n, seed, host="http://plain.example"):
-    """Pages without any element or class that says what is what."""
+    """Pages without any element or class that says what is what.
+
+    The line with a number is the page's own text, so no slot but it and the article is left.
+    """
     rng = random.Random(seed)
     word = lambda: "".join(rng.choice("abcdefg") for _ in range(rng.randint(2, 7)))
     rows, texts = [], {}
@@ -83,12 +88,13 @@ def site(n, seed, host="http://plain.example"):
         blocks = [" ".join(word() for _ in range(rng.randint(20, 40)))
                   for _ in range(rng.randint(1, 5))]
         links = "".join(f"<a href=/{i}>{word()}</a> " for _ in range(5))
+        own = f"Page made {rng.randint(0, 9)}"
         html = (f"<html><body><div class=x1>The Daily Letter</div><div class=x2>{links}</div>"
                 f"<div class=x3><h2>{blocks[0]}</h2>" + "".join(f"<p>{b}</p>" for b in blocks[1:])
-                + "</div><div class=x4>All rights kept by us</div><div class=x5>Page made "
-                f"{rng.randint(0, 9)}</div></body></html>")
+                + "</div><div class=x4>All rights kept by us</div><div class=x5>"
+                f"{own}</div></body></html>")
         rows.append((i, f"{host}/{i}", html))
-        texts[i] = " ".join(blocks)
+        texts[i] = " ".join([*blocks, own])
     return rows, texts
 
 
@@ -102,7 +108,7 @@ def test_template_of_unmarked_pages(spark):
     assert all(r.n_chars == len(r.text) for r in got)
     # One page alone shows no template: everything but links stays.
     alone = extract_text(spark.createDataFrame(rows[:1], PAGES)).first()
-    assert alone.text.startswith("The Daily Letter " + texts[0])
+    assert alone.text.startswith("The Daily Letter " + texts[0].rsplit(" Page", 1)[0])
 
 
 def test_salted_join_gives_the_same(spark, monkeypatch):
@@ -157,6 +163,44 @@ def test_short_section_behind_a_repeated_heading_stays(spark):
     assert all(got[i].startswith("w") and got[i].endswith(f"short {i}") for i in range(12))
 
 
+def test_short_own_paragraphs_and_links_stay(spark):
+    """A correction beside a long article, and a paragraph of which half is a link."""
+    rng, rows = random.Random(7), []
+    for i in range(30):
+        long = " ".join(f"w{rng.randrange(9_999)}" for _ in range(120))
+        rows.append((i, f"http://c.example/{i}", f"<body><div class=t>Daily</div><div class=s><p>{long}"
+                     f"</div><div class=u>Contact us</div><div class=v><p>Correction {i} see "
+                     f"<a>the note of {i}</a></div></body>"))
+    got = extract_text(spark.createDataFrame(rows, PAGES)).collect()
+    assert all(r.text.startswith("w") and r.text.endswith(
+        f" Correction {r.page_id} see the note of {r.page_id}") for r in got)
+    assert not any("Daily" in r.text or "Contact" in r.text for r in got)
+
+
+def plain_text(pages, page):
+    """The article of one page by scanning the whole host: repeated blocks of unmarked pages go."""
+    blocks = {i: re.findall(r"<(?:p|h2|div class=x\d)>([^<]+)", html) for i, html in pages.items()}
+    count = Counter(b for found in blocks.values() for b in set(found))
+    return " ".join(b for b in blocks[page] if count[b] < 0.3 * len(pages))
+
+
+def test_whole_query_against_a_plain_scan(spark):
+    rows = site(60, 8)[0] + [(i + 100, u.replace("plain", "other"), h)
+                             for i, u, h in site(40, 9)[0]]
+    got = extract_text(spark.createDataFrame(rows, PAGES)).collect()
+    hosts = {}
+    for i, url, html in rows:
+        hosts.setdefault(url.rsplit("/", 1)[0], {})[i] = html
+    assert {r.page_id: r.text for r in got} == {
+        i: plain_text(pages, i) for pages in hosts.values() for i in pages}
+
+
+def test_without_its_template_a_page_reads_differently(spark):
+    rows, texts = site(40, 5)
+    for i, _, html in rows:
+        assert html_template.main_text(html, None) != texts[i]
+
+
 def test_classes_nest_or_are_dropped():
     # Root 1..4; class 20 lies in one gap, class 30 straddles two.
     made = Template.nested([1, 2, 3, 21, 22, 31, 32], [10, 10, 10, 20, 20, 30, 30],

@@ -10,9 +10,10 @@ are slots, and the text of the page's own slots is extracted.
 Vectors are never gathered: a vector is the exclusive-or of a hash of (page, count) over the pages,
 which Spark aggregates with map-side combine.
 
-Elements say what they are for: menus, headers, footers, sidebars, notices, adverts, forms, scripts
-and reader comments are left out whole, and where a page marks its article, slots outside it are too.
-Text inside a marked article always stays, also when other pages repeat it.
+A check follows. Elements say what they are for: menus, headers, footers, sidebars, notices, adverts,
+forms, scripts and reader comments are left out of the slots, and where a page marks its article, what
+lies outside of the mark is too. Text inside a marked article always stays, also when other pages
+repeat it; no slot is dropped for its length.
 """
 
 from __future__ import annotations
@@ -36,11 +37,6 @@ from wakeline.operators.joins import salted_join
 LEAST_PAGES = 3
 LEAST_SHARE = 0.3
 LEAST_TOKENS = 2
-#: Without a marked article, slots with this share of the longest slot's text count as well, and
-#: shorter ones in the same element as the longest.
-SLOT_SHARE = 0.2
-#: Blocks with more than this share of their text in links are navigation.
-LINK_SHARE = 0.5
 #: Up to this many repeated contents are named to every task; more are joined by their hash.
 BROADCAST_CONTENTS = 500_000
 #: Templates of up to this many tokens in all are sent to every task; others are joined by host.
@@ -105,7 +101,6 @@ class Block:
     left_out: bool
     main: bool
     linked: int
-    scope: int
 
 
 @dataclass
@@ -201,10 +196,9 @@ def parse(html: str | None) -> tuple[list[int], list[Block]]:
         for left_out, parts in enumerate(pieces):
             text = " ".join("".join(parts).split()) if parts else ""
             if text:
-                scope = stack[scopes[-1]].path
-                token = _hash("text", scope, text)
+                token = _hash("text", stack[scopes[-1]].path, text)
                 tokens.append(token)
-                blocks.append(Block(text, token, bool(left_out), main, linked, scope))
+                blocks.append(Block(text, token, bool(left_out), main, linked))
             parts.clear()
         linked, main = 0, False
 
@@ -215,7 +209,7 @@ def parse(html: str | None) -> tuple[list[int], list[Block]]:
             pieces[stack[-1].left_out].append(text)
             main |= stack[-1].main and bool(text.strip())
             if links:
-                linked += len(text.strip())
+                linked += len("".join(text.split()))
 
     def close(names: frozenset[str], anywhere: bool) -> None:
         nonlocal links
@@ -348,25 +342,23 @@ class Template:
 
 
 def main_text(html: str | None, template: Template | None) -> str:
-    """Text of the article's blocks, joined by one space; empty if there is none."""
+    """Text of the article's blocks, joined by one space; empty if there is none.
+
+    The template places the slots: its own text goes, what lies between is the page's. Without a
+    template the whole page is one slot. Of the slots, those with a marked block are the article,
+    or all where the page marks none. The elements' purposes are checked last: what they leave out
+    goes, so does what a marking page has outside of its mark, and on other pages a block that is
+    nothing but links. Template text inside the mark is the article's own and stays.
+    """
     tokens, blocks = parse(html)
-    candidates = [b for b in blocks if not b.left_out]
-    marked = [b.text for b in candidates if b.main]
-    if marked:
-        return " ".join(marked)
     slots = template.slots(tokens, blocks) if template and template.root else None
     if slots is None:
-        return " ".join(b.text for b in candidates if b.linked <= LINK_SHARE * len(b.text))
-    sizes: Counter[int] = Counter()
-    own = []
-    for block, slot in zip(blocks, slots):
-        if slot >= 0 and not block.left_out and block.linked <= LINK_SHARE * len(block.text):
-            own.append((slot, block))
-            sizes[slot] += len(block.text)
-    most = max(sizes.values(), default=0)
-    around = {block.scope for slot, block in own if sizes[slot] == most}
-    return " ".join(block.text for slot, block in own
-                    if sizes[slot] >= SLOT_SHARE * most or block.scope in around)
+        slots = [0] * len(blocks)
+    marked = {slot for slot, b in zip(slots, blocks) if b.main and not b.left_out}
+    placed = [b for slot, b in zip(slots, blocks)
+              if (slot in marked if marked else slot >= 0) or b.main]
+    return " ".join(b.text for b in placed if not b.left_out and (
+        b.main if marked else b.linked < len(b.text.replace(" ", ""))))
 
 
 def host_of(url: str):
@@ -430,12 +422,13 @@ def templates(pages: DataFrame) -> DataFrame:
     hosts = found.where("token = 0").select("host", F.col("pages").alias("of"))
     likely = found.where("token <> 0").join(hosts, "host").where(
         F.col("pages") >= LEAST_SHARE * F.col("of"))
-    members = F.sort_array(F.collect_list(F.struct("token", "vector", "place", "pages")))
-    gathered = likely.groupBy("host").agg(members.alias("m"))
-    # Within a host, keep the classes (equal vectors) with enough tokens.
-    valid = F.expr(f"""filter(m, x -> size(filter(m, y -> y.vector = x.vector
-                                                       and y.pages = x.pages)) >= {LEAST_TOKENS})""")
-    return gathered.select("host", valid.alias("m")).where(F.size("m") > 0).select(
+    # Classes (equal vectors) with enough tokens, then all of a host's classes.
+    one = F.struct("token", "vector", "place", "pages")
+    classes = likely.groupBy("host", "vector", "pages").agg(
+        F.collect_list(one).alias("c")).where(F.size("c") >= LEAST_TOKENS)
+    gathered = classes.groupBy("host").agg(
+        F.sort_array(F.flatten(F.collect_list("c"))).alias("m"))
+    return gathered.select(
         "host", *(F.col(f"m.{field}").alias(name) for field, name in (
             ("token", "tokens"), ("vector", "classes"), ("place", "places"), ("pages", "pages"))))
 
