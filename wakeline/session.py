@@ -2,7 +2,10 @@
 
 from __future__ import annotations
 
+import io
 import uuid
+import zipfile
+from pathlib import Path
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -44,6 +47,28 @@ def build_session(app_name: str, streaming: bool = False) -> SparkSession:
     return configure(builder.getOrCreate(), streaming)
 
 
+_SHIPPED: set[str] = set()
+
+
+def ship_package(spark: SparkSession) -> None:
+    """Give Python workers this package, once per application, as --py-files would.
+
+    Only what runs Python in tasks needs it: state processors and functions over Arrow tables.
+    """
+    app = spark.sparkContext.applicationId
+    if app in _SHIPPED:
+        return
+    root = Path(__file__).resolve().parents[1]
+    packed = io.BytesIO()
+    with zipfile.ZipFile(packed, "w") as archive:
+        for path in sorted((root / "wakeline").rglob("*.py")):
+            archive.write(path, path.relative_to(root))
+    target = f"{shared_dir(spark, 'package')}/wakeline.zip"
+    files.write_bytes(spark, target, packed.getvalue())
+    spark.sparkContext.addPyFile(target)
+    _SHIPPED.add(app)
+
+
 _INTERMEDIATES: list[str] = []
 
 

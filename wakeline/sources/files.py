@@ -46,6 +46,16 @@ def rename(spark: SparkSession, path: str, target: str) -> None:
         raise OSError(f"{path} cannot become {target}")
 
 
+def write_bytes(spark: SparkSession, path: str, content: bytes) -> None:
+    """A small file in one go."""
+    fs, hadoop_path = _fs(spark, path)
+    stream = fs.create(hadoop_path)
+    try:
+        stream.write(bytearray(content))
+    finally:
+        stream.close()
+
+
 def first_line(spark: SparkSession, path: str) -> str | None:
     """First line of a text file; reads one buffer of it."""
     fs, hadoop_path = _fs(spark, path)

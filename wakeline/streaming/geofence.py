@@ -12,6 +12,7 @@ from pyspark.sql.streaming.stateful_processor import StatefulProcessor, Stateful
 
 from wakeline.operators.geofence import SILENCE_SECONDS
 from wakeline.schema import WATERMARK
+from wakeline.session import ship_package
 
 
 class GeofenceProcessor(StatefulProcessor):
@@ -107,6 +108,7 @@ def stream_geofence_events(placed: DataFrame, zone: str = "port_name", vessel: s
     Exits by silence appear when the watermark has passed the end of the silence. Needs the RocksDB
     state store (session.STREAMING_CONF).
     """
+    ship_package(placed.sparkSession)
     rows = placed.withWatermark(ts, watermark).select(
         F.col(vessel).cast("bigint").alias("vessel"), F.col(zone).alias("zone"),
         F.unix_micros(ts).alias("at_us"), F.col(ts).alias("event_at"))

@@ -16,6 +16,8 @@ from pyspark.sql import DataFrame
 from pyspark.sql import types as T
 from pyspark.sql.streaming.stateful_processor import StatefulProcessor, StatefulProcessorHandle
 
+from wakeline.session import ship_package
+
 LATE = "_late"
 
 
@@ -56,6 +58,7 @@ class LateAwareDeduplicator(StatefulProcessor):
 def mark_late(clean: DataFrame, delay: timedelta, vessel: str = "MMSI", ts: str = "BaseDateTime",
               order: tuple[str, ...] = ()) -> DataFrame:
     """The rows of a stream that are on time, once each, and all late ones, marked in `_late`."""
+    ship_package(clean.sparkSession)
     kinds = T.StructType([*clean.schema.fields, T.StructField(LATE, T.BooleanType())])
     return clean.groupBy(vessel).transformWithStateInPandas(
         statefulProcessor=LateAwareDeduplicator(delay, ts, order), outputStructType=kinds,

@@ -1,4 +1,4 @@
-"""Checks of zone events and polygons: batch, stream and DuckDB by lag and lead."""
+"""Checks of zone events, polygons and nearest vessels against DuckDB."""
 
 from __future__ import annotations
 
@@ -7,13 +7,14 @@ from datetime import timedelta
 from pyspark.sql import functions as F
 
 from wakeline.operators.geofence import geofence_events
+from wakeline.operators.nearest import nearest_vessels
 from wakeline.operators.spatial import positions_in_zones, zone_of_each
 from wakeline.schema import ZONE_SCHEMA, ZONES
 from wakeline.session import shared_dir
 from wakeline.streaming.geofence import final_watermark, stream_geofence_events
 from wakeline.streaming.positions import clean_batch
 from wakeline_checks import views
-from wakeline_checks.registry import oracle, query
+from wakeline_checks.registry import oracle, query, rounded
 from wakeline_checks.streams import drain, own_session
 
 _SILENCE = 24 * 3600
@@ -125,3 +126,39 @@ def polygons(spark, sf_dir):
     zones = spark.createDataFrame([(1, _wkt(1)), (2, _wkt(2))], "zone int, geom_wkt string")
     return positions_in_zones(views.positions(spark, sf_dir), zones).groupBy(
         "zone", "MMSI", "BaseDateTime").agg(F.count("*").alias("n"))
+
+
+_APART = (
+    "(pow(sin((radians(a.LAT) - radians(b.LAT)) / 2), 2) + cos(radians(a.LAT)) * cos(radians(b.LAT))"
+    " * pow(sin((radians(a.LON) - radians(b.LON)) / 2), 2))"
+)
+_NEWEST = (
+    "newest AS (SELECT * FROM (SELECT date_trunc('hour', BaseDateTime) AS hour, MMSI, LAT, LON, SOG,"
+    " COG, row_number() OVER (PARTITION BY date_trunc('hour', BaseDateTime), MMSI ORDER BY"
+    " BaseDateTime DESC, LAT DESC, LON DESC, SOG DESC NULLS LAST, COG DESC NULLS LAST) AS place"
+    " FROM pos) WHERE place = 1),"
+    " pairs AS (SELECT a.hour, a.MMSI AS mmsi, b.MMSI AS near_mmsi, a.LAT AS lat, a.LON AS lon,"
+    " a.SOG AS sog, a.COG AS cog, b.LAT AS lat2, b.LON AS lon2, b.SOG AS sog2, b.COG AS cog2,"
+    f" round(2 * 3440.065e0 * atan2(sqrt({_APART}), sqrt(1 - {_APART})), 6) AS d"
+    " FROM newest AS a JOIN newest AS b ON a.hour = b.hour AND a.MMSI <> b.MMSI"
+    " AND abs(a.LAT - b.LAT) < 0.06),"
+    " best AS (SELECT * FROM (SELECT *, row_number() OVER (PARTITION BY hour, mmsi ORDER BY d,"
+    " near_mmsi) AS place FROM pairs WHERE d <= 3) WHERE place = 1),"
+    " moved AS (SELECT *, (lon2 - lon) * 60 * cos(radians(lat)) AS x, (lat2 - lat) * 60 AS y,"
+    " sog2 * sin(radians(cog2)) / 60 - sog * sin(radians(cog)) / 60 AS u,"
+    " sog2 * cos(radians(cog2)) / 60 - sog * cos(radians(cog)) / 60 AS v FROM best),"
+    " timed AS (SELECT *, CASE WHEN u * u + v * v > 0 THEN greatest(0, -(x * u + y * v)"
+    " / (u * u + v * v)) WHEN u * u + v * v = 0 THEN 0 END AS t FROM moved)"
+)
+
+
+@query("g4_nearest_vessels", oracle("SELECT 1", "pos").removesuffix(" SELECT 1") + (
+    f", {_NEWEST} SELECT CAST(n.hour AS VARCHAR) AS hour, n.MMSI AS mmsi, near_mmsi,"
+    f" {rounded('d', 4)} AS distance_nm, {rounded('t', 2)} AS cpa_minutes FROM newest AS n"
+    " LEFT JOIN timed AS t ON n.hour = t.hour AND n.MMSI = t.mmsi"))
+def nearest(spark, sf_dir):
+    """The nearest vessel within three miles in each hour, one row a vessel and hour."""
+    found = nearest_vessels(views.positions(spark, sf_dir), 3.0, unit="hour")
+    return found.select(F.col("minute").alias("hour"), "mmsi", "near_mmsi",
+                        F.round("distance_nm", 4).alias("distance_nm"),
+                        "cpa_minutes")
