@@ -1,7 +1,11 @@
+import math
+import random
+import struct
 import zlib
 from collections import Counter
 
 import pytest
+import xxhash
 from pyspark.sql import functions as F
 
 from wakeline.llm.sharding import shard_documents
@@ -40,3 +44,30 @@ def test_empty_table_and_clashing_columns(documents):
     odd = documents((1, "x"), (2, "y")).withColumns(
         {"shard": F.lit("a"), "slot": F.lit(1), "_bucket": F.lit(2), "size": F.lit("s")})
     assert shard_documents(odd, [1.0] * 8).count() == 2
+
+
+def plain_shard(key, shards):
+    """The shard with the greatest score, by the hash chain over key and shard number."""
+    text = b"\0null" if key is None else str(key).encode()
+    best = None
+    for shard in range(shards):
+        h = xxhash.xxh64_intdigest(struct.pack("<i", shard), seed=xxhash.xxh64_intdigest(text, seed=42))
+        score = -1.0 / math.log(((h >> 11) + 0.5) / 2**53)
+        if best is None or (score, shard) > best:
+            best = score, shard
+    return best[1]
+
+
+def test_whole_query_against_a_plain_version(documents):
+    rng = random.Random(4)
+    rows = [(rng.choice([i, i, i, 7, None]), rng.choice([None, "", f"t{i}", "é" * (i % 9), "same"]))
+            for i in range(900)]
+    out = shard_documents(documents(*rows), [1.0] * 8, bucket_rows=50).collect()
+    want = []
+    for key, text in rows:
+        raw = (text or "").encode()
+        want.append((key, len(raw) + 1, zlib.crc32(raw), plain_shard(key, 8), plain_shard(key, 9)))
+    assert Counter((r.doc_id, r.size, r.text_crc32, r.shard, r.grown_shard) for r in out) == Counter(
+        want)
+    for shard, count in Counter(w[3] for w in want).items():
+        assert sorted(r.slot for r in out if r.shard == shard) == list(range(count))
