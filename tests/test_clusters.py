@@ -64,6 +64,8 @@ def test_reference_model_is_reused_until_refit(spark):
     assert len(again.clusterCenters()) == len(first.clusterCenters()) == 3
     _, refit = models.load_or_fit(features, base, refit=True, k=4)
     assert len(refit.clusterCenters()) == 4
+    models.load_or_fit(features, base, refit=True, k=2)
+    assert sum(name.startswith("replaced-") for name in files.children(spark, base)) == 1
     assert models.load_reference(spark, shared_dir(spark, "none")) is None
 
 

@@ -28,13 +28,19 @@ def load_reference(spark: SparkSession,
 
 def save_reference(spark: SparkSession, base: str, scaler: StandardScalerModel,
                    kmeans: KMeansModel) -> None:
-    """Write both parts beside the pair in use, then exchange the folders by name."""
+    """Write both parts beside the pair in use, then exchange the folders by name.
+
+    The pair that was in use stays beside, for readers that have just opened it; older ones go.
+    """
+    older = [name for name in files.children(spark, base) if name.startswith("replaced-")]
     fresh = f"{base}/{REFERENCE}-{uuid.uuid4().hex}"
     kmeans.write().save(f"{fresh}/{MODEL}")
     scaler.write().save(f"{fresh}/{SCALER}")
     if files.exists(spark, f"{base}/{REFERENCE}"):
         files.rename(spark, f"{base}/{REFERENCE}", f"{base}/replaced-{uuid.uuid4().hex}")
     files.rename(spark, fresh, f"{base}/{REFERENCE}")
+    for name in older:
+        files.remove(spark, f"{base}/{name}")
 
 
 def save_dated(base: str, kmeans: KMeansModel, day: str) -> None:
