@@ -112,15 +112,19 @@ def assign_clusters(features: DataFrame, model: BehaviourModel) -> DataFrame:
 
 
 def flag_outliers(assigned: DataFrame, groups: Sequence[str] = ("cluster_id",),
-                  percent: float = ANOMALY_PERCENTILE) -> DataFrame:
+                  percent: float = ANOMALY_PERCENTILE, few_groups: bool = True) -> DataFrame:
     """Mark rows farther from the centroid than their group's percentile.
 
-    The thresholds, one row a group, are written down and broadcast where their size allows it, so
-    that positions are not shuffled; otherwise the join is salted.
+    Groups are clusters, or clusters by day: at most some ten thousand, whose thresholds are
+    broadcast, so that positions are not shuffled and no job starts here. With few_groups False the
+    thresholds are written down first and broadcast only if their size allows it.
     """
-    thresholds = materialize(
-        percentile_threshold(assigned, groups, "distance_to_centroid", percent), "thresholds")
-    joined = dimension_join(assigned, thresholds, groups, ("distance_to_centroid",))
+    thresholds = percentile_threshold(assigned, groups, "distance_to_centroid", percent)
+    if few_groups:
+        joined = assigned.join(F.broadcast(thresholds), list(groups), "left")
+    else:
+        joined = dimension_join(assigned, materialize(thresholds, "thresholds"), groups,
+                                ("distance_to_centroid",))
     beyond = F.col("distance_to_centroid") > F.col("threshold_distance")
     return joined.withColumn("is_anomaly", F.coalesce(beyond, F.lit(False)))
 
