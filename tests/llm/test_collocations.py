@@ -58,14 +58,14 @@ def corpus():
     return docs + [docs[0]] * 40
 
 
-@pytest.mark.parametrize("shard_bytes", [2_000, 20_000, 10_000_000])
+@pytest.mark.parametrize("shards, run_bytes", [(1, 2_000), (4, 20_000), (4, 10_000_000), (30, 5_000)])
 @pytest.mark.parametrize("percent", [100, 60])
-def test_against_counting_every_phrase(spark, shard_bytes, percent):
+def test_against_counting_every_phrase(spark, shards, run_bytes, percent):
     shared_folder(spark)
     docs = corpus()
     frame = spark.createDataFrame(docs, "lang string, text string").repartition(3).withColumn(
         "phrase", F.lit("clash")).withColumn("n", F.lit(0))
-    got = collocations.collocations(frame, 12, 5, percent, 25, shard_bytes=shard_bytes)
+    got = collocations.collocations(frame, 12, 5, percent, 25, shards=shards, run_bytes=run_bytes)
     assert got.columns == ["lang", "rank", "phrase", "a", "l", "r", "n", "score"]
     want = plain(docs, 12, 5, percent, 25)
     assert len(want) > 20 and any(row[0] == "und" for row in want)

@@ -1,18 +1,17 @@
 """Frequent phrases of each language, mined by partitioning (SON).
 
 A phrase that occurs often enough in a whole language occurs proportionally often in at least one of
-the shards the language is dealt over. So every shard, a run of texts of bounded size, is mined
-completely at its share of the support, level by level: a phrase can only be frequent if the phrases
-without its first and without its last word are. The locally frequent phrases of all shards are united
-in a filter of fixed size (a Bloom filter, bits joined by OR), and a second scan counts everything
-the filter lets through globally and exactly. What passes by mistake gets its true count and fails the
-support, so the filter's size changes no result, only the work.
-
-Inside a shard a phrase of k words is named by the number of its first k-1 words and its last word,
-which is exact; the hash that the filter needs is composed from word hashes in the same steps.
-
-Where a language is larger than `support` shards the local support is 1: every phrase of frequent words
-is then a candidate, and the second scan does the whole counting.
+the shards the language is dealt over. So every shard, a fixed share of the texts, is mined completely
+at its share of the support: first its pairs of words, then the longer phrases, in which every pair
+of neighbours has to be a candidate. The locally frequent phrases of all shards are united in a filter
+of fixed size (a Bloom filter, bits joined by OR), and a last scan counts everything the filter lets
+through globally and exactly. What passes by mistake gets its true count and fails the support, so
+the filter's size changes no result, only the work.
+
+A shard is no task: tasks count the phrases of the shards in runs of texts of bounded size, and Spark
+adds the counts up by shard. The number of shards is fixed, so local supports do not fall as the corpus
+grows. Inside a run a phrase of k words is named by the number of its first k-1 words and its last
+word, which is exact; the hash that travels is composed from word hashes in the same steps.
 """
 
 from __future__ import annotations
@@ -28,10 +27,10 @@ from pyspark.sql import functions as F
 
 from wakeline.llm.shared import stored
 
-#: Bytes of text in a shard, a single longer text aside.
-SHARD_BYTES = 24_000_000
-#: The same where occurrences are only counted, for which any run of texts will do.
-COUNTED_BYTES = 12_000_000
+#: Shards of each language.
+SHARDS = 4
+#: Bytes of text in a run, a single longer text aside.
+RUN_BYTES = 16_000_000
 #: Rows that a task hands over at a time.
 BATCH_ROWS = 20_000
 #: Bits of a filter: 8 MB, whatever the corpus.
@@ -49,11 +48,11 @@ _PLAIN = bytes(
     for byte in range(256))
 
 
-class Shard:
-    """The words of one language in a run of texts, as numbers; 0 ends a piece."""
+class Run:
+    """The words of one language's shard in a run of texts, as numbers; 0 ends a piece."""
 
-    def __init__(self, lang: str):
-        self.lang = lang
+    def __init__(self, lang: str, shard: int):
+        self.lang, self.shard = lang, shard
         self.names: dict[bytes, int] = {_BREAK: 0}
         self.parts: list[np.ndarray] = []
 
@@ -70,22 +69,25 @@ class Shard:
         del self.parts, self.names
 
 
-def shards(batches: Iterator[pa.RecordBatch], limit: int) -> Iterator[Shard]:
-    """Shards of (lang, text) rows, each run of texts split by language."""
-    open_, size = {}, 0
+def runs(batches: Iterator[pa.RecordBatch], limit: int) -> Iterator[Run]:
+    """Runs of (lang, shard, text) rows, each split by language and shard."""
+    open_: dict[tuple[str, int], Run] = {}
+    size = 0
 
-    def closed() -> Iterator[Shard]:
-        for lang in list(open_):
-            shard = open_.pop(lang)
-            shard.close()
-            yield shard
+    def closed() -> Iterator[Run]:
+        for key in list(open_):
+            run = open_.pop(key)
+            run.close()
+            yield run
 
     for batch in batches:
-        for lang, text in zip(batch.column(0).to_pylist(), batch.column(1)):
+        for *key, text in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist(),
+                              batch.column(2)):
             raw = (text.as_py() or "").encode("utf-8", "surrogatepass")
-            if lang not in open_:
-                open_[lang] = Shard(lang)
-            open_[lang].add(raw)
+            run = open_.get(tuple(key))
+            if run is None:
+                run = open_[tuple(key)] = Run(*key)
+            run.add(raw)
             size += len(raw)
             if size >= limit:
                 yield from closed()
@@ -149,17 +151,17 @@ def _united(marks: Callable, rows: DataFrame) -> np.ndarray:
 
 # --- mining ------------------------------------------------------------------------------------
 
-def levels(shard: Shard, frequent: np.ndarray, longest: int,
+def levels(run: Run, frequent: np.ndarray, longest: int,
            keep: Callable) -> Iterator[tuple[int, np.ndarray, np.ndarray, np.ndarray]]:
-    """(words, place, count, hash) of the phrases of a shard that are kept, level by level.
+    """(words, place, count, hash) of the phrases of a run that are kept, level by level.
 
-    `place` is where a phrase occurs. keep(counts, hashes) decides on the phrases of a level;
-    only phrases whose two longest parts were kept are looked at.
+    `place` is where a phrase occurs. keep(words, hashes) decides on the phrases of a level; only
+    phrases whose two longest parts were kept are looked at.
     """
-    hashes = word_hashes(shard.lang, shard.words)
+    hashes = word_hashes(run.lang, run.words)
     known = marked(frequent, hashes)
     known[0] = False
-    ids = np.where(known[shard.ids], shard.ids, np.int32(-1))
+    ids = np.where(known[run.ids], run.ids, np.int32(-1))
     names, of_names = ids, hashes
     for k in range(2, longest + 1):
         at = np.flatnonzero((names[:-1] >= 0) & (names[1:] >= 0))
@@ -177,7 +179,7 @@ def levels(shard: Shard, frequent: np.ndarray, longest: int,
         parts = key[starts]
         del key
         of_names = joined_hash(of_names[parts // len(hashes)], hashes[parts % len(hashes)])
-        kept = keep(counts, of_names)
+        kept = keep(k, of_names)
         numbers = np.cumsum(new, dtype=np.int32) - np.int32(1)
         names[at[order]] = np.where(kept[numbers], numbers, np.int32(-1))
         del at, order, new, numbers
@@ -189,23 +191,25 @@ def _local_support(support: int, part: int, whole: int) -> int:
     return -(-support * part // whole)
 
 
-def _word_counts(texts: DataFrame, shard_bytes: int) -> DataFrame:
-    """(lang, word, n) over all texts; the row with a null word counts all words of a language."""
+def _word_counts(texts: DataFrame, run_bytes: int) -> DataFrame:
+    """(lang, shard, word, n): n of each word of a language (no shard), and of all words of a shard."""
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for shard in shards(batches, shard_bytes):
-            counts = np.bincount(shard.ids, minlength=len(shard.words))
-            counts[0] = shard.size
+        for part in runs(batches, run_bytes):
+            counts = np.bincount(part.ids, minlength=len(part.words))
+            counts[0] = part.size
             for start in range(0, len(counts), BATCH_ROWS):
-                part = slice(start, start + BATCH_ROWS)
-                words = [w.decode("utf-8", "replace") for w in shard.words[part]]
+                rows = slice(start, start + BATCH_ROWS)
+                words = [w.decode("utf-8", "replace") for w in part.words[rows]]
+                shards = [None] * len(words)
                 if not start:
-                    words[0] = None
+                    words[0], shards[0] = None, part.shard
                 yield pa.RecordBatch.from_arrays(
-                    [pa.array([shard.lang] * len(words)), pa.array(words, pa.string()),
-                     pa.array(counts[part])], ["lang", "word", "n"])
+                    [pa.array([part.lang] * len(words)), pa.array(shards, pa.int32()),
+                     pa.array(words, pa.string()), pa.array(counts[rows])],
+                    ["lang", "shard", "word", "n"])
 
-    return texts.mapInArrow(run, "lang string, word string, n bigint").groupBy(
-        "lang", "word").agg(F.sum("n").alias("n"))
+    return texts.mapInArrow(run, "lang string, shard int, word string, n bigint").groupBy(
+        "lang", "shard", "word").agg(F.sum("n").alias("n"))
 
 
 def _word_filter(words: DataFrame) -> np.ndarray:
@@ -217,64 +221,106 @@ def _word_filter(words: DataFrame) -> np.ndarray:
     return _united(marks, words.select("lang", "word"))
 
 
-def _candidates(texts: DataFrame, totals: Broadcast, frequent: Broadcast, support: int,
-                longest: int, shard_bytes: int) -> np.ndarray:
-    """First scan: the filter of the phrases that are locally frequent in some shard."""
+def _all_pass(hashes: np.ndarray) -> np.ndarray:
+    return np.ones(len(hashes), bool)
+
+
+def _mined(texts: DataFrame, known: Broadcast, sizes: tuple[int, int], supports: DataFrame,
+           run_bytes: int) -> np.ndarray:
+    """The filter of the phrases of first..last words that are frequent in some shard.
+
+    known holds the filters of frequent words and of the candidates so far, which all shorter
+    phrases have to pass, and the number of each shard's row in `supports` (part, least).
+    """
+    first, last = sizes
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        frequent, candidates, parts = known.value
+
+        def keep(k: int, hashes: np.ndarray) -> np.ndarray:
+            return _all_pass(hashes) if k >= first else marked(candidates, hashes)
+
+        for text in runs(batches, run_bytes):
+            part = parts.get((text.lang, text.shard))
+            if part is None:
+                continue
+            for k, _, counts, hashes in levels(text, frequent, last, keep):
+                if k >= first:
+                    yield pa.RecordBatch.from_arrays(
+                        [pa.array(np.full(len(counts), part, np.int32)),
+                         pa.array(hashes.view(np.int64)), pa.array(counts.astype(np.int32))],
+                        ["part", "hash", "n"])
+
     def marks(batches: Iterator[pa.RecordBatch]) -> Iterator[np.ndarray]:
-        for shard in shards(batches, shard_bytes):
-            if shard.lang in totals.value:
-                least = _local_support(support, shard.size, totals.value[shard.lang])
-                for *_, hashes in levels(shard, frequent.value, longest,
-                                         lambda counts, _: counts >= least):
-                    yield hashes
+        for batch in batches:
+            yield batch.column(0).to_numpy().view(np.uint64)
 
-    return _united(marks, texts)
+    counted = texts.mapInArrow(run, "part int, hash bigint, n int").groupBy("part", "hash").agg(
+        F.sum("n").alias("n"))
+    # One row a shard of each language, whose number was checked.
+    local = counted.join(F.broadcast(supports), "part").where("n >= least")
+    return _united(marks, local.select("hash"))
 
 
-def _counts(texts: DataFrame, totals: Broadcast, frequent: Broadcast, candidates: Broadcast,
-            longest: int, shard_bytes: int) -> DataFrame:
-    """Second scan: (lang, phrase, a) of every phrase that the candidates' filter lets through."""
+def _counts(texts: DataFrame, known: Broadcast, longest: int, run_bytes: int) -> DataFrame:
+    """Last scan: (lang, phrase, a) of every phrase that the candidates' filter lets through."""
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for shard in shards(batches, shard_bytes):
-            if shard.lang not in totals.value:
+        frequent, candidates, parts = known.value
+        for text in runs(batches, run_bytes):
+            if (text.lang, text.shard) not in parts:
                 continue
-            for k, places, counts, _ in levels(shard, frequent.value, longest,
-                                               lambda _, hashes: marked(candidates.value, hashes)):
-                words, ids = shard.words, shard.ids
+            for k, places, counts, _ in levels(text, frequent, longest,
+                                               lambda _, hashes: marked(candidates, hashes)):
+                words, ids = text.words, text.ids
                 for start in range(0, len(places), BATCH_ROWS):
-                    part = slice(start, start + BATCH_ROWS)
-                    rows = [b" ".join([words[i] for i in ids[at:at + k].tolist()])
-                            for at in places[part].tolist()]
+                    rows = slice(start, start + BATCH_ROWS)
+                    phrases = [b" ".join([words[i] for i in ids[at:at + k].tolist()])
+                               for at in places[rows].tolist()]
                     yield pa.RecordBatch.from_arrays(
-                        [pa.array([shard.lang] * len(rows), pa.string()),
-                         pa.array(rows, pa.binary()).cast(pa.string()), pa.array(counts[part])],
-                        ["lang", "phrase", "a"])
+                        [pa.array([text.lang] * len(phrases), pa.string()),
+                         pa.array(phrases, pa.binary()).cast(pa.string()),
+                         pa.array(counts[rows])], ["lang", "phrase", "a"])
 
     return texts.mapInArrow(run, "lang string, phrase string, a bigint").groupBy(
         "lang", "phrase").agg(F.sum("a").alias("a"))
 
 
 def frequent_phrases(docs: DataFrame, support: int, longest: int, lang: str, text: str,
-                     shard_bytes: int = SHARD_BYTES) -> tuple[DataFrame, DataFrame]:
+                     shards: int = SHARDS,
+                     run_bytes: int = RUN_BYTES) -> tuple[DataFrame, DataFrame]:
     """Stored tables (lang, word, n) and (lang, phrase, a) of all with at least `support`.
 
     The first also has a row with a null word for each language: the number of all its words.
     """
     spark = docs.sparkSession
-    texts = docs.select(F.coalesce(F.col(f"`{lang}`").cast("string"), F.lit("und")).alias("lang"),
-                        F.coalesce(F.col(f"`{text}`").cast("string"), F.lit("")).alias("text"))
-    enough = F.col("n") >= support
-    counted_bytes = min(shard_bytes, COUNTED_BYTES)
-    words = stored(_word_counts(texts, counted_bytes).where(enough), "words")
-    sizes = words.where("word is null").limit(MAX_LANGUAGES + 1).collect()
-    if len(sizes) > MAX_LANGUAGES:
+    text_column = F.coalesce(F.col(f"`{text}`").cast("string"), F.lit(""))
+    texts = docs.select(
+        F.coalesce(F.col(f"`{lang}`").cast("string"), F.lit("und")).alias("lang"),
+        F.pmod(F.xxhash64(text_column), F.lit(shards)).cast("int").alias("shard"),
+        text_column.alias("text"))
+    found = stored(_word_counts(texts, run_bytes).where(
+        (F.col("n") >= support) | F.col("word").isNull()), "words")
+    words = found.where("word is not null").select("lang", "word", "n").union(
+        found.where("word is null").groupBy("lang").agg(F.sum("n").alias("n")).select(
+            "lang", F.lit(None).cast("string").alias("word"), "n"))
+    # A shard without words has no phrases, and a language with fewer words than the support none.
+    whole = words.where("word is null").where(F.col("n") >= support).select(
+        "lang", F.col("n").alias("whole"))
+    sizes = found.where("word is null and n > 0").join(whole, "lang").limit(
+        MAX_LANGUAGES * shards + 1).collect()
+    if len(sizes) > MAX_LANGUAGES * shards:
         raise ValueError(f"more than {MAX_LANGUAGES} languages")
-    totals = spark.sparkContext.broadcast({row["lang"]: row["n"] for row in sizes})
-    frequent = spark.sparkContext.broadcast(_word_filter(words.where("word is not null")))
-    candidates = spark.sparkContext.broadcast(
-        _candidates(texts, totals, frequent, support, longest, shard_bytes))
-    phrases = _counts(texts, totals, frequent, candidates, longest, counted_bytes).where(
-        F.col("a") >= support)
+    parts = {(r["lang"], r["shard"]): i for i, r in enumerate(sizes)}
+    supports = spark.createDataFrame(
+        [(i, _local_support(support, r["n"], r["whole"])) for i, r in enumerate(sizes)],
+        "part int, least bigint")
+    frequent, bits = _word_filter(words.where("word is not null")), _no_bits()
+    for reach in ((2, 2), (3, longest)):
+        if reach[0] <= longest:
+            known = spark.sparkContext.broadcast((frequent, bits, parts))
+            bits = bits | _mined(texts, known, reach, supports, run_bytes)
+    known = spark.sparkContext.broadcast((frequent, bits, parts))
+    phrases = _counts(texts, known, longest, run_bytes).where(F.col("a") >= support)
     return words, stored(phrases, "phrases")
 
 
@@ -336,15 +382,15 @@ def _first(rows: DataFrame, limit: int) -> DataFrame:
 
 
 def collocations(docs: DataFrame, support: int = 100, longest: int = 5, percent: int = 100,
-                 limit: int = 2000, lang: str = "lang", text: str = "text",
-                 shard_bytes: int = SHARD_BYTES) -> DataFrame:
+                 limit: int = 2000, lang: str = "lang", text: str = "text", shards: int = SHARDS,
+                 run_bytes: int = RUN_BYTES) -> DataFrame:
     """(lang, rank, phrase, a, l, r, n, score): each language's first phrases of 2 to `longest` words.
 
     A null language is `und`, null and empty texts have no words, repeated rows count each time,
     other columns are ignored whatever their names, an empty table gives nothing. Phrases inside a
     longer one that is (at `percent` of 100) as frequent are left out.
     """
-    words, phrases = frequent_phrases(docs, support, longest, lang, text, shard_bytes)
+    words, phrases = frequent_phrases(docs, support, longest, lang, text, shards, run_bytes)
     scored = stored(_scored(words, phrases, _not_absorbed(phrases, percent)), "scored")
     return _first(scored, limit).select(
         "lang", "rank", "phrase", "a", "l", "r", "n", "score")
