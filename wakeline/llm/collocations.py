@@ -33,6 +33,8 @@ SHARDS = 4
 RUN_BYTES = 16_000_000
 #: Rows that a task hands over at a time.
 BATCH_ROWS = 20_000
+#: Bits of a hash that is shuffled: fewer bytes for a longer list of candidates, none is lost.
+HASH_BITS = 36
 #: Bits of a filter: 8 MB, whatever the corpus.
 FILTER_BITS = 1 << 26
 #: Languages whose totals may be broadcast.
@@ -111,10 +113,15 @@ def joined_hash(phrase: np.ndarray, word: np.ndarray) -> np.ndarray:
     return (value ^ (value >> np.uint64(29))) * _FACTOR
 
 
+def short(hashes: np.ndarray) -> np.ndarray:
+    """The part of the hashes that travels; phrases that share it are counted as one candidate."""
+    return hashes & np.uint64((1 << HASH_BITS) - 1)
+
+
 def _places(hashes: np.ndarray) -> np.ndarray:
-    """Two bits of the filter for each hash."""
+    """Two bits of the filter for each hash, by its short form."""
     mask = np.uint64(FILTER_BITS - 1)
-    return np.stack([hashes & mask, (hashes >> np.uint64(38)) & mask])
+    return np.stack([hashes & mask, (short(hashes) * _FACTOR >> np.uint64(38)) & mask])
 
 
 def mark(bits: np.ndarray, hashes: np.ndarray) -> None:
@@ -248,7 +255,8 @@ def _mined(texts: DataFrame, known: Broadcast, sizes: tuple[int, int], supports:
                 if k >= first:
                     yield pa.RecordBatch.from_arrays(
                         [pa.array(np.full(len(counts), part, np.int32)),
-                         pa.array(hashes.view(np.int64)), pa.array(counts.astype(np.int32))],
+                         pa.array(short(hashes).view(np.int64)),
+                         pa.array(counts.astype(np.int32))],
                         ["part", "hash", "n"])
 
     def marks(batches: Iterator[pa.RecordBatch]) -> Iterator[np.ndarray]:
