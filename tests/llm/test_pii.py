@@ -168,3 +168,22 @@ def test_rows_of_every_sort(documents, field):
 def test_redacting_overlaps():
     assert redacted("ab12cd34", [(0, 2, 6), (2, 2, 4), (3, 4, 8)]) == "ab<EMAIL>"
     assert redacted("x", []) == "x"
+
+
+def test_every_token_of_every_text_is_learnt(spark, monkeypatch):
+    """The last token of a long text and the last of many texts reach the model, copies once."""
+    seen = []
+    monkeypatch.setattr(pii, "train", lambda looks, labels, edges, weight: seen.append(
+        (looks, labels, edges, weight)))
+    long = " ".join(f"call 555 {i:07d} now," for i in range(60)) + " mail last@mail3.example.com"
+    texts = [long] + [f"text{'x' * i} has 1234567" for i in range(9_000)]
+    rows = [(text,) for text in texts + texts[:50]] + [(None,), ("plain",)]
+    fit(spark.createDataFrame(rows, "text string").repartition(5))
+    looks, labels, edges, weight = seen[0]
+    tokens = [(t, *r) for t in texts for r in candidates(t)]
+    assert weight.sum() == len(tokens) > 9_060
+    assert weight[labels == 0].sum() == 1
+    want = sum(pii._vector([f], [c])[0] for f, c in (pii.features(*t) for t in tokens))
+    assert np.allclose(weight @ looks, want)
+    assert edges.sum() == sum(len(pii.edges_of([t[a:b] for a, b in candidates(t)],
+                                               [a for a, _ in candidates(t)])[0]) for t in texts)

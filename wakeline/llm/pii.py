@@ -8,8 +8,8 @@ passing; tokens under a base span are fixed to its kind. Tokens labelled with en
 spans.
 
 The model is trained piecewise: token weights by softmax regression and edge weights from label
-agreement, both on the base labels of a bounded sample of documents. The cues that decide the base
-label are hidden in half of the training copies, so that the look of a token must speak as well.
+agreement, both on the base labels of all tokens of all different texts. The cues that decide the
+base label are hidden in half of the training copies, so that the look of a token must speak as well.
 """
 
 from __future__ import annotations
@@ -17,6 +17,7 @@ from __future__ import annotations
 import hashlib
 import re
 import zlib
+from collections import Counter
 from collections.abc import Iterator
 from dataclasses import dataclass
 
@@ -49,9 +50,6 @@ LEAST_DIGITS = 7
 #: A word with so many digits stands for itself, also where a space joins it to other digits.
 LONG_DIGITS = 13
 
-#: Documents the model is trained on, about, and the candidates taken from one of them at most.
-TRAIN_DOCS = 4_000
-TRAIN_TOKENS = 20
 #: A token joins the spans with at least this probability of a kind.
 CERTAIN = 0.9
 ROUNDS = 15
@@ -305,19 +303,22 @@ class Field:
         return base, sorted(base + self.added_spans(text, base))
 
 
-def softmax_regression(rows: np.ndarray, labels: np.ndarray, steps: int = 300,
+def softmax_regression(rows: np.ndarray, labels: np.ndarray, weight: np.ndarray, steps: int = 300,
                        rate: float = 0.5, decay: float = 1e-3) -> np.ndarray:
+    """weight says how often each row occurs."""
+    share = (weight / weight.sum())[:, None]
     weights = np.zeros((rows.shape[1], len(KINDS) + 1))
     wanted = np.eye(len(KINDS) + 1)[labels]
     for step in range(steps):
         scores = rows @ weights
         scores = np.exp(scores - scores.max(axis=1, keepdims=True))
         chances = scores / scores.sum(axis=1, keepdims=True)
-        weights -= rate * (rows.T @ (chances - wanted) / len(rows) + decay * weights)
+        weights -= rate * (rows.T @ (share * (chances - wanted)) + decay * weights)
     return weights
 
 
-def train(looks: np.ndarray, labels: np.ndarray, pair_counts: np.ndarray) -> Field:
+def train(looks: np.ndarray, labels: np.ndarray, pair_counts: np.ndarray,
+          weight: np.ndarray) -> Field:
     """Token and edge weights; without tokens the field adds nothing."""
     labels_n = len(KINDS) + 1
     if not len(looks):
@@ -326,7 +327,8 @@ def train(looks: np.ndarray, labels: np.ndarray, pair_counts: np.ndarray) -> Fie
         return Field(weights, np.zeros((2, labels_n, labels_n)))
     hidden = looks.copy()
     hidden[:, _DECISIVE] = 0
-    weights = softmax_regression(np.concatenate([looks, hidden]), np.tile(labels, 2))
+    weights = softmax_regression(np.concatenate([looks, hidden]), np.tile(labels, 2),
+                                 np.tile(weight, 2))
     edges = np.zeros((2, labels_n, labels_n))
     for kind in range(2):
         both = pair_counts[kind] + pair_counts[kind].T + 1.0
@@ -336,50 +338,61 @@ def train(looks: np.ndarray, labels: np.ndarray, pair_counts: np.ndarray) -> Fie
     return Field(weights, edges)
 
 
-def fit(docs: DataFrame, text: str = "text", sample: int = TRAIN_DOCS) -> Field:
-    """Train on about `sample` of the documents that hold a digit or an "@".
-
-    Documents are chosen by the hash of their text, so the choice does not depend on how rows are
-    dealt out. The driver receives the numbers of at most TRAIN_TOKENS tokens of each, never texts.
+def _token_counts(text: str) -> tuple[bytes, Counter[int]]:
+    """A digest of the text and how often each sort of its tokens (code >= 0) and edges occurs."""
+    ranges = candidates(text)
+    given = labels_under(base_spans(text), ranges).tolist()
+    counts: Counter[int] = Counter()
+    for (start, end), label in zip(ranges, given):
+        look, cue = features(text, start, end)
+        bits = int.from_bytes(np.packbits(look.astype(bool)).tobytes(), "big")
+        counts[(bits * CUES + cue) * 8 + label] += 1
+    for a, b, k in zip(*(ends.tolist() for ends in edges_of(
+            [text[start:end] for start, end in ranges], [start for start, _ in ranges]))):
+        counts[-1 - ((k * 8 + given[a]) * 8 + given[b])] += 1
+    digest = hashlib.blake2b(text.encode("utf-8", "surrogatepass"), digest_size=16).digest()
+    return digest, counts
+
+
+def fit(docs: DataFrame, text: str = "text") -> Field:
+    """Train on every token of all different texts; copies of a text count once.
+
+    Tokens are counted by what the model sees of them (look, cue and base label) and edges by kind
+    and labels, in Spark. The driver receives one row for each sort that occurs: their number hangs on
+    the features, not on the documents.
     """
     marked = docs.select(F.col(text).cast("string").alias("text")).where(
         F.col("text").rlike("[0-9@]"))
-    total = marked.count()
-    share = min(1_000_000, -(-1_000_000 * sample // max(total, 1)))
-    chosen = marked.where(F.pmod(F.xxhash64("text"), F.lit(1_000_000)) < share).distinct()
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            looks, cues, labels, pairs = [], [], [], []
-            for value in batch.column(0):
-                value = value.as_py()
-                ranges = candidates(value)[:TRAIN_TOKENS]
-                given = labels_under(base_spans(value), ranges)
-                for (start, end), label in zip(ranges, given.tolist()):
-                    look, cue = features(value, start, end)
-                    looks.append(np.packbits(look.astype(bool)).tobytes())
-                    cues.append(cue)
-                    labels.append(label)
-                    pairs.append([])
-                left, right, kind = edges_of([value[a:b] for a, b in ranges],
-                                             [a for a, _ in ranges])
-                first = len(labels) - len(ranges)
-                for a, b, k in zip(left.tolist(), right.tolist(), kind.tolist()):
-                    pairs[first + b].append((k * 8 + int(given[a])) * 8 + int(given[b]))
+            found = [pair for pair in (_token_counts(value.as_py()) for value in batch.column(0))
+                     if pair[1]]
             yield pa.RecordBatch.from_arrays(
-                [pa.array(looks, pa.binary()), pa.array(cues, pa.int32()),
-                 pa.array(labels, pa.int32()), pa.array(pairs, pa.list_(pa.int32()))],
-                names=["look", "cue", "label", "pairs"])
-
-    rows = chosen.mapInArrow(run, "look binary, cue int, label int, pairs array<int>").orderBy(
-        "look", "cue", "label").collect()
-    counts = np.zeros((2, len(KINDS) + 1, len(KINDS) + 1))
-    for row in rows:
-        for code in row["pairs"]:
-            counts[code >> 6, code >> 3 & 7, code & 7] += 1
-    looks = [np.unpackbits(np.frombuffer(r["look"], np.uint8)).astype(float) for r in rows]
-    vectors = _vector(looks, [r["cue"] for r in rows]) if rows else np.zeros((0, _LOOK + CUES))
-    return train(vectors, np.array([r["label"] for r in rows], int), counts)
+                [pa.array([digest for digest, _ in found], pa.binary()),
+                 pa.array([list(counts) for _, counts in found], pa.list_(pa.int64())),
+                 pa.array([list(counts.values()) for _, counts in found], pa.list_(pa.int64()))],
+                names=["digest", "code", "n"])
+
+    kinds = "digest binary, code array<bigint>, n array<bigint>"
+    once = marked.mapInArrow(run, kinds).dropDuplicates(["digest"])
+    sorts = once.select(F.inline(F.arrays_zip("code", "n"))).groupBy("code").agg(
+        F.sum("n").alias("n")).orderBy("code").collect()
+    edges = np.zeros((2, len(KINDS) + 1, len(KINDS) + 1))
+    looks, cues, labels, weight = [], [], [], []
+    for row in sorts:
+        code = row["code"]
+        if code < 0:
+            code = -1 - code
+            edges[code >> 6, code >> 3 & 7, code & 7] = row["n"]
+            continue
+        labels.append(code & 7)
+        cues.append(code // 8 % CUES)
+        bits = (code // 8 // CUES).to_bytes(_LOOK // 8, "big")
+        looks.append(np.unpackbits(np.frombuffer(bits, np.uint8)).astype(float))
+        weight.append(row["n"])
+    vectors = _vector(looks, cues) if looks else np.zeros((0, _LOOK + CUES))
+    return train(vectors, np.array(labels, int), edges, np.array(weight, float))
 
 
 def listed(spans: list[Span]) -> str:
