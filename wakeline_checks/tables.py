@@ -12,7 +12,7 @@ from wakeline.operators.quality import day_counts
 from wakeline.plans import kpi
 from wakeline.plans.basics import union_all
 from wakeline.schema import FLEET_STATE_SCHEMA, PORT_SCHEMA, RAW_FIELDS, TABLE_KEYS
-from wakeline.session import shared_dir
+from wakeline.session import materialize, shared_dir
 from wakeline.sources import archive, csv_archive, files, tables
 from wakeline.streaming.pipeline import fleet_state
 from wakeline.streaming.positions import DUPLICATE_KEY, FIRST_MESSAGE, clean_batch
@@ -70,7 +70,8 @@ _ARCHIVED = (
 def _archived_batches(spark, sf_dir) -> str:
     """Four batches, the last one again after a restart, which a new sink stands for."""
     folder = shared_dir(spark, "archive")
-    rows = clean_batch(views.messages(spark, sf_dir)).clean
+    # Written once: each batch, and each look at the days of one, would clean all messages anew.
+    rows = materialize(clean_batch(views.messages(spark, sf_dir)).clean, "clean")
     part = F.pmod(F.xxhash64("MMSI", "BaseDateTime"), F.lit(_BATCHES))
     sink = ArchiveSink(folder)
     for number in range(_BATCHES):
