@@ -214,3 +214,62 @@ def test_backfill_uses_its_alert_and_database_options(spark, monkeypatch):
     with pytest.raises(SystemExit):
         run(spark, build_parser().parse_args([
             "stream", "--base", "x", "--topic-files", "y", "--alert-topic", "alerts"]))
+
+
+def test_a_larger_replay_has_more_files_and_as_many_batches(spark, monkeypatch):
+    from wakeline_checks import streams
+
+    monkeypatch.setattr(streams, "_FILE_MESSAGES", 2)
+    folder, own, seen = shared_dir(spark, "turns"), streams.own_session(spark), []
+    whole = messages(spark, [record(SOG=str(n)) for n in range(8)])
+    each = streams.write_in_turn(own, [whole, whole.filter("false"), whole.limit(3)],
+                                 f"{folder}/topic")
+    stored = [n for n in files.children(spark, f"{folder}/topic") if n.endswith(".parquet")]
+    assert each == 4 and len(stored) == 12
+    pipeline.message_files(own, f"{folder}/topic", each).writeStream.foreachBatch(
+        lambda batch, number: seen.append(batch.count())).option(
+        "checkpointLocation", f"{folder}/checkpoint").trigger(
+        availableNow=True).start().awaitTermination()
+    assert [n for n in seen if n] == [8, 3]
+    assert streams.file_groups(5) == 3 and streams.file_groups(7, 3) == 2
+    assert streams.file_groups(0) == 1
+
+
+def test_batches_of_the_archive_are_cleaned_once(spark, monkeypatch):
+    from wakeline_checks import tables, views
+
+    plans = []
+    monkeypatch.setattr(views, "messages", lambda spark, sf_dir: messages(spark, VALUES))
+    monkeypatch.setattr(tables, "ArchiveSink", lambda folder: lambda batch, number: plans.append(
+        batch._jdf.queryExecution().analyzed().toString()))
+    tables._archived_batches(spark, "none")
+    assert len(plans) == 5 and not any("from_json" in plan for plan in plans)
+
+
+def test_late_rows_of_several_vessels_in_one_call():
+    from datetime import timedelta
+
+    import pandas as pd
+
+    from wakeline.streaming.late import LATE, LateAwareDeduplicator
+
+    class States(dict):
+        getValue = dict.get
+
+        def updateValue(self, key, value):
+            self[key] = value
+
+    kept = LateAwareDeduplicator(timedelta(minutes=10), "MMSI", "at", ("n",))
+    kept.known = States()
+
+    def call(*found):
+        rows = pd.DataFrame([(m, pd.Timestamp(f"2024-01-01 {at}"), n) for m, at, n in found],
+                            columns=["MMSI", "at", "n"])
+        out = pd.concat(kept.handleInputRows((0,), iter([rows[:2], rows[2:]]), None))
+        return sorted(zip(out["MMSI"], out["n"], out[LATE]))
+
+    assert call((2, "08:00", 1), (1, "10:00", 3), (1, "10:00", 2), (1, "09:00", 4)) == [
+        (1, 2, False), (1, 4, False), (2, 1, False)]
+    assert call((1, "09:50", 5), (1, "09:51", 6), (2, "07:55", 7), (3, "01:00", 8),
+                (1, "10:00", 9)) == [
+        (1, 5, True), (1, 6, False), (2, 7, False), (3, 8, False)]

@@ -10,12 +10,12 @@ from wakeline.operators.geofence import geofence_events
 from wakeline.operators.nearest import nearest_vessels
 from wakeline.operators.spatial import positions_in_zones, zone_of_each
 from wakeline.schema import ZONE_SCHEMA, ZONES
-from wakeline.session import shared_dir
+from wakeline.session import materialize, shared_dir
 from wakeline.streaming.geofence import final_watermark, stream_geofence_events
 from wakeline.streaming.positions import clean_batch
 from wakeline_checks import views
 from wakeline_checks.registry import oracle, query, rounded
-from wakeline_checks.streams import drain, own_session
+from wakeline_checks.streams import drain, own_session, write_in_turn
 
 _SILENCE = 24 * 3600
 _DELAY = timedelta(minutes=10)
@@ -70,7 +70,7 @@ def events_in_batch(spark, sf_dir):
 def events_in_a_stream(spark, sf_dir):
     """The same events from three micro-batches in order of time; silences end by timers."""
     own, base = own_session(spark), shared_dir(spark, "geofence")
-    positions = _positions(own, sf_dir)
+    positions = materialize(_positions(own, sf_dir), "positions")
     bounds = positions.agg(F.min("BaseDateTime").alias("a"), F.max("BaseDateTime").alias("b")).first()
     if bounds["a"] is None:
         bounds = {"a": None, "b": None}
@@ -79,10 +79,9 @@ def events_in_a_stream(spark, sf_dir):
         third = (bounds["b"] - bounds["a"]) / 3
         thirds = [bounds["a"] + third, bounds["a"] + 2 * third]
     place = sum((F.col("BaseDateTime") >= F.lit(t).cast("timestamp")).cast("int") for t in thirds)
-    for number in range(len(thirds) + 1):
-        part = positions if not thirds else positions.filter(place == number)
-        part.coalesce(1).write.mode("append").parquet(f"{base}/positions")
-    stream = own.readStream.schema(positions.schema).option("maxFilesPerTrigger", 1).parquet(
+    parts = [positions.filter(place == number) for number in range(3)] if thirds else [positions]
+    each = write_in_turn(own, parts, f"{base}/positions")
+    stream = own.readStream.schema(positions.schema).option("maxFilesPerTrigger", each).parquet(
         f"{base}/positions")
     events = stream_geofence_events(
         zone_of_each(stream, _zones(own)), silence_seconds=_SILENCE,

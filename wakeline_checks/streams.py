@@ -11,7 +11,7 @@ from wakeline_checks.registry import oracle, query, run_job
 from wakeline.operators.latest import latest_by_key
 from wakeline.schema import RAW_FIELDS, REJECT_SCHEMA
 from wakeline.session import STREAMING_CONF, shared_dir
-from wakeline.sources import archive, messages
+from wakeline.sources import archive, files, messages
 from wakeline.streaming.pipeline import (
     StreamPaths,
     default_sinks,
@@ -24,6 +24,36 @@ from wakeline.streaming.positions import running_totals, tumbling_counts
 # Files of a replay arrive in any order of event time, so nothing may count as late.
 _REPLAY_WATERMARK = "400 days"
 _FILES = 3
+# Messages a file of a replay holds, about; a larger table has more files, not larger ones.
+_FILE_MESSAGES = 50_000
+
+
+def file_groups(rows: int, groups: int = 1) -> int:
+    """Files in each of several equal groups that hold these rows together."""
+    return max(1, -(-rows // (groups * _FILE_MESSAGES)))
+
+
+def _topic(rows, folder: str, groups: int) -> int:
+    """Write messages as equal groups of files; the number of files in a group."""
+    each = file_groups(rows.count(), groups)
+    rows.repartition(groups * each, "partition", "offset").write.parquet(folder)
+    return each
+
+
+def write_in_turn(spark, parts, folder: str) -> int:
+    """Write tables one after the other, each as the same number of files, which is returned.
+
+    A stream that takes so many files at a time then reads one table a micro-batch. Empty files
+    fill up what a table lacks.
+    """
+    each = max(file_groups(part.count()) for part in parts)
+    for number, part in enumerate(parts, 1):
+        spread = part.coalesce(1) if each == 1 else part.repartition(each)
+        spread.write.mode("append").parquet(folder)
+        stored = sum(name.endswith(".parquet") for name in files.children(spark, folder))
+        for _ in range(number * each - stored):
+            spark.createDataFrame([], part.schema).coalesce(1).write.mode("append").parquet(folder)
+    return each
 
 
 def own_session(spark):
@@ -40,11 +70,9 @@ def _replayed(spark, sf_dir) -> StreamPaths:
     """Drain the whole topic through the three queries and their sinks."""
     own = own_session(spark)
     base = shared_dir(spark, "stream")
-    views.messages(own, sf_dir).repartition(_FILES, "partition", "offset").write.parquet(
-        f"{base}/topic"
-    )
+    each = _topic(views.messages(own, sf_dir), f"{base}/topic", _FILES)
     paths = StreamPaths(base)
-    topic = message_files(own, f"{base}/topic", max_files=2)
+    topic = message_files(own, f"{base}/topic", max_files=2 * each)
     run_pipeline(topic, paths, default_sinks(own, paths), watermark=_REPLAY_WATERMARK)
     return paths
 
@@ -70,7 +98,8 @@ def backfill_out_of_order(spark, sf_dir):
     """The stream job with its default options over files of days in reverse order, run twice."""
     base = shared_dir(spark, "backfill")
     rows = views.messages(spark, sf_dir)
-    newest_first = rows.repartitionByRange(4, F.col("timestamp").desc())
+    newest_first = rows.repartitionByRange(
+        4 * file_groups(rows.count(), 4), F.col("timestamp").desc())
     newest_first.write.parquet(f"{base}/topic")
     for _ in range(2):
         run_job(spark, "stream", "--base", base, "--topic-files", f"{base}/topic")
@@ -82,11 +111,10 @@ def _backfilled_then_drained(spark, sf_dir) -> StreamPaths:
     """A backfill of a topic, and a stream that then reads the same topic from its start."""
     own = own_session(spark)
     base = shared_dir(spark, "resumed")
-    views.messages(own, sf_dir).repartition(4, "partition", "offset").write.parquet(
-        f"{base}/topic")
+    each = _topic(views.messages(own, sf_dir), f"{base}/topic", 4)
     run_job(own, "stream", "--base", base, "--topic-files", f"{base}/topic")
     paths = StreamPaths(base)
-    topic = message_files(own, f"{base}/topic", max_files=1)
+    topic = message_files(own, f"{base}/topic", max_files=each)
     run_pipeline(topic, paths, default_sinks(own, paths), watermark=_REPLAY_WATERMARK)
     return paths
 
@@ -109,11 +137,12 @@ def alerts_after_backfill(spark, sf_dir):
 _LATE = "10 minutes"
 
 
-def _by_hour(spark, sf_dir, own) -> str:
-    """A topic of three files: the newer half of the time in two, then the older half.
+def _by_hour(spark, sf_dir, own) -> tuple[str, int]:
+    """A topic of three parts: the newer half of the time in two, then the older half.
 
-    A micro-batch drops what lies behind the watermark that was known one batch earlier, so the
-    first file's newest position decides over the third.
+    Each part is one file of a small table; returned is the number of files. A micro-batch takes one
+    part and drops what lies behind the watermark that was known one batch earlier, so the first
+    part's newest position decides over the third.
     """
     base = shared_dir(spark, "late")
     rows = views.messages(own, sf_dir)
@@ -121,15 +150,15 @@ def _by_hour(spark, sf_dir, own) -> str:
     middle = bounds["a"] + (bounds["b"] - bounds["a"]) / 2
     newer = F.col("timestamp") >= middle
     first = F.floor(F.col("offset") / 2) % 2 == 0
-    for part in (newer & first, newer & ~first, ~newer):
-        rows.filter(part).coalesce(1).write.mode("append").parquet(f"{base}/topic")
-    return base
+    parts = [rows.filter(part) for part in (newer & first, newer & ~first, ~newer)]
+    return base, write_in_turn(own, parts, f"{base}/topic")
 
 
 def _drained_late(spark, sf_dir) -> StreamPaths:
     own = own_session(spark)
-    paths = StreamPaths(_by_hour(spark, sf_dir, own))
-    topic = message_files(own, f"{paths.base}/topic", max_files=1)
+    base, each = _by_hour(spark, sf_dir, own)
+    paths = StreamPaths(base)
+    topic = message_files(own, f"{base}/topic", max_files=each)
     run_pipeline(topic, paths, default_sinks(own, paths), watermark=_LATE)
     return paths
 
@@ -181,8 +210,9 @@ _KEPT_LATE = (
 def late_rows_kept(spark, sf_dir):
     """Archive and late table together: every position once, none dropped."""
     own = own_session(spark)
-    paths = StreamPaths(_by_hour(spark, sf_dir, own))
-    topic = message_files(own, f"{paths.base}/topic", max_files=1)
+    base, each = _by_hour(spark, sf_dir, own)
+    paths = StreamPaths(base)
+    topic = message_files(own, f"{base}/topic", max_files=each)
     run_pipeline(topic, paths, default_sinks(own, paths), keep_late=timedelta(minutes=10))
     stored = [(archive.read_archive(spark, folder), late) for folder, late in (
         (paths.archive, False), (paths.late_positions, True))]
@@ -216,7 +246,7 @@ def stream_alerts(spark, sf_dir):
 @query("s8_audit_markers", "SELECT 2 AS markers, count(DISTINCT CAST(ts AS DATE)) > 0 AS has_days"
        " FROM events")
 def audit_markers(spark, sf_dir):
-    """One marker per micro-batch of the replay; three files at two a batch make two."""
+    """One marker per micro-batch of the replay; three groups of files at two a batch make two."""
     paths = _replayed(spark, sf_dir)
     markers = spark.read.json(f"{paths.archive}/_batch_markers").distinct()
     days = archive.read_archive(spark, paths.archive).select("date").distinct()
@@ -229,10 +259,9 @@ def bounded_batches(spark, sf_dir):
     """No micro-batch takes more files than allowed."""
     own = own_session(spark)
     base = shared_dir(spark, "bounded")
-    views.messages(own, sf_dir).repartition(_FILES, "partition", "offset").write.parquet(
-        f"{base}/topic")
+    each = _topic(views.messages(own, sf_dir), f"{base}/topic", _FILES)
     query_ = (
-        message_files(own, f"{base}/topic", max_files=2).writeStream.format("parquet")
+        message_files(own, f"{base}/topic", max_files=2 * each).writeStream.format("parquet")
         .option("path", f"{base}/copy").option("checkpointLocation", f"{base}/checkpoint")
         .trigger(availableNow=True).start())
     query_.awaitTermination()
