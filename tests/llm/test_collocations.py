@@ -2,6 +2,7 @@ import random
 import re
 from collections import Counter
 
+import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
@@ -112,3 +113,27 @@ def test_local_support_loses_no_phrase():
 def test_empty_table(spark):
     none = spark.createDataFrame([], "lang string, text string")
     assert collocations.collocations(none).count() == 0
+
+
+def test_no_scan_beyond_the_mining(spark):
+    """Words, pairs and longer phrases take a scan each; the recount adds up what these counted."""
+    seen = spark.sparkContext.accumulator(0)
+
+    def count(batches):
+        for batch in batches:
+            seen.add(batch.num_rows)
+            yield batch
+
+    docs = corpus()[:200]
+    frame = spark.createDataFrame(docs, "lang string, text string").mapInArrow(
+        count, "lang string, text string")
+    collocations.frequent_phrases(frame, 12, 5, "lang", "text")
+    assert seen.value == 3 * len(docs)
+
+
+@pytest.mark.parametrize("width", [1, 2, 3, 4])
+def test_keys_hold_the_numbers(width):
+    ids = np.array([3, 2 ** (8 * width - 1) - 1, 0, 7, -1], np.int32)
+    keys = collocations.packed(ids, np.array([0, 1]), 3, width).to_pylist()
+    assert [len(key) for key in keys] == [3 * width] * 2
+    assert collocations.unpacked(keys, width).tolist() == [*ids[:3], *ids[1:4]]

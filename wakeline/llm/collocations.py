@@ -3,15 +3,16 @@
 A phrase that occurs often enough in a whole language occurs proportionally often in at least one of
 the shards the language is dealt over. So every shard, a fixed share of the texts, is mined completely
 at its share of the support: first its pairs of words, then the longer phrases, in which every pair
-of neighbours has to be a candidate. The locally frequent phrases of all shards are united in a filter
-of fixed size (a Bloom filter, bits joined by OR), and a last scan counts everything the filter lets
-through globally and exactly. What passes by mistake gets its true count and fails the support, so
-the filter's size changes no result, only the work.
+of neighbours has to be a candidate. What is frequent in some shard is a candidate, and the exact
+recount of a candidate adds up what all shards counted of it: a shard counts every phrase whose pairs
+are candidates anywhere, so no further scan of the texts is needed. Candidate pairs travel to the
+second scan as a filter of fixed size (a Bloom filter, bits joined by OR). A pair that passes by
+mistake is frequent in no longer phrase either, so the filter's size changes no result, only the work.
 
 A shard is no task: tasks count the phrases of the shards in runs of texts of bounded size, and Spark
 adds the counts up by shard. The number of shards is fixed, so local supports do not fall as the corpus
-grows. Inside a run a phrase of k words is named by the number of its first k-1 words and its last
-word, which is exact; the hash that travels is composed from word hashes in the same steps.
+grows. A phrase is shuffled as the numbers of its words in the list of its language's frequent words,
+a few bytes a word, which is exact.
 """
 
 from __future__ import annotations
@@ -20,7 +21,7 @@ from collections.abc import Callable, Iterator
 
 import numpy as np
 import pyarrow as pa
-import xxhash
+import pyarrow.compute as pc
 from pyspark.core.broadcast import Broadcast
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
@@ -33,8 +34,6 @@ SHARDS = 4
 RUN_BYTES = 16_000_000
 #: Rows that a task hands over at a time.
 BATCH_ROWS = 20_000
-#: Bits of a hash that is shuffled: fewer bytes for a longer list of candidates, none is lost.
-HASH_BITS = 36
 #: Bits of a filter: 8 MB, whatever the corpus.
 FILTER_BITS = 1 << 26
 #: Languages whose totals may be broadcast.
@@ -102,26 +101,22 @@ def runs(batches: Iterator[pa.RecordBatch], limit: int) -> Iterator[Run]:
 _FACTOR = np.uint64(0x9E3779B97F4A7C15)
 
 
-def word_hashes(lang: str, words: list[bytes]) -> np.ndarray:
-    head = lang.encode("utf-8") + b"\0"
-    return np.array([xxhash.xxh64_intdigest(head + word) for word in words], np.uint64)
-
-
 def joined_hash(phrase: np.ndarray, word: np.ndarray) -> np.ndarray:
     """Hash of a phrase followed by a word."""
     value = phrase * _FACTOR + word
     return (value ^ (value >> np.uint64(29))) * _FACTOR
 
 
-def short(hashes: np.ndarray) -> np.ndarray:
-    """The part of the hashes that travels; phrases that share it are counted as one candidate."""
-    return hashes & np.uint64((1 << HASH_BITS) - 1)
+def pair_hashes(part: int, left: np.ndarray, right: np.ndarray) -> np.ndarray:
+    """Hashes of pairs of words of a language, all given by number."""
+    head = joined_hash(np.full(len(left), part + 1, np.uint64), left.astype(np.uint64))
+    return joined_hash(head, right.astype(np.uint64))
 
 
 def _places(hashes: np.ndarray) -> np.ndarray:
-    """Two bits of the filter for each hash, by its short form."""
+    """Two bits of the filter for each hash."""
     mask = np.uint64(FILTER_BITS - 1)
-    return np.stack([hashes & mask, (short(hashes) * _FACTOR >> np.uint64(38)) & mask])
+    return np.stack([hashes & mask, (hashes * _FACTOR >> np.uint64(38)) & mask])
 
 
 def mark(bits: np.ndarray, hashes: np.ndarray) -> None:
@@ -158,24 +153,26 @@ def _united(marks: Callable, rows: DataFrame) -> np.ndarray:
 
 # --- mining ------------------------------------------------------------------------------------
 
-def levels(run: Run, frequent: np.ndarray, longest: int,
-           keep: Callable) -> Iterator[tuple[int, np.ndarray, np.ndarray, np.ndarray]]:
-    """(words, place, count, hash) of the phrases of a run that are kept, level by level.
+def numbered(run: Run, frequent: pa.Array) -> np.ndarray:
+    """The number of the frequent word at each place of a run, -1 where there is none."""
+    found = pc.index_in(pa.array(run.words, pa.binary()), value_set=frequent)
+    return found.fill_null(-1).to_numpy(zero_copy_only=False)[run.ids]
+
 
-    `place` is where a phrase occurs. keep(words, hashes) decides on the phrases of a level; only
-    phrases whose two longest parts were kept are looked at.
+def levels(ids: np.ndarray, many: int, longest: int,
+           keep: Callable) -> Iterator[tuple[int, np.ndarray, np.ndarray]]:
+    """(words, place, count) of the phrases of a run that are kept, level by level.
+
+    `ids` are numbers below `many` (-1: none), `place` is where a phrase occurs. keep(words, places)
+    decides on the phrases of a level; only phrases whose two longest parts were kept are looked at.
     """
-    hashes = word_hashes(run.lang, run.words)
-    known = marked(frequent, hashes)
-    known[0] = False
-    ids = np.where(known[run.ids], run.ids, np.int32(-1))
-    names, of_names = ids, hashes
+    names = ids
     for k in range(2, longest + 1):
         at = np.flatnonzero((names[:-1] >= 0) & (names[1:] >= 0))
         at = at[at + k - 1 < len(ids)]
         if not len(at):
             return
-        key = names[at].astype(np.int64) * len(hashes) + ids[at + k - 1]
+        key = names[at].astype(np.int64) * many + ids[at + k - 1]
         names = np.full(len(ids), -1, np.int32)
         order = np.argsort(key)
         key = key[order]
@@ -183,14 +180,29 @@ def levels(run: Run, frequent: np.ndarray, longest: int,
         starts = np.flatnonzero(new)
         counts = np.diff(starts, append=len(key))
         first = at[order[starts]]
-        parts = key[starts]
         del key
-        of_names = joined_hash(of_names[parts // len(hashes)], hashes[parts % len(hashes)])
-        kept = keep(k, of_names)
+        kept = keep(k, first)
         numbers = np.cumsum(new, dtype=np.int32) - np.int32(1)
         names[at[order]] = np.where(kept[numbers], numbers, np.int32(-1))
         del at, order, new, numbers
-        yield k, first[kept], counts[kept], of_names[kept]
+        yield k, first[kept], counts[kept]
+
+
+def packed(ids: np.ndarray, places: np.ndarray, words: int, width: int) -> pa.Array:
+    """The numbers of the `words` words from each place on, as `width` bytes each."""
+    whole = ids[places[:, None] + np.arange(words)].astype(">u4").view(np.uint8)
+    short = np.ascontiguousarray(whole.reshape(len(places), words, 4)[:, :, 4 - width:])
+    offsets = np.arange(len(places) + 1, dtype=np.int32) * np.int32(words * width)
+    return pa.Array.from_buffers(
+        pa.binary(), len(places), [None, pa.py_buffer(offsets), pa.py_buffer(short)])
+
+
+def unpacked(keys: list[bytes], width: int) -> np.ndarray:
+    """The numbers in all the keys, one after the other."""
+    short = np.frombuffer(b"".join(keys), np.uint8).reshape(-1, width)
+    whole = np.zeros((len(short), 4), np.uint8)
+    whole[:, 4 - width:] = short
+    return whole.view(">u4").ravel().astype(np.int64)
 
 
 def _local_support(support: int, part: int, whole: int) -> int:
@@ -219,13 +231,17 @@ def _word_counts(texts: DataFrame, run_bytes: int) -> DataFrame:
         "lang", "shard", "word").agg(F.sum("n").alias("n"))
 
 
-def _word_filter(words: DataFrame) -> np.ndarray:
-    def marks(batches: Iterator[pa.RecordBatch]) -> Iterator[np.ndarray]:
-        for batch in batches:
-            for lang, word in zip(*(batch.column(i).to_pylist() for i in range(2))):
-                yield word_hashes(lang, [word.encode("utf-8", "surrogatepass")])
+class Vocabulary:
+    """The frequent words of each language, numbered from 0, and the number of the language."""
 
-    return _united(marks, words.select("lang", "word"))
+    def __init__(self, langs: list[str], rows: pa.Table):
+        self.parts = {lang: part for part, lang in enumerate(langs)}
+        lang, word = (rows[name].cast(kind) for name, kind in (
+            ("lang", pa.string()), ("word", pa.binary())))
+        self.words = [word.filter(pc.equal(lang, name)).combine_chunks() for name in langs]
+        most = max(map(len, self.words), default=0)
+        #: Bytes of a word's number.
+        self.width = max(1, (max(most - 1, 0).bit_length() + 7) // 8)
 
 
 def _all_pass(hashes: np.ndarray) -> np.ndarray:
@@ -233,64 +249,80 @@ def _all_pass(hashes: np.ndarray) -> np.ndarray:
 
 
 def _mined(texts: DataFrame, known: Broadcast, sizes: tuple[int, int], supports: DataFrame,
-           run_bytes: int) -> np.ndarray:
-    """The filter of the phrases of first..last words that are frequent in some shard.
+           support: int, shards: int, run_bytes: int) -> DataFrame:
+    """(part, key, a) of the phrases of first..last words: frequent in some shard, and in all.
 
-    known holds the filters of frequent words and of the candidates so far, which all shorter
-    phrases have to pass, and the number of each shard's row in `supports` (part, least).
+    known holds the vocabulary and the filter of the pairs that longer phrases consist of;
+    `supports` holds (part, least), the least count in each shard of a language.
     """
     first, last = sizes
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        frequent, candidates, parts = known.value
-
-        def keep(k: int, hashes: np.ndarray) -> np.ndarray:
-            return _all_pass(hashes) if k >= first else marked(candidates, hashes)
-
+        vocabulary, pairs = known.value
         for text in runs(batches, run_bytes):
-            part = parts.get((text.lang, text.shard))
+            part = vocabulary.parts.get(text.lang)
             if part is None:
                 continue
-            for k, _, counts, hashes in levels(text, frequent, last, keep):
+            frequent = vocabulary.words[part]
+            ids = numbered(text, frequent)
+
+            def keep(k: int, places: np.ndarray, part=part, ids=ids) -> np.ndarray:
+                if k >= first:
+                    return _all_pass(places)
+                return marked(pairs, pair_hashes(part, ids[places], ids[places + 1]))
+
+            for k, places, counts in levels(ids, len(frequent), last, keep):
                 if k >= first:
                     yield pa.RecordBatch.from_arrays(
                         [pa.array(np.full(len(counts), part, np.int32)),
-                         pa.array(short(hashes).view(np.int64)),
+                         packed(ids, places, k, vocabulary.width),
+                         pa.array(np.full(len(counts), text.shard, np.int32)),
                          pa.array(counts.astype(np.int32))],
-                        ["part", "hash", "n"])
+                        ["part", "key", "shard", "n"])
+
+    counted = texts.mapInArrow(run, "part int, key binary, shard int, n int").groupBy(
+        "part", "key").agg(*(
+            F.sum(F.when(F.col("shard") == i, F.col("n")).otherwise(0)).alias(f"n_{i}")
+            for i in range(shards)))
+    # One row a language, whose number was checked.
+    local = counted.join(F.broadcast(supports), "part").where(
+        " or ".join(f"n_{i} >= least[{i}]" for i in range(shards)))
+    return local.select("part", "key", sum(F.col(f"n_{i}") for i in range(shards)).alias("a")).where(
+        F.col("a") >= support)
+
 
+def _pair_filter(pairs: DataFrame, width: int) -> np.ndarray:
     def marks(batches: Iterator[pa.RecordBatch]) -> Iterator[np.ndarray]:
         for batch in batches:
-            yield batch.column(0).to_numpy().view(np.uint64)
+            parts = batch.column(0).to_numpy()
+            ids = unpacked(batch.column(1).to_pylist(), width).reshape(-1, 2)
+            for part in np.unique(parts).tolist():
+                of_part = ids[parts == part]
+                yield pair_hashes(part, of_part[:, 0], of_part[:, 1])
 
-    counted = texts.mapInArrow(run, "part int, hash bigint, n int").groupBy("part", "hash").agg(
-        F.sum("n").alias("n"))
-    # One row a shard of each language, whose number was checked.
-    local = counted.join(F.broadcast(supports), "part").where("n >= least")
-    return _united(marks, local.select("hash"))
+    return _united(marks, pairs.select("part", "key"))
 
 
-def _counts(texts: DataFrame, known: Broadcast, longest: int, run_bytes: int) -> DataFrame:
-    """Last scan: (lang, phrase, a) of every phrase that the candidates' filter lets through."""
+def _spelled(mined: DataFrame, known: Broadcast) -> DataFrame:
+    """(lang, phrase, a) of (part, key, a)."""
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        frequent, candidates, parts = known.value
-        for text in runs(batches, run_bytes):
-            if (text.lang, text.shard) not in parts:
-                continue
-            for k, places, counts, _ in levels(text, frequent, longest,
-                                               lambda _, hashes: marked(candidates, hashes)):
-                words, ids = text.words, text.ids
-                for start in range(0, len(places), BATCH_ROWS):
-                    rows = slice(start, start + BATCH_ROWS)
-                    phrases = [b" ".join([words[i] for i in ids[at:at + k].tolist()])
-                               for at in places[rows].tolist()]
-                    yield pa.RecordBatch.from_arrays(
-                        [pa.array([text.lang] * len(phrases), pa.string()),
-                         pa.array(phrases, pa.binary()).cast(pa.string()),
-                         pa.array(counts[rows])], ["lang", "phrase", "a"])
+        vocabulary, _ = known.value
+        langs, width = list(vocabulary.parts), vocabulary.width
+        for batch in batches:
+            parts = batch.column(0).to_numpy()
+            for part in np.unique(parts).tolist():
+                rows = batch.filter(pa.array(parts == part))
+                keys = rows.column(1).to_pylist()
+                words = iter(vocabulary.words[part].take(
+                    pa.array(unpacked(keys, width))).to_pylist())
+                phrases = [b" ".join(next(words) for _ in range(len(key) // width))
+                           for key in keys]
+                yield pa.RecordBatch.from_arrays(
+                    [pa.array([langs[part]] * len(keys), pa.string()),
+                     pa.array(phrases, pa.binary()).cast(pa.string()), rows.column(2)],
+                    ["lang", "phrase", "a"])
 
-    return texts.mapInArrow(run, "lang string, phrase string, a bigint").groupBy(
-        "lang", "phrase").agg(F.sum("a").alias("a"))
+    return mined.mapInArrow(run, "lang string, phrase string, a bigint")
 
 
 def frequent_phrases(docs: DataFrame, support: int, longest: int, lang: str, text: str,
@@ -318,18 +350,28 @@ def frequent_phrases(docs: DataFrame, support: int, longest: int, lang: str, tex
         MAX_LANGUAGES * shards + 1).collect()
     if len(sizes) > MAX_LANGUAGES * shards:
         raise ValueError(f"more than {MAX_LANGUAGES} languages")
-    parts = {(r["lang"], r["shard"]): i for i, r in enumerate(sizes)}
+    counts: dict[str, dict[int, int]] = {}
+    for r in sizes:
+        counts.setdefault(r["lang"], {})[r["shard"]] = r["n"]
+    wholes = {r["lang"]: r["whole"] for r in sizes}
+    vocabulary = Vocabulary(list(counts), words.where("word is not null").select(
+        "lang", "word").toArrow())
+    # A shard without words counts nothing, so that any least count will do for it.
     supports = spark.createDataFrame(
-        [(i, _local_support(support, r["n"], r["whole"])) for i, r in enumerate(sizes)],
-        "part int, least bigint")
-    frequent, bits = _word_filter(words.where("word is not null")), _no_bits()
+        [(vocabulary.parts[of_lang], [
+            _local_support(support, held.get(i, wholes[of_lang]), wholes[of_lang])
+            for i in range(shards)]) for of_lang, held in counts.items()],
+        "part int, least array<bigint>")
+    known = spark.sparkContext.broadcast((vocabulary, None))
+    mined = spark.createDataFrame([], "part int, key binary, a bigint")
     for reach in ((2, 2), (3, longest)):
         if reach[0] <= longest:
-            known = spark.sparkContext.broadcast((frequent, bits, parts))
-            bits = bits | _mined(texts, known, reach, supports, run_bytes)
-    known = spark.sparkContext.broadcast((frequent, bits, parts))
-    phrases = _counts(texts, known, longest, run_bytes).where(F.col("a") >= support)
-    return words, stored(phrases, "phrases")
+            if reach[0] > 2:
+                known = spark.sparkContext.broadcast(
+                    (vocabulary, _pair_filter(mined, vocabulary.width)))
+            mined = mined.union(stored(
+                _mined(texts, known, reach, supports, support, shards, run_bytes), "mined"))
+    return words, stored(_spelled(mined, known), "phrases")
 
 
 # --- scores ------------------------------------------------------------------------------------
