@@ -10,7 +10,7 @@ from wakeline.operators.dedup import drop_duplicates
 from wakeline.plans.history import clean_history
 from wakeline.schema import CLEAN_SCHEMA, REJECT_SCHEMA, RAW_FIELDS
 from wakeline.sources.messages import parse_messages, to_messages, topic_options
-from wakeline.streaming.positions import clean_batch
+from wakeline.streaming.positions import clean_batch, clean_stream
 
 
 def outcomes(spark, values):
@@ -161,3 +161,25 @@ def test_topic_options():
     assert stream["startingOffsets"] == "earliest"
     assert stream["maxOffsetsPerTrigger"] == "500000" and stream["failOnDataLoss"] == "false"
     assert topic_options("h:9092", "t", False)["endingOffsets"] == "latest"
+
+
+def _generators(df):
+    plan = df._jdf.queryExecution().optimizedPlan().toString()
+    return [line for line in plan.splitlines() if "Generate " in line]
+
+
+def test_side_branches_of_a_stream_type_few_fields(spark):
+    """As the branches of the tagged rows, but dead letters are typed nowhere, rejects late."""
+    values = [record(), record(MMSI="MMSI"), "{", None, "", "[]", record(LAT="99"), record(LAT="x"),
+              record(MMSI=" 1 ", SOG=" 7 "), record(BaseDateTime="zz", SOG=" 7 ", Heading="x"),
+              record(LAT=None, LON="200"), '{"MMSI": "366000001", "SOG"', record(MMSI=None)] * 2
+    sent = messages(spark, values)
+    whole = clean.clean_positions(parse_messages(sent))
+    stream = clean_stream(sent)
+    for got, want in ((stream.rejects, whole.rejects), (stream.dead_letters, whole.dead_letters)):
+        assert got.schema == want.schema
+        assert sorted(map(str, got.collect())) == sorted(map(str, want.collect()))
+        assert want.count() > 5
+    assert not any("typed_" in line for line in _generators(stream.dead_letters))
+    early = [line for line in _generators(stream.rejects) if "typed_LAT" in line]
+    assert early and not any("typed_SOG" in line for line in early)
