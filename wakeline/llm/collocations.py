@@ -34,6 +34,8 @@ SHARDS = 4
 RUN_BYTES = 16_000_000
 #: Rows that a task hands over at a time.
 BATCH_ROWS = 20_000
+#: Keys of phrases, a few bytes each, handed over at a time.
+KEY_ROWS = 100_000
 #: Bits of a filter: 8 MB, whatever the corpus.
 FILTER_BITS = 1 << 26
 #: Languages whose totals may be broadcast.
@@ -272,12 +274,13 @@ def _mined(texts: DataFrame, known: Broadcast, sizes: tuple[int, int], supports:
                 return marked(pairs, pair_hashes(part, ids[places], ids[places + 1]))
 
             for k, places, counts in levels(ids, len(frequent), last, keep):
-                if k >= first:
+                for start in range(0, len(counts) if k >= first else 0, KEY_ROWS):
+                    rows = slice(start, start + KEY_ROWS)
+                    keys = packed(ids, places[rows], k, vocabulary.width)
                     yield pa.RecordBatch.from_arrays(
-                        [pa.array(np.full(len(counts), part, np.int32)),
-                         packed(ids, places, k, vocabulary.width),
-                         pa.array(np.full(len(counts), text.shard, np.int32)),
-                         pa.array(counts.astype(np.int32))],
+                        [pa.array(np.full(len(keys), part, np.int32)), keys,
+                         pa.array(np.full(len(keys), text.shard, np.int32)),
+                         pa.array(counts[rows].astype(np.int32))],
                         ["part", "key", "shard", "n"])
 
     counted = texts.mapInArrow(run, "part int, key binary, shard int, n int").groupBy(
