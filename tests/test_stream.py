@@ -235,6 +235,24 @@ def test_a_larger_replay_has_more_files_and_as_many_batches(spark, monkeypatch):
     assert streams.file_groups(0) == 1
 
 
+@pytest.mark.parametrize("offset", ["null", "7", "offset"])
+def test_files_of_a_topic_are_small_whatever_its_offsets(spark, monkeypatch, offset):
+    from wakeline_checks import streams, views
+
+    monkeypatch.setattr(streams, "_FILE_MESSAGES", 10)
+    sent = messages(spark, [record(SOG=str(n)) for n in range(300)]).withColumn(
+        "offset", F.expr(f"cast({offset} as long)"))
+    folder = shared_dir(spark, "spread")
+    assert streams._topic(sent, folder, 3) == 10
+    stored = spark.read.parquet(folder)
+    sizes = stored.groupBy(F.input_file_name()).count().toDF("file", "n")
+    assert rows(stored.select(*sent.columns)) == rows(sent)
+    assert sizes.count() > 20 and sizes.agg(F.max("n")).first()[0] <= 30
+
+    monkeypatch.setattr(views, "messages", lambda spark, sf_dir: sent)
+    assert rows(streams.bounded_batches(spark, "none")) == [(2, True)]
+
+
 def test_batches_of_the_archive_are_cleaned_once(spark, monkeypatch):
     from wakeline_checks import tables, views
 

@@ -34,9 +34,12 @@ def file_groups(rows: int, groups: int = 1) -> int:
 
 
 def _topic(rows, folder: str, groups: int) -> int:
-    """Write messages as equal groups of files; the number of files in a group."""
+    """Write messages as equal groups of files; the number of files in a group.
+
+    All columns deal them out: offsets may be null or repeat, which would gather in one file.
+    """
     each = file_groups(rows.count(), groups)
-    rows.repartition(groups * each, "partition", "offset").write.parquet(folder)
+    rows.repartition(groups * each, *rows.columns).write.parquet(folder)
     return each
 
 
