@@ -3,6 +3,7 @@ import random
 import zlib
 
 import numpy as np
+import pyarrow as pa
 import pytest
 from pyspark.sql import functions as F
 
@@ -200,3 +201,94 @@ def test_one_shard_is_the_training_in_one_place(spark, documents):
     got = tox.fit(docs, labels)
     assert np.allclose(got.embedding, want.embedding, atol=1e-6)
     assert np.allclose(got.out, want.out) and np.isclose(got.out_bias, want.out_bias)
+
+
+def fold(i):
+    return zlib.crc32(str(i).encode()) % 5
+
+
+def of_language(place, keys, toxic):
+    """Texts of one language, clear in that, with the class as the only other word that matters."""
+    rng, cues = random.Random(place), list(tox.LANGUAGES.values())[place]
+    return [(i, " ".join(rng.choices(cues, k=12) + rng.choices(FILLER, k=12)
+                         + ["scumbabc" if i in toxic else "river"]), int(i in toxic)) for i in keys]
+
+
+def test_a_language_with_few_toxic_texts_has_its_own_threshold(spark, documents):
+    """French has two toxic texts in fold 1; Spanish has toxic ones in the other folds alone."""
+    keys = [i for i in range(400) if fold(i) > 0]
+    own, others = [i for i in keys if fold(i) == 1], [i for i in keys if fold(i) > 1]
+    rows = (of_language(0, own[:40] + others[:120], set(own[:12] + others[:40]))
+            + of_language(2, own[40:60] + others[120:160], set(own[40:42] + others[120:130]))
+            + of_language(3, own[60:70] + others[160:190], set(others[160:168])))
+    labels = spark.createDataFrame([(i, bad) for i, _, bad in rows], "doc_id bigint, toxic int")
+    net = tox.fit(documents(*[r[:2] for r in rows]), labels)
+    scorer, split = Scorer(net), [words_of(t) for _, t, _ in rows]
+    logits, toxic = np.array(scorer.logits(split)), np.array([r[2] for r in rows])
+    folds, languages = np.array([fold(r[0]) for r in rows]), np.array(list(map(language_of, split)))
+
+    def plain(chosen):
+        return best_threshold(logits[chosen], toxic[chosen], np.ones(chosen.sum()))
+
+    spare = folds == 1
+    assert net.common == plain(spare)
+    assert net.thresholds == {0: plain(spare & (languages == 0)), 2: plain(spare & (languages == 2)),
+                              3: plain(~spare & (languages == 3))}
+    in_one_place = fit_network([t for _, t, _ in rows], toxic, spare, np.ones(len(rows)))
+    assert set(in_one_place.thresholds) == {0, 2, 3}
+
+
+def test_thresholds_of_few_texts_by_hand():
+    net = untrained()
+    tox.set_thresholds(net, np.array([3.0, 1, 0, 7, 5, 9]), np.array([0, 0, 0, 1, 1, 2]),
+                       np.array([1, 0, 0, 1, 0, 1]), np.ones(6))
+    assert net.thresholds == {0: 2.0, 1: 6.0}
+
+
+@pytest.mark.parametrize("n", [6, 4_000, 250_000])
+def test_thresholds_ranked_by_tasks_are_those_of_one_place(spark, n):
+    """At any number of texts the very same numbers, also among ties and with one class missing."""
+    rng = np.random.default_rng(n)
+    toxic, language = (rng.random(n) < 0.2).astype(np.int32), rng.integers(-1, 4, n, np.int32)
+    toxic[language == 3] = 1
+    logit = rng.normal(0, 2, n) + toxic * (1 + language)
+    logit[::7] = np.round(logit[::7], 1)
+    toxic[:2], language[:2] = (0, 1), 0
+    found = spark.createDataFrame(pa.table({"toxic": toxic, "language": language, "logit": logit}))
+    want = {tox.ALL_TEXTS: best_threshold(logit, toxic, np.ones(n))}
+    for place in range(4):
+        own = language == place
+        if len(set(toxic[own])) == 2:
+            want[place] = best_threshold(logit[own], toxic[own], np.ones(own.sum()))
+    assert 3 not in want and 0 in want
+    assert tox.ranked_thresholds(found) == want
+
+
+def test_every_shard_has_both_classes(spark, documents, monkeypatch):
+    """A scarce class is dealt to several shards, or a shard would learn nothing; it counts once."""
+    rows = [(i, t.replace("scumb", "lowei"), bad) for i, t, bad in made(900, 14)]
+    few = {r[0] for r in [r for r in rows if r[2] and fold(r[0]) > 1][:7]}
+    rows = [r for r in rows if not r[2] or r[0] in few or fold(r[0]) < 2]
+    labels = spark.createDataFrame([(i, bad) for i, _, bad in rows] + [(i, 1) for i in range(-800, 0)],
+                                   "doc_id bigint, toxic int")
+    dealt, seen, trained, odds = [], [], tox._trained, tox._log_odds
+
+    def watched(shards, *rest):
+        dealt.extend(shards.groupBy(F.spark_partition_id()).agg(
+            F.collect_set("toxic").alias("classes"), F.count("*").alias("n")).collect())
+        return trained(shards, *rest)
+
+    def counted(counts, sizes):
+        seen.append((counts.max(axis=1).tolist(), sizes.tolist()))
+        return odds(counts, sizes)
+
+    monkeypatch.setattr(tox, "_trained", watched)
+    monkeypatch.setattr(tox, "_log_odds", counted)
+    net = tox.fit(documents(*[r[:2] for r in rows]), labels, shard_rows=40)
+    learnt = [r for r in rows if fold(r[0]) > 1]
+    assert len(dealt) > 5 and all(sorted(r.classes) == [0, 1] for r in dealt)
+    assert sum(r.n for r in dealt) == len(learnt) + 7 * (len(dealt) - 1)
+    assert seen[-1][1] == [len(learnt) - 7, 7] and seen[-1][0][1] <= 7
+    test = [r for r in rows if fold(r[0]) == 0]
+    scores = np.array(Scorer(net).scores([r[1] for r in test]))
+    assert np.mean((scores >= 0.5) == np.array([r[2] for r in test])) > 0.9
