@@ -292,3 +292,15 @@ def test_every_shard_has_both_classes(spark, documents, monkeypatch):
     test = [r for r in rows if fold(r[0]) == 0]
     scores = np.array(Scorer(net).scores([r[1] for r in test]))
     assert np.mean((scores >= 0.5) == np.array([r[2] for r in test])) > 0.9
+
+
+def test_subtracting_at_repeated_rows_is_that_of_numpy_to_the_last_bit():
+    rng = np.random.default_rng(4)
+    for n in (0, 1, 3_000):
+        rows = np.concatenate([rng.integers(0, 5, n), rng.integers(0, 4_000, n)]).astype(np.int32)
+        values = rng.normal(0, 0.1, (len(rows), 8))
+        want = rng.normal(0, 0.1, (4_000, 8)).astype(np.float32)
+        got = want.copy()
+        np.subtract.at(want, rows, values)
+        tox.subtract_at(got, rows, values)
+        assert got.dtype == np.float32 and np.array_equal(got, want)
