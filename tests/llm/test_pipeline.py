@@ -8,6 +8,7 @@ import corpus_pipeline
 from tests.llm.test_decontaminate import plain as plain_hits
 from tests.llm.test_pii import stated
 from tests.llm.test_simhash import plain_fingerprint, plain_groups
+from wakeline.llm import toxicity
 from wakeline.llm.shared import shared_folder
 
 
@@ -105,3 +106,29 @@ def test_empty_documents(spark, tables):
     for _, stage in corpus_pipeline.STAGES:
         frame = stage(spark, frame, folder)
         assert frame.count() == 0
+
+
+def test_toxic_stage_has_a_threshold_for_every_language(spark, tmp_path, monkeypatch):
+    """Also for those with a handful of labelled toxic texts, in one fold or in others."""
+    rng, docs, bad = random.Random(5), [], set()
+    for i in range(360):
+        place = 0 if i < 240 else i % 3 + 1
+        cues = list(toxicity.LANGUAGES.values())[place]
+        if i % 4 == 0:
+            bad.add(i)
+        docs.append((i, " ".join(rng.choices(cues, k=15) + ["moron" if i in bad else "river"]
+                                 + prose(rng, 10).split()), "xx", "s", 1))
+    spark.createDataFrame([(i, int(i in bad)) for i in range(360)], "doc_id bigint, toxic int"
+                          ).write.parquet(f"{tmp_path}/labels.parquet")
+    frame = spark.createDataFrame(
+        docs, "doc_id bigint, text string, lang string, source string, n_chars bigint")
+    networks, score = [], toxicity.score_documents
+
+    def watched(rows, network, *rest, **named):
+        networks.append(network)
+        return score(rows, network, *rest, **named)
+
+    monkeypatch.setattr(toxicity, "score_documents", watched)
+    kept = {r.doc_id for r in corpus_pipeline.drop_toxic(spark, frame, str(tmp_path)).collect()}
+    assert kept == set(range(360)) - bad
+    assert set(networks[0].thresholds) == {0, 1, 2, 3}
